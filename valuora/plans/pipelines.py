@@ -1,0 +1,73 @@
+"""Composite pipelines: single-market processing, daily refresh, staging symbols."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from valuora.operators import company as C
+from valuora.operators import fundamentals as FU
+from valuora.operators import growth as G
+from valuora.operators import prices as P
+from valuora.operators import screen as S
+from valuora.operators import valuation as V
+
+
+@dataclass
+class SingleMarketResult:
+    company_info: DataFrame
+    price: DataFrame
+    annual_price: DataFrame
+    fundamental: DataFrame
+    growth: DataFrame
+    screener: DataFrame
+
+
+def fundamentals_for(model, period: tuple[int | None, int | None],
+                     symbols: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(company_info, KPI fundamentals) of the single-market run, before price narrowing."""
+    company = C.company_info_for(model.company_info, symbols)
+    tickers = company.select("ticker")
+    fund = FU.combine_statements(model.income, model.cashflow, model.balance, symbols=tickers)
+    fund = P.period_filter(fund, period[0], period[1])
+    return company, FU.add_kpis(fund)
+
+
+def single_market(model, period: tuple[int | None, int | None], fp: int = V.DEFAULT_FP,
+                  exp_rr: float = V.DEFAULT_EXP_RR, symbols: DataFrame | None = None,
+                  agg_func: str = "mean") -> SingleMarketResult:
+    """The processing pipeline of one market as one lazy plan.
+
+    Symbol narrowing is a chain of semi joins instead of driver-side lists:
+    company tickers -> statements -> prices of those tickers -> fundamentals of
+    priced tickers. Nothing is collected.
+    """
+    company, fund = fundamentals_for(model, period, symbols)
+    price = FU.restrict(model.price, fund.select("ticker"))
+    fund = FU.restrict(fund, P.distinct_tickers(price))
+    annual = P.annual_price(price, period[0], period[1], how="mean")
+    fund = FU.add_annual_pe(fund, annual)
+    growth = V.sticker_price(G.growth_rates(fund, agg_func), fp, exp_rr)
+    screen = S.screener(price, growth)
+    company_out = C.company_with_peers(company, model.peers) if hasattr(model, "peers") else company
+    return SingleMarketResult(company_out, price, annual, fund, growth, screen)
+
+
+def daily_refresh(price_batch: DataFrame, growth: DataFrame) -> DataFrame:
+    """Yesterday's valuation against today's price files: the screener on the batch.
+
+    Only tickers of the stored growth table are read from the batch (semi join).
+    """
+    batch = FU.restrict(price_batch, growth.select("ticker"))
+    return S.screener(batch, growth)
+
+
+def staging_symbols(model) -> DataFrame:
+    """The narrowed symbol list of the staging run: directory filter -> company info ->
+    tickers present in all three statements."""
+    universe = C.symbol_universe(model.symbol_directory)
+    company = C.company_info_for(model.company_info, universe)
+    stmt = FU.common_tickers(model.income, model.cashflow, model.balance)
+    return company.select("ticker").join(stmt, "ticker", "left_semi").distinct()
