@@ -42,8 +42,8 @@ def ci(x: str) -> str:
 
 
 def ieee_div(n: str, d: str) -> str:
-    return (f"(CASE WHEN {n} IS NULL OR {d} IS NULL THEN NULL WHEN {d} <> 0 THEN {n} / {d} "
-            f"WHEN {n} > 0 THEN 'inf'::DOUBLE WHEN {n} < 0 THEN '-inf'::DOUBLE END)")
+    return (f"(CASE WHEN ({n}) IS NULL OR ({d}) IS NULL THEN NULL WHEN ({d}) <> 0 THEN ({n}) / ({d}) "
+            f"WHEN ({n}) > 0 THEN 'inf'::DOUBLE WHEN ({n}) < 0 THEN '-inf'::DOUBLE END)")
 
 
 def pos(x: str) -> str:
@@ -246,6 +246,119 @@ WHERE rk = 1 AND low <= mos AND date IS NOT NULL AND low IS NOT NULL
 CTES["screener"] = _screener_sql("price_used", "growth")
 CTES["screener_median"] = _screener_sql("price_used", "growth_med")
 
+
+# ---------------------------------------------------------------- multi-market
+
+CTES["companies"] = """
+SELECT CAST(c.c_custkey AS VARCHAR) AS ticker, c.c_custkey AS simfin_id, c.c_name AS company_name,
+       c.c_nationkey AS industry_id, t.market
+FROM customer c JOIN ticker_market t ON CAST(c.c_custkey AS VARCHAR) = t.ticker"""
+
+CTES["industries"] = """
+SELECT n_nationkey AS industry_id, n_name AS industry,
+       'SECTOR-' || CAST(n_regionkey AS VARCHAR) AS sector
+FROM nation"""
+
+CTES["company_industry"] = """
+SELECT c.*, i.industry, i.sector FROM companies c
+LEFT JOIN industries i ON c.industry_id = i.industry_id"""
+
+_EXCL = ", ".join(f"'{m}'" for m in EXCLUDED_MARKETS)
+CTES["mm_markets"] = f"""
+SELECT DISTINCT r_name AS market_id FROM region WHERE r_name NOT IN ({_EXCL})"""
+
+CTES["mm_tm"] = """
+SELECT * FROM ticker_market WHERE market IN (SELECT market_id FROM mm_markets)"""
+
+for _st in ("income", "cashflow", "balance", "price"):
+    CTES[f"mm_{_st}"] = f"""
+SELECT x.*, t.market FROM {_st} x JOIN mm_tm t ON x.ticker = t.ticker"""
+
+CTES["mm_fundamental_all"] = """
+SELECT i.ticker, i.simfin_id, i.currency, i.fiscal_year,
+       i.fiscal_period AS fiscal_period_is, i.report_date AS report_date_is,
+       i.shares_basic AS shares_basic_is, i.revenue, i.net_income, i.market AS market_is,
+       c.fiscal_period AS fiscal_period_cf, c.report_date AS report_date_cf,
+       c.shares_basic AS shares_basic_cf, c.net_cash_ops, c.net_cash_inv, c.dividends_paid,
+       c.market AS market_cf,
+       b.fiscal_period, b.report_date, b.shares_basic, b.total_equity, b.total_liab_equity, b.market
+FROM mm_income i
+JOIN mm_cashflow c ON i.ticker = c.ticker AND i.simfin_id = c.simfin_id
+                   AND i.currency = c.currency AND i.fiscal_year = c.fiscal_year
+JOIN mm_balance b ON i.ticker = b.ticker AND i.simfin_id = b.simfin_id
+                  AND i.currency = b.currency AND i.fiscal_year = b.fiscal_year"""
+
+CTES["mm_fundamental_raw"] = """
+SELECT * FROM mm_fundamental_all WHERE ticker IN (SELECT ticker FROM mm_price)"""
+
+CTES["mm_price_used"] = """
+SELECT * FROM mm_price WHERE ticker IN (SELECT ticker FROM mm_fundamental_all)"""
+
+CTES["mm_annual_min"] = """
+SELECT CAST(year(date) AS INTEGER) AS year, ticker, min(low) AS mean_low_price
+FROM mm_price_used WHERE month(date) = 12 GROUP BY year(date), ticker"""
+
+CTES["mm_fundamental"] = f"""
+SELECT f.*, coalesce(dividends_paid, 0.0) AS dividends_paid_clean,
+       (net_income + coalesce(dividends_paid, 0.0)) / nullif(total_liab_equity, 0) AS roic,
+       {ieee_div('net_income', 'shares_basic')} AS eps,
+       {ieee_div('total_equity', 'shares_basic')} AS bvps,
+       net_cash_ops - net_cash_inv AS fcf,
+       a.mean_low_price,
+       a.mean_low_price / nullif({ieee_div('net_income', 'shares_basic')}, 0) AS pe
+FROM mm_fundamental_raw f
+LEFT JOIN mm_annual_min a ON f.ticker = a.ticker AND f.fiscal_year = a.year"""
+
+CTES["mm_growth_rows"] = _growth_rows_sql("mm_fundamental")
+CTES["mm_growth_summary"] = _summary_sql("mm_growth_rows", "avg")
+CTES["mm_growth_mean"] = "SELECT * FROM mm_growth_summary WHERE yrs_in_5yr = 5"
+CTES["mm_growth_sticker"] = _sticker_sql("mm_growth_mean")
+
+CTES["mm_latest"] = """
+SELECT ticker, low AS last_low_price
+FROM (SELECT ticker, low, rank() OVER (PARTITION BY ticker ORDER BY date DESC) AS rk
+      FROM mm_price_used) x WHERE rk = 1"""
+
+CTES["mm_companies"] = """
+SELECT * FROM company_industry WHERE market IN (SELECT market_id FROM mm_markets)"""
+
+_PCT = "100.0 * " + r2(ieee_div("g.mos - l.last_low_price", "l.last_low_price"))
+CTES["mm_growth"] = f"""
+SELECT g.*, l.last_low_price,
+       coalesce(g.mos >= l.last_low_price, false) AS mos_reached,
+       g.mos - l.last_low_price AS diff_price_mos,
+       {_PCT} AS diff_price_mos_percentage,
+       coalesce({_PCT} > {OUT_OF_BOUNDS_PCT}, false) AS out_off_bounds_value,
+       c.industry_id, c.simfin_id, c.company_name, c.market, c.industry, c.sector
+FROM mm_growth_sticker g
+LEFT JOIN mm_latest l ON g.ticker = l.ticker
+LEFT JOIN mm_companies c ON g.ticker = c.ticker"""
+
+# ---------------------------------------------------------------- company side
+
+CTES["symbol_universe"] = """
+SELECT nasdaq_symbol AS ticker FROM symbol_directory
+WHERE test_issue = 'N' AND (financial_status IS NULL OR financial_status = 'N') AND etf = 'N'"""
+
+CTES["company_universe"] = """
+SELECT * FROM company_info WHERE ticker IN (SELECT ticker FROM symbol_universe)"""
+
+CTES["statement_tickers"] = """
+SELECT ticker FROM (SELECT DISTINCT ticker FROM income) i
+WHERE ticker IN (SELECT ticker FROM cashflow) AND ticker IN (SELECT ticker FROM balance)"""
+
+CTES["staging_symbols"] = """
+SELECT DISTINCT ticker FROM company_universe
+WHERE ticker IN (SELECT ticker FROM statement_tickers)"""
+
+CTES["daily_drop"] = """
+SELECT CAST(ts AS DATE) AS date, CAST(user_id AS VARCHAR) AS ticker, value * 1000 AS low
+FROM (SELECT user_id, ts, value, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn
+      FROM events) e WHERE rn = 1"""
+
+CTES["extremes"] = """
+SELECT * FROM screener WHERE mos / nullif(last_low_price, 0) > 10"""
+
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 

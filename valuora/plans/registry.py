@@ -15,9 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valuora.functions.num import round_dp
+from valuora.operators import company as C
+from valuora.operators import evaluation as E
+from valuora.operators import filters as FL
 from valuora.operators import fundamentals as FU
 from valuora.operators import growth as G
+from valuora.operators import multimarket as MM
 from valuora.operators import prices as P
+from valuora.operators import quality as Q
 from valuora.operators import screen as S
 from valuora.operators import valuation as V
 from valuora.plans import oracle as O
@@ -172,6 +177,516 @@ def q_screener_median(spark, sf):
     return run_single(spark, sf, "median").screener
 
 
+# ---------------------------------------------------------------- sources / narrowing
+
+@query("price_symbol_prune", "SELECT * FROM price_used")
+def q_price_symbol_prune(spark, sf):
+    return run_single(spark, sf).price
+
+
+@query("distinct_tickers", "SELECT DISTINCT ticker FROM price")
+def q_distinct_tickers(spark, sf):
+    return P.distinct_tickers(model(spark, sf).price)
+
+
+@query("symbol_universe", "SELECT ticker FROM symbol_universe")
+def q_symbol_universe(spark, sf):
+    return C.symbol_universe(model(spark, sf).symbol_directory)
+
+
+@query("symbol_funnel", """
+SELECT count(*) AS n_all,
+       count(CASE WHEN test_issue = 'N' THEN 1 END) AS n_not_test,
+       count(CASE WHEN test_issue = 'N' AND (financial_status IS NULL OR financial_status = 'N')
+             THEN 1 END) AS n_not_bankrupt,
+       count(CASE WHEN test_issue = 'N' AND (financial_status IS NULL OR financial_status = 'N')
+                   AND etf = 'N' THEN 1 END) AS n_not_etf
+FROM symbol_directory""")
+def q_symbol_funnel(spark, sf):
+    return C.symbol_funnel(model(spark, sf).symbol_directory)
+
+
+@query("company_info_scan", "SELECT * FROM company_universe")
+def q_company_info_scan(spark, sf):
+    m = model(spark, sf)
+    return C.company_info_for(m.company_info, C.symbol_universe(m.symbol_directory))
+
+
+@query("company_single_market", """
+SELECT DISTINCT ticker, company_name FROM companies WHERE market = 'EUROPE'""")
+def q_company_single_market(spark, sf):
+    m = model(spark, sf)
+    return m.companies.where(F.col("market") == "EUROPE").select("ticker", "company_name").distinct()
+
+
+@query("statement_scan", """
+SELECT * FROM income WHERE ticker IN (SELECT ticker FROM ticker_market WHERE market = 'AMERICA')""")
+def q_statement_scan(spark, sf):
+    m = model(spark, sf)
+    return FU.restrict(m.income, m.ticker_market.where(F.col("market") == "AMERICA").select("ticker"))
+
+
+@query("peer_string_agg", "SELECT ticker, peer_string FROM peers")
+def q_peer_string_agg(spark, sf):
+    return model(spark, sf).peers
+
+
+def _peer_summary(df: DataFrame) -> DataFrame:
+    pl = F.col("peer_list")
+    return (df.withColumn("n_peers", F.when(pl.isNotNull(), F.size(pl)).cast("bigint"))
+              .withColumn("first_peer", F.element_at(pl, 1))
+              .withColumn("last_peer", F.element_at(pl, -1))
+              .drop("peer_list"))
+
+
+@query("peer_list", """
+SELECT ticker, peer_string, len(string_split(peer_string, ',')) AS n_peers,
+       string_split(peer_string, ',')[1] AS first_peer,
+       string_split(peer_string, ',')[-1] AS last_peer
+FROM peers WHERE ticker IN (SELECT ticker FROM company_universe)""")
+def q_peer_list(spark, sf):
+    m = model(spark, sf)
+    symbols = C.company_info_for(m.company_info, C.symbol_universe(m.symbol_directory))
+    return _peer_summary(C.with_peer_list(FU.restrict(m.peers, symbols.select("ticker"))))
+
+
+@query("company_with_peers", """
+SELECT c.*, p.peer_string, len(string_split(p.peer_string, ',')) AS n_peers,
+       string_split(p.peer_string, ',')[1] AS first_peer,
+       string_split(p.peer_string, ',')[-1] AS last_peer
+FROM company_info c LEFT JOIN peers p ON c.ticker = p.ticker""")
+def q_company_with_peers(spark, sf):
+    m = model(spark, sf)
+    return _peer_summary(C.company_with_peers(m.company_info, m.peers))
+
+
+@query("common_tickers", "SELECT ticker FROM statement_tickers")
+def q_common_tickers(spark, sf):
+    m = model(spark, sf)
+    return FU.common_tickers(m.income, m.cashflow, m.balance)
+
+
+@query("staging_symbols", "SELECT ticker FROM staging_symbols")
+def q_staging_symbols(spark, sf):
+    return PL.staging_symbols(model(spark, sf))
+
+
+RESUME_KEY = "700"
+
+
+@query("staging_resume", f"""
+SELECT * FROM (
+  SELECT 'resume' AS reason, ticker FROM (SELECT DISTINCT ticker FROM price) s
+  WHERE ticker >= '{RESUME_KEY}'
+  UNION ALL
+  SELECT 'missing' AS reason, ticker FROM staging_symbols
+  WHERE ticker NOT IN (SELECT ticker FROM price)) x
+ORDER BY reason, ticker""")
+def q_staging_resume(spark, sf):
+    m = model(spark, sf)
+    staged = P.distinct_tickers(m.price)
+    resume = staged.where(F.col("ticker") >= RESUME_KEY).select(F.lit("resume").alias("reason"), "ticker")
+    missing = (PL.staging_symbols(m).join(staged, "ticker", "left_anti")
+               .select(F.lit("missing").alias("reason"), "ticker"))
+    return resume.unionByName(missing).orderBy("reason", "ticker")
+
+
+@query("price_ingest_audit", """
+SELECT ticker, count(*) AS n_rows, min(date) AS first_date, max(date) AS last_date
+FROM price GROUP BY ticker""")
+def q_price_ingest_audit(spark, sf):
+    from valuora.sources.files import ingest_audit
+    return ingest_audit(model(spark, sf).price)
+
+
+@query("stats_append", """
+SELECT ticker, market_cap, NULL::VARCHAR AS sector, DATE '2021-06-01' AS download_date
+FROM company_info WHERE market = 'ASIA'
+UNION ALL
+SELECT ticker, market_cap, sector, DATE '2021-06-02' AS download_date
+FROM company_info WHERE market = 'EUROPE'""")
+def q_stats_append(spark, sf):
+    import datetime as dt
+    ci = model(spark, sf).company_info
+    b1 = (ci.where(F.col("market") == "ASIA").select("ticker", "market_cap")
+          .withColumn("download_date", F.lit(dt.date(2021, 6, 1))))
+    b2 = (ci.where(F.col("market") == "EUROPE").select("ticker", "market_cap", "sector")
+          .withColumn("download_date", F.lit(dt.date(2021, 6, 2))))
+    return b1.unionByName(b2, allowMissingColumns=True)
+
+
+@query("file_inventory", None)
+def q_file_inventory(spark, sf):
+    from valuora.sources.files import file_inventory
+    return file_inventory(spark, sf)
+
+
+# ---------------------------------------------------------------- filters / evaluation
+
+@query("filter_symbols", """
+SELECT * FROM fundamental_kpi WHERE ticker IN (SELECT ticker FROM symbol_universe)""")
+def q_filter_symbols(spark, sf):
+    m = model(spark, sf)
+    return FU.restrict(_kpis(spark, sf), C.symbol_universe(m.symbol_directory))
+
+
+@query("filter_period", f"""
+SELECT * FROM fundamental_raw WHERE fiscal_year BETWEEN {O.NARROW_PERIOD[0]} AND {O.NARROW_PERIOD[1]}""")
+def q_filter_period(spark, sf):
+    m = model(spark, sf)
+    return P.period_filter(FU.combine_statements(m.income, m.cashflow, m.balance), *O.NARROW_PERIOD)
+
+
+@query("last_n_years", f"""
+SELECT * REPLACE ({O.r6('pe')} AS pe) FROM growth_rows
+QUALIFY fiscal_year > max(fiscal_year) OVER (PARTITION BY ticker) - 3""")
+def q_last_n_years(spark, sf):
+    return r6(G.last_n_years(G.kpi_growth(run_single(spark, sf).fundamental), 3), "pe")
+
+
+@query("current_year_kpi", """
+SELECT ticker, revenue_gr AS revenue_gr_curr, eps AS eps_curr FROM growth_rows
+QUALIFY fiscal_year = max(fiscal_year) OVER (PARTITION BY ticker)""")
+def q_current_year_kpi(spark, sf):
+    rows = G.current_year(G.kpi_growth(run_single(spark, sf).fundamental))
+    return rows.select("ticker", F.col("revenue_gr").alias("revenue_gr_curr"),
+                       F.col("eps").alias("eps_curr"))
+
+
+@query("extreme_ratio", "SELECT * FROM extremes")
+def q_extreme_ratio(spark, sf):
+    return S.extreme_ratio(run_single(spark, sf).screener)
+
+
+GROWTH_FIRST20 = ["ticker", "revenue_gr_curr", "eps_curr", "roic_gr_5yr", "revenue_gr_5yr",
+                  "eps_gr_5yr", "bvps_gr_5yr", "fcf_gr_5yr", "pe_5yr", "yrs_in_5yr",
+                  "rule1_gr_5yr", "pe_default_5yr", "roic_gr_10yr", "revenue_gr_10yr",
+                  "eps_gr_10yr", "bvps_gr_10yr", "fcf_gr_10yr", "pe_10yr", "yrs_in_10yr",
+                  "rule1_gr_10yr"]
+
+
+@query("extreme_growth_detail", f"""
+SELECT {', '.join(GROWTH_FIRST20)} FROM growth WHERE ticker IN (SELECT ticker FROM extremes)""")
+def q_extreme_growth_detail(spark, sf):
+    r = run_single(spark, sf)
+    g = FU.restrict(r.growth, S.extreme_ratio(r.screener).select("ticker"))
+    return g.select(*g.columns[:20])
+
+
+@query("ticker_history", f"""
+SELECT * REPLACE ({O.r6('mean_low_price')} AS mean_low_price, {O.r6('pe')} AS pe)
+FROM fundamental WHERE ticker IN (SELECT ticker FROM extremes)
+ORDER BY ticker, fiscal_year""")
+def q_ticker_history(spark, sf):
+    r = run_single(spark, sf)
+    h = FU.restrict(r.fundamental, S.extreme_ratio(r.screener).select("ticker"))
+    return r6(h, "mean_low_price", "pe").orderBy("ticker", "fiscal_year")
+
+
+@query("mos_outliers", f"""
+SELECT * REPLACE ({O.r6('eps_future')} AS eps_future) FROM growth
+WHERE mos <= 0.1 OR mos >= 10000000000.0""")
+def q_mos_outliers(spark, sf):
+    return r6(S.mos_outliers(run_single(spark, sf).growth), "eps_future")
+
+
+@query("preview_top", """
+SELECT * FROM screener ORDER BY mos DESC, ticker, last_date, last_low_price LIMIT 5""")
+def q_preview_top(spark, sf):
+    return (run_single(spark, sf).screener
+            .orderBy(F.col("mos").desc(), "ticker", "last_date", "last_low_price").limit(5))
+
+
+@query("verify_december_mean", f"""
+SELECT a.year, a.ticker, {O.r6('a.mean_low_price')} AS mean_low_price,
+       {O.r6('v.mean_by_range')} AS mean_by_range
+FROM annual_mean a JOIN (
+  SELECT ticker, CAST(year(date) AS INTEGER) AS year, avg(low) AS mean_by_range FROM price_used
+  WHERE date BETWEEN DATE '{O.PERIOD[0]}-12-01' AND DATE '{O.PERIOD[1]}-12-31' AND month(date) = 12
+  GROUP BY ticker, year(date)) v ON a.ticker = v.ticker AND a.year = v.year""")
+def q_verify_december_mean(spark, sf):
+    return E.verify_december_mean(run_single(spark, sf).price, *O.PERIOD)
+
+
+# ---------------------------------------------------------------- enrichment
+
+@query("growth_enriched", f"""
+SELECT g.* REPLACE ({O.r6('g.eps_future')} AS eps_future), c.company_name, c.industry, c.sector,
+       c.market, c.market_cap
+FROM growth g LEFT JOIN company_info c ON g.ticker = c.ticker""")
+def q_growth_enriched(spark, sf):
+    r = run_single(spark, sf)
+    return C.enrich(r6(r.growth, "eps_future"), model(spark, sf).company_info)
+
+
+@query("screener_enriched", """
+SELECT s.*, c.company_name, c.industry, c.sector, c.market, c.market_cap
+FROM screener s LEFT JOIN company_info c ON s.ticker = c.ticker""")
+def q_screener_enriched(spark, sf):
+    return C.enrich(run_single(spark, sf).screener, model(spark, sf).company_info)
+
+
+@query("fundamental_enriched", f"""
+SELECT f.* REPLACE ({O.r6('f.mean_low_price')} AS mean_low_price, {O.r6('f.pe')} AS pe),
+       c.company_name, c.industry, c.sector, c.market, c.market_cap
+FROM fundamental f LEFT JOIN company_info c ON f.ticker = c.ticker""")
+def q_fundamental_enriched(spark, sf):
+    r = run_single(spark, sf)
+    return C.enrich(r6(r.fundamental, "mean_low_price", "pe"), model(spark, sf).company_info)
+
+
+# ---------------------------------------------------------------- data quality
+
+@query("join_cardinality_check", """
+SELECT 'income' AS check_name, concat_ws('|', ticker, CAST(simfin_id AS VARCHAR), currency,
+       CAST(fiscal_year AS VARCHAR)) AS key, count(*) AS n
+FROM income GROUP BY ticker, simfin_id, currency, fiscal_year HAVING count(*) > 1
+UNION ALL
+SELECT 'cashflow', concat_ws('|', ticker, CAST(simfin_id AS VARCHAR), currency,
+       CAST(fiscal_year AS VARCHAR)), count(*)
+FROM cashflow GROUP BY ticker, simfin_id, currency, fiscal_year HAVING count(*) > 1
+UNION ALL
+SELECT 'balance', concat_ws('|', ticker, CAST(simfin_id AS VARCHAR), currency,
+       CAST(fiscal_year AS VARCHAR)), count(*)
+FROM balance GROUP BY ticker, simfin_id, currency, fiscal_year HAVING count(*) > 1
+UNION ALL
+SELECT 'company_info', ticker, count(*) FROM company_info GROUP BY ticker HAVING count(*) > 1
+UNION ALL
+SELECT 'latest_price', ticker, count(*) FROM (
+  SELECT ticker, rank() OVER (PARTITION BY ticker ORDER BY date DESC) AS rk FROM price) x
+WHERE rk = 1 GROUP BY ticker HAVING count(*) > 1
+UNION ALL
+SELECT 'price', concat_ws('|', CAST(date AS VARCHAR), ticker), count(*)
+FROM price GROUP BY date, ticker HAVING count(*) > 1""")
+def q_join_cardinality_check(spark, sf):
+    m = model(spark, sf)
+    from valuora.schemas import STATEMENT_KEYS as K
+    return Q.cardinality_report({
+        "income": (m.income, K), "cashflow": (m.cashflow, K), "balance": (m.balance, K),
+        "company_info": (m.company_info, ["ticker"]),
+        "latest_price": (P.latest_price(m.price), ["ticker"]),
+        "price": (m.price, ["date", "ticker"])})
+
+
+@query("dq_symbol_counts", """
+SELECT 'price' AS table_name, count(DISTINCT ticker) AS n_symbols FROM price_used
+UNION ALL SELECT 'company_info', count(DISTINCT ticker) FROM company_info
+UNION ALL SELECT 'fundamental', count(DISTINCT ticker) FROM fundamental
+UNION ALL SELECT 'growth', count(DISTINCT ticker) FROM growth
+UNION ALL SELECT 'screener', count(DISTINCT ticker) FROM screener""")
+def q_dq_symbol_counts(spark, sf):
+    r = run_single(spark, sf)
+    return Q.symbol_counts({"price": r.price, "company_info": r.company_info,
+                            "fundamental": r.fundamental, "growth": r.growth,
+                            "screener": r.screener})
+
+
+@query("dq_symbol_coverage", """
+SELECT 'income' AS table_name, count(DISTINCT ticker) AS n_symbols FROM income
+  WHERE ticker IN (SELECT ticker FROM symbol_universe)
+UNION ALL SELECT 'cashflow', count(DISTINCT ticker) FROM cashflow
+  WHERE ticker IN (SELECT ticker FROM symbol_universe)
+UNION ALL SELECT 'balance', count(DISTINCT ticker) FROM balance
+  WHERE ticker IN (SELECT ticker FROM symbol_universe)""")
+def q_dq_symbol_coverage(spark, sf):
+    m = model(spark, sf)
+    return Q.coverage(C.symbol_universe(m.symbol_directory),
+                      {"income": m.income, "cashflow": m.cashflow, "balance": m.balance})
+
+
+@query("dq_freshness", """
+SELECT 'price' AS table_name, min(date) AS min_date, max(date) AS max_date,
+       NULL::INTEGER AS min_fiscal_year, NULL::INTEGER AS max_fiscal_year FROM price_used
+UNION ALL
+SELECT 'fundamental', NULL, NULL, min(fiscal_year), max(fiscal_year) FROM fundamental""")
+def q_dq_freshness(spark, sf):
+    r = run_single(spark, sf)
+    return Q.freshness(r.price, r.fundamental)
+
+
+# ---------------------------------------------------------------- profiling
+
+DESCRIBE_PCTS = (0.03, 0.04, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.98, 0.99)
+
+
+def _describe_sql(src: str, col: str, pcts) -> str:
+    from valuora.operators.profile import pct_label
+    stats = [("count", f"CAST(count({col}) AS DOUBLE)"), ("mean", f"avg({col})"),
+             ("std", f"stddev_samp({col})"), ("min", f"min({col})")]
+    stats += [(pct_label(p), f"quantile_cont({col}, {p!r})") for p in sorted(set(pcts) | {0.5})]
+    stats.append(("max", f"max({col})"))
+    parts = [f"SELECT {i} AS pos, '{n}' AS stat, {O.r6('CAST(' + e + ' AS DOUBLE)')} AS value FROM {src}"
+             for i, (n, e) in enumerate(stats)]
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("describe_mos", _describe_sql("growth", "mos", DESCRIBE_PCTS))
+def q_describe_mos(spark, sf):
+    from valuora.operators.profile import describe
+    return r6(describe(run_single(spark, sf).growth, "mos", DESCRIBE_PCTS), "value")
+
+
+PROFILE_COLS = ["revenue_gr_curr", "eps_curr", "roic_gr_5yr", "eps_gr_5yr", "bvps_gr_5yr",
+                "pe_5yr", "yrs_in_10yr", "rule1_gr_5yr", "price_future", "mos"]
+
+
+def _profile_sql(src: str, cols) -> str:
+    long = "(" + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM {src}" for c in cols) + ")"
+    return f"""
+SELECT s.column_name, n, n_missing, {O.r6('n_missing * 100.0 / n')} AS missing_pct, n_distinct, n_zeros,
+       min, max, {O.r6('mean')} AS mean, {O.r6('std')} AS std,
+       {O.r6('p25')} AS p25, {O.r6('p50')} AS p50, {O.r6('p75')} AS p75, t.top_value, t.top_freq
+FROM (SELECT column_name, count(*) AS n, count(*) - count(value) AS n_missing,
+             count(DISTINCT value) AS n_distinct, count(CASE WHEN value = 0 THEN 1 END) AS n_zeros,
+             min(value) AS min, max(value) AS max, avg(value) AS mean, stddev_samp(value) AS std,
+             quantile_cont(value, 0.25) AS p25, quantile_cont(value, 0.5) AS p50,
+             quantile_cont(value, 0.75) AS p75
+      FROM {long} l GROUP BY column_name) s
+LEFT JOIN (SELECT column_name, value AS top_value, freq AS top_freq FROM (
+             SELECT column_name, value, count(*) AS freq,
+                    row_number() OVER (PARTITION BY column_name ORDER BY count(*) DESC, value) AS rn
+             FROM {long} l2 WHERE value IS NOT NULL GROUP BY column_name, value) x WHERE rn = 1) t
+  ON s.column_name = t.column_name"""
+
+
+@query("column_profile", _profile_sql("growth", PROFILE_COLS))
+def q_column_profile(spark, sf):
+    from valuora.operators.profile import column_profile
+    prof = column_profile(run_single(spark, sf).growth, PROFILE_COLS)
+    return r6(prof, "missing_pct", "mean", "std", "p25", "p50", "p75")
+
+
+# ---------------------------------------------------------------- multi-market
+
+def run_multi(spark, sf):
+    return MM.multi_market(model(spark, sf), O.EXCLUDED_MARKETS)
+
+
+@query("market_exclusion", "SELECT market_id FROM mm_markets")
+def q_market_exclusion(spark, sf):
+    return MM.kept_markets(model(spark, sf).markets, O.EXCLUDED_MARKETS)
+
+
+@query("company_industry", "SELECT * FROM company_industry")
+def q_company_industry(spark, sf):
+    m = model(spark, sf)
+    return MM.companies_with_industry(m.companies, m.industries)
+
+
+MULTI_UNION_MARKETS = ("AMERICA", "ASIA", "EUROPE")
+
+
+@query("multi_market_union", """
+SELECT ticker, simfin_id, company_name, industry_id, 'AMERICA' AS market FROM companies WHERE market = 'AMERICA'
+UNION ALL
+SELECT ticker, simfin_id, company_name, industry_id, 'ASIA' FROM companies WHERE market = 'ASIA'
+UNION ALL
+SELECT ticker, simfin_id, company_name, NULL::INTEGER, 'EUROPE' FROM companies WHERE market = 'EUROPE'""")
+def q_multi_market_union(spark, sf):
+    comp = model(spark, sf).companies.drop("market")
+    frames = {}
+    for mk in MULTI_UNION_MARKETS:
+        f = comp.join(model(spark, sf).ticker_market.where(F.col("market") == mk), "ticker", "left_semi")
+        frames[mk] = f.drop("industry_id") if mk == "EUROPE" else f
+    return MM.union_markets(frames)
+
+
+@query("multi_market_prices", "SELECT * FROM mm_price")
+def q_multi_market_prices(spark, sf):
+    m = model(spark, sf)
+    return MM.tag_market(m.price, m.ticker_market, MM.kept_markets(m.markets, O.EXCLUDED_MARKETS))
+
+
+@query("mutual_semi", "SELECT * FROM mm_fundamental_raw")
+def q_mutual_semi(spark, sf):
+    return MM.multi_market_inputs(model(spark, sf), O.EXCLUDED_MARKETS)["fundamental_raw"]
+
+
+@query("annual_price_min", "SELECT * FROM mm_annual_min")
+def q_annual_price_min(spark, sf):
+    return run_multi(spark, sf)["annual_price"]
+
+
+@query("multi_market_growth", f"""
+SELECT * REPLACE ({O.r6('eps_future')} AS eps_future) FROM mm_growth""")
+def q_multi_market_growth(spark, sf):
+    return r6(run_multi(spark, sf)["growth"], "eps_future")
+
+
+@query("dashboard_view", """
+SELECT market, sector, industry, company_name, ticker, mos, last_low_price, diff_price_mos,
+       diff_price_mos_percentage, mos_reached, out_off_bounds_value FROM mm_growth""")
+def q_dashboard_view(spark, sf):
+    return MM.dashboard_view(run_multi(spark, sf)["growth"])
+
+
+def _dash(spark, sf):
+    return MM.dashboard_view(run_multi(spark, sf)["growth"])
+
+
+@query("filter_categorical", """
+SELECT * FROM (SELECT market, sector, industry, company_name, ticker, mos, last_low_price,
+  diff_price_mos, diff_price_mos_percentage, mos_reached, out_off_bounds_value FROM mm_growth) d
+WHERE market IN ('AMERICA', 'ASIA') AND mos_reached IN (true)""")
+def q_filter_categorical(spark, sf):
+    return FL.apply_filters(_dash(spark, sf), [("market", "categorical", ["AMERICA", "ASIA"]),
+                                                ("mos_reached", "categorical", [True])])
+
+
+@query("filter_numeric_range", """
+SELECT * FROM (SELECT market, sector, industry, company_name, ticker, mos, last_low_price,
+  diff_price_mos, diff_price_mos_percentage, mos_reached, out_off_bounds_value FROM mm_growth) d
+WHERE mos BETWEEN 1.0 AND 100000.0""")
+def q_filter_numeric_range(spark, sf):
+    return FL.apply_filters(_dash(spark, sf), [("mos", "numeric", (1.0, 100000.0))])
+
+
+@query("filter_date_range", """
+SELECT * FROM fundamental_raw WHERE report_date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'""")
+def q_filter_date_range(spark, sf):
+    import datetime as dt
+    m = model(spark, sf)
+    fund = FU.combine_statements(m.income, m.cashflow, m.balance)
+    return FL.apply_filters(fund, [("report_date", "date", (dt.date(1996, 1, 1), dt.date(1998, 12, 31)))])
+
+
+@query("filter_text_regex", """
+SELECT * FROM company_info WHERE regexp_matches(company_name, '#0000001[0-9]7')""")
+def q_filter_text_regex(spark, sf):
+    return FL.apply_filters(model(spark, sf).company_info,
+                            [("company_name", "text", "#0000001[0-9]7")])
+
+
+@query("dq_stage_shapes", """
+SELECT 'fundamental_merged' AS stage, count(*) AS n_rows, count(DISTINCT ticker) AS n_tickers
+  FROM mm_fundamental_raw
+UNION ALL SELECT 'after_annual_pe', count(*), count(DISTINCT ticker) FROM mm_fundamental
+UNION ALL SELECT 'after_growth_rates', count(*), count(DISTINCT ticker) FROM mm_growth_mean
+UNION ALL SELECT 'after_latest_price', count(*), count(DISTINCT ticker) FROM mm_growth""")
+def q_dq_stage_shapes(spark, sf):
+    m = model(spark, sf)
+    inp = MM.multi_market_inputs(m, O.EXCLUDED_MARKETS)
+    res = run_multi(spark, sf)
+    return Q.stage_shapes({"fundamental_merged": inp["fundamental_raw"],
+                           "after_annual_pe": res["fundamental"],
+                           "after_growth_rates": G.growth_rates(res["fundamental"]),
+                           "after_latest_price": res["growth"]})
+
+
+# ---------------------------------------------------------------- daily refresh
+
+@query("daily_refresh", """
+SELECT ticker, date AS last_date, low AS last_low_price, price_future, sticker_price, mos
+FROM (SELECT d.ticker, d.date, d.low, g.price_future, g.sticker_price, g.mos,
+             rank() OVER (PARTITION BY d.ticker ORDER BY d.date DESC) AS rk
+      FROM daily_drop d JOIN (SELECT * FROM growth WHERE mos IS NOT NULL) g ON d.ticker = g.ticker) x
+WHERE rk = 1 AND low <= mos""")
+def q_daily_refresh(spark, sf):
+    r = run_single(spark, sf)
+    return PL.daily_refresh(model(spark, sf).daily_drop, r.growth)
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
