@@ -65,11 +65,29 @@ def latest_rows(df: DataFrame, key: str = "ticker", order: str = "date") -> Data
     return df.withColumn("_rk", F.rank().over(w)).where(F.col("_rk") == 1).drop("_rk")
 
 
-def latest_price(price: DataFrame) -> DataFrame:
+def latest_dates(price: DataFrame) -> DataFrame:
+    """(ticker, last_date): hash aggregation with a map-side partial max, so a
+    ticker holding a third of the rows is reduced to one row per task before
+    the shuffle. Its tickers are also the set of priced tickers."""
+    return price.groupBy("ticker").agg(F.max("date").alias("last_date"))
+
+
+def at_dates(price: DataFrame, dates: DataFrame) -> DataFrame:
+    """Price rows on each ticker's ``last_date`` (all rows of a tie), as an equi-join
+    on (ticker, date). ``dates`` has one row per ticker, so AQE turns this into a
+    broadcast hash join that streams the price table without a shuffle; with a
+    date-partitioned price table dynamic partition pruning reads only the
+    partitions of the latest dates."""
+    px = price.select("ticker", "date", "low")
+    return (px.join(dates, (px.ticker == dates.ticker) & (px.date == dates.last_date), "inner")
+              .drop(dates.ticker)
+              .select("ticker", "last_date", F.col("low").alias("last_low_price"),
+                      *[c for c in dates.columns if c not in ("ticker", "last_date")]))
+
+
+def latest_price(price: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """Low price on each ticker's latest date; several rows on that date are all kept."""
-    return (latest_rows(price.select("ticker", "date", "low"))
-            .select("ticker", F.col("date").alias("last_date"),
-                    F.col("low").alias("last_low_price")))
+    return at_dates(price, latest_dates(price) if dates is None else dates)
 
 
 def price_stats(price: DataFrame) -> DataFrame:

@@ -5,26 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuora.operators.prices import latest_rows
+from valuora.operators.prices import at_dates, latest_dates
 from valuora.schemas import SCREENER_COLUMNS
 
 VALUATION_COLUMNS = ["ticker", "price_future", "sticker_price", "mos"]
 
 
-def screener(price: DataFrame, growth: DataFrame) -> DataFrame:
+def screener(price: DataFrame, growth: DataFrame,
+             dates: DataFrame | None = None) -> DataFrame:
     """Tickers whose latest low price is <= mos; ties on the latest date are all kept.
 
-    Only valued tickers (mos present) can pass, so prices are joined to them
-    first: with a small growth side the join is a broadcast hash join (chosen
-    by size at planning or at runtime by AQE) that streams the price table
-    without a shuffle and drops every other ticker before the latest-date
-    window. The final ``na.drop`` also removes NaN, as in the reference.
+    ``dates`` (ticker, last_date) may be passed when the caller already
+    aggregated it. Only valued tickers (mos present) can pass, so the
+    per-ticker dates are narrowed to them before the join back to the price
+    rows. The final ``na.drop`` also removes NaN, as in the reference.
     """
     valued = growth.select(*VALUATION_COLUMNS).where(F.col("mos").isNotNull())
-    px = price.select("ticker", "date", "low").join(valued, "ticker", "inner")
-    out = (latest_rows(px)
-           .withColumnRenamed("date", "last_date")
-           .withColumnRenamed("low", "last_low_price")
+    if dates is None:
+        dates = latest_dates(price.join(valued.select("ticker"), "ticker", "left_semi"))
+    out = (at_dates(price, dates.join(valued, "ticker", "inner"))
            .where(F.col("last_low_price") <= F.col("mos"))
            .select(*SCREENER_COLUMNS))
     return out.na.drop()

@@ -13,6 +13,7 @@ from valuora.operators import growth as G
 from valuora.operators import prices as P
 from valuora.operators import screen as S
 from valuora.operators import valuation as V
+from valuora.session import cut_lineage
 
 
 @dataclass
@@ -27,11 +28,15 @@ class SingleMarketResult:
 
 def fundamentals_for(model, period: tuple[int | None, int | None],
                      symbols: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(company_info, KPI fundamentals) of the single-market run, before price narrowing."""
+    """(company_info, KPI fundamentals) of the single-market run, before price narrowing.
+
+    The company-symbol narrowing is one semi join on the merged statements
+    (the inner joins already keep only tickers present in all three).
+    """
     company = C.company_info_for(model.company_info, symbols)
-    tickers = company.select("ticker")
-    fund = FU.combine_statements(model.income, model.cashflow, model.balance, symbols=tickers)
+    fund = FU.combine_statements(model.income, model.cashflow, model.balance)
     fund = P.period_filter(fund, period[0], period[1])
+    fund = FU.restrict(fund, company.select("ticker"))
     return company, FU.add_kpis(fund)
 
 
@@ -45,12 +50,15 @@ def single_market(model, period: tuple[int | None, int | None], fp: int = V.DEFA
     priced tickers. Nothing is collected.
     """
     company, fund = fundamentals_for(model, period, symbols)
+    # small, reused by every later step: computed once, lineage cut
+    fund = cut_lineage(fund)
     price = FU.restrict(model.price, fund.select("ticker"))
-    fund = FU.restrict(fund, P.distinct_tickers(price))
+    dates = P.latest_dates(price)                 # also the set of priced tickers
+    fund = FU.restrict(fund, dates.select("ticker"))
     annual = P.annual_price(price, period[0], period[1], how="mean")
     fund = FU.add_annual_pe(fund, annual)
     growth = V.sticker_price(G.growth_rates(fund, agg_func), fp, exp_rr)
-    screen = S.screener(price, growth)
+    screen = S.screener(price, growth, dates)
     company_out = C.company_with_peers(company, model.peers) if hasattr(model, "peers") else company
     return SingleMarketResult(company_out, price, annual, fund, growth, screen)
 
@@ -71,3 +79,30 @@ def staging_symbols(model) -> DataFrame:
     company = C.company_info_for(model.company_info, universe)
     stmt = FU.common_tickers(model.income, model.cashflow, model.balance)
     return company.select("ticker").join(stmt, "ticker", "left_semi").distinct()
+
+
+def run_and_store(model, out_dir: str, period: tuple[int | None, int | None],
+                  fp: int = V.DEFAULT_FP, exp_rr: float = V.DEFAULT_EXP_RR,
+                  symbols: DataFrame | None = None, agg_func: str = "mean",
+                  compression: str = "gzip") -> dict[str, str]:
+    """The processing job with its four result tables written to ``out_dir``.
+
+    Each result is written and read back before the next step uses it, so the
+    written table (on the shared file system) cuts the lineage: losing an
+    executor later re-runs only the current step, never the whole chain.
+    Returns the table paths.
+    """
+    from valuora import sinks
+
+    spark = model.spark
+    r = single_market(model, period, fp, exp_rr, symbols, agg_func)
+    paths = {n: f"{out_dir.rstrip('/')}/{n}" for n in
+             ("company_info", "fundamental", "growth", "screener")}
+    sinks.write_table(r.company_info, paths["company_info"], compression)
+    sinks.write_table(r.fundamental, paths["fundamental"], compression)
+    fund = spark.read.parquet(paths["fundamental"])
+    growth = V.sticker_price(G.growth_rates(fund, agg_func), fp, exp_rr)
+    sinks.write_table(growth, paths["growth"], compression)
+    growth = spark.read.parquet(paths["growth"])
+    sinks.write_table(S.screener(r.price, growth), paths["screener"], compression)
+    return paths

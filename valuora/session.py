@@ -46,11 +46,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     every executor reaches). Only when it is unset -- local tests -- a fresh
     scratch folder is taken.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        try:
+            path = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 - not readable as a session conf
+            path = None
     if not path:
         path = tempfile.mkdtemp(prefix="valuora-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
+
+
+def cut_lineage(df):
+    """Materialise ``df`` into the shared checkpoint folder and continue from there.
+
+    Used for small derived tables that several later steps reuse (the
+    fundamentals): their plan is computed once, and a lost executor re-reads
+    the checkpoint instead of replaying the statements. Reliable checkpoint
+    only (never executor-local storage).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
