@@ -9,7 +9,7 @@ of tickers. For price-scale columns pass ``exact=False`` (``percentile_approx``)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_PERCENTILES = (0.25, 0.5, 0.75)
@@ -77,8 +77,12 @@ def column_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
         (F.col("n_missing") * 100.0 / F.col("n")).alias("missing_pct"),
         "n_distinct", "n_zeros", "min", "max", "mean", "std",
         F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"))
-    w = Window.partitionBy("column_name").orderBy(F.col("freq").desc(), F.col("value"))
-    top = (long.where(v.isNotNull()).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("freq"))
-           .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-           .select("column_name", F.col("value").alias("top_value"), F.col("freq").alias("top_freq")))
+    # most frequent value: a second hash aggregation picks, per column, the
+    # (freq, -value) maximum -- no window, so no column's values meet in one sort
+    freq = (long.where(v.isNotNull()).groupBy("column_name", "value")
+            .agg(F.count(F.lit(1)).alias("freq")))
+    top = freq.groupBy("column_name").agg(
+        F.max_by(F.struct("value", "freq"), F.struct(F.col("freq"), -F.col("value"))).alias("t"))
+    top = top.select("column_name", F.col("t.value").alias("top_value"),
+                     F.col("t.freq").alias("top_freq"))
     return stats.join(top, "column_name", "left")
