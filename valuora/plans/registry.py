@@ -643,12 +643,19 @@ def q_filter_numeric_range(spark, sf):
 
 
 @query("filter_date_range", """
-SELECT * FROM fundamental_raw WHERE report_date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'""")
+SELECT * REPLACE (try_cast(CAST(report_date AS VARCHAR) AS TIMESTAMP) AS report_date)
+FROM fundamental_raw
+WHERE try_cast(CAST(report_date AS VARCHAR) AS TIMESTAMP)
+      BETWEEN TIMESTAMP '1996-01-01 00:00:00' AND TIMESTAMP '1998-12-31 00:00:00'""")
 def q_filter_date_range(spark, sf):
     import datetime as dt
     m = model(spark, sf)
     fund = FU.combine_statements(m.income, m.cashflow, m.balance)
-    return FL.apply_filters(fund, [("report_date", "date", (dt.date(1996, 1, 1), dt.date(1998, 12, 31)))])
+    # the dashboard sees text: coerce it to timezone-free timestamps first
+    fund = FL.coerce_datetimes(fund.withColumn("report_date", F.col("report_date").cast("string")),
+                               ["report_date"])
+    return FL.apply_filters(fund, [("report_date", "date",
+                                    (dt.datetime(1996, 1, 1), dt.datetime(1998, 12, 31)))])
 
 
 @query("filter_text_regex", """
