@@ -11,12 +11,18 @@ from valuora.functions.num import ieee_div, null_if_zero
 from valuora.schemas import STATEMENT_KEYS
 
 
-def restrict(df: DataFrame, symbols: DataFrame | None, col: str = "ticker") -> DataFrame:
-    """Keep rows whose ``col`` is in the one-column ``symbols`` frame (left semi join)."""
+def restrict(df: DataFrame, symbols: DataFrame | None, col: str = "ticker",
+             broadcast: bool = False) -> DataFrame:
+    """Keep rows whose ``col`` is in the one-column ``symbols`` frame (left semi join).
+
+    ``broadcast=True`` only after a size check of ``symbols`` (see
+    ``session.fits_broadcast``): the big side then streams through a hash
+    lookup without being shuffled.
+    """
     if symbols is None:
         return df
     s = symbols.select(F.col(symbols.columns[0]).alias(col))
-    return df.join(s, col, "left_semi")
+    return df.join(F.broadcast(s) if broadcast else s, col, "left_semi")
 
 
 def common_tickers(*dfs: DataFrame, col: str = "ticker") -> DataFrame:

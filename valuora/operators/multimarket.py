@@ -18,7 +18,7 @@ from valuora.operators import fundamentals as FU
 from valuora.operators import growth as G
 from valuora.operators import prices as P
 from valuora.operators import valuation as V
-from valuora.session import cut_lineage
+from valuora.session import cut_lineage, fits_broadcast
 
 DEFAULT_EXCLUDED = ("it", "ca")
 OUT_OF_BOUNDS_PCT = 3500
@@ -81,12 +81,14 @@ def multi_market_inputs(model, excluded=DEFAULT_EXCLUDED) -> dict[str, DataFrame
     inc = tag_market(model.income, tm, markets)
     cf = tag_market(model.cashflow, tm, markets)
     bal = tag_market(model.balance, tm, markets)
-    fund = cut_lineage(FU.combine_statements(inc, cf, bal))
+    fund = cut_lineage(FU.combine_statements(inc, cf, bal), "mm_fundamental")
+    tickers = fund.select("ticker").distinct()
+    bcast = fits_broadcast(tickers)
     price = tag_market(model.price, tm, markets)
     # mutual restriction: prices of statement tickers; statements of priced tickers,
     # the priced set coming from the per-ticker latest dates (one aggregation reused
     # for the latest price)
-    price = FU.restrict(price, fund.select("ticker"))
+    price = FU.restrict(price, tickers, broadcast=bcast)
     dates = P.latest_dates(price)
     fund = FU.restrict(fund, dates.select("ticker"))
     companies = companies_with_industry(
@@ -94,7 +96,7 @@ def multi_market_inputs(model, excluded=DEFAULT_EXCLUDED) -> dict[str, DataFrame
                              "left_semi"),
         model.industries)
     return {"markets": markets, "fundamental_raw": fund, "price": price, "companies": companies,
-            "dates": dates}
+            "dates": dates, "broadcast": bcast}
 
 
 def multi_market(model, excluded=DEFAULT_EXCLUDED, fp: int = V.DEFAULT_FP,
@@ -105,7 +107,7 @@ def multi_market(model, excluded=DEFAULT_EXCLUDED, fp: int = V.DEFAULT_FP,
     annual = P.annual_price(price, how="min")
     fund = FU.add_annual_pe(FU.add_kpis(inp["fundamental_raw"]), annual)
     growth = V.sticker_price(G.growth_rates(fund, agg_func), fp, exp_rr)
-    growth = price_flags(growth, P.latest_price(price, inp["dates"]))
+    growth = price_flags(growth, P.latest_price(price, inp["dates"], inp["broadcast"]))
     growth = growth.join(inp["companies"], "ticker", "left")
     return {"fundamental": fund, "annual_price": annual, "growth": growth, "price": price,
             "companies": inp["companies"], "markets": inp["markets"]}

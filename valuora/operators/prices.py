@@ -72,22 +72,24 @@ def latest_dates(price: DataFrame) -> DataFrame:
     return price.groupBy("ticker").agg(F.max("date").alias("last_date"))
 
 
-def at_dates(price: DataFrame, dates: DataFrame) -> DataFrame:
+def at_dates(price: DataFrame, dates: DataFrame, broadcast: bool = False) -> DataFrame:
     """Price rows on each ticker's ``last_date`` (all rows of a tie), as an equi-join
     on (ticker, date). ``dates`` has one row per ticker, so AQE turns this into a
     broadcast hash join that streams the price table without a shuffle; with a
     date-partitioned price table dynamic partition pruning reads only the
     partitions of the latest dates."""
     px = price.select("ticker", "date", "low")
-    return (px.join(dates, (px.ticker == dates.ticker) & (px.date == dates.last_date), "inner")
+    side = F.broadcast(dates) if broadcast else dates
+    return (px.join(side, (px.ticker == dates.ticker) & (px.date == dates.last_date), "inner")
               .drop(dates.ticker)
               .select("ticker", "last_date", F.col("low").alias("last_low_price"),
                       *[c for c in dates.columns if c not in ("ticker", "last_date")]))
 
 
-def latest_price(price: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+def latest_price(price: DataFrame, dates: DataFrame | None = None,
+                 broadcast: bool = False) -> DataFrame:
     """Low price on each ticker's latest date; several rows on that date are all kept."""
-    return at_dates(price, latest_dates(price) if dates is None else dates)
+    return at_dates(price, latest_dates(price) if dates is None else dates, broadcast)
 
 
 def price_stats(price: DataFrame) -> DataFrame:

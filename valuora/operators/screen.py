@@ -12,18 +12,20 @@ VALUATION_COLUMNS = ["ticker", "price_future", "sticker_price", "mos"]
 
 
 def screener(price: DataFrame, growth: DataFrame,
-             dates: DataFrame | None = None) -> DataFrame:
+             dates: DataFrame | None = None, broadcast: bool = False) -> DataFrame:
     """Tickers whose latest low price is <= mos; ties on the latest date are all kept.
 
     ``dates`` (ticker, last_date) may be passed when the caller already
     aggregated it. Only valued tickers (mos present) can pass, so the
     per-ticker dates are narrowed to them before the join back to the price
-    rows. The final ``na.drop`` also removes NaN, as in the reference.
+    rows. ``broadcast=True`` (after a size check of the ticker set, which
+    bounds this one-row-per-ticker side) makes that join a broadcast hash
+    join. The final ``na.drop`` also removes NaN, as in the reference.
     """
     valued = growth.select(*VALUATION_COLUMNS).where(F.col("mos").isNotNull())
     if dates is None:
         dates = latest_dates(price.join(valued.select("ticker"), "ticker", "left_semi"))
-    out = (at_dates(price, dates.join(valued, "ticker", "inner"))
+    out = (at_dates(price, dates.join(valued, "ticker", "inner"), broadcast)
            .where(F.col("last_low_price") <= F.col("mos"))
            .select(*SCREENER_COLUMNS))
     return out.na.drop()

@@ -13,7 +13,7 @@ from valuora.operators import growth as G
 from valuora.operators import prices as P
 from valuora.operators import screen as S
 from valuora.operators import valuation as V
-from valuora.session import cut_lineage
+from valuora.session import cut_lineage, fits_broadcast
 
 
 @dataclass
@@ -51,14 +51,17 @@ def single_market(model, period: tuple[int | None, int | None], fp: int = V.DEFA
     """
     company, fund = fundamentals_for(model, period, symbols)
     # small, reused by every later step: computed once, lineage cut
-    fund = cut_lineage(fund)
-    price = FU.restrict(model.price, fund.select("ticker"))
+    fund = cut_lineage(fund, "fundamental")
+    tickers = fund.select("ticker").distinct()
+    # one count on the written table bounds every per-ticker side downstream
+    bcast = fits_broadcast(tickers)
+    price = FU.restrict(model.price, tickers, broadcast=bcast)
     dates = P.latest_dates(price)                 # also the set of priced tickers
     fund = FU.restrict(fund, dates.select("ticker"))
     annual = P.annual_price(price, period[0], period[1], how="mean")
     fund = FU.add_annual_pe(fund, annual)
     growth = V.sticker_price(G.growth_rates(fund, agg_func), fp, exp_rr)
-    screen = S.screener(price, growth, dates)
+    screen = S.screener(price, growth, dates, broadcast=bcast)
     company_out = C.company_with_peers(company, model.peers) if hasattr(model, "peers") else company
     return SingleMarketResult(company_out, price, annual, fund, growth, screen)
 
@@ -104,5 +107,6 @@ def run_and_store(model, out_dir: str, period: tuple[int | None, int | None],
     growth = V.sticker_price(G.growth_rates(fund, agg_func), fp, exp_rr)
     sinks.write_table(growth, paths["growth"], compression)
     growth = spark.read.parquet(paths["growth"])
-    sinks.write_table(S.screener(r.price, growth), paths["screener"], compression)
+    sinks.write_table(S.screener(r.price, growth, broadcast=fits_broadcast(growth)),
+                      paths["screener"], compression)
     return paths

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -63,13 +64,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
-def cut_lineage(df):
-    """Materialise ``df`` into the shared checkpoint folder and continue from there.
+def cut_lineage(df, name: str = "table"):
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
     Used for small derived tables that several later steps reuse (the
-    fundamentals): their plan is computed once, and a lost executor re-reads
-    the checkpoint instead of replaying the statements. Reliable checkpoint
-    only (never executor-local storage).
+    fundamentals): their plan runs once, a lost executor re-reads the files
+    instead of replaying the statements, and -- unlike an RDD checkpoint -- the
+    read-back table has file-size statistics, column pruning and filter
+    pushdown for the planner.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/valuora-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+# Largest number of rows of a per-ticker side that is broadcast explicitly.
+# ~60 bytes a row: 5M rows is a few hundred MB per executor at most.
+BROADCAST_MAX_ROWS = 5_000_000
+
+
+def fits_broadcast(df, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """Size check before an explicit broadcast: one count of a materialised table.
+
+    Beyond the bound the caller keeps the shuffle join (and AQE may still
+    convert it at runtime from measured sizes).
+    """
+    return df.count() <= max_rows
