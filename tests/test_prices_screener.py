@@ -44,9 +44,12 @@ def test_latest_price_keeps_ties(spark):
     assert got == [("A", "2021-06-04", 4.0), ("A", "2021-06-04", 4.5), ("B", "2021-06-01", 9.0)]
 
 
-def test_latest_price_plans_partial_window_group_limit(spark):
+def test_latest_price_is_aggregate_and_join_back(spark):
     px = price(spark, [(d("2021-06-03"), "A", 3.0)])
     plan = P.latest_price(px)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Window" not in plan
+    # the window form (used on small batches) plans a partial group limit
+    plan = P.latest_rows(px)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
 
 
