@@ -48,11 +48,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     every executor reaches). Only when it is unset -- local tests -- a fresh
     scratch folder is taken.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    path = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote session has no local SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    path = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     if not path:
         try:
             path = spark.conf.get("spark.checkpoint.dir", None)
@@ -60,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             path = None
     if not path:
         path = tempfile.mkdtemp(prefix="valuora-ckpt-")
+    if sc is None:
+        return path
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
