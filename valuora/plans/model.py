@@ -60,6 +60,8 @@ class TestdataModel:
     is spread over many files instead of landing in one.
     """
 
+    __test__ = False  # not a pytest test class despite the name
+
     def __init__(self, spark: SparkSession, sf_dir: str, stage: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
