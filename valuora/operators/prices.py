@@ -75,9 +75,11 @@ def latest_dates(price: DataFrame) -> DataFrame:
 def at_dates(price: DataFrame, dates: DataFrame, broadcast: bool = False) -> DataFrame:
     """Price rows on each ticker's ``last_date`` (all rows of a tie), as an equi-join
     on (ticker, date). ``dates`` has one row per ticker, so AQE turns this into a
-    broadcast hash join that streams the price table without a shuffle; with a
-    date-partitioned price table dynamic partition pruning reads only the
-    partitions of the latest dates."""
+    broadcast hash join that streams the price table without a shuffle. On a
+    date-partitioned price table (``sinks.write_price_table``) Spark adds a
+    dynamic partition pruning filter when the ``dates`` side carries a
+    selective filter (as in the screener, through the growth table), so only
+    the latest dates' partitions are read."""
     px = price.select("ticker", "date", "low")
     side = F.broadcast(dates) if broadcast else dates
     return (px.join(side, (px.ticker == dates.ticker) & (px.date == dates.last_date), "inner")

@@ -45,12 +45,6 @@ def describe(df: DataFrame, col: str, percentiles=DEFAULT_PERCENTILES,
     return row.select(F.explode(arr).alias("s")).select("s.pos", "s.stat", "s.value")
 
 
-def to_long(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Unpivot numeric columns to (column_name, value double)."""
-    return df.unpivot([], [F.col(c).cast("double").alias(c) for c in cols],
-                      "column_name", "value") if cols else df
-
-
 def numeric_columns(df: DataFrame) -> list[str]:
     """Columns of a numeric type (schema scan, no data read)."""
     num = ("int", "bigint", "smallint", "tinyint", "double", "float")

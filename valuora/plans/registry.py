@@ -87,13 +87,6 @@ def q_latest_price(spark, sf):
 
 # ---------------------------------------------------------------- fundamentals
 
-FUND_RAW_COLS = ["ticker", "simfin_id", "currency", "fiscal_year", "fiscal_period_is",
-                 "report_date_is", "shares_basic_is", "revenue", "net_income",
-                 "fiscal_period_cf", "report_date_cf", "shares_basic_cf", "net_cash_ops",
-                 "net_cash_inv", "dividends_paid", "fiscal_period", "report_date",
-                 "shares_basic", "total_equity", "total_liab_equity"]
-
-
 @query("fundamentals_combine", "SELECT * FROM fundamental_raw")
 def q_fundamentals_combine(spark, sf):
     m = model(spark, sf)

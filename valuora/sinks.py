@@ -62,6 +62,22 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_price_table(price: DataFrame, path: str, n_partitions: int | None = None) -> None:
+    """The price table layout for scale: one folder per trading ``date``, rows
+    clustered by ticker inside.
+
+    ``month(date) = 12`` (annual price) is then a partition filter, and the
+    join back on (ticker, date = last_date) gets dynamic partition pruning:
+    only the folders of the latest dates are read. The write is range
+    partitioned on (date, ticker), so a day holding a third of all rows is
+    still split over several tasks and files.
+    """
+    df = (price.repartitionByRange(n_partitions, "date", "ticker") if n_partitions
+          else price.repartitionByRange("date", "ticker"))
+    (df.sortWithinPartitions("date", "ticker")
+       .write.mode("overwrite").partitionBy("date").parquet(path))
+
+
 def write_per_symbol_csv(price: DataFrame, path: str) -> None:
     """One folder of CSV files per symbol (``Ticker=<sym>/``), the staged-file layout.
 

@@ -24,10 +24,9 @@ def read_prices_csv(spark: SparkSession, path: str) -> DataFrame:
     return _normalise(df, SC.PRICE_RENAMES)
 
 
-def read_prices(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Price table written by ``write_prices`` (Parquet partitioned by ticker bucket)."""
-    return spark.read.schema(SC.PRICE).format(fmt).load(path) if fmt != "parquet" \
-        else spark.read.parquet(path)
+def read_price_table(spark: SparkSession, path: str) -> DataFrame:
+    """Price table written by ``sinks.write_price_table`` (Parquet, one folder per date)."""
+    return spark.read.parquet(path).select(*SC.PRICE.fieldNames())
 
 
 def ingest_price_files(spark: SparkSession, path: str) -> DataFrame:
