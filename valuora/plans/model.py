@@ -150,3 +150,88 @@ class TestdataModel:
     @cached_property
     def daily_drop(self) -> DataFrame:
         return self._staged("daily_drop", lambda: A.daily_drop(self.spark, self.sf_dir))
+
+
+class FileModel:
+    """Model tables read from files in the reference's layout.
+
+    ``paths`` maps table names (price, income, cashflow, balance, company_info,
+    peers, symbol_directory, companies, industries, markets, ticker_market) to
+    files or folders. Statement and price columns may carry the vendor display
+    names ('Net Income', 'Shares (Basic)', 'Adj Close', ...); they are mapped
+    to the model's snake_case names on read.
+    """
+
+    __test__ = False
+
+    def __init__(self, spark: SparkSession, paths: dict[str, str]):
+        self.spark = spark
+        self.paths = dict(paths)
+
+    def _read(self, name: str) -> DataFrame:
+        from valuora.sinks import DISPLAY_NAMES
+        from valuora.schemas import snake
+        path = self.paths[name]
+        if path.endswith(".csv") or path.endswith(".txt") or os.path.isdir(path) and any(
+                f.endswith(".csv") for f in os.listdir(path)):
+            df = self.spark.read.option("header", True).option("inferSchema", False).csv(path)
+        else:
+            df = self.spark.read.parquet(path)
+        back = {v: k for k, v in DISPLAY_NAMES.items()}
+        return df.select(*[F.col(f"`{c}`").alias(back.get(c, snake(c))) for c in df.columns])
+
+    def _has(self, name: str) -> bool:
+        return name in self.paths
+
+    @cached_property
+    def price(self) -> DataFrame:
+        from valuora.sources.files import read_prices_csv
+        p = self.paths["price"]
+        if p.endswith(".csv") or os.path.isdir(p) and any(f.endswith(".csv") for f in os.listdir(p)):
+            return read_prices_csv(self.spark, p)
+        return self._read("price")
+
+    @cached_property
+    def income(self) -> DataFrame:
+        return self._read("income")
+
+    @cached_property
+    def cashflow(self) -> DataFrame:
+        return self._read("cashflow")
+
+    @cached_property
+    def balance(self) -> DataFrame:
+        return self._read("balance")
+
+    @cached_property
+    def company_info(self) -> DataFrame:
+        from valuora.sources.files import read_company_info
+        p = self.paths["company_info"]
+        return read_company_info(self.spark, p) if p.endswith(".csv") else self._read("company_info")
+
+    @cached_property
+    def peers(self) -> DataFrame:
+        return self._read("peers").select("ticker", "peer_string")
+
+    @cached_property
+    def symbol_directory(self) -> DataFrame:
+        from valuora.sources.files import read_symbol_directory
+        return read_symbol_directory(self.spark, self.paths["symbol_directory"])
+
+    @cached_property
+    def companies(self) -> DataFrame:
+        return self._read("companies")
+
+    @cached_property
+    def industries(self) -> DataFrame:
+        return self._read("industries")
+
+    @cached_property
+    def markets(self) -> DataFrame:
+        return self._read("markets")
+
+    @cached_property
+    def ticker_market(self) -> DataFrame:
+        if self._has("ticker_market"):
+            return self._read("ticker_market")
+        return self.companies.select("ticker", "market").distinct()
