@@ -36,6 +36,11 @@ def r6(x: str) -> str:
     return f"(round_even(({x}) * 1000000, 0) / 1000000)"
 
 
+def sig12(x: str) -> str:
+    """12 significant digits, printed and parsed back (matches the Spark report)."""
+    return f"(CASE WHEN {x} IS NOT NULL THEN CAST(printf('%.12g', {x}) AS DOUBLE) END)"
+
+
 def ci(x: str) -> str:
     """+/-inf and NaN -> NULL."""
     return f"(CASE WHEN abs({x}) = 'inf'::DOUBLE OR isnan({x}) THEN NULL ELSE {x} END)"

@@ -3,8 +3,9 @@
 Every query reads the driver's tables (through the adapters) and returns a lazy
 DataFrame. Computed columns carry the same alias in Spark and SQL. Doubles that
 come out of an order-dependent floating aggregate (averages of prices, ratios
-built on them) are reported rounded to 6 dp in both engines, so both sides hash
-the same value; everything else is reported as computed.
+built on them) are reported rounded to 6 dp in both engines, and statistics or
+``pow`` results of any magnitude at 12 significant digits, so both sides hash
+the same value; everything else is reported exactly as computed.
 """
 
 from __future__ import annotations
@@ -46,6 +47,17 @@ def r6(df: DataFrame, *cols: str) -> DataFrame:
     return df
 
 
+def sig12(df: DataFrame, *cols: str) -> DataFrame:
+    """Report a double at 12 significant digits (any magnitude): values that
+    differ only in the last bit -- e.g. ``pow`` of the JVM vs the C library --
+    print and parse back to the same double."""
+    for c in cols:
+        x = F.col(c)
+        df = df.withColumn(c, F.when(x.isNotNull(),
+                                     F.format_string("%.12g", x).cast("double")))
+    return df
+
+
 def model(spark: SparkSession, sf_dir: str) -> TestdataModel:
     return TestdataModel(spark, sf_dir)
 
@@ -153,9 +165,9 @@ def q_growth_rates_median(spark, sf):
 
 
 @query("sticker_price", f"""
-SELECT * REPLACE ({O.r6('eps_future')} AS eps_future) FROM growth""")
+SELECT * REPLACE ({O.sig12('eps_future')} AS eps_future) FROM growth""")
 def q_sticker_price(spark, sf):
-    return r6(run_single(spark, sf).growth, "eps_future")
+    return sig12(run_single(spark, sf).growth, "eps_future")
 
 
 # ---------------------------------------------------------------- screener
@@ -377,10 +389,10 @@ def q_ticker_history(spark, sf):
 
 
 @query("mos_outliers", f"""
-SELECT * REPLACE ({O.r6('eps_future')} AS eps_future) FROM growth
+SELECT * REPLACE ({O.sig12('eps_future')} AS eps_future) FROM growth
 WHERE mos <= 0.1 OR mos >= 10000000000.0""")
 def q_mos_outliers(spark, sf):
-    return r6(S.mos_outliers(run_single(spark, sf).growth), "eps_future")
+    return sig12(S.mos_outliers(run_single(spark, sf).growth), "eps_future")
 
 
 @query("preview_top", """
@@ -404,12 +416,12 @@ def q_verify_december_mean(spark, sf):
 # ---------------------------------------------------------------- enrichment
 
 @query("growth_enriched", f"""
-SELECT g.* REPLACE ({O.r6('g.eps_future')} AS eps_future), c.company_name, c.industry, c.sector,
+SELECT g.* REPLACE ({O.sig12('g.eps_future')} AS eps_future), c.company_name, c.industry, c.sector,
        c.market, c.market_cap
 FROM growth g LEFT JOIN company_info c ON g.ticker = c.ticker""")
 def q_growth_enriched(spark, sf):
     r = run_single(spark, sf)
-    return C.enrich(r6(r.growth, "eps_future"), model(spark, sf).company_info)
+    return C.enrich(sig12(r.growth, "eps_future"), model(spark, sf).company_info)
 
 
 @query("screener_enriched", """
@@ -508,7 +520,7 @@ def _describe_sql(src: str, col: str, pcts) -> str:
              ("std", f"stddev_samp({col})"), ("min", f"min({col})")]
     stats += [(pct_label(p), f"quantile_cont({col}, {p!r})") for p in sorted(set(pcts) | {0.5})]
     stats.append(("max", f"max({col})"))
-    parts = [f"SELECT {i} AS pos, '{n}' AS stat, {O.r6('CAST(' + e + ' AS DOUBLE)')} AS value FROM {src}"
+    parts = [f"SELECT {i} AS pos, '{n}' AS stat, {O.sig12('CAST(' + e + ' AS DOUBLE)')} AS value FROM {src}"
              for i, (n, e) in enumerate(stats)]
     return "\nUNION ALL\n".join(parts)
 
@@ -516,7 +528,7 @@ def _describe_sql(src: str, col: str, pcts) -> str:
 @query("describe_mos", _describe_sql("growth", "mos", DESCRIBE_PCTS))
 def q_describe_mos(spark, sf):
     from valuora.operators.profile import describe
-    return r6(describe(run_single(spark, sf).growth, "mos", DESCRIBE_PCTS), "value")
+    return sig12(describe(run_single(spark, sf).growth, "mos", DESCRIBE_PCTS), "value")
 
 
 PROFILE_COLS = ["revenue_gr_curr", "eps_curr", "roic_gr_5yr", "eps_gr_5yr", "bvps_gr_5yr",
@@ -527,9 +539,9 @@ def _profile_sql(src: str, cols) -> str:
     long = "(" + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM {src}" for c in cols) + ")"
     return f"""
-SELECT s.column_name, n, n_missing, {O.r6('n_missing * 100.0 / n')} AS missing_pct, n_distinct, n_zeros,
-       min, max, {O.r6('mean')} AS mean, {O.r6('std')} AS std,
-       {O.r6('p25')} AS p25, {O.r6('p50')} AS p50, {O.r6('p75')} AS p75, t.top_value, t.top_freq
+SELECT s.column_name, n, n_missing, {O.sig12('n_missing * 100.0 / n')} AS missing_pct, n_distinct, n_zeros,
+       min, max, {O.sig12('mean')} AS mean, {O.sig12('std')} AS std,
+       {O.sig12('p25')} AS p25, {O.sig12('p50')} AS p50, {O.sig12('p75')} AS p75, t.top_value, t.top_freq
 FROM (SELECT column_name, count(*) AS n, count(*) - count(value) AS n_missing,
              count(DISTINCT value) AS n_distinct, count(CASE WHEN value = 0 THEN 1 END) AS n_zeros,
              min(value) AS min, max(value) AS max, avg(value) AS mean, stddev_samp(value) AS std,
@@ -547,7 +559,7 @@ LEFT JOIN (SELECT column_name, value AS top_value, freq AS top_freq FROM (
 def q_column_profile(spark, sf):
     from valuora.operators.profile import column_profile
     prof = column_profile(run_single(spark, sf).growth, PROFILE_COLS)
-    return r6(prof, "missing_pct", "mean", "std", "p25", "p50", "p75")
+    return sig12(prof, "missing_pct", "mean", "std", "p25", "p50", "p75")
 
 
 # ---------------------------------------------------------------- multi-market
@@ -602,9 +614,9 @@ def q_annual_price_min(spark, sf):
 
 
 @query("multi_market_growth", f"""
-SELECT * REPLACE ({O.r6('eps_future')} AS eps_future) FROM mm_growth""")
+SELECT * REPLACE ({O.sig12('eps_future')} AS eps_future) FROM mm_growth""")
 def q_multi_market_growth(spark, sf):
-    return r6(run_multi(spark, sf)["growth"], "eps_future")
+    return sig12(run_multi(spark, sf)["growth"], "eps_future")
 
 
 @query("dashboard_view", """
