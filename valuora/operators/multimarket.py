@@ -29,15 +29,26 @@ def kept_markets(markets: DataFrame, excluded) -> DataFrame:
     return markets.select("market_id").distinct().where(~F.col("market_id").isin(list(excluded)))
 
 
-def tag_market(df: DataFrame, ticker_market: DataFrame, markets: DataFrame) -> DataFrame:
+def kept_ticker_market(ticker_market: DataFrame, markets: DataFrame) -> DataFrame:
+    """(ticker, market) of the kept markets."""
+    return ticker_market.join(markets.select(F.col("market_id").alias("market")), "market",
+                              "left_semi")
+
+
+def tag_market(df: DataFrame, ticker_market: DataFrame, markets: DataFrame,
+               broadcast: bool | None = None) -> DataFrame:
     """Attach the ``market`` of each ticker, keeping only kept markets.
 
     Equivalent to loading one source per market, adding ``lit(market)`` and
-    appending; here the market comes from the data in one scan.
+    appending; here the market comes from the data in one scan. The
+    (ticker, market) side has one row per listed ticker; it is broadcast after
+    a size check (``broadcast=None`` runs the check), so a large ``df`` is
+    streamed, not shuffled.
     """
-    tm = ticker_market.join(markets.select(F.col("market_id").alias("market")), "market",
-                            "left_semi")
-    return df.join(tm, "ticker", "inner")
+    tm = kept_ticker_market(ticker_market, markets)
+    if broadcast is None:
+        broadcast = fits_broadcast(tm)
+    return df.join(F.broadcast(tm) if broadcast else tm, "ticker", "inner")
 
 
 def union_markets(frames: dict[str, DataFrame]) -> DataFrame:
@@ -78,17 +89,18 @@ def price_flags(growth: DataFrame, latest: DataFrame,
 def multi_market_inputs(model, excluded=DEFAULT_EXCLUDED) -> dict[str, DataFrame]:
     markets = kept_markets(model.markets, excluded)
     tm = model.ticker_market
-    inc = tag_market(model.income, tm, markets)
-    cf = tag_market(model.cashflow, tm, markets)
-    bal = tag_market(model.balance, tm, markets)
+    tm_small = fits_broadcast(kept_ticker_market(tm, markets))
+    inc = tag_market(model.income, tm, markets, tm_small)
+    cf = tag_market(model.cashflow, tm, markets, tm_small)
+    bal = tag_market(model.balance, tm, markets, tm_small)
     fund = cut_lineage(FU.combine_statements(inc, cf, bal), "mm_fundamental")
     tickers = fund.select("ticker").distinct()
     bcast = fits_broadcast(tickers)
-    price = tag_market(model.price, tm, markets)
-    # mutual restriction: prices of statement tickers; statements of priced tickers,
-    # the priced set coming from the per-ticker latest dates (one aggregation reused
-    # for the latest price)
-    price = FU.restrict(price, tickers, broadcast=bcast)
+    # mutual restriction: prices of statement tickers (already limited to the kept
+    # markets, so prices need no market tag on this path); statements of priced
+    # tickers, the priced set coming from the per-ticker latest dates (one
+    # aggregation reused for the latest price)
+    price = FU.restrict(model.price, tickers, broadcast=bcast)
     dates = P.latest_dates(price)
     fund = FU.restrict(fund, dates.select("ticker"))
     companies = companies_with_industry(

@@ -89,9 +89,21 @@ def at_dates(price: DataFrame, dates: DataFrame, broadcast: bool = False) -> Dat
 
 
 def latest_price(price: DataFrame, dates: DataFrame | None = None,
-                 broadcast: bool = False) -> DataFrame:
-    """Low price on each ticker's latest date; several rows on that date are all kept."""
-    return at_dates(price, latest_dates(price) if dates is None else dates, broadcast)
+                 broadcast: bool | None = None) -> DataFrame:
+    """Low price on each ticker's latest date; several rows on that date are all kept.
+
+    Without ``dates`` the per-ticker dates are aggregated and written once
+    (``cut_lineage``), so the broadcast decision (``broadcast=None``) is a
+    count on that small table rather than a guess: the price table is then
+    streamed through a broadcast hash join, never shuffled, whenever the
+    ticker set fits.
+    """
+    from valuora.session import cut_lineage, fits_broadcast
+    if dates is None:
+        dates = cut_lineage(latest_dates(price), "latest_dates")
+    if broadcast is None:
+        broadcast = fits_broadcast(dates)
+    return at_dates(price, dates, broadcast)
 
 
 def price_stats(price: DataFrame) -> DataFrame:

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valuora.operators.prices import at_dates, latest_dates
+from valuora.session import cut_lineage, fits_broadcast
 from valuora.schemas import SCREENER_COLUMNS
 
 VALUATION_COLUMNS = ["ticker", "price_future", "sticker_price", "mos"]
 
 
 def screener(price: DataFrame, growth: DataFrame,
-             dates: DataFrame | None = None, broadcast: bool = False) -> DataFrame:
+             dates: DataFrame | None = None, broadcast: bool | None = None) -> DataFrame:
     """Tickers whose latest low price is <= mos; ties on the latest date are all kept.
 
     ``dates`` (ticker, last_date) may be passed when the caller already
@@ -25,7 +26,11 @@ def screener(price: DataFrame, growth: DataFrame,
     valued = growth.select(*VALUATION_COLUMNS).where(F.col("mos").isNotNull())
     if dates is None:
         dates = latest_dates(price.join(valued.select("ticker"), "ticker", "left_semi"))
-    out = (at_dates(price, dates.join(valued, "ticker", "inner"), broadcast)
+    side = dates.join(valued, "ticker", "inner")
+    if broadcast is None:   # no bound known: write the small side once and count it
+        side = cut_lineage(side, "screener_side")
+        broadcast = fits_broadcast(side)
+    out = (at_dates(price, side, broadcast)
            .where(F.col("last_low_price") <= F.col("mos"))
            .select(*SCREENER_COLUMNS))
     return out.na.drop()
