@@ -38,10 +38,19 @@ def main(argv=None) -> None:
     ap.add_argument("--growth", help="stored growth table (daily)")
     ap.add_argument("--drop", help="folder of today's price files (daily)")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--input-bytes", type=float, default=None,
+                    help="size of the price input; with --executors/--cores/--memory-gb sizes the job")
+    ap.add_argument("--executors", type=int, default=None)
+    ap.add_argument("--cores", type=int, default=4)
+    ap.add_argument("--memory-gb", type=float, default=16.0)
     args = ap.parse_args(argv)
     from pyspark.sql import SparkSession
     owned = SparkSession.getActiveSession() is None   # stop only a session we started
-    spark = get_spark(args.master)
+    extra = None
+    if args.input_bytes and args.executors:
+        from valuora.session import cluster_conf
+        extra = cluster_conf(int(args.input_bytes), args.executors, args.cores, args.memory_gb)
+    spark = get_spark(args.master, extra=extra)
 
     if args.command == "process":
         from valuora.plans.pipelines import run_and_store

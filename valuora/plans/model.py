@@ -32,6 +32,7 @@ def _fingerprint(sf_dir: str) -> str:
 
 
 SMALL_TABLE_BYTES = 8 * 1024 * 1024
+MAX_FILES = 20_000
 
 
 def _n_files(df: DataFrame) -> int:
@@ -45,7 +46,8 @@ def _n_files(df: DataFrame) -> int:
         size = SMALL_TABLE_BYTES
     if size < SMALL_TABLE_BYTES:
         return 1
-    return max(spark.sparkContext.defaultParallelism, math.ceil(size / TARGET_FILE_BYTES))
+    return max(spark.sparkContext.defaultParallelism,
+               min(MAX_FILES, math.ceil(size / TARGET_FILE_BYTES)))
 
 
 class TestdataModel:

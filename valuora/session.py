@@ -23,6 +23,39 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 executor_memory_gb: float) -> dict[str, str]:
+    """Settings sized for a cluster run over ``input_bytes`` of Parquet.
+
+    * scan splits of 256 MB (a 100 TB price table -> ~400k tasks, ~100 waves on
+      1000 x 4 cores), each well inside a task's share of executor memory;
+    * shuffle partitions: enough for the largest shuffle at ~256 MB each, at
+      least 2x the cores; AQE coalesces the small per-ticker shuffles and splits
+      skewed ones (a hot ticker after a partial aggregate is one row per task);
+    * runtime broadcasts up to 64 MB on measured sizes; explicit broadcasts of
+      per-ticker sides are count-checked (``fits_broadcast``).
+    """
+    cores = max(1, executors * cores_per_executor)
+    mem_per_core = executor_memory_gb * 1024 ** 3 / max(1, cores_per_executor)
+    split = int(min(256 * 1024 ** 2, max(32 * 1024 ** 2, mem_per_core / 8)))
+    # per-ticker shuffles are tiny after partial aggregation and the statement
+    # merge is ~GBs; only a one-off table-sized sort (ingest) sets its own count.
+    # Capped so map-output tracking (map tasks x reducers) stays small on the driver.
+    shuffle = max(2 * cores, min(20_000, int(input_bytes // 1024 ** 3)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 ** 2),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 ** 2),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.sql.broadcastTimeout": "900",
+        "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    }
+
+
 def get_spark(master: str | None = None, app: str = "valuora",
               shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
