@@ -17,7 +17,8 @@ from valuora.sources import adapters as A
 
 # (application id, input fingerprint, table) -> staged Parquet path
 _STAGED: dict[tuple[str, str, str], str] = {}
-_LOCK = threading.Lock()
+_LOCK = threading.Lock()                      # guards the two dicts
+_KEY_LOCKS: dict[tuple[str, str, str], threading.Lock] = {}
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
@@ -78,6 +79,8 @@ class TestdataModel:
         fp = _fingerprint(self.sf_dir)
         key = (self.spark.sparkContext.applicationId, fp, name)
         with _LOCK:
+            key_lock = _KEY_LOCKS.setdefault(key, threading.Lock())
+        with key_lock:                      # one writer per table; tables stage concurrently
             path = _STAGED.get(key)
             if path is None:
                 base = ensure_checkpoint_dir(self.spark)
@@ -89,14 +92,22 @@ class TestdataModel:
                 else:
                     df = df.repartition(n)
                 df.write.mode("overwrite").parquet(path)
-                _STAGED[key] = path
+                with _LOCK:
+                    _STAGED[key] = path
         return self.spark.read.parquet(path)
 
-    def stage_all(self) -> None:
-        """Stage every model table now (otherwise each is staged on first use)."""
-        for name in ("price", "income", "cashflow", "balance", "company_info",
-                     "symbol_directory", "peers", "ticker_market", "companies", "daily_drop"):
-            getattr(self, name)
+    TABLES = ("price", "income", "cashflow", "balance", "company_info", "symbol_directory",
+              "peers", "ticker_market", "companies", "daily_drop")
+
+    def stage_all(self, threads: int = 4) -> None:
+        """Stage every model table now (otherwise each is staged on first use).
+
+        The tables are independent jobs; submitting them from a few threads
+        lets Spark run them side by side instead of one after another.
+        """
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            list(pool.map(lambda n: getattr(self, n), self.TABLES))
 
     @cached_property
     def price(self) -> DataFrame:
