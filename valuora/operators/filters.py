@@ -9,6 +9,8 @@ categorical, then numeric, date, text) with one small aggregation.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,13 +35,21 @@ def choose_kind(df: DataFrame, column: str) -> str:
     return "text"
 
 
+def _bound(v) -> Column:
+    """Literal bound; timestamps become timezone-free, independent of session and
+    Python process time zones (dates are time-zone free already)."""
+    if isinstance(v, _dt.datetime):
+        return F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(v)
+
+
 def predicate(column: str, kind: str, arg) -> Column:
     c = F.col(column)
     if kind == "categorical":
         return c.isin(list(arg))
     if kind in ("numeric", "date"):
         lo, hi = arg
-        return c.between(F.lit(lo), F.lit(hi))
+        return c.between(_bound(lo), _bound(hi))
     if kind == "text":
         return c.rlike(arg)
     raise ValueError(f"unknown filter kind {kind!r}")
