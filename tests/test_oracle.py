@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB oracle on the smallest scale."""
 import math
-import os
 
 import duckdb
 import pytest

@@ -25,7 +25,6 @@ from valuora.operators import multimarket as MM
 from valuora.operators import prices as P
 from valuora.operators import quality as Q
 from valuora.operators import screen as S
-from valuora.operators import valuation as V
 from valuora.plans import oracle as O
 from valuora.plans import pipelines as PL
 from valuora.plans.model import TestdataModel
