@@ -401,6 +401,15 @@ def q_preview_top(spark, sf):
             .orderBy(F.col("mos").desc(), "ticker", "last_date", "last_low_price").limit(5))
 
 
+@query("preview_tail", f"""
+SELECT year, ticker, {O.r6('mean_low_price')} AS mean_low_price FROM annual_mean
+ORDER BY year DESC, ticker DESC LIMIT 5""")
+def q_preview_tail(spark, sf):
+    """Last rows of the ordered annual price table (a tail is a descending head)."""
+    a = P.annual_price(run_single(spark, sf).price, *O.PERIOD, how="mean")
+    return r6(a.orderBy(F.col("year").desc(), F.col("ticker").desc()).limit(5), "mean_low_price")
+
+
 @query("verify_december_mean", f"""
 SELECT a.year, a.ticker, {O.r6('a.mean_low_price')} AS mean_low_price,
        {O.r6('v.mean_by_range')} AS mean_by_range
@@ -530,6 +539,15 @@ def q_describe_mos(spark, sf):
     return sig12(describe(run_single(spark, sf).growth, "mos", DESCRIBE_PCTS), "value")
 
 
+SCREENER_DESCRIBE_PCTS = (0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95)
+
+
+@query("describe_screener_mos", _describe_sql("screener", "mos", SCREENER_DESCRIBE_PCTS))
+def q_describe_screener_mos(spark, sf):
+    from valuora.operators.profile import describe
+    return sig12(describe(run_single(spark, sf).screener, "mos", SCREENER_DESCRIBE_PCTS), "value")
+
+
 PROFILE_COLS = ["revenue_gr_curr", "eps_curr", "roic_gr_5yr", "eps_gr_5yr", "bvps_gr_5yr",
                 "pe_5yr", "yrs_in_10yr", "rule1_gr_5yr", "price_future", "mos"]
 
