@@ -22,6 +22,13 @@ _KEY_LOCKS: dict[tuple[str, str, str], threading.Lock] = {}
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
+def _app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - a remote session has no local SparkContext
+        return spark.conf.get("spark.app.id", "app")
+
+
 def _fingerprint(sf_dir: str) -> str:
     """Input identity: path plus name, size and mtime of every file (local paths)."""
     h = hashlib.sha1(sf_dir.encode())
@@ -77,7 +84,7 @@ class TestdataModel:
         if not self.stage:
             return build()
         fp = _fingerprint(self.sf_dir)
-        key = (self.spark.sparkContext.applicationId, fp, name)
+        key = (_app_id(self.spark), fp, name)
         with _LOCK:
             key_lock = _KEY_LOCKS.setdefault(key, threading.Lock())
         with key_lock:                      # one writer per table; tables stage concurrently
