@@ -54,8 +54,11 @@ def _n_files(df: DataFrame) -> int:
         size = SMALL_TABLE_BYTES
     if size < SMALL_TABLE_BYTES:
         return 1
-    return max(spark.sparkContext.defaultParallelism,
-               min(MAX_FILES, math.ceil(size / TARGET_FILE_BYTES)))
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - remote session
+        cores = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+    return max(cores, min(MAX_FILES, math.ceil(size / TARGET_FILE_BYTES)))
 
 
 class TestdataModel:
