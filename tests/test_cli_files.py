@@ -31,3 +31,26 @@ def test_cli_process(spark, tmp):
           "--start", str(PERIOD[0]), "--end", str(PERIOD[1])])
     assert sorted(os.listdir(out)) == ["company_info", "fundamental", "growth", "screener"]
     assert spark.range(1).count() == 1      # the shared session is still alive
+
+
+def test_cli_multi_and_daily(spark, tmp):
+    from valuora.__main__ import main
+    out = f"{tmp}/mm"
+    main(["multi", "--sf", "/root/testdata/sf0.001", "--out", out, "--exclude", "MIDDLE EAST",
+          "--date", "2023-03-11"])
+    g = spark.read.parquet(f"{out}/growth")
+    assert [str(r.snapshot_date) for r in g.select("snapshot_date").distinct().collect()] == ["2023-03-11"]
+    assert "mos_reached" in g.columns and g.count() > 0
+    # daily refresh against the stored single-market growth and a drop of price files
+    main(["process", "--sf", "/root/testdata/sf0.001", "--out", f"{tmp}/proc",
+          "--start", str(PERIOD[0]), "--end", str(PERIOD[1])])
+    valued = spark.read.parquet(f"{tmp}/proc/growth").where("mos is not null")
+    t = valued.orderBy("ticker").first()
+    os.makedirs(f"{tmp}/drop")
+    with open(f"{tmp}/drop/today.csv", "w") as f:
+        f.write("Date,Ticker,Open,High,Low,Close,Adj Close,Volume\n")
+        f.write(f"2030-01-02,{t.ticker},1,1,{t.mos / 2},1,1,10\n")
+        f.write("2030-01-02,not-a-valued-ticker,1,1,0.01,1,1,10\n")
+    main(["daily", "--growth", f"{tmp}/proc/growth", "--drop", f"{tmp}/drop", "--out", f"{tmp}/daily"])
+    s = spark.read.parquet(f"{tmp}/daily/screener").collect()
+    assert [(r.ticker, r.last_low_price) for r in s] == [(t.ticker, t.mos / 2)]
