@@ -1,0 +1,30 @@
+"""Distributed exact quantiles == numpy's linear percentiles, across many partitions."""
+import numpy as np
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from valuora.operators.profile import exact_quantiles
+
+QS = (0.0, 0.03, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(st.lists(st.tuples(st.sampled_from("abcd"),
+                          st.one_of(st.none(), st.integers(-50, 50).map(float))),
+                min_size=1, max_size=400))
+def test_exact_quantiles_match_numpy(spark, rows):
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame(rows, "column_name string, value double").repartition(5)
+        got = {(r.column_name, r.q): r.quantile for r in exact_quantiles(df, QS).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    for k in {k for k, _ in rows}:
+        vals = [v for kk, v in rows if kk == k and v is not None]
+        for q in QS:
+            if not vals:
+                assert (k, q) not in got
+                continue
+            exp = float(np.percentile(vals, q * 100, method="linear"))
+            assert abs(got[(k, q)] - exp) <= 1e-9 * max(1.0, abs(exp)), (k, q, got[(k, q)], exp)

@@ -1,17 +1,59 @@
 """Column statistics: ``describe`` with percentiles and a per-column profile.
 
 Both work on a long (column_name, value) form, so one grouped aggregation
-covers every column instead of one scan per column. Exact percentiles
-(``percentile``, linear interpolation like pandas) keep a value->count map per
-column; they are meant for result tables whose size is bounded by the number
-of tickers. For price-scale columns pass ``exact=False`` (``percentile_approx``).
+covers every column instead of one scan per column. Percentiles are exact with
+pandas' linear interpolation and fully distributed (``exact_quantiles``): no
+task ever holds a whole column. ``exact=False`` uses ``percentile_approx``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+_LOW33 = (1 << 33) - 1   # monotonically_increasing_id: record number in the low 33 bits
+
+
+def exact_quantiles(long: DataFrame, qs, key: str = "column_name",
+                    value: str = "value") -> DataFrame:
+    """Exact quantiles per ``key`` with linear interpolation: (key, q, quantile).
+
+    For n non-NULL values of a key, quantile q lies at rank h = (n - 1) q
+    between the values of ranks floor(h) and ceil(h). Ranks are found without
+    gathering a key in one place: the pairs are range-partitioned and sorted
+    on (key, value); each row's position inside its partition plus the number
+    of the key's rows in earlier partitions (a window over a partitions x keys
+    table) is its global rank. Only the rows at the needed ranks are picked
+    out, by a broadcast join against a table of at most 2 x keys x len(qs) ranks.
+    """
+    qs = sorted(set(float(q) for q in qs))
+    v = long.where(F.col(value).isNotNull()).select(F.col(key).alias("k"), F.col(value).alias("v"))
+    s = (v.repartitionByRange("k", "v").sortWithinPartitions("k", "v")
+          .select("k", "v", F.spark_partition_id().alias("pid"),
+                  (F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))).alias("pos")))
+    per = s.groupBy("pid", "k").agg(F.count(F.lit(1)).alias("c"), F.min("pos").alias("first"))
+    wk = Window.partitionBy("k").orderBy("pid")
+    per = (per.withColumn("base", F.coalesce(F.sum("c").over(
+                wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+              .withColumn("n", F.sum("c").over(Window.partitionBy("k"))))
+    ranked = s.join(F.broadcast(per.select("pid", "k", "base", "first")), ["pid", "k"]) \
+              .select("k", "v", (F.col("base") + F.col("pos") - F.col("first")).alias("rank"))
+    n = per.select("k", "n").distinct()
+    qdf = n.select("k", "n", F.explode(F.array(*[F.lit(q) for q in qs])).alias("q")) \
+           .withColumn("h", (F.col("n") - 1) * F.col("q"))
+    want = qdf.select("k", "q", "h", F.explode(F.array(
+        F.struct(F.lit("lo").alias("side"), F.floor("h").alias("rank")),
+        F.struct(F.lit("hi").alias("side"), F.ceil("h").alias("rank")))).alias("w")) \
+        .select("k", "q", "h", "w.side", "w.rank")
+    hit = ranked.join(F.broadcast(want), ["k", "rank"])
+    g = hit.groupBy("k", "q").agg(F.max("h").alias("h"),
+                                 F.max(F.when(F.col("side") == "lo", F.col("v"))).alias("lo"),
+                                 F.max(F.when(F.col("side") == "hi", F.col("v"))).alias("hi"))
+    d = F.col("h") - F.floor("h")
+    return g.select(F.col("k").alias(key), "q",
+                    F.when(d == 0, F.col("lo"))
+                     .otherwise(F.col("lo") + d * (F.col("hi") - F.col("lo"))).alias("quantile"))
+
 DEFAULT_PERCENTILES = (0.25, 0.5, 0.75)
 
 
@@ -28,21 +70,33 @@ def _percentiles(ps) -> list[float]:
 
 def describe(df: DataFrame, col: str, percentiles=DEFAULT_PERCENTILES,
              exact: bool = True) -> DataFrame:
-    """(stat, value) rows: count, mean, std (sample), min, percentiles, max; NULLs ignored."""
+    """(pos, stat, value) rows: count, mean, std (sample), min, percentiles, max; NULLs ignored."""
     ps = _percentiles(percentiles)
     c = F.col(col).cast("double")
-    q = (F.percentile(c, F.array(*[F.lit(p) for p in ps])) if exact
-         else F.percentile_approx(c, [float(p) for p in ps], 100000))
-    row = df.agg(F.count(c).cast("double").alias("count"), F.avg(c).alias("mean"),
-                 F.stddev_samp(c).alias("std"), F.min(c).alias("min"), q.alias("q"),
-                 F.max(c).alias("max"))
-    stats = [("count", F.col("count")), ("mean", F.col("mean")), ("std", F.col("std")),
-             ("min", F.col("min"))]
-    stats += [(pct_label(p), F.col("q")[i]) for i, p in enumerate(ps)]
-    stats.append(("max", F.col("max")))
+    moments = df.agg(F.count(c).cast("double").alias("count"), F.avg(c).alias("mean"),
+                     F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"))
+    head = [("count", "count"), ("mean", "mean"), ("std", "std"), ("min", "min")]
     arr = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(n).alias("stat"),
-                             v.cast("double").alias("value")) for i, (n, v) in enumerate(stats)])
-    return row.select(F.explode(arr).alias("s")).select("s.pos", "s.stat", "s.value")
+                             F.col(c_).cast("double").alias("value"))
+                    for i, (n, c_) in enumerate(head + [("max", "max")])])
+    rows = moments.select(F.explode(arr).alias("s")).select("s.pos", "s.stat", "s.value")
+    rows = rows.withColumn("pos", F.when(F.col("stat") == "max", F.lit(len(head) + len(ps)))
+                           .otherwise(F.col("pos")))
+    labels = F.create_map(*[x for i, p in enumerate(ps)
+                            for x in (F.lit(float(p)), F.lit(pct_label(p)))])
+    order = F.create_map(*[x for i, p in enumerate(ps)
+                           for x in (F.lit(float(p)), F.lit(len(head) + i))])
+    if exact:
+        long = df.select(F.lit(col).alias("column_name"), c.alias("value"))
+        q = exact_quantiles(long, ps)
+    else:
+        q = (df.agg(F.percentile_approx(c, [float(p) for p in ps], 100000).alias("a"))
+             .select(F.posexplode("a").alias("i", "quantile"))
+             .select(F.element_at(F.array(*[F.lit(float(p)) for p in ps]), F.col("i") + 1)
+                     .alias("q"), "quantile"))
+    qrows = q.select(order[F.col("q")].alias("pos"), labels[F.col("q")].alias("stat"),
+                     F.col("quantile").alias("value"))
+    return rows.unionByName(qrows)
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -64,13 +118,15 @@ def column_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
         F.count_distinct(v).alias("n_distinct"),
         F.count(F.when(v == 0, 1)).alias("n_zeros"),
         F.min(v).alias("min"), F.max(v).alias("max"),
-        F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    stats = stats.select(
+        F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"))
+    quart = (exact_quantiles(long, (0.25, 0.5, 0.75))
+             .groupBy("column_name")
+             .agg(*[F.max(F.when(F.col("q") == q, F.col("quantile"))).alias(name)
+                    for q, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))]))
+    stats = stats.join(quart, "column_name", "left").select(
         "column_name", "n", "n_missing",
         (F.col("n_missing") * 100.0 / F.col("n")).alias("missing_pct"),
-        "n_distinct", "n_zeros", "min", "max", "mean", "std",
-        F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"))
+        "n_distinct", "n_zeros", "min", "max", "mean", "std", "p25", "p50", "p75")
     # most frequent value: a second hash aggregation picks, per column, the
     # (freq, -value) maximum -- no window, so no column's values meet in one sort
     freq = (long.where(v.isNotNull()).groupBy("column_name", "value")
