@@ -34,6 +34,7 @@ def main(argv=None) -> None:
     ap.add_argument("--fp", type=int, default=10)
     ap.add_argument("--rr", type=float, default=0.15)
     ap.add_argument("--exclude", default="it,ca", help="markets left out (multi)")
+    ap.add_argument("--market", default=None, help="run the single-market job for one market")
     ap.add_argument("--date", default=None, help="snapshot date (multi), default today")
     ap.add_argument("--growth", help="stored growth table (daily)")
     ap.add_argument("--drop", help="folder of today's price files (daily)")
@@ -55,7 +56,7 @@ def main(argv=None) -> None:
     if args.command == "process":
         from valuora.plans.pipelines import run_and_store
         paths = run_and_store(_model(spark, args), args.out, (args.start, args.end),
-                              args.fp, args.rr, agg_func=args.agg)
+                              args.fp, args.rr, agg_func=args.agg, market=args.market)
         print(json.dumps(paths))
     elif args.command == "multi":
         from valuora import sinks

@@ -356,6 +356,29 @@ CTES["staging_symbols"] = """
 SELECT DISTINCT ticker FROM company_universe
 WHERE ticker IN (SELECT ticker FROM statement_tickers)"""
 
+# ---------------------------------------------------------------- one market only
+
+SINGLE_MARKET = "EUROPE"
+CTES["sm_fundamental_kpi"] = f"""
+SELECT * FROM fundamental_kpi
+WHERE ticker IN (SELECT ticker FROM ticker_market WHERE market = '{SINGLE_MARKET}')"""
+CTES["sm_price_used"] = """
+SELECT * FROM price WHERE ticker IN (SELECT ticker FROM sm_fundamental_kpi)"""
+CTES["sm_annual_mean"] = f"""
+SELECT CAST(year(date) AS INTEGER) AS year, ticker, avg(low) AS mean_low_price
+FROM sm_price_used
+WHERE month(date) = 12 AND year(date) BETWEEN {PERIOD[0]} AND {PERIOD[1]}
+GROUP BY year(date), ticker"""
+CTES["sm_fundamental"] = """
+SELECT f.*, a.mean_low_price, a.mean_low_price / nullif(f.eps, 0) AS pe
+FROM (SELECT * FROM sm_fundamental_kpi WHERE ticker IN (SELECT ticker FROM sm_price_used)) f
+LEFT JOIN sm_annual_mean a ON f.ticker = a.ticker AND f.fiscal_year = a.year"""
+CTES["sm_growth_rows"] = _growth_rows_sql("sm_fundamental")
+CTES["sm_growth_summary"] = _summary_sql("sm_growth_rows", "avg")
+CTES["sm_growth_mean"] = "SELECT * FROM sm_growth_summary WHERE yrs_in_5yr = 5"
+CTES["sm_growth"] = _sticker_sql("sm_growth_mean")
+CTES["sm_screener"] = _screener_sql("sm_price_used", "sm_growth")
+
 CTES["daily_drop"] = """
 SELECT CAST(ts AS DATE) AS date, CAST(user_id AS VARCHAR) AS ticker, value * 1000 AS low
 FROM (SELECT user_id, ts, value, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn

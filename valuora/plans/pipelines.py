@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from valuora.operators import company as C
 from valuora.operators import fundamentals as FU
@@ -26,13 +27,18 @@ class SingleMarketResult:
 
 
 def fundamentals_for(model, period: tuple[int | None, int | None],
-                     symbols: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                     symbols: DataFrame | None = None,
+                     market: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(company_info, KPI fundamentals) of the single-market run, before price narrowing.
 
     The company-symbol narrowing is one semi join on the merged statements
     (the inner joins already keep only tickers present in all three).
+    ``market`` runs the pipeline for one market's tickers only.
     """
     company = C.company_info_for(model.company_info, symbols)
+    if market is not None:
+        in_market = model.ticker_market.where(F.col("market") == market).select("ticker")
+        company = C.company_info_for(company, in_market)
     fund = FU.combine_statements(model.income, model.cashflow, model.balance)
     fund = P.period_filter(fund, period[0], period[1])
     fund = FU.restrict(fund, company.select("ticker"))
@@ -41,14 +47,14 @@ def fundamentals_for(model, period: tuple[int | None, int | None],
 
 def single_market(model, period: tuple[int | None, int | None], fp: int = V.DEFAULT_FP,
                   exp_rr: float = V.DEFAULT_EXP_RR, symbols: DataFrame | None = None,
-                  agg_func: str = "mean") -> SingleMarketResult:
+                  agg_func: str = "mean", market: str | None = None) -> SingleMarketResult:
     """The processing pipeline of one market as one lazy plan.
 
     Symbol narrowing is a chain of semi joins instead of driver-side lists:
     company tickers -> statements -> prices of those tickers -> fundamentals of
     priced tickers. Nothing is collected.
     """
-    company, fund = fundamentals_for(model, period, symbols)
+    company, fund = fundamentals_for(model, period, symbols, market)
     # small, reused by every later step: computed once, lineage cut
     fund = cut_lineage(fund, "fundamental")
     tickers = fund.select("ticker").distinct()
@@ -86,7 +92,7 @@ def staging_symbols(model) -> DataFrame:
 def run_and_store(model, out_dir: str, period: tuple[int | None, int | None],
                   fp: int = V.DEFAULT_FP, exp_rr: float = V.DEFAULT_EXP_RR,
                   symbols: DataFrame | None = None, agg_func: str = "mean",
-                  compression: str = "gzip") -> dict[str, str]:
+                  compression: str = "gzip", market: str | None = None) -> dict[str, str]:
     """The processing job with its four result tables written to ``out_dir``.
 
     Each result is written and read back before the next step uses it, so the
@@ -97,7 +103,7 @@ def run_and_store(model, out_dir: str, period: tuple[int | None, int | None],
     from valuora import sinks
 
     spark = model.spark
-    r = single_market(model, period, fp, exp_rr, symbols, agg_func)
+    r = single_market(model, period, fp, exp_rr, symbols, agg_func, market)
     paths = {n: f"{out_dir.rstrip('/')}/{n}" for n in
              ("company_info", "fundamental", "growth", "screener")}
     sinks.write_table(r.company_info, paths["company_info"], compression)

@@ -176,6 +176,12 @@ def q_screener(spark, sf):
     return run_single(spark, sf).screener
 
 
+@query("screener_single_market", "SELECT * FROM sm_screener")
+def q_screener_single_market(spark, sf):
+    """The single-market pipeline run for one market's tickers (a market parameter)."""
+    return PL.single_market(model(spark, sf), O.PERIOD, market=O.SINGLE_MARKET).screener
+
+
 @query("screener_median", "SELECT * FROM screener_median")
 def q_screener_median(spark, sf):
     return run_single(spark, sf, "median").screener
