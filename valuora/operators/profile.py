@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from valuora.session import cut_lineage
+
 _LOW33 = (1 << 33) - 1   # monotonically_increasing_id: record number in the low 33 bits
 
 
@@ -72,9 +74,13 @@ def describe(df: DataFrame, col: str, percentiles=DEFAULT_PERCENTILES,
              exact: bool = True) -> DataFrame:
     """(pos, stat, value) rows: count, mean, std (sample), min, percentiles, max; NULLs ignored."""
     ps = _percentiles(percentiles)
-    c = F.col(col).cast("double")
-    moments = df.agg(F.count(c).cast("double").alias("count"), F.avg(c).alias("mean"),
-                     F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"))
+    # the one column is read by the moments, the range sample and the quantile
+    # shuffle: write it once instead of replaying its plan three times
+    long = cut_lineage(df.select(F.lit(col).alias("column_name"),
+                                 F.col(col).cast("double").alias("value")), "describe")
+    c = F.col("value")
+    moments = long.agg(F.count(c).cast("double").alias("count"), F.avg(c).alias("mean"),
+                       F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"))
     head = [("count", "count"), ("mean", "mean"), ("std", "std"), ("min", "min")]
     arr = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(n).alias("stat"),
                              F.col(c_).cast("double").alias("value"))
@@ -87,10 +93,9 @@ def describe(df: DataFrame, col: str, percentiles=DEFAULT_PERCENTILES,
     order = F.create_map(*[x for i, p in enumerate(ps)
                            for x in (F.lit(float(p)), F.lit(len(head) + i))])
     if exact:
-        long = df.select(F.lit(col).alias("column_name"), c.alias("value"))
         q = exact_quantiles(long, ps)
     else:
-        q = (df.agg(F.percentile_approx(c, [float(p) for p in ps], 100000).alias("a"))
+        q = (long.agg(F.percentile_approx(c, [float(p) for p in ps], 100000).alias("a"))
              .select(F.posexplode("a").alias("i", "quantile"))
              .select(F.element_at(F.array(*[F.lit(float(p)) for p in ps]), F.col("i") + 1)
                      .alias("q"), "quantile"))
@@ -109,8 +114,9 @@ def column_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Per numeric column: n, missing, missing %, distinct, zeros, min, max, mean, std,
     quartiles and the most frequent value (ties -> smallest value)."""
     cols = cols or numeric_columns(df)
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-        [], cols, "column_name", "value")
+    # read by three aggregations and the quantile sample: written once
+    long = cut_lineage(df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        [], cols, "column_name", "value"), "profile")
     v = F.col("value")
     stats = long.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("n"),
