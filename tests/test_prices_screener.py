@@ -102,3 +102,20 @@ def test_combine_statements_suffixes(spark):
     r = out.first()
     assert out.count() == 1
     assert (r.shares_basic_is, r.shares_basic_cf, r.shares_basic) == (5.0, 6.0, 7.0)
+
+
+def test_kpis_golden_row_with_dividends(spark):
+    # a printed 2016 row: TL&E 937,151,000; equity 470,117,000; shares 56,984,561;
+    # dividends paid -121,604,000 (negative); eps 2.751780 -> net income ~156.81M
+    ni = round(2.751780 * 56984561)
+    df = spark.createDataFrame(
+        [("FCPT", 2016, float(ni), 470117000.0, 56984561.0, 937151000.0, 1.0, 0.0, -121604000.0)],
+        "ticker string, fiscal_year int, net_income double, total_equity double, shares_basic double,"
+        " total_liab_equity double, net_cash_ops double, net_cash_inv double, dividends_paid double")
+    r = FU.add_kpis(df).first()
+    assert r.roic == pytest.approx(0.037566, abs=5e-7)
+    assert r.eps == pytest.approx(2.751780, abs=5e-7)
+    assert r.bvps == pytest.approx(8.249901, abs=5e-7)
+    annual = spark.createDataFrame([(2016, "FCPT", 19.338095)],
+                                   "year int, ticker string, mean_low_price double")
+    assert FU.add_annual_pe(FU.add_kpis(df), annual).first().pe == pytest.approx(7.027485, abs=5e-6)
