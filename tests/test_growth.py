@@ -108,3 +108,35 @@ def test_sticker_from_future_price(spark):
     r = df.select(round2(F.col("price_future") / F.lit(1.15 ** 10)).alias("s")).first()
     assert r["s"] == pytest.approx(2948.925, abs=0.01)
     assert round(r["s"] / 2, 2) == pytest.approx(1474.463, abs=0.01)
+
+
+# A printed ten-year history (fiscal years 2010-2019: roic, eps, bvps, fcf, pe) and the
+# growth row printed for the same ticker. Inputs are printed at 6 dp, so growth rates
+# whose denominators are tiny (eps 0.001131, roic 0.000061) can only match approximately.
+HISTORY = [
+    (2010, -0.023821, -0.348732, -2.237862, 168266000.0, -7.336963),
+    (2011, 0.164715, 0.193509, 0.885764, 145375000.0, 11.157339),
+    (2012, 1.421134, 1.584957, 0.952818, 162317000.0, 1.517580),
+    (2013, 0.052150, 0.054164, 0.894521, 117082000.0, 31.540967),
+    (2014, 0.036874, 0.033504, 0.807790, 114646000.0, 252.642293),
+    (2015, 0.217192, 0.175981, 0.748531, 163833000.0, 34.411200),
+    (2016, 0.008511, 0.156344, 1.125612, 157131000.0, 39.589143),
+    (2017, 0.000061, 0.001131, 1.491550, 221545000.0, 8661.665422),
+    (2018, 0.029065, 0.670134, 4.162029, 263503000.0, 17.084963),
+    (2019, 0.008959, 0.297052, 4.693300, 203787000.0, 64.833997),
+]
+
+
+def test_golden_growth_row(spark):
+    rows = [("RDNT", y, roic, 1.0, eps, bvps, fcf, pe) for y, roic, eps, bvps, fcf, pe in HISTORY]
+    g = G.growth_summary(G.kpi_growth(fund(spark, rows))).first()
+    exact = {"eps_curr": 0.297052, "pe_5yr": 1763.52, "pe_10yr": 910.71, "bvps_gr_5yr": 0.53,
+             "bvps_gr_10yr": 0.13, "fcf_gr_5yr": 0.15, "fcf_gr_10yr": 0.05, "yrs_in_5yr": 5,
+             "yrs_in_10yr": 10, "rule1_gr_5yr": 0.53, "pe_default_5yr": 106.0,
+             "rule1_gr_10yr": 0.13}
+    for k, v in exact.items():
+        assert g[k] == pytest.approx(v, abs=1e-9), k
+    approx = {"roic_gr_5yr": 95.56, "eps_gr_5yr": 118.87, "roic_gr_10yr": 52.92,
+              "eps_gr_10yr": 66.52}
+    for k, v in approx.items():
+        assert g[k] == pytest.approx(v, rel=2e-3), k
