@@ -17,8 +17,14 @@ def test_file_model_matches_adapters(spark, tmp):
     for name in ("income", "cashflow", "balance", "company_info", "peers"):
         sinks.write_table(sinks.display(getattr(tm, name)), f"{tmp}/{name}")
         paths[name] = f"{tmp}/{name}"
+    # one statement as CSV text: the declared model types come back on read
+    sinks.export_csv(sinks.display(tm.income), f"{tmp}/income_csv")
+    paths["income"] = f"{tmp}/income_csv"
     fm = FileModel(spark, paths)
     assert "net_income" in fm.income.columns and "shares_basic" in fm.balance.columns
+    types = dict(fm.income.dtypes)
+    assert types["fiscal_year"] == "int" and types["net_income"] == "double"
+    assert types["simfin_id"] == "bigint" and types["report_date"] == "date"
     a = single_market(fm, PERIOD).screener.collect()
     b = single_market(tm, PERIOD).screener.collect()
     assert sorted(a) == sorted(b) and len(a) > 0

@@ -200,8 +200,16 @@ class FileModel:
             df = self.spark.read.option("header", True).option("inferSchema", False).csv(path)
         else:
             df = self.spark.read.parquet(path)
+        from valuora.schemas import MODEL_TYPES
         back = {v: k for k, v in DISPLAY_NAMES.items()}
-        return df.select(*[F.col(f"`{c}`").alias(back.get(c, snake(c))) for c in df.columns])
+        out = []
+        for c, t in df.dtypes:
+            name = back.get(c, snake(c))
+            col = F.col(f"`{c}`")
+            if t == "string" and name in MODEL_TYPES:   # text sources: declared model types
+                col = col.cast(MODEL_TYPES[name])
+            out.append(col.alias(name))
+        return df.select(*out)
 
     def _has(self, name: str) -> bool:
         return name in self.paths

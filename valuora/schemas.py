@@ -91,3 +91,16 @@ def snake(name: str) -> str:
     while "__" in s:
         s = s.replace("__", "_")
     return s.strip("_")
+
+
+# Types of the model columns that file sources may deliver as text (CSV).
+MODEL_TYPES = {
+    "fiscal_year": "int", "simfin_id": "bigint", "industry_id": "int",
+    "report_date": "date", "report_date_is": "date", "report_date_cf": "date",
+    "date": "date", "market_cap": "double",
+    "shares_basic": "double", "shares_diluted": "double", "revenue": "double",
+    "net_income": "double", "total_equity": "double", "total_liab_equity": "double",
+    "net_cash_ops": "double", "net_cash_inv": "double", "dividends_paid": "double",
+    "open": "double", "high": "double", "low": "double", "close": "double",
+    "adj_close": "double", "volume": "double",
+}
