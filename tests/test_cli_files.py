@@ -43,7 +43,8 @@ def test_cli_multi_and_daily(spark, tmp):
     from valuora.__main__ import main
     out = f"{tmp}/mm"
     main(["multi", "--sf", "/root/testdata/sf0.001", "--out", out, "--exclude", "MIDDLE EAST",
-          "--date", "2023-03-11"])
+          "--date", "2023-03-11", "--csv"])
+    assert os.path.isdir(f"{out}/2023-03-11_growth_csv")
     g = spark.read.parquet(f"{out}/growth")
     assert [str(r.snapshot_date) for r in g.select("snapshot_date").distinct().collect()] == ["2023-03-11"]
     assert "mos_reached" in g.columns and g.count() > 0

@@ -59,3 +59,15 @@ def test_column_profile(spark):
     p = {r.column_name: r for r in column_profile(df).collect()}
     assert p["a"].n == 3 and p["a"].n_missing == 1 and p["a"].n_zeros == 1
     assert p["b"].top_value == 1.0 and p["b"].top_freq == 2 and p["b"].p50 == 1.0
+
+
+def test_data_dictionary_round_trip(spark):
+    a = spark.createDataFrame([("A", 1.0)], "ticker string, mos double")
+    dd = Q.data_dictionary({"growth": a})
+    assert sorted((r.column, r.dtype) for r in dd.collect()) == [("mos", "double"), ("ticker", "string")]
+    # an entry whose column is gone is reported as missing
+    extra = dd.unionByName(spark.createDataFrame([("growth", "old_col", "double")], dd.schema))
+    dd2 = extra.withColumn("dtype", Q.F.lit("float64")).withColumn("source", Q.F.lit("x")) \
+        .withColumn("description", Q.F.lit("x"))
+    st = {r.column: r.status for r in Q.dictionary_check(dd2, {"growth": a.columns}).collect()}
+    assert st == {"ticker": "ok", "mos": "ok", "old_col": "missing"}

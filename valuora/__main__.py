@@ -35,6 +35,7 @@ def main(argv=None) -> None:
     ap.add_argument("--rr", type=float, default=0.15)
     ap.add_argument("--exclude", default="it,ca", help="markets left out (multi)")
     ap.add_argument("--market", default=None, help="run the single-market job for one market")
+    ap.add_argument("--csv", action="store_true", help="also export the tables as CSV (multi)")
     ap.add_argument("--date", default=None, help="snapshot date (multi), default today")
     ap.add_argument("--growth", help="stored growth table (daily)")
     ap.add_argument("--drop", help="folder of today's price files (daily)")
@@ -66,6 +67,8 @@ def main(argv=None) -> None:
         day = args.date or dt.date.today().isoformat()
         for name in ("fundamental", "growth"):
             sinks.write_snapshot(res[name], args.out, name, day)
+            if args.csv:   # the spreadsheet export, as CSV with a header
+                sinks.export_csv(res[name], f"{args.out.rstrip('/')}/{day}_{name}_csv")
         print(json.dumps({"snapshot_date": day, "out": args.out}))
     else:
         from valuora.sources.files import read_prices_csv

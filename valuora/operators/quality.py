@@ -98,3 +98,15 @@ def dictionary_check(dictionary: DataFrame, schemas: dict[str, list[str]] | None
                            .otherwise(F.col("status")))
                .drop("_k"))
     return out
+
+
+def data_dictionary(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, column, dtype) of each result table, from the schemas (no data read).
+
+    The same shape as the dictionary file ``dictionary_check`` validates, so a
+    written dictionary can be checked against the tables it describes.
+    """
+    rows = [(name, f.name, f.dataType.simpleString())
+            for name, df in tables.items() for f in df.schema.fields]
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(rows, "table string, column string, dtype string")
