@@ -71,3 +71,18 @@ def test_data_dictionary_round_trip(spark):
         .withColumn("description", Q.F.lit("x"))
     st = {r.column: r.status for r in Q.dictionary_check(dd2, {"growth": a.columns}).collect()}
     assert st == {"ticker": "ok", "mos": "ok", "old_col": "missing"}
+
+
+def test_describe_all_null_column_keeps_percentile_rows(spark):
+    df = spark.createDataFrame([(None,), (None,)], "mos double")
+    out = {r.stat: r.value for r in describe(df, "mos", (0.1,)).collect()}
+    assert out["count"] == 0.0 and out["10%"] is None and out["50%"] is None and out["max"] is None
+
+
+def test_cluster_conf_sizes():
+    from valuora.session import cluster_conf
+    c = cluster_conf(int(1e14), 1000, 4, 16)
+    assert int(c["spark.sql.files.maxPartitionBytes"]) == 256 * 1024 ** 2
+    assert int(c["spark.sql.shuffle.partitions"]) == 20000
+    small = cluster_conf(10 ** 9, 2, 4, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16

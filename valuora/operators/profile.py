@@ -99,6 +99,9 @@ def describe(df: DataFrame, col: str, percentiles=DEFAULT_PERCENTILES,
              .select(F.posexplode("a").alias("i", "quantile"))
              .select(F.element_at(F.array(*[F.lit(float(p)) for p in ps]), F.col("i") + 1)
                      .alias("q"), "quantile"))
+    # every requested percentile gets a row, NULL when the column has no values
+    wanted = moments.select(F.explode(F.array(*[F.lit(float(p)) for p in ps])).alias("q"))
+    q = wanted.join(q.select("q", "quantile"), "q", "left")
     qrows = q.select(order[F.col("q")].alias("pos"), labels[F.col("q")].alias("stat"),
                      F.col("quantile").alias("value"))
     return rows.unionByName(qrows)
