@@ -63,3 +63,15 @@ def test_describe_approx_path(spark):
     df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
     out = {r.stat: r.value for r in describe(df, "x", (0.1, 0.9), exact=False).collect()}
     assert out["count"] == 1000 and abs(out["50%"] - 500) <= 1 and out["max"] == 999
+
+
+def test_lazy_plan_runs_nothing_until_asked(spark):
+    sf = "/root/testdata/sf0.001"
+    model = TestdataModel(spark, sf)
+    model.stage_all()
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    r = single_market(model, PERIOD, materialize=False)
+    plan = r.screener._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup() == before
+    assert sorted(r.screener.collect()) == sorted(single_market(model, PERIOD).screener.collect())

@@ -47,19 +47,25 @@ def fundamentals_for(model, period: tuple[int | None, int | None],
 
 def single_market(model, period: tuple[int | None, int | None], fp: int = V.DEFAULT_FP,
                   exp_rr: float = V.DEFAULT_EXP_RR, symbols: DataFrame | None = None,
-                  agg_func: str = "mean", market: str | None = None) -> SingleMarketResult:
+                  agg_func: str = "mean", market: str | None = None,
+                  materialize: bool = True) -> SingleMarketResult:
     """The processing pipeline of one market as one lazy plan.
 
     Symbol narrowing is a chain of semi joins instead of driver-side lists:
     company tickers -> statements -> prices of those tickers -> fundamentals of
-    priced tickers. Nothing is collected.
+    priced tickers. Nothing is collected. With ``materialize=True`` (default)
+    the fundamentals are written once and counted when the plan is built;
+    ``materialize=False`` builds the same plan without running anything.
     """
     company, fund = fundamentals_for(model, period, symbols, market)
-    # small, reused by every later step: computed once, lineage cut
-    fund = cut_lineage(fund, "fundamental")
+    if materialize:
+        # small, reused by every later step: computed once, lineage cut
+        fund = cut_lineage(fund, "fundamental")
     tickers = fund.select("ticker").distinct()
-    # one count on the written table bounds every per-ticker side downstream
-    bcast = fits_broadcast(tickers)
+    # one count on the written table bounds every per-ticker side downstream;
+    # a purely lazy plan (materialize=False, e.g. to explain it) leaves the
+    # choice to the planner and AQE
+    bcast = fits_broadcast(tickers) if materialize else False
     price = FU.restrict(model.price, tickers, broadcast=bcast)
     dates = P.latest_dates(price)                 # also the set of priced tickers
     fund = FU.restrict(fund, dates.select("ticker"))
