@@ -75,3 +75,12 @@ def test_lazy_plan_runs_nothing_until_asked(spark):
     assert "CartesianProduct" not in plan
     assert spark.sparkContext.statusTracker().getJobIdsForGroup() == before
     assert sorted(r.screener.collect()) == sorted(single_market(model, PERIOD).screener.collect())
+
+
+def test_multi_market_lazy_equals_materialized(spark):
+    from valuora.operators.multimarket import multi_market
+    model = TestdataModel(spark, "/root/testdata/sf0.001")
+    a = multi_market(model, ("MIDDLE EAST",), materialize=False)["growth"].collect()
+    b = multi_market(model, ("MIDDLE EAST",))["growth"].collect()
+    key = lambda r: tuple(str(v) for v in r)
+    assert sorted(a, key=key) == sorted(b, key=key)

@@ -86,16 +86,19 @@ def price_flags(growth: DataFrame, latest: DataFrame,
                          false_if_null(F.col("diff_price_mos_percentage") > limit_pct)))
 
 
-def multi_market_inputs(model, excluded=DEFAULT_EXCLUDED) -> dict[str, DataFrame]:
+def multi_market_inputs(model, excluded=DEFAULT_EXCLUDED,
+                        materialize: bool = True) -> dict[str, DataFrame]:
     markets = kept_markets(model.markets, excluded)
     tm = model.ticker_market
-    tm_small = fits_broadcast(kept_ticker_market(tm, markets))
+    tm_small = fits_broadcast(kept_ticker_market(tm, markets)) if materialize else False
     inc = tag_market(model.income, tm, markets, tm_small)
     cf = tag_market(model.cashflow, tm, markets, tm_small)
     bal = tag_market(model.balance, tm, markets, tm_small)
-    fund = cut_lineage(FU.combine_statements(inc, cf, bal), "mm_fundamental")
+    fund = FU.combine_statements(inc, cf, bal)
+    if materialize:
+        fund = cut_lineage(fund, "mm_fundamental")
     tickers = fund.select("ticker").distinct()
-    bcast = fits_broadcast(tickers)
+    bcast = fits_broadcast(tickers) if materialize else False
     # mutual restriction: prices of statement tickers (already limited to the kept
     # markets, so prices need no market tag on this path); statements of priced
     # tickers, the priced set coming from the per-ticker latest dates (one
@@ -112,9 +115,14 @@ def multi_market_inputs(model, excluded=DEFAULT_EXCLUDED) -> dict[str, DataFrame
 
 
 def multi_market(model, excluded=DEFAULT_EXCLUDED, fp: int = V.DEFAULT_FP,
-                 exp_rr: float = V.DEFAULT_EXP_RR, agg_func: str = "mean") -> dict[str, DataFrame]:
-    """Returns fundamental, annual_price, growth (with flags and company data), price."""
-    inp = multi_market_inputs(model, excluded)
+                 exp_rr: float = V.DEFAULT_EXP_RR, agg_func: str = "mean",
+                 materialize: bool = True) -> dict[str, DataFrame]:
+    """Returns fundamental, annual_price, growth (with flags and company data), price.
+
+    ``materialize=False`` builds the plan without running anything (no lineage
+    cut, no size checks; broadcasts are then left to the planner and AQE).
+    """
+    inp = multi_market_inputs(model, excluded, materialize)
     price = inp["price"]
     annual = P.annual_price(price, how="min")
     fund = FU.add_annual_pe(FU.add_kpis(inp["fundamental_raw"]), annual)
