@@ -19,6 +19,7 @@ from valuora.sources import adapters as A
 _STAGED: dict[tuple[str, str, str], str] = {}
 _LOCK = threading.Lock()                      # guards the two dicts
 _KEY_LOCKS: dict[tuple[str, str, str], threading.Lock] = {}
+_STAGED_DF: dict[tuple[str, str, str], DataFrame] = {}   # the read-back DataFrame of each
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
@@ -91,6 +92,9 @@ class TestdataModel:
         with _LOCK:
             key_lock = _KEY_LOCKS.setdefault(key, threading.Lock())
         with key_lock:                      # one writer per table; tables stage concurrently
+            df_cached = _STAGED_DF.get(key)
+            if df_cached is not None:       # DataFrames are immutable: reuse the read
+                return df_cached
             path = _STAGED.get(key)
             if path is None:
                 base = ensure_checkpoint_dir(self.spark)
@@ -104,7 +108,9 @@ class TestdataModel:
                 df.write.mode("overwrite").parquet(path)
                 with _LOCK:
                     _STAGED[key] = path
-        return self.spark.read.parquet(path)
+            df_read = self.spark.read.parquet(path)
+            _STAGED_DF[key] = df_read
+            return df_read
 
     TABLES = ("price", "income", "cashflow", "balance", "company_info", "symbol_directory",
               "peers", "ticker_market", "companies", "daily_drop")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,14 +16,45 @@ from valuora.operators import valuation as V
 from valuora.session import cut_lineage, fits_broadcast
 
 
-@dataclass
 class SingleMarketResult:
-    company_info: DataFrame
-    price: DataFrame
-    annual_price: DataFrame
-    fundamental: DataFrame
-    growth: DataFrame
-    screener: DataFrame
+    """The result tables of one single-market run, each built on first access.
+
+    Only the narrowing steps (written fundamentals, narrowed prices, latest
+    dates) are set up front; the later tables are DataFrames defined on demand,
+    so a caller that needs the annual price does not pay for planning the
+    screener.
+    """
+
+    def __init__(self, model, company: DataFrame, price: DataFrame, dates: DataFrame,
+                 fund_kpi: DataFrame, period, fp: int, exp_rr: float, agg_func: str,
+                 broadcast: bool):
+        self._model, self._company = model, company
+        self.price, self.dates, self._fund_kpi = price, dates, fund_kpi
+        self._period, self._fp, self._exp_rr, self._agg = period, fp, exp_rr, agg_func
+        self._bcast = broadcast
+
+    @cached_property
+    def annual_price(self) -> DataFrame:
+        return P.annual_price(self.price, self._period[0], self._period[1], how="mean")
+
+    @cached_property
+    def fundamental(self) -> DataFrame:
+        fund = FU.restrict(self._fund_kpi, self.dates.select("ticker"))
+        return FU.add_annual_pe(fund, self.annual_price)
+
+    @cached_property
+    def growth(self) -> DataFrame:
+        return V.sticker_price(G.growth_rates(self.fundamental, self._agg), self._fp, self._exp_rr)
+
+    @cached_property
+    def screener(self) -> DataFrame:
+        return S.screener(self.price, self.growth, self.dates, broadcast=self._bcast)
+
+    @cached_property
+    def company_info(self) -> DataFrame:
+        if hasattr(self._model, "peers"):
+            return C.company_with_peers(self._company, self._model.peers)
+        return self._company
 
 
 def fundamentals_for(model, period: tuple[int | None, int | None],
@@ -68,13 +99,8 @@ def single_market(model, period: tuple[int | None, int | None], fp: int = V.DEFA
     bcast = fits_broadcast(tickers) if materialize else False
     price = FU.restrict(model.price, tickers, broadcast=bcast)
     dates = P.latest_dates(price)                 # also the set of priced tickers
-    fund = FU.restrict(fund, dates.select("ticker"))
-    annual = P.annual_price(price, period[0], period[1], how="mean")
-    fund = FU.add_annual_pe(fund, annual)
-    growth = V.sticker_price(G.growth_rates(fund, agg_func), fp, exp_rr)
-    screen = S.screener(price, growth, dates, broadcast=bcast)
-    company_out = C.company_with_peers(company, model.peers) if hasattr(model, "peers") else company
-    return SingleMarketResult(company_out, price, annual, fund, growth, screen)
+    return SingleMarketResult(model, company, price, dates, fund, period, fp, exp_rr,
+                              agg_func, bcast)
 
 
 def daily_refresh(price_batch: DataFrame, growth: DataFrame) -> DataFrame:
