@@ -10,6 +10,8 @@ Differences to the single-market pipeline, kept on purpose:
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -114,23 +116,44 @@ def multi_market_inputs(model, excluded=DEFAULT_EXCLUDED,
             "dates": dates, "broadcast": bcast}
 
 
+class MultiMarketResult:
+    """Tables of a multi-market run, built on first access (``res["growth"]`` or
+    ``res.growth``): a caller that needs the restricted inputs or the annual
+    price does not pay for planning the growth table."""
+
+    def __init__(self, inp: dict, fp: int, exp_rr: float, agg_func: str):
+        self._inp, self._fp, self._exp_rr, self._agg = inp, fp, exp_rr, agg_func
+        self.price, self.companies, self.markets = inp["price"], inp["companies"], inp["markets"]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(self, name)
+
+    @cached_property
+    def annual_price(self) -> DataFrame:
+        return P.annual_price(self.price, how="min")
+
+    @cached_property
+    def fundamental(self) -> DataFrame:
+        return FU.add_annual_pe(FU.add_kpis(self._inp["fundamental_raw"]), self.annual_price)
+
+    @cached_property
+    def growth(self) -> DataFrame:
+        g = V.sticker_price(G.growth_rates(self.fundamental, self._agg), self._fp, self._exp_rr)
+        latest = P.latest_price(self.price, self._inp["dates"], self._inp["broadcast"])
+        return price_flags(g, latest).join(self.companies, "ticker", "left")
+
+
 def multi_market(model, excluded=DEFAULT_EXCLUDED, fp: int = V.DEFAULT_FP,
                  exp_rr: float = V.DEFAULT_EXP_RR, agg_func: str = "mean",
-                 materialize: bool = True) -> dict[str, DataFrame]:
-    """Returns fundamental, annual_price, growth (with flags and company data), price.
+                 materialize: bool = True) -> MultiMarketResult:
+    """fundamental, annual_price, growth (with flags and company data), price, companies,
+    markets -- by key or attribute.
 
     ``materialize=False`` builds the plan without running anything (no lineage
     cut, no size checks; broadcasts are then left to the planner and AQE).
     """
-    inp = multi_market_inputs(model, excluded, materialize)
-    price = inp["price"]
-    annual = P.annual_price(price, how="min")
-    fund = FU.add_annual_pe(FU.add_kpis(inp["fundamental_raw"]), annual)
-    growth = V.sticker_price(G.growth_rates(fund, agg_func), fp, exp_rr)
-    growth = price_flags(growth, P.latest_price(price, inp["dates"], inp["broadcast"]))
-    growth = growth.join(inp["companies"], "ticker", "left")
-    return {"fundamental": fund, "annual_price": annual, "growth": growth, "price": price,
-            "companies": inp["companies"], "markets": inp["markets"]}
+    return MultiMarketResult(multi_market_inputs(model, excluded, materialize), fp, exp_rr,
+                             agg_func)
 
 
 DASHBOARD_COLUMNS = ["market", "sector", "industry", "company_name", "ticker", "mos",
