@@ -19,7 +19,7 @@ from valuora.sources import adapters as A
 _STAGED: dict[tuple[str, str, str], str] = {}
 _LOCK = threading.Lock()                      # guards the two dicts
 _KEY_LOCKS: dict[tuple[str, str, str], threading.Lock] = {}
-_STAGED_DF: dict[tuple[str, str, str], DataFrame] = {}   # the read-back DataFrame of each
+_STAGED_DF: dict[tuple, DataFrame] = {}   # the read-back DataFrame of each
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
@@ -92,7 +92,8 @@ class TestdataModel:
         with _LOCK:
             key_lock = _KEY_LOCKS.setdefault(key, threading.Lock())
         with key_lock:                      # one writer per table; tables stage concurrently
-            df_cached = _STAGED_DF.get(key)
+            df_key = key + (id(self.spark),)  # a DataFrame belongs to its session
+            df_cached = _STAGED_DF.get(df_key)
             if df_cached is not None:       # DataFrames are immutable: reuse the read
                 return df_cached
             path = _STAGED.get(key)
@@ -109,7 +110,7 @@ class TestdataModel:
                 with _LOCK:
                     _STAGED[key] = path
             df_read = self.spark.read.parquet(path)
-            _STAGED_DF[key] = df_read
+            _STAGED_DF[df_key] = df_read
             return df_read
 
     TABLES = ("price", "income", "cashflow", "balance", "company_info", "symbol_directory",
