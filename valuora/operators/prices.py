@@ -7,6 +7,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from valuora.session import cut_lineage, fits_broadcast
+
 
 def period_filter(df: DataFrame, start_year: int | None, end_year: int | None,
                   year_col: str = "fiscal_year") -> DataFrame:
@@ -74,8 +76,10 @@ def latest_dates(price: DataFrame) -> DataFrame:
 
 def at_dates(price: DataFrame, dates: DataFrame, broadcast: bool = False) -> DataFrame:
     """Price rows on each ticker's ``last_date`` (all rows of a tie), as an equi-join
-    on (ticker, date). ``dates`` has one row per ticker, so AQE turns this into a
-    broadcast hash join that streams the price table without a shuffle. On a
+    on (ticker, date). ``dates`` has one row per ticker; with ``broadcast=True``
+    (after the caller's size check) the join is a broadcast hash join that
+    streams the price table without a shuffle, otherwise a join keyed on
+    (ticker, date) that AQE may still convert from measured sizes. On a
     date-partitioned price table (``sinks.write_price_table``) Spark adds a
     dynamic partition pruning filter when the ``dates`` side carries a
     selective filter (as in the screener, through the growth table), so only
@@ -98,7 +102,6 @@ def latest_price(price: DataFrame, dates: DataFrame | None = None,
     streamed through a broadcast hash join, never shuffled, whenever the
     ticker set fits.
     """
-    from valuora.session import cut_lineage, fits_broadcast
     if dates is None:
         dates = cut_lineage(latest_dates(price), "latest_dates")
     if broadcast is None:

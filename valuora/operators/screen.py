@@ -24,12 +24,15 @@ def screener(price: DataFrame, growth: DataFrame,
     join. The final ``na.drop`` also removes NaN, as in the reference.
     """
     valued = growth.select(*VALUATION_COLUMNS).where(F.col("mos").isNotNull())
+    if broadcast is None:
+        # no bound known: write the valued tickers once (one row per ticker) and
+        # count them; the join-back side below has at most that many rows
+        valued = cut_lineage(valued, "valued")
+        broadcast = fits_broadcast(valued)
     if dates is None:
-        dates = latest_dates(price.join(valued.select("ticker"), "ticker", "left_semi"))
+        vt = valued.select("ticker")
+        dates = latest_dates(price.join(F.broadcast(vt) if broadcast else vt, "ticker", "left_semi"))
     side = dates.join(valued, "ticker", "inner")
-    if broadcast is None:   # no bound known: write the small side once and count it
-        side = cut_lineage(side, "screener_side")
-        broadcast = fits_broadcast(side)
     out = (at_dates(price, side, broadcast)
            .where(F.col("last_low_price") <= F.col("mos"))
            .select(*SCREENER_COLUMNS))
