@@ -106,10 +106,10 @@ def single_market(model, period: tuple[int | None, int | None], fp: int = V.DEFA
 def daily_refresh(price_batch: DataFrame, growth: DataFrame) -> DataFrame:
     """Yesterday's valuation against today's price files: the screener on the batch.
 
-    Only tickers of the stored growth table are read from the batch (semi join).
+    The screener reads only the valued tickers of the stored growth table from
+    the batch (a size-checked broadcast semi join).
     """
-    batch = FU.restrict(price_batch, growth.select("ticker"))
-    return S.screener(batch, growth)
+    return S.screener(price_batch, growth)
 
 
 def staging_symbols(model) -> DataFrame:
