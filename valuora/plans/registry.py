@@ -722,6 +722,40 @@ def q_daily_refresh(spark, sf):
     return PL.daily_refresh(model(spark, sf).daily_drop, r.growth)
 
 
+# ---------------------------------------------------------------- stored results
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+    from valuora.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/valuora-{name}/{uuid.uuid4().hex}"
+
+
+@query("result_readback", "SELECT * FROM screener")
+def q_result_readback(spark, sf):
+    """The processing job writes its four result tables; the screener is read back."""
+    from valuora.sources.files import read_result_tables
+    out = _scratch(spark, "results")
+    PL.run_and_store(model(spark, sf), out, O.PERIOD)
+    return read_result_tables(spark, out)["screener"]
+
+
+SNAPSHOT_DATES = ("2023-03-10", "2023-03-11")
+
+
+@query("snapshot_read", f"""
+SELECT * REPLACE ({O.sig12('eps_future')} AS eps_future), DATE '{SNAPSHOT_DATES[-1]}' AS snapshot_date
+FROM growth""")
+def q_snapshot_read(spark, sf):
+    """The growth table written as two dated snapshots; the latest one is read back."""
+    from valuora import sinks
+    from valuora.sources.files import read_snapshot
+    out = _scratch(spark, "snapshots")
+    growth = run_single(spark, sf).growth
+    for d in SNAPSHOT_DATES:
+        sinks.write_snapshot(growth, out, "growth", d)
+    return sig12(read_snapshot(spark, out, "growth"), "eps_future")
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
