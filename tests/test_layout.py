@@ -43,3 +43,20 @@ def test_partition_and_dynamic_pruning(spark, tmp):
     s = screener(price, growth, broadcast=True)
     assert [(r.ticker, r.last_low_price) for r in s.collect()] == [("A", 27.0)]
     assert "dynamicpruning" in s._jdf.queryExecution().executedPlan().toString()
+
+
+def test_daily_loads_replace_only_their_day(spark, tmp):
+    schema = ("date date, ticker string, open double, high double, low double, close double, "
+              "adj_close double, volume double")
+    day = lambda d, low: spark.createDataFrame(
+        [(d, "A", 1.0, 1.0, low, 1.0, 1.0, 1.0)], schema)
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")   # a bare session
+    try:
+        sinks.write_price_table(day(dt.date(2022, 2, 24), 1.0), f"{tmp}/p")
+        sinks.write_price_table(day(dt.date(2022, 2, 25), 2.0), f"{tmp}/p")
+        sinks.write_price_table(day(dt.date(2022, 2, 25), 3.0), f"{tmp}/p")   # a re-run
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    got = sorted((str(r.date), r.low) for r in read_price_table(spark, f"{tmp}/p").collect())
+    assert got == [("2022-02-24", 1.0), ("2022-02-25", 3.0)]

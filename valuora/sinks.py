@@ -74,8 +74,11 @@ def write_price_table(price: DataFrame, path: str, n_partitions: int | None = No
     """
     df = (price.repartitionByRange(n_partitions, "date", "ticker") if n_partitions
           else price.repartitionByRange("date", "ticker"))
+    # dynamic overwrite on the writer itself: loading one day replaces only
+    # that day's folder, whatever the session default is
     (df.sortWithinPartitions("date", "ticker")
-       .write.mode("overwrite").partitionBy("date").parquet(path))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("date").parquet(path))
 
 
 def write_per_symbol_csv(price: DataFrame, path: str) -> None:
