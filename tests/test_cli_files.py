@@ -61,3 +61,14 @@ def test_cli_multi_and_daily(spark, tmp):
     main(["daily", "--growth", f"{tmp}/proc/growth", "--drop", f"{tmp}/drop", "--out", f"{tmp}/daily"])
     s = spark.read.parquet(f"{tmp}/daily/screener").collect()
     assert [(r.ticker, r.last_low_price) for r in s] == [(t.ticker, t.mos / 2)]
+
+
+def test_file_model_without_peers(spark, tmp):
+    tm = TestdataModel(spark, "/root/testdata/sf0.001")
+    paths = {}
+    for name in ("price", "income", "cashflow", "balance", "company_info"):
+        sinks.write_table(getattr(tm, name), f"{tmp}/{name}")
+        paths[name] = f"{tmp}/{name}"
+    r = single_market(FileModel(spark, paths), PERIOD)
+    assert "peer_string" not in r.company_info.columns
+    assert r.screener.count() == single_market(tm, PERIOD).screener.count()

@@ -3,6 +3,38 @@
 Every public function takes and returns DataFrames (or Columns); nothing is
 collected to the driver inside the library. Actions happen only in sinks,
 tests and the bench.
+
+Main entry points (see README, "API")::
+
+    from valuora import get_spark, FileModel, TestdataModel, single_market, multi_market
 """
 
 __version__ = "0.1.0"
+
+_EXPORTS = {
+    "get_spark": "valuora.session",
+    "cluster_conf": "valuora.session",
+    "TestdataModel": "valuora.plans.model",
+    "FileModel": "valuora.plans.model",
+    "single_market": "valuora.plans.pipelines",
+    "run_and_store": "valuora.plans.pipelines",
+    "daily_refresh": "valuora.plans.pipelines",
+    "multi_market": "valuora.operators.multimarket",
+    "screener": "valuora.operators.screen",
+    "sticker_price": "valuora.operators.valuation",
+    "growth_rates": "valuora.operators.growth",
+    "annual_price": "valuora.operators.prices",
+    "latest_price": "valuora.operators.prices",
+    "describe": "valuora.operators.profile",
+    "column_profile": "valuora.operators.profile",
+}
+
+__all__ = sorted(_EXPORTS)
+
+
+def __getattr__(name):
+    """Lazy re-exports, so importing the package does not import PySpark modules."""
+    if name in _EXPORTS:
+        import importlib
+        return getattr(importlib.import_module(_EXPORTS[name]), name)
+    raise AttributeError(f"module 'valuora' has no attribute {name!r}")

@@ -249,6 +249,8 @@ class FileModel:
 
     @cached_property
     def peers(self) -> DataFrame:
+        if not self._has("peers"):   # optional: results then carry no peer columns
+            raise AttributeError("no peers table given")
         return self._read("peers").select("ticker", "peer_string")
 
     @cached_property
