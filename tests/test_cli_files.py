@@ -72,3 +72,18 @@ def test_file_model_without_peers(spark, tmp):
     r = single_market(FileModel(spark, paths), PERIOD)
     assert "peer_string" not in r.company_info.columns
     assert r.screener.count() == single_market(tm, PERIOD).screener.count()
+
+
+def test_file_model_multi_market(spark, tmp):
+    from valuora.operators.multimarket import multi_market
+    tm = TestdataModel(spark, "/root/testdata/sf0.001")
+    paths = {}
+    for name in ("price", "income", "cashflow", "balance", "companies", "industries", "markets"):
+        sinks.write_table(sinks.display(getattr(tm, name)), f"{tmp}/{name}")
+        paths[name] = f"{tmp}/{name}"
+    fm = FileModel(spark, paths)
+    assert "market_id" in fm.markets.columns and "industry_id" in fm.companies.columns
+    key = lambda r: tuple(str(v) for v in r)
+    a = multi_market(fm, ("MIDDLE EAST",))["growth"]
+    b = multi_market(tm, ("MIDDLE EAST",))["growth"]
+    assert sorted(a.collect(), key=key) == sorted(b.select(*a.columns).collect(), key=key)

@@ -23,6 +23,7 @@ DISPLAY_NAMES = {
     "net_cash_ops": "Net Cash from Operating Activities",
     "net_cash_inv": "Net Cash from Investing Activities", "dividends_paid": "Dividends Paid",
     "dividends_paid_clean": "Dividends Paid_clean",
+    "market_id": "MarketId", "industry_id": "IndustryId",
 }
 
 
