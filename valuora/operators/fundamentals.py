@@ -76,12 +76,14 @@ def add_kpis(df: DataFrame) -> DataFrame:
     fcf  = operating cash - investing cash
     """
     div_clean = F.coalesce(F.col("dividends_paid"), F.lit(0.0))
-    return (df.withColumn("dividends_paid_clean", div_clean)
-              .withColumn("roic", (F.col("net_income") + div_clean)
-                          / null_if_zero(F.col("total_liab_equity")))
-              .withColumn("eps", ieee_div(F.col("net_income"), F.col("shares_basic")))
-              .withColumn("bvps", ieee_div(F.col("total_equity"), F.col("shares_basic")))
-              .withColumn("fcf", F.col("net_cash_ops") - F.col("net_cash_inv")))
+    # one projection (one analysis of the plan) for all five columns
+    return df.withColumns({
+        "dividends_paid_clean": div_clean,
+        "roic": (F.col("net_income") + div_clean) / null_if_zero(F.col("total_liab_equity")),
+        "eps": ieee_div(F.col("net_income"), F.col("shares_basic")),
+        "bvps": ieee_div(F.col("total_equity"), F.col("shares_basic")),
+        "fcf": F.col("net_cash_ops") - F.col("net_cash_inv"),
+    })
 
 
 def add_annual_pe(fundamental: DataFrame, annual: DataFrame) -> DataFrame:

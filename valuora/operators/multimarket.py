@@ -81,11 +81,10 @@ def price_flags(growth: DataFrame, latest: DataFrame,
     g = growth.join(latest.select("ticker", "last_low_price"), "ticker", "left")
     mos, low = F.col("mos"), F.col("last_low_price")
     pct = F.lit(100.0) * round2(ieee_div(mos - low, low))
-    return (g.withColumn("mos_reached", false_if_null(mos >= low))
-             .withColumn("diff_price_mos", mos - low)
-             .withColumn("diff_price_mos_percentage", pct)
-             .withColumn("out_off_bounds_value",
-                         false_if_null(F.col("diff_price_mos_percentage") > limit_pct)))
+    return g.withColumns({"mos_reached": false_if_null(mos >= low),
+                          "diff_price_mos": mos - low,
+                          "diff_price_mos_percentage": pct,
+                          "out_off_bounds_value": false_if_null(pct > limit_pct)})
 
 
 def multi_market_inputs(model, excluded=DEFAULT_EXCLUDED,

@@ -29,9 +29,10 @@ def sticker_price(growth: DataFrame, fp: int = DEFAULT_FP,
     failed = (false_if_null(F.col("roic_gr_5yr") < 0)
               | false_if_null(F.col("fcf_gr_5yr") < 0)
               | false_if_null(F.col("bvps_gr_5yr") < 0))
-    price_future = round2(F.when(~failed, F.col("pe_future") * F.col("eps_future")))
-    return (growth.withColumn("pe_future", pe_future)
-                  .withColumn("eps_future", eps_future)
-                  .withColumn("price_future", price_future)
-                  .withColumn("sticker_price", round2(F.col("price_future") / F.lit(discount)))
-                  .withColumn("mos", round2(F.col("sticker_price") / 2)))
+    price_future = round2(F.when(~failed, pe_future * eps_future))
+    sticker = round2(price_future / F.lit(discount))
+    # one projection; the dependent columns repeat their inputs' expressions,
+    # which codegen's common-subexpression elimination evaluates once
+    return growth.withColumns({"pe_future": pe_future, "eps_future": eps_future,
+                               "price_future": price_future, "sticker_price": sticker,
+                               "mos": round2(sticker / 2)})
