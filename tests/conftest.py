@@ -3,6 +3,11 @@ import sys
 import tempfile
 
 import pytest
+from hypothesis import settings
+
+# property tests draw the same examples on every run (no flaky rounds)
+settings.register_profile("repeatable", derandomize=True, database=None)
+settings.load_profile("repeatable")
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
