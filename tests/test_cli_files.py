@@ -3,7 +3,7 @@ import os
 
 from valuora.plans.model import FileModel, TestdataModel
 from valuora.plans.oracle import PERIOD
-from valuora.plans.pipelines import single_market
+from valuora.plans.jobs import single_market
 from valuora import sinks
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from valuora.operators.quality import duplicate_keys
 from valuora.plans.model import TestdataModel
 from valuora.plans.oracle import PERIOD
-from valuora.plans.pipelines import single_market
+from valuora.plans.jobs import single_market
 
 SF = "/root/testdata/sf0.01"
 

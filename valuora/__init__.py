@@ -16,9 +16,9 @@ _EXPORTS = {
     "cluster_conf": "valuora.session",
     "TestdataModel": "valuora.plans.model",
     "FileModel": "valuora.plans.model",
-    "single_market": "valuora.plans.pipelines",
-    "run_and_store": "valuora.plans.pipelines",
-    "daily_refresh": "valuora.plans.pipelines",
+    "single_market": "valuora.plans.jobs",
+    "run_and_store": "valuora.plans.jobs",
+    "daily_refresh": "valuora.plans.jobs",
     "multi_market": "valuora.operators.multimarket",
     "screener": "valuora.operators.screen",
     "sticker_price": "valuora.operators.valuation",

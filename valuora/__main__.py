@@ -55,7 +55,7 @@ def main(argv=None) -> None:
     spark = get_spark(args.master, extra=extra)
 
     if args.command == "process":
-        from valuora.plans.pipelines import run_and_store
+        from valuora.plans.jobs import run_and_store
         paths = run_and_store(_model(spark, args), args.out, (args.start, args.end),
                               args.fp, args.rr, agg_func=args.agg, market=args.market)
         print(json.dumps(paths))
@@ -72,7 +72,7 @@ def main(argv=None) -> None:
         print(json.dumps({"snapshot_date": day, "out": args.out}))
     else:
         from valuora.sources.files import read_prices_csv
-        from valuora.plans.pipelines import daily_refresh
+        from valuora.plans.jobs import daily_refresh
         from valuora import sinks
         growth = spark.read.parquet(args.growth)
         batch = read_prices_csv(spark, args.drop)

@@ -1,4 +1,4 @@
-"""Composite pipelines: single-market processing, daily refresh, staging symbols."""
+"""Composite jobs: single-market processing, daily refresh, staging symbols, stored run."""
 
 from __future__ import annotations
 

@@ -26,7 +26,7 @@ from valuora.operators import prices as P
 from valuora.operators import quality as Q
 from valuora.operators import screen as S
 from valuora.plans import oracle as O
-from valuora.plans import pipelines as PL
+from valuora.plans import jobs as PL
 from valuora.plans.model import TestdataModel
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
