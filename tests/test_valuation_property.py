@@ -73,3 +73,36 @@ def test_screener_matches_python(spark, prices, mos):
             if tt == t and d == last and p <= m:
                 exp.append((t, (base + dt.timedelta(days=d)).isoformat(), p))
     assert got == sorted(exp)
+
+
+VAL = st.one_of(st.none(), st.sampled_from([0.0, 0.5, 1.0, 2.5, 10.0, 36.0, 100.0, 1234.56]))
+
+
+def py_flags(mos, low, limit=3500):
+    reached = mos is not None and low is not None and mos >= low
+    diff = None if mos is None or low is None else mos - low
+    if mos is None or low is None:
+        pct = None
+    elif low == 0:
+        pct = None if mos - low == 0 else (math.inf if mos - low > 0 else -math.inf)
+    else:
+        pct = 100.0 * float(np.round((mos - low) / low, 2))
+    out = pct is not None and pct > limit
+    return reached, diff, pct, out
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(st.lists(st.tuples(VAL, VAL), min_size=1, max_size=40))
+def test_price_flags_match_python(spark, pairs):
+    from valuora.operators.multimarket import price_flags
+    g = spark.createDataFrame([(f"T{i}", m) for i, (m, _) in enumerate(pairs)],
+                              "ticker string, mos double")
+    latest = spark.createDataFrame([(f"T{i}", lo) for i, (_, lo) in enumerate(pairs)],
+                                   "ticker string, last_low_price double")
+    got = {r.ticker: r for r in price_flags(g, latest).collect()}
+    for i, (m, lo) in enumerate(pairs):
+        r = got[f"T{i}"]
+        reached, diff, pct, out = py_flags(m, lo)
+        assert r.mos_reached is reached and r.out_off_bounds_value is out
+        assert r.diff_price_mos == diff
+        assert r.diff_price_mos_percentage == pct, (m, lo, r.diff_price_mos_percentage, pct)
