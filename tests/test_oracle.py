@@ -51,3 +51,10 @@ def test_query_matches_oracle(spark, con, name):
 def test_every_query_has_a_builder():
     assert set(oracle_sql()) <= set(queries())
     assert len(queries()) >= 60
+
+
+def test_query_names_follow_the_rules():
+    import re
+    for name in queries():
+        assert name != "pipeline" and not re.match(r"op\d+_", name), name
+        assert re.fullmatch(r"[a-z][a-z0-9_]*", name), name
