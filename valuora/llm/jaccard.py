@@ -7,7 +7,8 @@ A document is the set of its distinct word shingles. Two documents link when
   document's shingles in each group is a point. The overlap of two sets is at
   most the sum of the coordinates' minima, and of a point and a box the sum of
   the minima with the box's upper corner. A link needs an overlap of
-  ``percent / (100 + percent)`` of both sizes together.
+  ``percent / (100 + percent)`` of both sizes together. Long documents have
+  finer groups, a power of two of them, which fold into ``GROUPS`` for the tree.
 * *Cells.* One R-tree over everything would compare each query with every
   document of its size, as hashed counts of unrelated texts look alike. So the
   documents are first cut into cells, losslessly: in any common order of the
@@ -41,21 +42,39 @@ from pyspark.sql import functions as F
 from . import textops as T
 from .shared import components, cut_lineage, texts_of
 
-GROUPS = 64          # coordinates of a point
-ORDER_BITS = 14      # hash groups whose corpus counts order the shingles
+GROUPS = 256         # coordinates of a point in a tree
+SPREAD = 8           # shingles per coordinate, at most, of a long document's own point
+ORDER_BITS = 18      # hash groups whose corpus counts order the shingles
 LEAF = 16            # points in an R-tree leaf
 FANOUT = 8           # children of an inner node
 QUERY_BLOCK = 256    # queries, and
 DATA_BLOCK = 1024    # members of a cell, that one task's tree joins
-FULL = np.iinfo(np.uint16).max
+FULL = np.iinfo(np.uint8).max
 
 
 # --- points and the R-tree --------------------------------------------------------
 
-def point(sh: np.ndarray) -> np.ndarray:
-    """Shingles per hash group; a coordinate stops at ``FULL``."""
-    c = np.bincount((sh & T.U64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
-    return np.minimum(c, FULL).astype(np.uint16)
+def points(sh: np.ndarray, heads: np.ndarray) -> list[np.ndarray]:
+    """Shingles of each text per hash group; a coordinate stops at ``FULL``."""
+    size = np.diff(heads)
+    text = np.repeat(np.arange(len(size)), size)
+    small = size <= GROUPS * SPREAD
+    on = small[text]
+    c = np.bincount(text[on] * GROUPS + (sh[on] & T.U64(GROUPS - 1)).astype(np.int64), minlength=len(size) * GROUPS)
+    out = list(np.minimum(c, FULL).astype(np.uint8).reshape(len(size), GROUPS))
+    for i in np.flatnonzero(~small).tolist():
+        groups = 1 << int(size[i] // SPREAD).bit_length()
+        own = (sh[heads[i]:heads[i + 1]] & T.U64(groups - 1)).astype(np.int64)
+        out[i] = np.minimum(np.bincount(own, minlength=groups), FULL).astype(np.uint8)
+    return out
+
+
+def folded(p: np.ndarray, groups: int) -> np.ndarray:
+    """A finer point in coarser groups."""
+    if len(p) == groups:
+        return p
+    c = np.where((p == FULL).any(), FULL, p.reshape(-1, groups).sum(axis=0, dtype=np.int64))
+    return np.minimum(c, FULL).astype(np.uint8)
 
 
 def overlap_bound(q: np.ndarray, upper: np.ndarray) -> np.ndarray:
@@ -112,23 +131,24 @@ class RTree:
 
 # --- passes over the texts ----------------------------------------------------------
 
+def _names(sh: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two sums over each set that name it; equal sets have equal names."""
+    return T.sums(sh, heads), T.sums(T.mix(sh ^ T.U64(0xA5A5A5A55A5A5A5A)), heads)
+
+
 def _sets(width: int):
-    """Per document: size, two sums over the set that name it, its point; and group counts."""
+    """Per document: size, the two sums that name its set, its point; and group counts."""
     def run(batches):
         counts = np.zeros(1 << ORDER_BITS, np.int64)
         for whole in batches:
             for b in T.slices(whole, "text"):
-                n, f1, f2, pts = [], [], [], []
-                for sh in T.text_shingles(b.column("text"), width):
-                    n.append(len(sh))
-                    f1.append(sh.sum(dtype=T.U64))
-                    f2.append(T.mix(sh ^ T.U64(0xA5A5A5A55A5A5A5A)).sum(dtype=T.U64))
-                    pts.append(point(sh).tobytes())
-                    counts += np.bincount((sh >> T.U64(64 - ORDER_BITS)).astype(np.int64), minlength=len(counts))
+                sh, heads = T.text_shingles(b.column("text"), width)
+                f1, f2 = _names(sh, heads)
+                pts = points(sh, heads)
+                counts += np.bincount((sh >> T.U64(64 - ORDER_BITS)).astype(np.int64), minlength=len(counts))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("id"), pa.array(n, pa.int64()),
-                     pa.array(np.array(f1, T.U64).view(np.int64)), pa.array(np.array(f2, T.U64).view(np.int64)),
-                     pa.array(pts, pa.binary()), pa.nulls(len(n), pa.int32())],
+                    [b.column("id"), pa.array(np.diff(heads)), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)),
+                     pa.array([p.tobytes() for p in pts], pa.binary()), pa.nulls(len(pts), pa.int32())],
                     names=["id", "n", "f1", "f2", "point", "grp"])
         at = np.flatnonzero(counts)
         none = pa.nulls(len(at), pa.int64())
@@ -139,73 +159,86 @@ def _sets(width: int):
 
 
 def _first_shingles(rank: np.ndarray, percent: int, width: int):
-    """Rows (shingle, id): the first shingles of each set in the common order."""
+    """Rows (shingle, id): the first shingles of each set in the common order.
+
+    Equal sets are one class: one document of a piece speaks for all of its class.
+    """
     low = T.U64((1 << (64 - ORDER_BITS)) - 1)
     shift = T.U64(64 - ORDER_BITS)
 
     def run(batches):
         for whole in batches:
             for b in T.slices(whole, "text"):
-                ids, toks, seen = [], [], set()
-                id_col = b.column("id").to_numpy(zero_copy_only=False)
-                for i, sh in enumerate(T.text_shingles(b.column("text"), width)):
-                    n = len(sh)
-                    if not n:
-                        continue
-                    name = (n, int(sh.sum(dtype=T.U64)), int(np.bitwise_xor.reduce(sh)))
-                    if name in seen:  # equal sets are one class: one of a piece speaks for all
-                        continue
-                    seen.add(name)
-                    key = np.sort((rank[(sh >> shift).astype(np.int64)] << shift) | (sh & low))
-                    key = key[:n - -(-n * percent // 100) + 1]
-                    ids.append(np.full(len(key), id_col[i]))
-                    toks.append(key)
-                if ids:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(toks).view(np.int64)), pa.array(np.concatenate(ids).astype(np.int64))],
-                        names=["tok", "id"])
+                sh, heads = T.text_shingles(b.column("text"), width)
+                name = np.stack([*_names(sh, heads), np.diff(heads).astype(T.U64)], axis=1)
+                own = np.sort(np.unique(name, axis=0, return_index=True)[1])
+                key = (rank[(sh >> shift).astype(np.int64)] << shift) | (sh & low)
+                take = np.zeros(len(key), bool)
+                for i in own.tolist():
+                    a, z = heads[i], heads[i + 1]
+                    key[a:z].sort()
+                    n = z - a
+                    take[a:a + (n - -(-n * percent // 100) + 1 if n else 0)] = True
+                ids = np.repeat(b.column("id").to_numpy(zero_copy_only=False).astype(np.int64), np.diff(heads))
+                yield pa.RecordBatch.from_arrays([pa.array(key[take].view(np.int64)), pa.array(ids[take])],
+                                                 names=["tok", "id"])
     return run
 
 
 def _verify(percent: int, width: int):
-    """Keeps the pairs whose exact sets link; a pair side's set is kept while it repeats."""
+    """Keeps the pairs whose exact sets link; the first side's set is kept while it repeats."""
     def run(batches):
-        last, last_set = None, None
+        last, kept = None, None
         for whole in batches:
             for b in T.slices(whole, "text_b"):
                 names = b.column("a").to_pylist()
                 texts = b.column("text_a")
                 hit = np.zeros(b.num_rows, bool)
-                for i, sh in enumerate(T.text_shingles(b.column("text_b"), width)):
-                    if names[i] != last or last_set is None:
-                        last, last_set = names[i], next(T.text_shingles(texts.slice(i, 1), width))
-                    inter = len(np.intersect1d(last_set, sh, assume_unique=True))
-                    hit[i] = inter > 0 and 100 * inter >= percent * (len(last_set) + len(sh) - inter)
+                sh, heads = T.text_shingles(b.column("text_b"), width)
+                for i, name in enumerate(names):
+                    text = texts[i]
+                    if kept is None or name != last or text != kept[0]:
+                        last, kept = name, (text, T.text_shingles(texts.slice(i, 1), width)[0])
+                    one, two = kept[1], sh[heads[i]:heads[i + 1]]
+                    inter = len(np.intersect1d(one, two, assume_unique=True))
+                    hit[i] = inter > 0 and 100 * inter >= percent * (len(one) + len(two) - inter)
                 if hit.any():
                     yield b.select(["a", "b"]).filter(pa.array(hit))
     return run
 
 
+def pairs_may_link(a: list[np.ndarray], b: list[np.ndarray], n_a, n_b, percent: int) -> np.ndarray:
+    """:func:`may_link` of pairs of points, each pair in the finest groups that both have."""
+    groups = np.array([min(len(x), len(y)) for x, y in zip(a, b, strict=True)], np.int64)
+    ok = np.zeros(len(groups), bool)
+    for g in np.unique(groups).tolist():
+        at = np.flatnonzero(groups == g)
+        for part in np.array_split(at, -(-len(at) * g // (1 << 24))):
+            left, right = (np.stack([folded(side[i], g) for i in part.tolist()]) for side in (a, b))
+            ok[part] = may_link(overlap_bound(left, right), n_a[part], n_b[part], percent)
+    return ok
+
+
+def _read_points(col) -> list[np.ndarray]:
+    return [np.frombuffer(p, np.uint8) for p in col.to_pylist()]
+
+
 def _bound_filter(percent: int):
     def run(batches):
         for b in batches:
-            if not b.num_rows:
-                continue
-            pa_, pb = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, GROUPS)
-                       for c in ("point_a", "point_b"))
-            na, nb = (b.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b"))
-            ok = may_link(overlap_bound(pa_, pb), na, nb, percent)
-            yield b.filter(pa.array(ok))
+            if b.num_rows:
+                n_a, n_b = (b.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b"))
+                yield b.filter(pa.array(pairs_may_link(
+                    _read_points(b.column("point_a")), _read_points(b.column("point_b")), n_a, n_b, percent)))
     return run
 
 
 def _tree_join(percent: int):
     """One block of a cell: its queries against an R-tree over its data points."""
     def run(key, table):
-        d = table.to_pydict()
-        pts = np.frombuffer(b"".join(d["point"]), np.uint16).reshape(-1, GROUPS)
-        ids, n, comp = (np.array(d[c], np.int64) for c in ("id", "n", "comp"))
-        asks, open_ = np.array(d["asks"], bool), np.array(d["open"], bool)
+        own = _read_points(table.column("point"))
+        pts = np.stack([folded(p, GROUPS) for p in own])
+        ids, n, comp, asks, open_ = (table.column(c).to_numpy() for c in ("id", "n", "comp", "asks", "open"))
         data = np.flatnonzero(~asks)
         a, b = [], []
         if len(data) and asks.any():
@@ -214,6 +247,8 @@ def _tree_join(percent: int):
                 hit = data[tree.query(pts[q], n[q], percent)]
                 # a pair of two queries is asked once; one component needs no test
                 hit = hit[(comp[hit] != comp[q]) & (~open_[hit] | (ids[hit] > ids[q]))]
+                if len(own[q]) > GROUPS and len(hit):
+                    hit = hit[pairs_may_link([own[q]] * len(hit), [own[i] for i in hit], np.full(len(hit), n[q]), n[hit], percent)]
                 a.append(np.full(len(hit), ids[q]))
                 b.append(ids[hit])
         a = np.concatenate(a) if a else np.zeros(0, np.int64)
@@ -261,17 +296,19 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .join(to_rid.select(F.col("id").alias("head"), F.col("rid").alias("a")), "head")
         .where("a <> b").select("a", "b").distinct(), "cells")
 
-    points = classes.select(F.col("rid").alias("id"), "n", "point")
-    star = _confirmed(_bounded(cells, points, percent), text, percent, width)
-    links = cut_lineage(star, "links")
-    rest = _left_over(cells, links, points, percent)
-    more = cut_lineage(_confirmed(rest, text, percent, width), "links")
-
-    # documents of one id with several texts are one node: tie their classes together
-    same = to_rid.groupBy("id").agg(F.min("rid").alias("a"), F.max("rid").alias("b")).where("a <> b").select("a", "b")
-    comp = components(links.unionByName(more).unionByName(same)
-                      .unionByName(to_rid.join(to_rid.groupBy("id").count().where("count > 2").select("id"), "id")
-                                   .select(F.col("id").alias("a"), F.col("rid").alias("b"))))
+    # each member against the first document of its first cell, then what that leaves apart
+    spots = classes.select(F.col("rid").alias("id"), "n", "point")
+    near = cells.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = cut_lineage(_confirmed(_bounded(near, spots, percent), text, percent, width), "links")
+    apart = _apart(cells.join(near, ["a", "b"], "left_anti"), components(links))
+    links = cut_lineage(links.unionByName(_confirmed(_bounded(apart, spots, percent), text, percent, width)), "links")
+    open_ = _left_over(cells, components(links), spots, percent)
+    links = links.unionByName(cut_lineage(_confirmed(open_, text, percent, width), "links"))
+
+    # an id with several texts is one node: tie its classes together
+    many = to_rid.groupBy("id").count().where("count > 1").select("id")
+    tied = to_rid.join(many, "id").select(F.col("id").alias("a"), F.col("rid").alias("b"))
+    comp = components(links.unionByName(tied))
     by_id = (to_rid.join(comp.withColumnRenamed("id", "rid"), "rid", "left")
              .groupBy("id").agg(F.min(F.coalesce("component", "rid")).alias("component")))
     return (sets.select("id", "n").join(by_id, "id", "left")
@@ -279,6 +316,14 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.coalesce("component", "id").alias("component_id")))
 
 
+def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """The pairs that are not in one component yet."""
+    for side in ("a", "b"):
+        pairs = (pairs.join(comp.select(F.col("id").alias(side), F.col("component").alias(f"c_{side}")), side, "left")
+                 .withColumn(f"c_{side}", F.coalesce(f"c_{side}", side)))
+    return pairs.where("c_a <> c_b").select("a", "b")
+
+
 def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` that the bound of their points lets through."""
     side = lambda s: points.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("point").alias(f"point_{s}"))
@@ -291,29 +336,31 @@ def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
 def _confirmed(pairs: DataFrame, text: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs whose whole texts link."""
     pairs = cut_lineage(pairs, "pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = cut_lineage(texts_of(text, ids, "id").distinct(), "texts")
-    side = lambda s: texts.select(F.col("id").alias(s), F.col("text").alias(f"text_{s}"))
+    if pairs.isEmpty():
+        return pairs
+    side = lambda s: texts_of(text, pairs.select(F.col(s).alias("id"))).toDF(s, f"text_{s}")
     return (pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
             .mapInArrow(_verify(percent, width), "a long, b long").distinct())
 
 
-def _left_over(cells: DataFrame, links: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a cell that the test against its first document leaves open.
+def _left_over(cells: DataFrame, comp: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a cell that the tests against its first document leave open.
 
-    Members that did not link with the first one query the cell's R-tree. Cells
-    are cut into blocks of queries and of data, so a task holds a bounded part
-    however large the cell.
+    Members that are not in the first one's component query the cell's R-tree.
+    Cells are cut into blocks of queries and of data, so a task holds a bounded
+    part however large the cell.
     """
-    comp = components(links)
-    state = cells.join(links.withColumn("linked", F.lit(True)), ["a", "b"], "left").select(
-        F.col("a").alias("cell"), F.col("b").alias("id"), F.col("linked").isNull().alias("open"))
+    labels = comp.select("id", "component")
+    state = (cells.select(F.col("a").alias("cell"), F.col("b").alias("id"))
+             .join(labels, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+             .join(labels.select(F.col("id").alias("cell"), F.col("component").alias("head")), "cell", "left")
+             .withColumn("open", F.col("comp") != F.coalesce("head", "cell")).drop("head"))
+    state = cut_lineage(state, "cells")
     sizes = (state.groupBy("cell").agg(F.sum(F.col("open").cast("long")).alias("u"), F.count("*").alias("m"))
              .where("u > 0 and m > 1")
              .select("cell", F.ceil(F.col("u") / QUERY_BLOCK).cast("long").alias("nq"),
                      F.ceil(F.col("m") / DATA_BLOCK).cast("long").alias("nd")))
-    rows = (state.join(sizes, "cell").join(points, "id").join(comp, "id", "left")
-            .withColumn("comp", F.coalesce("component", "id")))
+    rows = state.join(sizes, "cell").join(points, "id")
     h = F.xxhash64("id")
     asks = (rows.where("open").withColumn("qb", F.pmod(h, F.col("nq")))
             .withColumn("db", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nd") - 1)))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -49,24 +48,38 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def texts_of(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows ``(id, text)`` of ``docs`` whose id is in ``ids(id)`` (distinct ids).
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows ``(id, text)`` of ``docs(id, text)``: all whose id is in ``ids(id)``, and a few others.
 
     A fixed-size bit table drops most other rows before their texts are
-    shuffled; the join then keeps the wanted ids exactly.
+    shuffled; the caller's join on ``id`` drops the rest.
     """
     keep = T.BitFilter.of(ids, "id")
 
     def some(batches):
         for b in batches:
-            id_ = pc.fill_null(b.column(0), 0).to_numpy(zero_copy_only=False)
-            hit = keep.has(id_) & pc.is_valid(b.column(0)).to_numpy(zero_copy_only=False)
+            hit = keep.has(pc.fill_null(b.column(0), 0).to_numpy(zero_copy_only=False))
             if hit.any():
                 yield b.filter(pa.array(hit))
 
-    kept = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return kept.mapInArrow(some, "id long, text string").join(ids, "id", "left_semi")
+    return docs.select("id", "text").where(F.col("id").isNotNull()).mapInArrow(some, "id long, text string")
 
 
-def doubles(col) -> np.ndarray:
-    return col.to_numpy(zero_copy_only=False).astype(np.float64)
+def examples(docs: DataFrame, labels: DataFrame, target: str, train, per_class: int) -> DataFrame:
+    """At most ``per_class`` labelled documents of each class, as rows of ``docs`` plus ``y``.
+
+    The bounded sample a classifier is fitted on: the ids with the smallest
+    hashes, so it is the same on every run. ``train`` is a condition on
+    ``doc_id``. A document labelled more than once takes the majority; null
+    labels and labels without a document are left out.
+    """
+    lab = (labels.select("doc_id", F.col(target).cast("double").alias("y"))
+           .where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & train)
+           .groupBy("doc_id").agg((F.avg("y") >= 0.5).cast("int").alias("y")))
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    pick = None
+    for y in (0, 1):
+        part = lab.where(F.col("y") == y).orderBy(*order).limit(per_class)
+        pick = part if pick is None else pick.unionByName(part)
+    # 2 * per_class rows of 12 bytes: a bounded broadcast
+    return docs.drop("y").join(F.broadcast(pick), "doc_id")

@@ -106,43 +106,59 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(out ^ (lens.astype(U64) * U64(0x9E3779B97F4A7C15)))
 
 
-def shingles(hashes: np.ndarray, first: np.ndarray, width: int = 5) -> Iterator[np.ndarray]:
-    """Per text, the sorted distinct hashes of its ``width``-word shingles.
+def shingles(hashes: np.ndarray, first: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct hashes of each text's ``width``-word shingles, and where each text's begin.
 
     A text of fewer words gives the whole sequence as one shingle, a text
-    without words an empty set.
+    without words none.
     """
     mult = mix(np.arange(1, width + 1, dtype=U64)) | U64(1)
-    n = len(hashes)
-    rolled = np.zeros(max(0, n - width + 1), dtype=U64)
+    n_words = np.diff(first)
+    n = np.where(n_words >= width, n_words - width + 1, np.minimum(n_words, 1))
+    heads = np.concatenate([[0], np.cumsum(n)])
+    rolled = np.zeros(max(0, len(hashes) - width + 1), dtype=U64)
     for k in range(width):
         rolled += hashes[k:k + len(rolled)] * mult[k]
-    rolled = mix(rolled)
-    for a, b in zip(first[:-1], first[1:], strict=True):
-        if b - a >= width:
-            yield np.unique(rolled[a:b - width + 1])
-        elif b > a:
-            part = hashes[a:b] * mult[:b - a]
-            yield mix(part.sum(dtype=U64, keepdims=True) ^ U64(b - a))
-        else:
-            yield np.zeros(0, dtype=U64)
-
-
-def text_shingles(col, width: int = 5) -> Iterator[np.ndarray]:
+    long = n_words >= width
+    at = np.repeat(first[:-1] - heads[:-1], np.where(long, n, 0)) + np.flatnonzero(np.repeat(long, n))
+    out = np.empty(heads[-1], dtype=U64)
+    out[np.repeat(long, n)] = rolled[at]
+    for i in np.flatnonzero((n_words > 0) & ~long):
+        part = hashes[first[i]:first[i + 1]] * mult[:n_words[i]]
+        out[heads[i]] = part.sum(dtype=U64) ^ U64(n_words[i])
+    out = mix(out)
+    for a, b in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
+        out[a:b].sort()
+    new = np.ones(len(out), dtype=bool)
+    new[1:] = out[1:] != out[:-1]
+    new[heads[:-1][n > 0]] = True
+    count = np.zeros(len(out) + 1, np.int64)
+    np.cumsum(new, out=count[1:])
+    return out[new], count[heads]
+
+
+def text_shingles(col, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """:func:`shingles` of a column of texts, A-Z lower-cased."""
     data, offsets = text_bytes(col)
     data = lower(data)
     starts, ends, first = words(data, offsets)
-    yield from shingles(word_hashes(data, starts, ends), first, width)
+    return shingles(word_hashes(data, starts, ends), first, width)
 
 
-def slices(batch: pa.RecordBatch, col: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def sums(values: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Sum of each run ``heads[i]:heads[i + 1]``, modulo 2^64; an empty run sums to 0."""
+    total = np.zeros(len(values) + 1, dtype=values.dtype)
+    np.cumsum(values, out=total[1:])
+    return total[heads[1:]] - total[heads[:-1]]
+
+
+def slices(batch: pa.RecordBatch, col: str, limit: int = 4 << 20, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
     """A batch cut so that the texts of a piece hold about ``limit`` bytes at most (one text at least)."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(col)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < batch.num_rows:
         done = size[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(size, done + limit, "right")))
+        to = min(at + rows, max(at + 1, int(np.searchsorted(size, done + limit, "right"))))
         yield batch.slice(at, to - at)
         at = to
 
