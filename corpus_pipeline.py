@@ -11,10 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuora.llm import jaccard
+from valuora.llm import decontam, jaccard, packing, quality, secret_scan
 from valuora.llm.shared import cut_lineage, table
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the quality classifier scores under 0.7."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    machine = quality.train(docs, table(spark, sf_dir, "labels"), "quality", ~held_out, metadata=("n_chars",))
+    return quality.keep_good(docs, machine, metadata=("n_chars",), threshold=0.7)
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each near-duplicate group.
 
@@ -25,11 +32,31 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents in which an item of the benchmark occurs."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Masks every secret in the texts; ``n_chars`` follows. No document goes."""
+    return secret_scan.redact(docs, length_col="n_chars")
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces and their places in training sequences."""
+    return packing.pack(docs)
+
+
 STAGES = [
+    ("quality_classifier", good_quality),
     ("ngram_jaccard_join", one_of_each_group),
+    ("benchmark_decontamination", uncontaminated),
+    ("secret_scan", without_secrets),
+    ("best_fit_packing", packed),
 ]
 
-# Several stages are trained models or alignments that SQL cannot express.
+# A trained model, approximate matching and packing: SQL cannot express the
+# rows, so tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 
