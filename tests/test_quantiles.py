@@ -28,3 +28,33 @@ def test_exact_quantiles_match_numpy(spark, rows):
                 continue
             exp = float(np.percentile(vals, q * 100, method="linear"))
             assert abs(got[(k, q)] - exp) <= 1e-9 * max(1.0, abs(exp)), (k, q, got[(k, q)], exp)
+
+
+def _under(spark, conf, fn):
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        return fn()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_quantiles_do_not_depend_on_the_planner(spark):
+    """Two million rows, a third of them one value: equal to ``percentile`` under every planner setting."""
+    import itertools
+
+    from pyspark.sql import functions as F
+    df = spark.range(2_000_000, numPartitions=8).select(
+        F.lit("x").alias("column_name"),
+        F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(((F.col("id") * 7919) % 999_983).cast("double") / 8).alias("value"))
+    qs = (0.05, 0.25, 0.3333, 0.5, 0.75, 0.95)
+    want = df.agg(F.percentile("value", list(qs)).alias("p")).first().p
+    for reuse, aqe, merge in itertools.product(("true", "false"), repeat=3):
+        if aqe == "false" and merge == "false":
+            continue  # coalescing is a part of AQE
+        got = _under(spark, {"spark.sql.exchange.reuse": reuse, "spark.sql.adaptive.enabled": aqe,
+                             "spark.sql.adaptive.coalescePartitions.enabled": merge},
+                     lambda: {r.q: r.quantile for r in exact_quantiles(df, qs).collect()})
+        assert [got[q] for q in qs] == want, (reuse, aqe, merge)
