@@ -28,7 +28,7 @@ def test_partition_and_dynamic_pruning(spark, tmp):
     assert got == {(2020, t): 20.0 for t in ("A", "B", "C")}
     plan = annual._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan and "month(date" in plan
-    latest = P.latest_price(price, broadcast=True)
+    latest = P.latest_price(price)
     assert sorted((r.ticker, r.last_low_price) for r in latest.collect()) == \
         [("A", 27.0), ("B", 27.0), ("C", 27.0)]
     # the screener's join back: the build side (latest dates x growth) carries the
@@ -40,7 +40,7 @@ def test_partition_and_dynamic_pruning(spark, tmp):
                                     "ticker string, price_future double, sticker_price double, "
                                     "mos double, yrs_in_5yr int")
               .where(F.col("yrs_in_5yr") == 5))
-    s = screener(price, growth, broadcast=True)
+    s = screener(price, growth, materialize=False)
     assert [(r.ticker, r.last_low_price) for r in s.collect()] == [("A", 27.0)]
     assert "dynamicpruning" in s._jdf.queryExecution().executedPlan().toString()
 

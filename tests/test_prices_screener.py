@@ -47,7 +47,7 @@ def test_latest_price_keeps_ties(spark):
 def test_latest_price_is_aggregate_and_join_back(spark):
     px = price(spark, [(d("2021-06-03"), "A", 3.0)])
     assert "partial_max" in P.latest_dates(px)._jdf.queryExecution().executedPlan().toString()
-    # the per-ticker dates are written and counted, then broadcast: prices are not shuffled
+    # the per-ticker dates are written; their file size lets Spark broadcast them: prices are not shuffled
     plan = P.latest_price(px)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Window" not in plan and "SortMergeJoin" not in plan
     # the window form (used on small batches) plans a partial group limit

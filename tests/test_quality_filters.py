@@ -83,6 +83,57 @@ def test_cluster_conf_sizes():
     from valuora.session import cluster_conf
     c = cluster_conf(int(1e14), 1000, 4, 16)
     assert int(c["spark.sql.files.maxPartitionBytes"]) == 256 * 1024 ** 2
-    assert int(c["spark.sql.shuffle.partitions"]) == 20000
+    assert int(c["spark.sql.shuffle.partitions"]) == -(-int(1e14) // (256 * 1024 ** 2))
     small = cluster_conf(10 ** 9, 2, 4, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    import pytest
+    from valuora.session import NoSharedFolder, ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+        conf = Conf()
+
+    with pytest.raises(NoSharedFolder):
+        ensure_checkpoint_dir(Session())
+
+
+def test_written_tables_can_be_dropped(spark):
+    import os
+    from valuora.session import _tables_folder, cut_lineage, remove_folder
+    df = cut_lineage(spark.range(3), "probe")
+    path = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(path) and path.startswith(_tables_folder(spark).removeprefix("file:"))
+    assert remove_folder(spark, path) and not os.path.exists(path)
+
+
+def test_automatic_filters(spark):
+    from valuora.operators.filters import auto_filters
+    rows = [(f"name{i}", "ab"[i % 2], float(i)) for i in range(30)]
+    df = spark.createDataFrame(rows, "name string, kind string, x double")
+    out = auto_filters(df, {"kind": ["a"], "x": (3.0, 11.0), "name": "[02468]$"}).collect()
+    assert sorted(r.x for r in out) == [4.0, 6.0, 8.0, 10.0]
+
+
+def test_profile_of_text_and_empty_columns(spark):
+    from valuora.operators.profile import column_profile
+    df = spark.createDataFrame([("a", None, 1), ("b", None, 0), ("b", None, None)], "t string, u string, n int")
+    out = {r.column_name: r for r in column_profile(df).collect()}
+    assert (out["t"].top_text, out["t"].top_freq, out["t"].n_distinct, out["t"].min_text) == ("b", 2, 2, "a")
+    assert (out["u"].n_missing, out["u"].n_distinct, out["u"].top_text) == (3, 0, None)
+    assert (out["n"].n_zeros, out["n"].n_missing, out["n"].p50, out["n"].top_value) == (1, 1, 0.5, 0.0)

@@ -42,7 +42,7 @@ def test_join_back_keys_spread_a_hot_ticker(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        s = screener(px, g, broadcast=False)
+        s = screener(px, g)
         rows = s.collect()
         text = s._jdf.queryExecution().executedPlan().toString()
     finally:

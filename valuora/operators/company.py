@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from valuora.operators.quality import one_row_per_key
+
 
 def symbol_universe(directory: DataFrame) -> DataFrame:
     """Tradable symbols: no test issue, financial status missing or 'N', no ETF."""
@@ -39,10 +41,11 @@ def company_info_for(company: DataFrame, symbols: DataFrame | None = None) -> Da
 def peer_string_agg(pairs: DataFrame) -> DataFrame:
     """(ticker_key, peer_key) pairs -> (ticker, peer_string) ordered by peer key.
 
-    The per-ticker list is bounded by the band of the peer definition, so
-    ``collect_list`` never holds an unbounded group.
+    Repeated pairs are removed before the lists are built (a partial aggregate
+    before the shuffle), so a list holds each peer once: it is as long as the
+    string it becomes.
     """
-    g = pairs.groupBy("ticker_key").agg(F.array_sort(F.collect_list("peer_key")).alias("p"))
+    g = pairs.distinct().groupBy("ticker_key").agg(F.array_sort(F.collect_list("peer_key")).alias("p"))
     return g.select(F.col("ticker_key").cast("string").alias("ticker"),
                     F.array_join(F.transform("p", lambda x: x.cast("string")), ",")
                     .alias("peer_string"))
@@ -54,10 +57,11 @@ def with_peer_list(peers: DataFrame) -> DataFrame:
 
 
 def company_with_peers(company: DataFrame, peers: DataFrame) -> DataFrame:
-    """company LEFT JOIN peers on ticker (1:1)."""
-    return company.join(with_peer_list(peers), "ticker", "left")
+    """company LEFT JOIN peers on ticker; a repeated ticker on either side fails the query."""
+    return one_row_per_key(company, ["ticker"], "company_info").join(
+        with_peer_list(one_row_per_key(peers, ["ticker"], "peers")), "ticker", "left")
 
 
 def enrich(df: DataFrame, company: DataFrame) -> DataFrame:
-    """Left join company attributes onto a result table by ticker (m:1)."""
-    return df.join(company, "ticker", "left")
+    """Left join company attributes onto a result table by ticker (m:1, else the query fails)."""
+    return df.join(one_row_per_key(company, ["ticker"], "company_info"), "ticker", "left")

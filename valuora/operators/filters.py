@@ -59,3 +59,8 @@ def apply_filters(df: DataFrame, specs) -> DataFrame:
     for column, kind, arg in specs:
         df = df.where(predicate(column, kind, arg))
     return df
+
+
+def auto_filters(df: DataFrame, args: dict) -> DataFrame:
+    """Filter each column of ``args`` (column -> argument) by the kind ``choose_kind`` picks for it."""
+    return apply_filters(df, [(c, choose_kind(df, c), arg) for c, arg in args.items()])

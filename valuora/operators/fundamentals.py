@@ -8,21 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valuora.functions.num import ieee_div, null_if_zero
+from valuora.operators.quality import one_row_per_key
 from valuora.schemas import STATEMENT_KEYS
 
 
-def restrict(df: DataFrame, symbols: DataFrame | None, col: str = "ticker",
-             broadcast: bool = False) -> DataFrame:
-    """Keep rows whose ``col`` is in the one-column ``symbols`` frame (left semi join).
-
-    ``broadcast=True`` only after a size check of ``symbols`` (see
-    ``session.fits_broadcast``): the big side then streams through a hash
-    lookup without being shuffled.
-    """
+def restrict(df: DataFrame, symbols: DataFrame | None, col: str = "ticker") -> DataFrame:
+    """Keep rows whose ``col`` is in the one-column ``symbols`` frame (left semi join)."""
     if symbols is None:
         return df
-    s = symbols.select(F.col(symbols.columns[0]).alias(col))
-    return df.join(F.broadcast(s) if broadcast else s, col, "left_semi")
+    return df.join(symbols.select(F.col(symbols.columns[0]).alias(col)), col, "left_semi")
 
 
 def common_tickers(*dfs: DataFrame, col: str = "ticker") -> DataFrame:
@@ -31,13 +25,6 @@ def common_tickers(*dfs: DataFrame, col: str = "ticker") -> DataFrame:
     return reduce(lambda a, b: a.join(b, col, "left_semi"), sets)
 
 
-def mutual_restrict(a: DataFrame, b: DataFrame, col: str = "ticker") -> tuple[DataFrame, DataFrame]:
-    """Restrict two frames to the values of ``col`` they share."""
-    a2 = a.join(b.select(col).distinct(), col, "left_semi")
-    b2 = b.join(a.select(col).distinct(), col, "left_semi")
-    return a2, b2
-
-
 def _suffix_overlap(left: DataFrame, right: DataFrame, keys: list[str],
                     suffixes: tuple[str, str]) -> tuple[DataFrame, DataFrame]:
     overlap = (set(left.columns) & set(right.columns)) - set(keys)
@@ -57,13 +44,14 @@ def combine_statements(income: DataFrame, cashflow: DataFrame, balance: DataFram
     columns keep bare names, since after the first merge nothing collides
     with them (any later collision gets ``_x``/``_y``). Restricting to tickers
     in all three statements is implied by the inner joins; ``symbols``
-    narrows further with a semi join.
+    narrows further with a semi join. Each statement must hold a key once; a
+    repeated key fails the query.
     """
     keys = keys or STATEMENT_KEYS
-    inc, cf = _suffix_overlap(restrict(income, symbols), restrict(cashflow, symbols),
-                              keys, ("_is", "_cf"))
+    once = lambda df, name: one_row_per_key(restrict(df, symbols), keys, name)
+    inc, cf = _suffix_overlap(once(income, "income"), once(cashflow, "cashflow"), keys, ("_is", "_cf"))
     merged = inc.join(cf, keys, "inner")
-    merged, bal = _suffix_overlap(merged, restrict(balance, symbols), keys, ("_x", "_y"))
+    merged, bal = _suffix_overlap(merged, once(balance, "balance"), keys, ("_x", "_y"))
     return merged.join(bal, keys, "inner")
 
 

@@ -83,8 +83,7 @@ def growth_summary(growth_rows: DataFrame, agg_func: str = "mean",
         rule1 = positive_or_null(F.least(vals["bvps_gr"], vals["eps_gr"]))
         out += [rule1.alias(f"rule1_gr_{n}yr"), (rule1 * 200).alias(f"pe_default_{n}yr")]
     g = g.select(*out)
-    return g.select(*[clean_inf(F.col(c)).alias(c)
-                      if dict(g.dtypes)[c] == "double" else F.col(c) for c in g.columns])
+    return g.select(*[clean_inf(F.col(c)).alias(c) if t == "double" else F.col(c) for c, t in g.dtypes])
 
 
 def growth_rates(fundamental: DataFrame, agg_func: str = "mean",

@@ -4,6 +4,8 @@ Differences to the single-market pipeline, kept on purpose:
 * no fiscal-year period filter and no company-symbol narrowing;
 * the annual price is the *lowest* December low (still named mean_low_price);
 * fundamentals and prices are restricted to their shared tickers;
+* of several prices on a ticker's latest date the lowest counts, so a ticker
+  has one row in the result;
 * the result is the growth table with the latest price, four flags and the
   company/industry attributes instead of a filtered screener.
 """
@@ -20,7 +22,8 @@ from valuora.operators import fundamentals as FU
 from valuora.operators import growth as G
 from valuora.operators import prices as P
 from valuora.operators import valuation as V
-from valuora.session import cut_lineage, fits_broadcast
+from valuora.operators.quality import one_row_per_key
+from valuora.session import cut_lineage
 
 DEFAULT_EXCLUDED = ("it", "ca")
 OUT_OF_BOUNDS_PCT = 3500
@@ -37,20 +40,16 @@ def kept_ticker_market(ticker_market: DataFrame, markets: DataFrame) -> DataFram
                               "left_semi")
 
 
-def tag_market(df: DataFrame, ticker_market: DataFrame, markets: DataFrame,
-               broadcast: bool | None = None) -> DataFrame:
+def tag_market(df: DataFrame, ticker_market: DataFrame, markets: DataFrame) -> DataFrame:
     """Attach the ``market`` of each ticker, keeping only kept markets.
 
     Equivalent to loading one source per market, adding ``lit(market)`` and
-    appending; here the market comes from the data in one scan. The
-    (ticker, market) side has one row per listed ticker; it is broadcast after
-    a size check (``broadcast=None`` runs the check), so a large ``df`` is
-    streamed, not shuffled.
+    appending; here the market comes from the data in one scan. A ticker listed
+    in two kept markets would repeat its rows, so it fails the query.
     """
-    tm = kept_ticker_market(ticker_market, markets)
-    if broadcast is None:
-        broadcast = fits_broadcast(tm)
-    return df.join(F.broadcast(tm) if broadcast else tm, "ticker", "inner")
+    tm = one_row_per_key(kept_ticker_market(ticker_market, markets).select("ticker", "market"),
+                         ["ticker"], "ticker_market")
+    return df.join(tm, "ticker", "inner")
 
 
 def union_markets(frames: dict[str, DataFrame]) -> DataFrame:
@@ -67,14 +66,13 @@ def union_markets(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def companies_with_industry(companies: DataFrame, industries: DataFrame) -> DataFrame:
-    """companies LEFT JOIN industries on industry_id. The industry list is a fixed
-    classification (hundreds of rows), so it is broadcast."""
-    return companies.join(F.broadcast(industries), "industry_id", "left")
+    """companies LEFT JOIN industries on industry_id; a repeated industry fails the query."""
+    return companies.join(one_row_per_key(industries, ["industry_id"], "industries"), "industry_id", "left")
 
 
 def price_flags(growth: DataFrame, latest: DataFrame,
                 limit_pct: float = OUT_OF_BOUNDS_PCT) -> DataFrame:
-    """growth LEFT JOIN latest price, then the four screening flags.
+    """growth LEFT JOIN latest price (one row per ticker), then the four screening flags.
 
     mos_reached / out_off_bounds_value are False (not NULL) when an operand is missing.
     """
@@ -89,30 +87,26 @@ def price_flags(growth: DataFrame, latest: DataFrame,
 
 def multi_market_inputs(model, excluded=DEFAULT_EXCLUDED,
                         materialize: bool = True) -> dict[str, DataFrame]:
+    """Statements of the kept markets' priced tickers, and what the later steps read.
+
+    Prices are never narrowed row by row: whatever uses them reduces them to a
+    row per ticker (and year) first and drops the other tickers then.
+    """
+    cut = cut_lineage if materialize else (lambda df, name: df)
     markets = kept_markets(model.markets, excluded)
-    tm = model.ticker_market
-    tm_small = fits_broadcast(kept_ticker_market(tm, markets)) if materialize else False
-    inc = tag_market(model.income, tm, markets, tm_small)
-    cf = tag_market(model.cashflow, tm, markets, tm_small)
-    bal = tag_market(model.balance, tm, markets, tm_small)
-    fund = FU.combine_statements(inc, cf, bal)
-    if materialize:
-        fund = cut_lineage(fund, "mm_fundamental")
+    tm = cut(model.ticker_market, "ticker_market")
+    fund = FU.combine_statements(*[tag_market(s, tm, markets) for s in
+                                   (model.income, model.cashflow, model.balance)])
+    fund = cut(fund, "mm_fundamental")
     tickers = fund.select("ticker").distinct()
-    bcast = fits_broadcast(tickers) if materialize else False
-    # mutual restriction: prices of statement tickers (already limited to the kept
-    # markets, so prices need no market tag on this path); statements of priced
-    # tickers, the priced set coming from the per-ticker latest dates (one
-    # aggregation reused for the latest price)
-    price = FU.restrict(model.price, tickers, broadcast=bcast)
-    dates = P.latest_dates(price)
+    dates = cut(FU.restrict(P.latest_dates(model.price), tickers), "mm_dates")
     fund = FU.restrict(fund, dates.select("ticker"))
-    companies = companies_with_industry(
+    companies = one_row_per_key(companies_with_industry(
         model.companies.join(markets.select(F.col("market_id").alias("market")), "market",
                              "left_semi"),
-        model.industries)
-    return {"markets": markets, "fundamental_raw": fund, "price": price, "companies": companies,
-            "dates": dates, "broadcast": bcast}
+        model.industries), ["ticker"], "companies")
+    return {"markets": markets, "fundamental_raw": fund, "price": model.price, "companies": companies,
+            "dates": dates}
 
 
 class MultiMarketResult:
@@ -129,16 +123,24 @@ class MultiMarketResult:
 
     @cached_property
     def annual_price(self) -> DataFrame:
-        return P.annual_price(self.price, how="min")
+        return FU.restrict(P.annual_price(self.price, how="min"), self._inp["dates"].select("ticker"))
 
     @cached_property
     def fundamental(self) -> DataFrame:
         return FU.add_annual_pe(FU.add_kpis(self._inp["fundamental_raw"]), self.annual_price)
 
+    @property
+    def fundamental_raw(self) -> DataFrame:
+        return self._inp["fundamental_raw"]
+
+    @cached_property
+    def growth_rates(self) -> DataFrame:
+        return G.growth_rates(self.fundamental, self._agg)
+
     @cached_property
     def growth(self) -> DataFrame:
-        g = V.sticker_price(G.growth_rates(self.fundamental, self._agg), self._fp, self._exp_rr)
-        latest = P.latest_price(self.price, self._inp["dates"], self._inp["broadcast"])
+        g = V.sticker_price(self.growth_rates, self._fp, self._exp_rr)
+        latest = P.lowest_latest_price(self.price, self._inp["dates"])
         return price_flags(g, latest).join(self.companies, "ticker", "left")
 
 
@@ -149,7 +151,7 @@ def multi_market(model, excluded=DEFAULT_EXCLUDED, fp: int = V.DEFAULT_FP,
     markets -- by key or attribute.
 
     ``materialize=False`` builds the plan without running anything (no lineage
-    cut, no size checks; broadcasts are then left to the planner and AQE).
+    cut, so joins are planned from estimates).
     """
     return MultiMarketResult(multi_market_inputs(model, excluded, materialize), fp, exp_rr,
                              agg_func)

@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from valuora.session import cut_lineage, fits_broadcast
+from valuora.session import cut_lineage
 
 
 def period_filter(df: DataFrame, start_year: int | None, end_year: int | None,
@@ -74,39 +74,36 @@ def latest_dates(price: DataFrame) -> DataFrame:
     return price.groupBy("ticker").agg(F.max("date").alias("last_date"))
 
 
-def at_dates(price: DataFrame, dates: DataFrame, broadcast: bool = False) -> DataFrame:
+def at_dates(price: DataFrame, dates: DataFrame) -> DataFrame:
     """Price rows on each ticker's ``last_date`` (all rows of a tie), as an equi-join
-    on (ticker, date). ``dates`` has one row per ticker; with ``broadcast=True``
-    (after the caller's size check) the join is a broadcast hash join that
-    streams the price table without a shuffle, otherwise a join keyed on
-    (ticker, date) that AQE may still convert from measured sizes. On a
-    date-partitioned price table (``sinks.write_price_table``) Spark adds a
-    dynamic partition pruning filter when the ``dates`` side carries a
-    selective filter (as in the screener, through the growth table), so only
-    the latest dates' partitions are read."""
+    on (ticker, date). ``dates`` has one row per ticker; when it is a written
+    table, its file size lets Spark stream the price table through a broadcast
+    hash join if it is small, and otherwise join on (ticker, date), a key that
+    spreads a hot ticker over its days. On a date-partitioned price table
+    (``sinks.write_price_table``) Spark adds a dynamic partition pruning filter
+    when the ``dates`` side carries a selective filter, so only the latest
+    dates' partitions are read."""
     px = price.select("ticker", "date", "low")
-    side = F.broadcast(dates) if broadcast else dates
-    return (px.join(side, (px.ticker == dates.ticker) & (px.date == dates.last_date), "inner")
+    return (px.join(dates, (px.ticker == dates.ticker) & (px.date == dates.last_date), "inner")
               .drop(dates.ticker)
               .select("ticker", "last_date", F.col("low").alias("last_low_price"),
                       *[c for c in dates.columns if c not in ("ticker", "last_date")]))
 
 
-def latest_price(price: DataFrame, dates: DataFrame | None = None,
-                 broadcast: bool | None = None) -> DataFrame:
+def latest_price(price: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """Low price on each ticker's latest date; several rows on that date are all kept.
 
     Without ``dates`` the per-ticker dates are aggregated and written once
-    (``cut_lineage``), so the broadcast decision (``broadcast=None``) is a
-    count on that small table rather than a guess: the price table is then
-    streamed through a broadcast hash join, never shuffled, whenever the
-    ticker set fits.
+    (``cut_lineage``), so the join back is planned from their measured size.
     """
     if dates is None:
         dates = cut_lineage(latest_dates(price), "latest_dates")
-    if broadcast is None:
-        broadcast = fits_broadcast(dates)
-    return at_dates(price, dates, broadcast)
+    return at_dates(price, dates)
+
+
+def lowest_latest_price(price: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+    """(ticker, last_low_price): one row per ticker, the lowest low of its latest date."""
+    return latest_price(price, dates).groupBy("ticker").agg(F.min("last_low_price").alias("last_low_price"))
 
 
 def price_stats(price: DataFrame) -> DataFrame:

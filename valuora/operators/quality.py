@@ -28,6 +28,21 @@ def assert_unique(df: DataFrame, keys: list[str], name: str = "table") -> None:
         raise DuplicateKeyError(f"{name}: duplicate keys {keys}: {[r.asDict() for r in bad]}")
 
 
+def one_row_per_key(df: DataFrame, keys: list[str], name: str = "table") -> DataFrame:
+    """``df`` unchanged if ``keys`` are unique in it; else the query fails.
+
+    The merge validation of the reference as part of the plan: the rows of a key
+    meet on the very keys the following join needs, so the check adds no shuffle
+    of its own and no job.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                              *[F.first(F.col(f"`{c}`")).alias(c) for c in rest])
+    said = F.concat(F.lit(f"{name}: duplicate keys {keys}: "), F.to_json(F.struct(*keys)))
+    ok = F.when(F.col("_n") > 1, F.raise_error(said).cast("boolean")).otherwise(F.lit(True))
+    return g.where(ok).select(*df.columns)
+
+
 def cardinality_report(checks: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     """(check_name, key, n) for every duplicated key of every named input."""
     parts = []
@@ -71,8 +86,9 @@ def stage_shapes(stages: dict[str, DataFrame], col: str = "ticker") -> DataFrame
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+# type names a dictionary may hold: those of the files and those of written tables
 KNOWN_DTYPES = ("object", "int64", "float64", "datetime64[ns]", "date", "string", "double",
-                "bool", "int32")
+                "bool", "int32", "int", "bigint", "boolean", "timestamp", "array<string>")
 
 
 def dictionary_check(dictionary: DataFrame, schemas: dict[str, list[str]] | None = None) -> DataFrame:

@@ -6,34 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valuora.operators.prices import at_dates, latest_dates
-from valuora.session import cut_lineage, fits_broadcast
+from valuora.session import cut_lineage
 from valuora.schemas import SCREENER_COLUMNS
 
 VALUATION_COLUMNS = ["ticker", "price_future", "sticker_price", "mos"]
 
 
-def screener(price: DataFrame, growth: DataFrame,
-             dates: DataFrame | None = None, broadcast: bool | None = None) -> DataFrame:
+def screener(price: DataFrame, growth: DataFrame, dates: DataFrame | None = None,
+             materialize: bool = True) -> DataFrame:
     """Tickers whose latest low price is <= mos; ties on the latest date are all kept.
 
     ``dates`` (ticker, last_date) may be passed when the caller already
-    aggregated it. Only valued tickers (mos present) can pass, so the
-    per-ticker dates are narrowed to them before the join back to the price
-    rows. ``broadcast=True`` (after a size check of the ticker set, which
-    bounds this one-row-per-ticker side) makes that join a broadcast hash
-    join. The final ``na.drop`` also removes NaN, as in the reference.
+    aggregated it; otherwise prices are reduced to one row per ticker first.
+    Only valued tickers (mos present) can pass, so the dates are narrowed to
+    them; that per-ticker table is written once, and the join back to the price
+    rows is planned from its measured size. ``materialize=False`` only builds
+    the plan. The final ``na.drop`` also removes NaN, as in the reference.
     """
     valued = growth.select(*VALUATION_COLUMNS).where(F.col("mos").isNotNull())
-    if broadcast is None:
-        # no bound known: write the valued tickers once (one row per ticker) and
-        # count them; the join-back side below has at most that many rows
-        valued = cut_lineage(valued, "valued")
-        broadcast = fits_broadcast(valued)
-    if dates is None:
-        vt = valued.select("ticker")
-        dates = latest_dates(price.join(F.broadcast(vt) if broadcast else vt, "ticker", "left_semi"))
-    side = dates.join(valued, "ticker", "inner")
-    out = (at_dates(price, side, broadcast)
+    side = (latest_dates(price) if dates is None else dates).join(valued, "ticker", "inner")
+    if materialize:
+        side = cut_lineage(side, "valued")
+    out = (at_dates(price, side)
            .where(F.col("last_low_price") <= F.col("mos"))
            .select(*SCREENER_COLUMNS))
     return out.na.drop()

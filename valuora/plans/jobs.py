@@ -13,29 +13,43 @@ from valuora.operators import growth as G
 from valuora.operators import prices as P
 from valuora.operators import screen as S
 from valuora.operators import valuation as V
-from valuora.session import cut_lineage, fits_broadcast
+from valuora.session import cut_lineage
 
 
 class SingleMarketResult:
     """The result tables of one single-market run, each built on first access.
 
-    Only the narrowing steps (written fundamentals, narrowed prices, latest
-    dates) are set up front; the later tables are DataFrames defined on demand,
-    so a caller that needs the annual price does not pay for planning the
-    screener.
+    Only the fundamentals are written up front. Prices are read where a table
+    needs them and reduced to a row per ticker (and year) before they meet any
+    other table: the annual prices, the latest dates and the join back for the
+    screener are the only three scans.
     """
 
-    def __init__(self, model, company: DataFrame, price: DataFrame, dates: DataFrame,
-                 fund_kpi: DataFrame, period, fp: int, exp_rr: float, agg_func: str,
-                 broadcast: bool):
-        self._model, self._company = model, company
-        self.price, self.dates, self._fund_kpi = price, dates, fund_kpi
+    def __init__(self, model, company: DataFrame, fund_kpi: DataFrame, period, fp: int,
+                 exp_rr: float, agg_func: str, materialize: bool):
+        self._model, self._company, self._fund_kpi = model, company, fund_kpi
         self._period, self._fp, self._exp_rr, self._agg = period, fp, exp_rr, agg_func
-        self._bcast = broadcast
+        self._materialize = materialize
+
+    @cached_property
+    def _tickers(self) -> DataFrame:
+        return self._fund_kpi.select("ticker").distinct()
+
+    @cached_property
+    def price(self) -> DataFrame:
+        """All price rows of the tickers with fundamentals."""
+        return FU.restrict(self._model.price, self._tickers)
+
+    @cached_property
+    def dates(self) -> DataFrame:
+        """(ticker, last_date) of the priced tickers with fundamentals, written once."""
+        dates = FU.restrict(P.latest_dates(self._model.price), self._tickers)
+        return cut_lineage(dates, "latest_dates") if self._materialize else dates
 
     @cached_property
     def annual_price(self) -> DataFrame:
-        return P.annual_price(self.price, self._period[0], self._period[1], how="mean")
+        annual = P.annual_price(self._model.price, self._period[0], self._period[1], how="mean")
+        return FU.restrict(annual, self._tickers)
 
     @cached_property
     def fundamental(self) -> DataFrame:
@@ -48,7 +62,11 @@ class SingleMarketResult:
 
     @cached_property
     def screener(self) -> DataFrame:
-        return S.screener(self.price, self.growth, self.dates, broadcast=self._bcast)
+        return self.screener_of(self.growth)
+
+    def screener_of(self, growth: DataFrame) -> DataFrame:
+        """The screener from a growth table, such as the stored one."""
+        return S.screener(self._model.price, growth, self.dates, self._materialize)
 
     @cached_property
     def company_info(self) -> DataFrame:
@@ -80,34 +98,27 @@ def single_market(model, period: tuple[int | None, int | None], fp: int = V.DEFA
                   exp_rr: float = V.DEFAULT_EXP_RR, symbols: DataFrame | None = None,
                   agg_func: str = "mean", market: str | None = None,
                   materialize: bool = True) -> SingleMarketResult:
-    """The processing pipeline of one market as one lazy plan.
+    """The processing pipeline of one market.
 
     Symbol narrowing is a chain of semi joins instead of driver-side lists:
-    company tickers -> statements -> prices of those tickers -> fundamentals of
-    priced tickers. Nothing is collected. With ``materialize=True`` (default)
-    the fundamentals are written once and counted when the plan is built;
-    ``materialize=False`` builds the same plan without running anything.
+    company tickers -> statements -> latest dates and annual prices of those
+    tickers -> fundamentals of priced tickers. Nothing is collected. With
+    ``materialize=True`` (default) the small tables that several steps read
+    (fundamentals, latest dates, valued tickers) are written once when they are
+    first needed; ``materialize=False`` builds the same plan without running
+    anything.
     """
     company, fund = fundamentals_for(model, period, symbols, market)
     if materialize:
-        # small, reused by every later step: computed once, lineage cut
         fund = cut_lineage(fund, "fundamental")
-    tickers = fund.select("ticker").distinct()
-    # one count on the written table bounds every per-ticker side downstream;
-    # a purely lazy plan (materialize=False, e.g. to explain it) leaves the
-    # choice to the planner and AQE
-    bcast = fits_broadcast(tickers) if materialize else False
-    price = FU.restrict(model.price, tickers, broadcast=bcast)
-    dates = P.latest_dates(price)                 # also the set of priced tickers
-    return SingleMarketResult(model, company, price, dates, fund, period, fp, exp_rr,
-                              agg_func, bcast)
+    return SingleMarketResult(model, company, fund, period, fp, exp_rr, agg_func, materialize)
 
 
 def daily_refresh(price_batch: DataFrame, growth: DataFrame) -> DataFrame:
     """Yesterday's valuation against today's price files: the screener on the batch.
 
-    The screener reads only the valued tickers of the stored growth table from
-    the batch (a size-checked broadcast semi join).
+    The batch is reduced to its latest date per ticker, narrowed to the valued
+    tickers of the stored growth table and joined back.
     """
     return S.screener(price_batch, growth)
 
@@ -144,6 +155,5 @@ def run_and_store(model, out_dir: str, period: tuple[int | None, int | None],
     growth = V.sticker_price(G.growth_rates(fund, agg_func), fp, exp_rr)
     sinks.write_table(growth, paths["growth"], compression)
     growth = spark.read.parquet(paths["growth"])
-    sinks.write_table(S.screener(r.price, growth, broadcast=fits_broadcast(growth)),
-                      paths["screener"], compression)
+    sinks.write_table(r.screener_of(growth), paths["screener"], compression)
     return paths

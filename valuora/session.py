@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,21 +28,17 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
                  executor_memory_gb: float) -> dict[str, str]:
     """Settings sized for a cluster run over ``input_bytes`` of Parquet.
 
-    * scan splits of 256 MB (a 100 TB price table -> ~400k tasks, ~100 waves on
-      1000 x 4 cores), each well inside a task's share of executor memory;
-    * shuffle partitions: enough for the largest shuffle at ~256 MB each, at
-      least 2x the cores; AQE coalesces the small per-ticker shuffles and splits
-      skewed ones (a hot ticker after a partial aggregate is one row per task);
-    * runtime broadcasts up to 64 MB on measured sizes; explicit broadcasts of
-      per-ticker sides are count-checked (``fits_broadcast``).
+    * scan splits of up to 256 MB, well inside a task's share of executor memory;
+    * shuffle partitions for the one shuffle that carries the whole input (the
+      range-partitioned price write) at ~256 MB each, at least 2x the cores; AQE
+      coalesces the small per-ticker shuffles and splits skewed partitions;
+    * runtime broadcasts of sides measured at up to 64 MB: Spark decides from
+      file sizes and shuffle statistics, nothing in the library forces one.
     """
     cores = max(1, executors * cores_per_executor)
     mem_per_core = executor_memory_gb * 1024 ** 3 / max(1, cores_per_executor)
     split = int(min(256 * 1024 ** 2, max(32 * 1024 ** 2, mem_per_core / 8)))
-    # per-ticker shuffles are tiny after partial aggregation and the statement
-    # merge is ~GBs; only a one-off table-sized sort (ingest) sets its own count.
-    # Capped so map-output tracking (map tasks x reducers) stays small on the driver.
-    shuffle = max(2 * cores, min(20_000, int(input_bytes // 1024 ** 3)))
+    shuffle = max(2 * cores, -(-input_bytes // (256 * 1024 ** 2)))
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(shuffle),
@@ -50,6 +47,7 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 ** 2),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
         "spark.sql.broadcastTimeout": "900",
         "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
@@ -74,12 +72,17 @@ def get_spark(master: str | None = None, app: str = "valuora",
     return spark
 
 
+class NoSharedFolder(RuntimeError):
+    """A cluster session names no folder that all executors share."""
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is set by the deployment (a shared file system
-    every executor reaches). Only when it is unset -- local tests -- a fresh
-    scratch folder is taken.
+    On a cluster the folder must be set by the deployment (a shared file system
+    every executor reaches); without it this raises ``NoSharedFolder``, as
+    executors writing to their own disks would lose data silently. Only a local
+    session (tests) gets a scratch folder of its own.
     """
     try:
         sc = spark.sparkContext
@@ -89,11 +92,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     path = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     if not path:
-        try:
-            path = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:  # noqa: BLE001 - not readable as a session conf
-            path = None
+        path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if sc is None or not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise NoSharedFolder("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="valuora-ckpt-")
     if sc is None:
         return path
@@ -101,31 +103,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def _tables_folder(spark: SparkSession) -> str:
+    """This application's folder of written tables, under the shared folder."""
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - a remote session has no local SparkContext
+        app = "remote"
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/valuora-tables/{app}"
+
+
 def cut_lineage(df, name: str = "table"):
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
     Used for small derived tables that several later steps reuse (the
-    fundamentals): their plan runs once, a lost executor re-reads the files
-    instead of replaying the statements, and -- unlike an RDD checkpoint -- the
-    read-back table has file-size statistics, column pruning and filter
-    pushdown for the planner.
+    fundamentals, the latest dates): their plan runs once, a lost executor
+    re-reads the files instead of replaying the statements, and -- unlike an RDD
+    checkpoint -- the read-back table has file sizes for the join planner,
+    column pruning and filter pushdown. This is an action: it runs when the plan
+    is built. ``drop_tables`` removes an application's tables.
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/valuora-tables/{name}-{uuid.uuid4().hex}"
+    path = f"{_tables_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-# Largest number of rows of a per-ticker side that is broadcast explicitly.
-# ~60 bytes a row: 5M rows is a few hundred MB per executor at most.
-BROADCAST_MAX_ROWS = 5_000_000
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder on whatever file system its path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
-def fits_broadcast(df, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Size check before an explicit broadcast: one count of a materialised table.
-
-    Beyond the bound the caller keeps the shuffle join (and AQE may still
-    convert it at runtime from measured sizes).
-    """
-    return df.count() <= max_rows
+def drop_tables(spark: SparkSession) -> None:
+    """Remove every table this application wrote through ``cut_lineage``."""
+    remove_folder(spark, _tables_folder(spark))
