@@ -1,8 +1,9 @@
-"""valuora: fundamental-valuation analytics as lazy Spark DataFrame plans.
+"""valuora: fundamental-valuation analytics as Spark DataFrame plans.
 
-Every public function takes and returns DataFrames (or Columns); nothing is
-collected to the driver inside the library. Actions happen only in sinks,
-tests and the bench.
+Every public function takes and returns DataFrames (or Columns); no table is
+collected to the driver inside the library. Most functions are lazy. Those that
+reuse a small derived table write it once when the plan is built
+(``session.cut_lineage``), and ``materialize=False`` avoids that.
 
 Main entry points (see README, "API")::
 

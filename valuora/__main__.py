@@ -1,8 +1,10 @@
-"""Command line: ``python -m valuora <process|multi|daily> ...`` (also via spark-submit).
+"""Command line: ``python -m valuora <process|multi|daily|ingest> ...`` (also via spark-submit).
 
 Inputs are either the driver's test tables (``--sf DIR``, through the adapters)
 or files in the reference's layout (``--files paths.json`` mapping table names
-to paths). Outputs go to ``--out`` (a shared folder on a cluster).
+to paths or ``{"path", "format"}``). Outputs go to ``--out`` (a shared folder on
+a cluster). ``ingest`` writes the prices once as the date-partitioned table that
+a later ``--files`` run reads with the format ``price_table``.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ import argparse
 import datetime as dt
 import json
 
-from valuora.session import get_spark
+from valuora.session import drop_tables, get_spark
 
 
 def _model(spark, args):
@@ -24,7 +26,7 @@ def _model(spark, args):
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="valuora")
-    ap.add_argument("command", choices=["process", "multi", "daily"])
+    ap.add_argument("command", choices=["process", "multi", "daily", "ingest"])
     ap.add_argument("--sf", help="folder of the driver's test tables")
     ap.add_argument("--files", help="JSON file: table name -> path")
     ap.add_argument("--out", required=True)
@@ -35,7 +37,7 @@ def main(argv=None) -> None:
     ap.add_argument("--rr", type=float, default=0.15)
     ap.add_argument("--exclude", default="it,ca", help="markets left out (multi)")
     ap.add_argument("--market", default=None, help="run the single-market job for one market")
-    ap.add_argument("--csv", action="store_true", help="also export the tables as CSV (multi)")
+    ap.add_argument("--csv", action="store_true", help="also export the tables as CSV (process: with company data)")
     ap.add_argument("--date", default=None, help="snapshot date (multi), default today")
     ap.add_argument("--growth", help="stored growth table (daily)")
     ap.add_argument("--drop", help="folder of today's price files (daily)")
@@ -58,7 +60,21 @@ def main(argv=None) -> None:
         from valuora.plans.jobs import run_and_store
         paths = run_and_store(_model(spark, args), args.out, (args.start, args.end),
                               args.fp, args.rr, agg_func=args.agg, market=args.market)
+        if args.csv:
+            from valuora import sinks
+            from valuora.operators.company import enrich
+            company = spark.read.parquet(paths["company_info"])
+            company = company.drop("peer_list")   # the peers stay as their string
+            for name in ("fundamental", "growth", "screener"):
+                sinks.export_csv(enrich(spark.read.parquet(paths[name]), company), f"{args.out.rstrip('/')}/{name}_csv")
         print(json.dumps(paths))
+    elif args.command == "ingest":
+        from valuora import sinks
+        from valuora.sources.files import ingest_audit, read_price_table
+        table = f"{args.out.rstrip('/')}/price"
+        sinks.write_price_table(_model(spark, args).price, table)
+        sinks.write_table(ingest_audit(read_price_table(spark, table)), f"{args.out.rstrip('/')}/price_audit")
+        print(json.dumps({"price": table}))
     elif args.command == "multi":
         from valuora import sinks
         from valuora.operators.multimarket import multi_market
@@ -79,6 +95,7 @@ def main(argv=None) -> None:
         sinks.write_table(daily_refresh(batch, growth), f"{args.out.rstrip('/')}/screener")
         print(json.dumps({"screener": f"{args.out.rstrip('/')}/screener"}))
     if owned:
+        drop_tables(spark)
         spark.stop()
 
 

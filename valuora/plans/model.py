@@ -2,153 +2,56 @@
 
 from __future__ import annotations
 
-import hashlib
-import math
-import os
-import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valuora.operators.company import peer_string_agg
-from valuora.session import ensure_checkpoint_dir
 from valuora.sources import adapters as A
 
-# (application id, input fingerprint, table) -> staged Parquet path
-_STAGED: dict[tuple[str, str, str], str] = {}
-_LOCK = threading.Lock()                      # guards the two dicts
-_KEY_LOCKS: dict[tuple[str, str, str], threading.Lock] = {}
-_STAGED_DF: dict[tuple, DataFrame] = {}   # the read-back DataFrame of each
-TARGET_FILE_BYTES = 128 * 1024 * 1024
-
-
-def _app_id(spark: SparkSession) -> str:
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - a remote session has no local SparkContext
-        return spark.conf.get("spark.app.id", "app")
-
-
-def _fingerprint(sf_dir: str) -> str:
-    """Input identity: path plus name, size and mtime of every file (local paths)."""
-    h = hashlib.sha1(sf_dir.encode())
-    if os.path.isdir(sf_dir):
-        for n in sorted(os.listdir(sf_dir)):
-            st = os.stat(os.path.join(sf_dir, n))
-            h.update(f"{n}:{st.st_size}:{st.st_mtime_ns}".encode())
-    return h.hexdigest()[:16]
-
-
-SMALL_TABLE_BYTES = 8 * 1024 * 1024
-MAX_FILES = 20_000
-
-
-def _n_files(df: DataFrame) -> int:
-    """Output file count from the planner's size estimate (no job): ~128 MB a file;
-    tables above a few MB get at least one file per core so their scans run in
-    parallel, small ones stay one file."""
-    spark = df.sparkSession
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - no estimate available
-        size = SMALL_TABLE_BYTES
-    if size < SMALL_TABLE_BYTES:
-        return 1
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - remote session
-        cores = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-    return max(cores, min(MAX_FILES, math.ceil(size / TARGET_FILE_BYTES)))
-
 
 class TestdataModel:
     """Model tables derived from the driver's tables (``/root/testdata/sf*``).
 
-    With ``stage=True`` (the default) each model table is derived once per
-    application -- the ingest step of the pipeline -- written as Parquet into
-    the shared checkpoint folder and read back, so queries scan a columnar,
-    multi-file table instead of re-running the TPC-H -> model conversion.
-    Prices are range-partitioned by (ticker, date): files are clustered by
-    ticker (tight min/max statistics) and a ticker holding a third of all rows
-    is spread over many files instead of landing in one.
+    Every table is a lazy plan over the given tables: nothing is copied or kept
+    between queries, so a query always sees the input as it is. A durable copy
+    of the prices is the business of the ``ingest`` command, whose output a
+    ``FileModel`` reads.
     """
 
     __test__ = False  # not a pytest test class despite the name
 
-    def __init__(self, spark: SparkSession, sf_dir: str, stage: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        self.stage = stage
 
     def table(self, name: str) -> DataFrame:
         return A.table(self.spark, self.sf_dir, name)
 
-    def _staged(self, name: str, build, cluster: tuple[str, ...] = ()) -> DataFrame:
-        if not self.stage:
-            return build()
-        fp = _fingerprint(self.sf_dir)
-        key = (_app_id(self.spark), fp, name)
-        with _LOCK:
-            key_lock = _KEY_LOCKS.setdefault(key, threading.Lock())
-        with key_lock:                      # one writer per table; tables stage concurrently
-            df_key = key + (id(self.spark),)  # a DataFrame belongs to its session
-            df_cached = _STAGED_DF.get(df_key)
-            if df_cached is not None:       # DataFrames are immutable: reuse the read
-                return df_cached
-            path = _STAGED.get(key)
-            if path is None:
-                base = ensure_checkpoint_dir(self.spark)
-                path = f"{base.rstrip('/')}/valuora-model/{fp}/{name}"
-                df = build()
-                n = _n_files(df)
-                if cluster and n > 1:
-                    df = df.repartitionByRange(n, *cluster)
-                else:
-                    df = df.repartition(n)
-                df.write.mode("overwrite").parquet(path)
-                with _LOCK:
-                    _STAGED[key] = path
-            df_read = self.spark.read.parquet(path)
-            _STAGED_DF[df_key] = df_read
-            return df_read
-
-    TABLES = ("price", "income", "cashflow", "balance", "company_info", "symbol_directory",
-              "peers", "ticker_market", "companies", "daily_drop")
-
-    def stage_all(self, threads: int = 4) -> None:
-        """Stage every model table now (otherwise each is staged on first use).
-
-        The tables are independent jobs; submitting them from a few threads
-        lets Spark run them side by side instead of one after another.
-        """
-        from concurrent.futures import ThreadPoolExecutor
-        with ThreadPoolExecutor(max_workers=threads) as pool:
-            list(pool.map(lambda n: getattr(self, n), self.TABLES))
-
     @cached_property
     def price(self) -> DataFrame:
-        return self._staged("price", lambda: A.price(self.spark, self.sf_dir), ("ticker", "date"))
+        return A.price(self.spark, self.sf_dir)
 
     @cached_property
     def income(self) -> DataFrame:
-        return self._staged("income", lambda: A.income(self.spark, self.sf_dir))
+        return A.income(self.spark, self.sf_dir)
 
     @cached_property
     def cashflow(self) -> DataFrame:
-        return self._staged("cashflow", lambda: A.cashflow(self.spark, self.sf_dir))
+        return A.cashflow(self.spark, self.sf_dir)
 
     @cached_property
     def balance(self) -> DataFrame:
-        return self._staged("balance", lambda: A.balance(self.spark, self.sf_dir))
+        return A.balance(self.spark, self.sf_dir)
 
     @cached_property
     def company_info(self) -> DataFrame:
-        return self._staged("company_info", lambda: A.company_info(self.spark, self.sf_dir))
+        return A.company_info(self.spark, self.sf_dir)
 
     @cached_property
     def symbol_directory(self) -> DataFrame:
-        return self._staged("symbol_directory", lambda: A.symbol_directory(self.spark, self.sf_dir))
+        return A.symbol_directory(self.spark, self.sf_dir)
 
     @cached_property
     def peer_pairs(self) -> DataFrame:
@@ -156,14 +59,11 @@ class TestdataModel:
 
     @cached_property
     def peers(self) -> DataFrame:
-        def build():
-            pairs = self.peer_pairs.select(F.col("ticker_key"), F.col("peer_key"))
-            return peer_string_agg(pairs)
-        return self._staged("peers", build)
+        return peer_string_agg(self.peer_pairs)
 
     @cached_property
     def ticker_market(self) -> DataFrame:
-        return self._staged("ticker_market", lambda: A.ticker_market(self.spark, self.sf_dir))
+        return A.ticker_market(self.spark, self.sf_dir)
 
     @cached_property
     def markets(self) -> DataFrame:
@@ -175,11 +75,14 @@ class TestdataModel:
 
     @cached_property
     def companies(self) -> DataFrame:
-        return self._staged("companies", lambda: A.companies(self.spark, self.sf_dir))
+        return A.companies(self.spark, self.sf_dir)
 
     @cached_property
     def daily_drop(self) -> DataFrame:
-        return self._staged("daily_drop", lambda: A.daily_drop(self.spark, self.sf_dir))
+        return A.daily_drop(self.spark, self.sf_dir)
+
+
+FORMATS = ("parquet", "csv", "price_table", "per_symbol_csv", "statements")
 
 
 class FileModel:
@@ -187,47 +90,63 @@ class FileModel:
 
     ``paths`` maps table names (price, income, cashflow, balance, company_info,
     peers, symbol_directory, companies, industries, markets, ticker_market) to
-    files or folders. Statement and price columns may carry the vendor display
-    names ('Net Income', 'Shares (Basic)', 'Adj Close', ...); they are mapped
-    to the model's snake_case names on read.
+    files or folders on any file system Spark reads. A value is a path or
+    ``{"path": ..., "format": ...}``; without a format, paths that end in
+    ``.csv`` or ``.txt`` are CSV and all others Parquet. Formats:
+
+    * ``parquet``, ``csv``: a table, columns under model or vendor names;
+    * ``price_table``: the date-partitioned table that ``ingest`` writes;
+    * ``per_symbol_csv``: vendor price files without a ticker column, the symbol
+      being the file's name;
+    * ``statements``: a folder partitioned by statement, variant and market;
+      ``{"market": ..., "variant": ...}`` choose the source (all markets and
+      ``annual`` by default).
     """
 
     __test__ = False
 
-    def __init__(self, spark: SparkSession, paths: dict[str, str]):
+    def __init__(self, spark: SparkSession, paths: dict):
         self.spark = spark
-        self.paths = dict(paths)
+        self.sources = {name: self._source(v) for name, v in paths.items()}
+
+    @staticmethod
+    def _source(value) -> dict:
+        src = {"path": value} if isinstance(value, str) else dict(value)
+        src.setdefault("format", "csv" if src["path"].endswith((".csv", ".txt")) else "parquet")
+        if src["format"] not in FORMATS:
+            raise ValueError(f"unknown format {src['format']!r}; one of {', '.join(FORMATS)}")
+        return src
 
     def _read(self, name: str) -> DataFrame:
+        from valuora.schemas import MODEL_TYPES, snake
         from valuora.sinks import DISPLAY_NAMES
-        from valuora.schemas import snake
-        path = self.paths[name]
-        if path.endswith(".csv") or path.endswith(".txt") or os.path.isdir(path) and any(
-                f.endswith(".csv") for f in os.listdir(path)):
-            df = self.spark.read.option("header", True).option("inferSchema", False).csv(path)
+        from valuora.sources.files import read_statement
+        src = self.sources[name]
+        if src["format"] == "statements":
+            df = read_statement(self.spark, src["path"], name, src.get("market"), src.get("variant", "annual"))
+        elif src["format"] == "csv":
+            df = self.spark.read.option("header", True).option("inferSchema", False).csv(src["path"])
         else:
-            df = self.spark.read.parquet(path)
-        from valuora.schemas import MODEL_TYPES
+            df = self.spark.read.parquet(src["path"])
         back = {v: k for k, v in DISPLAY_NAMES.items()}
         out = []
         for c, t in df.dtypes:
-            name = back.get(c, snake(c))
+            col_name = back.get(c, snake(c))
             col = F.col(f"`{c}`")
-            if t == "string" and name in MODEL_TYPES:   # text sources: declared model types
-                col = col.cast(MODEL_TYPES[name])
-            out.append(col.alias(name))
+            if t == "string" and col_name in MODEL_TYPES:   # text sources: declared model types
+                col = col.cast(MODEL_TYPES[col_name])
+            out.append(col.alias(col_name))
         return df.select(*out)
 
     def _has(self, name: str) -> bool:
-        return name in self.paths
+        return name in self.sources
 
     @cached_property
     def price(self) -> DataFrame:
-        from valuora.sources.files import read_prices_csv
-        p = self.paths["price"]
-        if p.endswith(".csv") or os.path.isdir(p) and any(f.endswith(".csv") for f in os.listdir(p)):
-            return read_prices_csv(self.spark, p)
-        return self._read("price")
+        from valuora.sources.files import ingest_price_files, read_price_table, read_prices_csv
+        src = self.sources["price"]
+        read = {"csv": read_prices_csv, "per_symbol_csv": ingest_price_files, "price_table": read_price_table}
+        return read[src["format"]](self.spark, src["path"]) if src["format"] in read else self._read("price")
 
     @cached_property
     def income(self) -> DataFrame:
@@ -244,19 +163,22 @@ class FileModel:
     @cached_property
     def company_info(self) -> DataFrame:
         from valuora.sources.files import read_company_info
-        p = self.paths["company_info"]
-        return read_company_info(self.spark, p) if p.endswith(".csv") else self._read("company_info")
+        src = self.sources["company_info"]
+        return read_company_info(self.spark, src["path"]) if src["format"] == "csv" else self._read("company_info")
 
     @cached_property
     def peers(self) -> DataFrame:
         if not self._has("peers"):   # optional: results then carry no peer columns
             raise AttributeError("no peers table given")
-        return self._read("peers").select("ticker", "peer_string")
+        from valuora.sources.files import read_peers
+        src = self.sources["peers"]
+        peers = read_peers(self.spark, src["path"]) if src["format"] == "csv" else self._read("peers")
+        return peers.select("ticker", "peer_string")
 
     @cached_property
     def symbol_directory(self) -> DataFrame:
         from valuora.sources.files import read_symbol_directory
-        return read_symbol_directory(self.spark, self.paths["symbol_directory"])
+        return read_symbol_directory(self.spark, self.sources["symbol_directory"]["path"])
 
     @cached_property
     def companies(self) -> DataFrame:

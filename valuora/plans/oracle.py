@@ -120,10 +120,8 @@ SELECT CAST(c_custkey AS VARCHAR) AS symbol, c_name AS security_name,
 FROM customer"""
 
 CTES["peer_pairs"] = """
-SELECT a.c_custkey AS ticker_key, b.c_custkey AS peer_key
-FROM customer a JOIN customer b
-  ON a.c_nationkey = b.c_nationkey AND a.c_mktsegment = b.c_mktsegment
- AND a.c_custkey <> b.c_custkey AND abs(a.c_custkey - b.c_custkey) <= 200"""
+SELECT DISTINCT o.o_custkey AS ticker_key, l.l_suppkey AS peer_key
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
 
 CTES["peers"] = """
 SELECT CAST(ticker_key AS VARCHAR) AS ticker,
@@ -320,9 +318,9 @@ CTES["mm_growth_mean"] = "SELECT * FROM mm_growth_summary WHERE yrs_in_5yr = 5"
 CTES["mm_growth_sticker"] = _sticker_sql("mm_growth_mean")
 
 CTES["mm_latest"] = """
-SELECT ticker, low AS last_low_price
+SELECT ticker, min(low) AS last_low_price
 FROM (SELECT ticker, low, rank() OVER (PARTITION BY ticker ORDER BY date DESC) AS rk
-      FROM mm_price_used) x WHERE rk = 1"""
+      FROM mm_price_used) x WHERE rk = 1 GROUP BY ticker"""
 
 CTES["mm_companies"] = """
 SELECT * FROM company_industry WHERE market IN (SELECT market_id FROM mm_markets)"""
@@ -381,7 +379,7 @@ CTES["sm_screener"] = _screener_sql("sm_price_used", "sm_growth")
 
 CTES["daily_drop"] = """
 SELECT CAST(ts AS DATE) AS date, CAST(user_id AS VARCHAR) AS ticker, value * 1000 AS low
-FROM (SELECT user_id, ts, value, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn
+FROM (SELECT user_id, ts, value, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, value DESC) AS rn
       FROM events) e WHERE rn = 1"""
 
 CTES["extremes"] = """

@@ -1,7 +1,8 @@
 """Registered queries: name -> (Spark plan builder, DuckDB oracle SQL or None).
 
-Every query reads the driver's tables (through the adapters) and returns a lazy
-DataFrame. Computed columns carry the same alias in Spark and SQL. Doubles that
+Every query reads the driver's tables (through the adapters) and returns a
+DataFrame; small tables that several steps read are written on the way (see
+``session.cut_lineage``). Computed columns carry the same alias in Spark and SQL. Doubles that
 come out of an order-dependent floating aggregate (averages of prices, ratios
 built on them) are reported rounded to 6 dp in both engines, and statistics or
 ``pow`` results of any magnitude at 12 significant digits, so both sides hash
@@ -61,6 +62,13 @@ def model(spark: SparkSession, sf_dir: str) -> TestdataModel:
     return TestdataModel(spark, sf_dir)
 
 
+def _scratch(spark, name: str) -> str:
+    """A new folder below this application's written tables (removed with them)."""
+    import uuid
+    from valuora.session import _tables_folder
+    return f"{_tables_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def run_single(spark: SparkSession, sf_dir: str, agg_func: str = "mean") -> PL.SingleMarketResult:
     return PL.single_market(model(spark, sf_dir), O.PERIOD, agg_func=agg_func)
 
@@ -84,8 +92,8 @@ def q_price_stats(spark, sf):
 SELECT year, ticker, {O.r6('mean_low_price')} AS mean_low_price FROM annual_mean
 ORDER BY year, ticker""")
 def q_annual_price_mean(spark, sf):
-    r = run_single(spark, sf)
-    return r6(P.annual_price(r.price, *O.PERIOD, how="mean", ordered=True), "mean_low_price")
+    annual = run_single(spark, sf).annual_price
+    return r6(annual, "mean_low_price").orderBy("year", "ticker")
 
 
 @query("latest_price", """
@@ -230,10 +238,25 @@ def q_company_single_market(spark, sf):
 
 
 @query("statement_scan", """
-SELECT * FROM income WHERE ticker IN (SELECT ticker FROM ticker_market WHERE market = 'AMERICA')""")
+SELECT * FROM (SELECT 'income' AS statement, x.* FROM mm_income x WHERE market IN ('AMERICA', 'ASIA')
+UNION ALL BY NAME SELECT 'cashflow' AS statement, x.* FROM mm_cashflow x WHERE market IN ('AMERICA', 'ASIA')
+UNION ALL BY NAME SELECT 'balance' AS statement, x.* FROM mm_balance x WHERE market IN ('AMERICA', 'ASIA')) s""")
 def q_statement_scan(spark, sf):
+    """The three statements of all markets stored by statement, variant and market; two markets are read back."""
+    from valuora.sources.files import read_statement
     m = model(spark, sf)
-    return FU.restrict(m.income, m.ticker_market.where(F.col("market") == "AMERICA").select("ticker"))
+    out = _scratch(spark, "statements")
+    parts = [s.withColumn("statement", F.lit(n)).withColumn("variant", F.lit("annual"))
+             for n, s in (("income", m.income), ("cashflow", m.cashflow), ("balance", m.balance))]
+    stored = parts[0].unionByName(parts[1], True).unionByName(parts[2], True).join(m.ticker_market, "ticker")
+    stored.write.partitionBy("statement", "variant", "market").parquet(out)
+    found = None
+    for n, p in zip(("income", "cashflow", "balance"), parts, strict=True):
+        for mk in ("AMERICA", "ASIA"):
+            part = read_statement(spark, out, n, mk).select(
+                F.lit(n).alias("statement"), "market", *[c for c in p.columns if c not in ("statement", "variant")])
+            found = part if found is None else found.unionByName(part, allowMissingColumns=True)
+    return found
 
 
 @query("peer_string_agg", "SELECT ticker, peer_string FROM peers")
@@ -310,27 +333,21 @@ def q_price_ingest_audit(spark, sf):
 
 
 @query("stats_append", """
-SELECT ticker, market_cap, NULL::VARCHAR AS sector, DATE '2021-06-01' AS download_date
-FROM company_info WHERE market = 'ASIA'
+SELECT ticker, market_cap, sector, market, DATE '2021-06-01' AS download_date
+FROM company_info WHERE market IN ('AMERICA', 'ASIA')
 UNION ALL
-SELECT ticker, market_cap, sector, DATE '2021-06-02' AS download_date
-FROM company_info WHERE market = 'EUROPE'""")
+SELECT ticker, market_cap, sector, market, DATE '2021-06-02' AS download_date
+FROM company_info WHERE market NOT IN ('AMERICA', 'ASIA')""")
 def q_stats_append(spark, sf):
+    """Two downloads that together cover every market, appended with their dates."""
     import datetime as dt
-    ci = model(spark, sf).company_info
-    b1 = (ci.where(F.col("market") == "ASIA").select("ticker", "market_cap")
-          .withColumn("download_date", F.lit(dt.date(2021, 6, 1))))
-    b2 = (ci.where(F.col("market") == "EUROPE").select("ticker", "market_cap", "sector")
-          .withColumn("download_date", F.lit(dt.date(2021, 6, 2))))
+    ci = model(spark, sf).company_info.select("ticker", "market_cap", "sector", "market")
+    first = F.col("market").isin("AMERICA", "ASIA")
+    b1 = ci.where(first).withColumn("download_date", F.lit(dt.date(2021, 6, 1)))
+    b2 = ci.where(~first).withColumn("download_date", F.lit(dt.date(2021, 6, 2)))
     return b1.unionByName(b2, allowMissingColumns=True)
 
 
-@query("file_inventory", None)
-def q_file_inventory(spark, sf):
-    from valuora.sources.files import file_inventory
-    return file_inventory(spark, sf)
-
-
 # ---------------------------------------------------------------- filters / evaluation
 
 @query("filter_symbols", """
@@ -393,11 +410,14 @@ def q_ticker_history(spark, sf):
     return r6(h, "mean_low_price", "pe").orderBy("ticker", "fiscal_year")
 
 
+MOS_BOUNDS = (0.5, 1000.0)   # bounds that rows of the test data exceed on both sides
+
+
 @query("mos_outliers", f"""
 SELECT * REPLACE ({O.sig12('eps_future')} AS eps_future) FROM growth
-WHERE mos <= 0.1 OR mos >= 10000000000.0""")
+WHERE mos <= {MOS_BOUNDS[0]} OR mos >= {MOS_BOUNDS[1]}""")
 def q_mos_outliers(spark, sf):
-    return sig12(S.mos_outliers(run_single(spark, sf).growth), "eps_future")
+    return sig12(S.mos_outliers(run_single(spark, sf).growth, *MOS_BOUNDS), "eps_future")
 
 
 @query("preview_top", """
@@ -412,7 +432,7 @@ SELECT year, ticker, {O.r6('mean_low_price')} AS mean_low_price FROM annual_mean
 ORDER BY year DESC, ticker DESC LIMIT 5""")
 def q_preview_tail(spark, sf):
     """Last rows of the ordered annual price table (a tail is a descending head)."""
-    a = P.annual_price(run_single(spark, sf).price, *O.PERIOD, how="mean")
+    a = run_single(spark, sf).annual_price
     return r6(a.orderBy(F.col("year").desc(), F.col("ticker").desc()).limit(5), "mean_low_price")
 
 
@@ -471,6 +491,17 @@ FROM balance GROUP BY ticker, simfin_id, currency, fiscal_year HAVING count(*) >
 UNION ALL
 SELECT 'company_info', ticker, count(*) FROM company_info GROUP BY ticker HAVING count(*) > 1
 UNION ALL
+SELECT 'peers', ticker, count(*) FROM peers GROUP BY ticker HAVING count(*) > 1
+UNION ALL
+SELECT 'companies', ticker, count(*) FROM companies GROUP BY ticker HAVING count(*) > 1
+UNION ALL
+SELECT 'industries', CAST(industry_id AS VARCHAR), count(*) FROM industries GROUP BY industry_id HAVING count(*) > 1
+UNION ALL
+SELECT 'ticker_market', ticker, count(*) FROM ticker_market GROUP BY ticker HAVING count(*) > 1
+UNION ALL
+SELECT 'annual_price', concat_ws('|', CAST(year AS VARCHAR), ticker), count(*)
+FROM annual_mean GROUP BY year, ticker HAVING count(*) > 1
+UNION ALL
 SELECT 'latest_price', ticker, count(*) FROM (
   SELECT ticker, rank() OVER (PARTITION BY ticker ORDER BY date DESC) AS rk FROM price) x
 WHERE rk = 1 GROUP BY ticker HAVING count(*) > 1
@@ -482,7 +513,10 @@ def q_join_cardinality_check(spark, sf):
     from valuora.schemas import STATEMENT_KEYS as K
     return Q.cardinality_report({
         "income": (m.income, K), "cashflow": (m.cashflow, K), "balance": (m.balance, K),
-        "company_info": (m.company_info, ["ticker"]),
+        "company_info": (m.company_info, ["ticker"]), "peers": (m.peers, ["ticker"]),
+        "companies": (m.companies, ["ticker"]), "industries": (m.industries, ["industry_id"]),
+        "ticker_market": (m.ticker_market, ["ticker"]),
+        "annual_price": (run_single(spark, sf).annual_price, ["year", "ticker"]),
         "latest_price": (P.latest_price(m.price), ["ticker"]),
         "price": (m.price, ["date", "ticker"])})
 
@@ -554,35 +588,79 @@ def q_describe_screener_mos(spark, sf):
     return sig12(describe(run_single(spark, sf).screener, "mos", SCREENER_DESCRIBE_PCTS), "value")
 
 
-PROFILE_COLS = ["revenue_gr_curr", "eps_curr", "roic_gr_5yr", "eps_gr_5yr", "bvps_gr_5yr",
-                "pe_5yr", "yrs_in_10yr", "rule1_gr_5yr", "price_future", "mos"]
+GROWTH_NUMERIC = (["revenue_gr_curr", "eps_curr"]
+                  + [f"{k}_{n}yr" for n in (5, 10) for k in [*O.GR, "yrs_in", "rule1_gr", "pe_default"]]
+                  + ["pe_future", "eps_future", "price_future", "sticker_price", "mos"])
+STATEMENT_NUMERIC = ["simfin_id", "fiscal_year", "shares_basic_is", "revenue", "net_income", "shares_basic_cf",
+                     "net_cash_ops", "net_cash_inv", "dividends_paid", "shares_basic", "total_equity",
+                     "total_liab_equity"]
+STATEMENT_TEXT = ["ticker", "currency", "fiscal_period_is", "report_date_is", "fiscal_period_cf", "report_date_cf",
+                  "fiscal_period", "report_date"]
+
+
+def _long(src: str, cols, kind: str) -> str:
+    return "(" + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS {kind}) AS value FROM {src}" for c in cols) + ")"
+
+
+def _top_sql(long: str) -> str:
+    return f"""(SELECT column_name, value AS top_value, freq AS top_freq FROM (
+             SELECT column_name, value, count(*) AS freq,
+                    row_number() OVER (PARTITION BY column_name ORDER BY count(*) DESC, value) AS rn
+             FROM {long} l2 WHERE value IS NOT NULL GROUP BY column_name, value) x WHERE rn = 1)"""
 
 
-def _profile_sql(src: str, cols) -> str:
-    long = "(" + " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM {src}" for c in cols) + ")"
-    return f"""
+def _profile_sql(src: str, numeric, text) -> str:
+    """One row per column: moments and quartiles of numeric ones, extremes as text of the others."""
+    num, txt = _long(src, numeric, "DOUBLE"), _long(src, text, "VARCHAR")
+    none = "NULL::DOUBLE"
+    numbers = f"""
 SELECT s.column_name, n, n_missing, {O.sig12('n_missing * 100.0 / n')} AS missing_pct, n_distinct, n_zeros,
-       min, max, {O.sig12('mean')} AS mean, {O.sig12('std')} AS std,
-       {O.sig12('p25')} AS p25, {O.sig12('p50')} AS p50, {O.sig12('p75')} AS p75, t.top_value, t.top_freq
+       {O.sig12('min')} AS min, {O.sig12('max')} AS max, {O.sig12('mean')} AS mean, {O.sig12('std')} AS std,
+       {O.sig12('p25')} AS p25, {O.sig12('p50')} AS p50, {O.sig12('p75')} AS p75, {O.sig12('t.top_value')} AS top_value,
+       NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text, NULL::VARCHAR AS top_text, t.top_freq
 FROM (SELECT column_name, count(*) AS n, count(*) - count(value) AS n_missing,
              count(DISTINCT value) AS n_distinct, count(CASE WHEN value = 0 THEN 1 END) AS n_zeros,
              min(value) AS min, max(value) AS max, avg(value) AS mean, stddev_samp(value) AS std,
              quantile_cont(value, 0.25) AS p25, quantile_cont(value, 0.5) AS p50,
              quantile_cont(value, 0.75) AS p75
-      FROM {long} l GROUP BY column_name) s
-LEFT JOIN (SELECT column_name, value AS top_value, freq AS top_freq FROM (
-             SELECT column_name, value, count(*) AS freq,
-                    row_number() OVER (PARTITION BY column_name ORDER BY count(*) DESC, value) AS rn
-             FROM {long} l2 WHERE value IS NOT NULL GROUP BY column_name, value) x WHERE rn = 1) t
-  ON s.column_name = t.column_name"""
+      FROM {num} l GROUP BY column_name) s
+LEFT JOIN {_top_sql(num)} t ON s.column_name = t.column_name""" if numeric else ""
+    words = f"""
+SELECT s.column_name, n, n_missing, {O.sig12('n_missing * 100.0 / n')} AS missing_pct, n_distinct, NULL::BIGINT AS n_zeros,
+       {none} AS min, {none} AS max, {none} AS mean, {none} AS std, {none} AS p25, {none} AS p50, {none} AS p75,
+       {none} AS top_value, min_text, max_text, t.top_value AS top_text, t.top_freq
+FROM (SELECT column_name, count(*) AS n, count(*) - count(value) AS n_missing, count(DISTINCT value) AS n_distinct,
+             min(value) AS min_text, max(value) AS max_text
+      FROM {txt} l GROUP BY column_name) s
+LEFT JOIN {_top_sql(txt)} t ON s.column_name = t.column_name""" if text else ""
+    return " UNION ALL ".join(x for x in (numbers, words) if x)
+
+
+def _profile(df: DataFrame) -> DataFrame:
+    from valuora.operators.profile import column_profile
+    return sig12(column_profile(df), "missing_pct", "min", "max", "mean", "std", "p25", "p50", "p75", "top_value")
 
 
-@query("column_profile", _profile_sql("growth", PROFILE_COLS))
+@query("column_profile", _profile_sql("(SELECT * REPLACE (" + O.sig12("eps_future") + " AS eps_future) FROM growth)",
+                                      GROWTH_NUMERIC, ["ticker"]))
 def q_column_profile(spark, sf):
-    from valuora.operators.profile import column_profile
-    prof = column_profile(run_single(spark, sf).growth, PROFILE_COLS)
-    return sig12(prof, "missing_pct", "mean", "std", "p25", "p50", "p75")
+    """Every column of the growth table."""
+    return _profile(sig12(run_single(spark, sf).growth, "eps_future"))
+
+
+@query("statement_profile", _profile_sql("fundamental_raw", STATEMENT_NUMERIC, STATEMENT_TEXT))
+def q_statement_profile(spark, sf):
+    """Every column of the merged statements."""
+    m = model(spark, sf)
+    return _profile(FU.combine_statements(m.income, m.cashflow, m.balance))
+
+
+@query("company_profile", _profile_sql("company_info", ["market_cap"],
+                                       ["ticker", "company_name", "industry", "sector", "market"]))
+def q_company_profile(spark, sf):
+    """Every column of the company information."""
+    return _profile(model(spark, sf).company_info)
 
 
 # ---------------------------------------------------------------- multi-market
@@ -602,21 +680,15 @@ def q_company_industry(spark, sf):
     return MM.companies_with_industry(m.companies, m.industries)
 
 
-MULTI_UNION_MARKETS = ("AMERICA", "ASIA", "EUROPE")
-
-
 @query("multi_market_union", """
-SELECT ticker, simfin_id, company_name, industry_id, 'AMERICA' AS market FROM companies WHERE market = 'AMERICA'
-UNION ALL
-SELECT ticker, simfin_id, company_name, industry_id, 'ASIA' FROM companies WHERE market = 'ASIA'
-UNION ALL
-SELECT ticker, simfin_id, company_name, NULL::INTEGER, 'EUROPE' FROM companies WHERE market = 'EUROPE'""")
+SELECT ticker, simfin_id, company_name, industry_id, market FROM companies
+WHERE market IN (SELECT market_id FROM mm_markets)""")
 def q_multi_market_union(spark, sf):
-    comp = model(spark, sf).companies.drop("market")
-    frames = {}
-    for mk in MULTI_UNION_MARKETS:
-        f = comp.join(model(spark, sf).ticker_market.where(F.col("market") == mk), "ticker", "left_semi")
-        frames[mk] = f.drop("industry_id") if mk == "EUROPE" else f
+    """One frame per kept market, tagged with its market and appended."""
+    m = model(spark, sf)
+    comp, tm = m.companies.drop("market"), m.ticker_market
+    kept = [r.market_id for r in MM.kept_markets(m.markets, O.EXCLUDED_MARKETS).collect()]   # a market a row
+    frames = {mk: comp.join(tm.where(F.col("market") == mk), "ticker", "left_semi") for mk in sorted(kept)}
     return MM.union_markets(frames)
 
 
@@ -686,6 +758,15 @@ def q_filter_date_range(spark, sf):
                                     (dt.datetime(1996, 1, 1), dt.datetime(1998, 12, 31)))])
 
 
+@query("filter_auto", """
+SELECT * FROM company_info WHERE market IN ('ASIA', 'EUROPE') AND market_cap BETWEEN 0.0 AND 5000.0
+  AND regexp_matches(company_name, '[13579]$')""")
+def q_filter_auto(spark, sf):
+    """The kind of each filter is chosen from the column: few values, numbers, text."""
+    return FL.auto_filters(model(spark, sf).company_info, {
+        "market": ["ASIA", "EUROPE"], "market_cap": (0.0, 5000.0), "company_name": "[13579]$"})
+
+
 @query("filter_text_regex", """
 SELECT * FROM company_info WHERE regexp_matches(company_name, '#0000001[0-9]7')""")
 def q_filter_text_regex(spark, sf):
@@ -700,13 +781,11 @@ UNION ALL SELECT 'after_annual_pe', count(*), count(DISTINCT ticker) FROM mm_fun
 UNION ALL SELECT 'after_growth_rates', count(*), count(DISTINCT ticker) FROM mm_growth_mean
 UNION ALL SELECT 'after_latest_price', count(*), count(DISTINCT ticker) FROM mm_growth""")
 def q_dq_stage_shapes(spark, sf):
-    m = model(spark, sf)
-    inp = MM.multi_market_inputs(m, O.EXCLUDED_MARKETS)
     res = run_multi(spark, sf)
-    return Q.stage_shapes({"fundamental_merged": inp["fundamental_raw"],
-                           "after_annual_pe": res["fundamental"],
-                           "after_growth_rates": G.growth_rates(res["fundamental"]),
-                           "after_latest_price": res["growth"]})
+    return Q.stage_shapes({"fundamental_merged": res.fundamental_raw,
+                           "after_annual_pe": res.fundamental,
+                           "after_growth_rates": res.growth_rates,
+                           "after_latest_price": res.growth})
 
 
 # ---------------------------------------------------------------- daily refresh
@@ -724,19 +803,83 @@ def q_daily_refresh(spark, sf):
 
 # ---------------------------------------------------------------- stored results
 
-def _scratch(spark, name: str) -> str:
-    import uuid
-    from valuora.session import ensure_checkpoint_dir
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/valuora-{name}/{uuid.uuid4().hex}"
-
-
-@query("result_readback", "SELECT * FROM screener")
+@query("result_readback", f"""
+SELECT 'company_info' AS table_name, c.*, p.peer_string FROM company_info c LEFT JOIN peers p ON c.ticker = p.ticker
+UNION ALL BY NAME SELECT 'fundamental' AS table_name, f.* REPLACE ({O.r6('mean_low_price')} AS mean_low_price,
+  {O.r6('pe')} AS pe) FROM fundamental f
+UNION ALL BY NAME SELECT 'growth' AS table_name, g.* REPLACE ({O.sig12('eps_future')} AS eps_future) FROM growth g
+UNION ALL BY NAME SELECT 'screener' AS table_name, s.* FROM screener s""")
 def q_result_readback(spark, sf):
-    """The processing job writes its four result tables; the screener is read back."""
+    """The processing job writes its four result tables; all of them are read back."""
     from valuora.sources.files import read_result_tables
     out = _scratch(spark, "results")
     PL.run_and_store(model(spark, sf), out, O.PERIOD)
-    return read_result_tables(spark, out)["screener"]
+    t = read_result_tables(spark, out)
+    tables = {"company_info": t["company_info"].drop("peer_list"),
+              "fundamental": r6(t["fundamental"], "mean_low_price", "pe"),
+              "growth": sig12(t["growth"], "eps_future"), "screener": t["screener"]}
+    found = None
+    for name, df in tables.items():
+        df = df.withColumn("table_name", F.lit(name))
+        found = df if found is None else found.unionByName(df, allowMissingColumns=True)
+    return found
+
+
+@query("screener_csv", "SELECT * FROM screener")
+def q_screener_csv(spark, sf):
+    """The screener exported as CSV and read back with its declared types."""
+    from valuora import sinks
+    screen = run_single(spark, sf).screener
+    out = _scratch(spark, "csv")
+    sinks.export_csv(screen, out)
+    return spark.read.option("header", True).schema(screen.schema).csv(out)
+
+
+@query("company_profile_file", "SELECT column_name, n, n_missing, n_distinct, top_freq FROM ("
+       + _profile_sql("company_info", ["market_cap"], ["ticker", "company_name", "industry", "sector", "market"]) + ") p")
+def q_company_profile_file(spark, sf):
+    """The profile file written and read back."""
+    from valuora import sinks
+    prof = _profile(model(spark, sf).company_info)
+    out = _scratch(spark, "profile")
+    sinks.write_profile(prof, out)
+    return spark.read.schema(prof.schema).json(out).select("column_name", "n", "n_missing", "n_distinct", "top_freq")
+
+
+@query("price_files", """
+SELECT date, ticker, open, high, low, close, adj_close, volume FROM (
+  SELECT date, ticker, low AS open, low AS high, low, low AS close, low AS adj_close, NULL::DOUBLE AS volume
+  FROM daily_drop) d""")
+def q_price_files(spark, sf):
+    """Today's prices written as one folder of CSV files per symbol and read back."""
+    from valuora import sinks
+    from valuora.schemas import PRICE
+    out = _scratch(spark, "price-files")
+    drop = model(spark, sf).daily_drop
+    sinks.write_per_symbol_csv(drop, out)
+    return spark.read.option("header", True).schema(PRICE).csv(out).select(*PRICE.fieldNames())
+
+
+DICTIONARY_SQL = " UNION ALL ".join(
+    f"""SELECT '{t}' AS "table", u.column_name AS "column", 'ok' AS status, u.n_filled
+FROM (SELECT {', '.join(f'count({c}) AS {c}' for c in cols)} FROM {t}) x
+UNPIVOT INCLUDE NULLS (n_filled FOR column_name IN ({', '.join(cols)})) u"""
+    for t, cols in (("screener", ["ticker", "last_date", "last_low_price", "price_future", "sticker_price", "mos"]),
+                    ("company_info", ["ticker", "company_name", "industry", "sector", "market", "market_cap"])))
+
+
+@query("data_dictionary_check", DICTIONARY_SQL)
+def q_data_dictionary_check(spark, sf):
+    """The data dictionary of two result tables checked against them, with how many rows fill each column."""
+    r = run_single(spark, sf)
+    tables = {"screener": r.screener, "company_info": model(spark, sf).company_info}
+    checked = Q.dictionary_check(Q.data_dictionary(tables), {t: df.columns for t, df in tables.items()})
+    filled = None
+    for t, df in tables.items():
+        part = df.agg(*[F.count(c).alias(c) for c in df.columns]).unpivot([], df.columns, "column", "n_filled")
+        part = part.withColumn("table", F.lit(t))
+        filled = part if filled is None else filled.unionByName(part)
+    return checked.join(filled, ["table", "column"]).select("table", "column", "status", "n_filled")
 
 
 SNAPSHOT_DATES = ("2023-03-10", "2023-03-11")

@@ -22,16 +22,8 @@ RAW_PRICE = (T.StructType()
 PRICE_RENAMES = {"Date": "date", "Ticker": "ticker", "Open": "open", "High": "high",
                  "Low": "low", "Close": "close", "Adj Close": "adj_close", "Volume": "volume"}
 
-PRICE = T.StructType([
-    T.StructField("date", T.DateType(), True),
-    T.StructField("ticker", T.StringType(), True),
-    T.StructField("open", T.DoubleType(), True),
-    T.StructField("high", T.DoubleType(), True),
-    T.StructField("low", T.DoubleType(), True),
-    T.StructField("close", T.DoubleType(), True),
-    T.StructField("adj_close", T.DoubleType(), True),
-    T.StructField("volume", T.DoubleType(), True),
-])
+# The price table of the model: the same columns under their model names.
+PRICE = T.StructType([T.StructField(PRICE_RENAMES[f.name], f.dataType, True) for f in RAW_PRICE.fields])
 
 # Pipe-separated symbol directory.
 RAW_SYMBOL_DIRECTORY = (T.StructType()

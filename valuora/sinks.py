@@ -56,14 +56,15 @@ def write_snapshot(df: DataFrame, base: str, table: str, date: _dt.date | str) -
        .parquet(f"{base.rstrip('/')}/{table}"))
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with header (the spreadsheet export). ``single_file`` is for small results only:
-    it funnels the rows through one task."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str) -> None:
+    """CSV with header (the spreadsheet export), one file per task."""
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_price_table(price: DataFrame, path: str, n_partitions: int | None = None) -> None:
+MAX_ROWS_PER_FILE = 5_000_000   # price rows: ~128 MB of Parquet
+
+
+def write_price_table(price: DataFrame, path: str) -> None:
     """The price table layout for scale: one folder per trading ``date``, rows
     clustered by ticker inside.
 
@@ -71,23 +72,24 @@ def write_price_table(price: DataFrame, path: str, n_partitions: int | None = No
     join back on (ticker, date = last_date) gets dynamic partition pruning:
     only the folders of the latest dates are read. The write is range
     partitioned on (date, ticker), so a day holding a third of all rows is
-    still split over several tasks and files.
+    still split over several tasks; AQE sizes the tasks from what was shuffled
+    and a file takes ``MAX_ROWS_PER_FILE`` rows at most. Loading a day replaces
+    only that day's folder.
     """
-    df = (price.repartitionByRange(n_partitions, "date", "ticker") if n_partitions
-          else price.repartitionByRange("date", "ticker"))
-    # dynamic overwrite on the writer itself: loading one day replaces only
-    # that day's folder, whatever the session default is
-    (df.sortWithinPartitions("date", "ticker")
+    # dynamic overwrite on the writer itself, whatever the session default is
+    (price.repartitionByRange("date", "ticker").sortWithinPartitions("date", "ticker")
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
        .partitionBy("date").parquet(path))
 
 
 def write_per_symbol_csv(price: DataFrame, path: str) -> None:
     """One folder of CSV files per symbol (``Ticker=<sym>/``), the staged-file layout.
 
-    Rows are clustered by symbol first so each task writes few files.
+    Rows are ranged by (ticker, date): most symbols end up in one file, and one
+    that holds a third of the rows is spread over several tasks.
     """
-    (price.repartition("ticker").sortWithinPartitions("ticker", "date")
+    (price.repartitionByRange("ticker", "date").sortWithinPartitions("ticker", "date")
           .write.mode("overwrite").option("header", True).partitionBy("ticker").csv(path))
 
 

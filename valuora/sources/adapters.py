@@ -155,28 +155,12 @@ def symbol_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
         _ticker("c_custkey").alias("nasdaq_symbol"))
 
 
-PEER_BAND = 200
-
-
-def peer_pairs(spark: SparkSession, sf_dir: str, band: int = PEER_BAND) -> DataFrame:
-    """(ticker, peer) pairs: same nation and segment, key distance <= band.
-
-    A band join, not a group cross product: both sides carry the bucket
-    ``key div band``; one side is replicated to the neighbouring buckets, so
-    each customer only meets candidates that can be within the band.
-    """
-    cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    a = cu.select(F.col("c_custkey").alias("a_key"), F.col("c_nationkey").alias("nat"),
-                  F.col("c_mktsegment").alias("seg"),
-                  F.floor(F.col("c_custkey") / band).alias("bucket"))
-    b = (cu.select(F.col("c_custkey").alias("b_key"), F.col("c_nationkey").alias("nat"),
-                   F.col("c_mktsegment").alias("seg"),
-                   F.explode(F.array(*[F.floor(F.col("c_custkey") / band) + d
-                                       for d in (-1, 0, 1)])).alias("bucket")))
-    pairs = (a.join(b, ["nat", "seg", "bucket"])
-             .where((F.col("a_key") != F.col("b_key"))
-                    & (F.abs(F.col("a_key") - F.col("b_key")) <= band)))
-    return pairs.select(F.col("a_key").alias("ticker_key"), F.col("b_key").alias("peer_key"))
+def peer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ticker_key, peer_key): the suppliers that a customer has bought from, each once."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return (li.join(od, li.l_orderkey == od.o_orderkey)
+            .select(F.col("o_custkey").alias("ticker_key"), F.col("l_suppkey").alias("peer_key")).distinct())
 
 
 def markets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,9 +185,10 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Today's price files: the last event per user becomes that ticker's price row."""
+    """Today's price files: the last event per user (the largest value of a tie)
+    becomes that ticker's price row."""
     ev = table(spark, sf_dir, "events").select("user_id", "ts", "value")
-    last = ev.groupBy("user_id").agg(F.max_by(F.struct("ts", "value"), "ts").alias("r"))
+    last = ev.groupBy("user_id").agg(F.max(F.struct("ts", "value")).alias("r"))
     low = F.col("r.value") * 1000
     return last.select(
         F.col("r.ts").cast("date").alias("date"),
