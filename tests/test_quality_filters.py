@@ -83,6 +83,8 @@ def test_cluster_conf_sizes():
     from valuora.session import cluster_conf
     c = cluster_conf(int(1e14), 1000, 4, 16)
     assert int(c["spark.sql.files.maxPartitionBytes"]) == 256 * 1024 ** 2
+    assert int(c["spark.sql.shuffle.partitions"]) == 8000
+    c = cluster_conf(int(1e14), 1000, 4, 16, shuffle_bytes=int(1e14))   # ingest: 256 MB a partition, no cap
     assert int(c["spark.sql.shuffle.partitions"]) == -(-int(1e14) // (256 * 1024 ** 2))
     small = cluster_conf(10 ** 9, 2, 4, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16

@@ -53,7 +53,9 @@ def main(argv=None) -> None:
     extra = None
     if args.input_bytes and args.executors:
         from valuora.session import cluster_conf
-        extra = cluster_conf(int(args.input_bytes), args.executors, args.cores, args.memory_gb)
+        size = int(args.input_bytes)
+        extra = cluster_conf(size, args.executors, args.cores, args.memory_gb,
+                             shuffle_bytes=size if args.command == "ingest" else 0)
     spark = get_spark(args.master, extra=extra)
 
     if args.command == "process":

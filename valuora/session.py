@@ -25,20 +25,24 @@ DEFAULT_CONF = {
 
 
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
-                 executor_memory_gb: float) -> dict[str, str]:
-    """Settings sized for a cluster run over ``input_bytes`` of Parquet.
+                 executor_memory_gb: float, shuffle_bytes: int = 0) -> dict[str, str]:
+    """Settings sized for a cluster run.
+
+    ``shuffle_bytes`` is the largest shuffle of the job: nothing to speak of for
+    the queries, which shuffle a row per ticker and task, and ``input_bytes``
+    for ingest, which range-partitions all prices once.
 
     * scan splits of up to 256 MB, well inside a task's share of executor memory;
-    * shuffle partitions for the one shuffle that carries the whole input (the
-      range-partitioned price write) at ~256 MB each, at least 2x the cores; AQE
-      coalesces the small per-ticker shuffles and splits skewed partitions;
+    * shuffle partitions of ~256 MB for that shuffle, at least 2x the cores; AQE
+      coalesces smaller shuffles and splits skewed partitions;
     * runtime broadcasts of sides measured at up to 64 MB: Spark decides from
       file sizes and shuffle statistics, nothing in the library forces one.
     """
     cores = max(1, executors * cores_per_executor)
     mem_per_core = executor_memory_gb * 1024 ** 3 / max(1, cores_per_executor)
-    split = int(min(256 * 1024 ** 2, max(32 * 1024 ** 2, mem_per_core / 8)))
-    shuffle = max(2 * cores, -(-input_bytes // (256 * 1024 ** 2)))
+    # small inputs still get a split per core, large ones splits a task holds easily
+    split = int(min(256 * 1024 ** 2, max(32 * 1024 ** 2, min(mem_per_core / 8, max(1, input_bytes / cores)))))
+    shuffle = max(2 * cores, -(-shuffle_bytes // (256 * 1024 ** 2)))
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(shuffle),
