@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .shared import examples
+from .shared import cut_lineage, examples
 
 ORDERS = (3, 4, 5)
 BITS = 18            # hashed n-grams: 2^18
@@ -121,16 +121,17 @@ def _gain(n0, n1, t0, t1):
 def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", train_on: Column | None = None,
           text_col: str = "text", per_class: int = PER_CLASS) -> Model:
     """Fits the model on labelled documents for which ``train_on`` (of ``doc_id``) holds."""
-    rows = examples(docs.select("doc_id", F.col(text_col).cast("string").alias("text")), labels, target,
-                    F.lit(True) if train_on is None else train_on, per_class).select("y", "text")
+    rows = cut_lineage(examples(docs.select("doc_id", F.col(text_col).cast("string").alias("text")), labels, target,
+                                F.lit(True) if train_on is None else train_on, per_class).select("y", "text"), "examples")
     got = (rows.mapInArrow(_counts, "gram long, n0 long, n1 long").groupBy("gram")
            .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where("gram < 0 or n0 + n1 > 1"))
-    t0, t1 = (got.where("gram < 0").select("n0", "n1").first() or (0, 0))
+    table = np.array([tuple(r) for r in got.collect()], np.int64).reshape(-1, 3)  # 2^BITS + 1 rows at most
+    t0, t1 = table[table[:, 0] < 0, 1:].sum(axis=0).tolist()
+    table = table[table[:, 0] >= 0]
     prior = (t1 + 1) / (t0 + t1 + 2)
     empty = Model(np.full(1 << BITS, -1), np.zeros(1), np.zeros(1), float(np.log(prior / (1 - prior))))
     if not t0 or not t1:
         return empty
-    table = np.array([tuple(r) for r in got.where("gram >= 0").collect()], np.int64).reshape(-1, 3)  # 2^BITS rows at most
     gain = _gain(table[:, 1], table[:, 2], t0, t1)
     best = table[np.lexsort((table[:, 0], -gain))[:FEATURES]][:int((gain >= GAIN).sum())]
     if not len(best):
