@@ -1,0 +1,55 @@
+import random
+
+from pyspark.sql import functions as F
+
+from valuora.llm.shared import components, small_batches, texts_of
+
+
+def brute(edges):
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+    for a, b in edges:
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    return {x: find(x) for x in parent}
+
+
+def test_components_of_chains_stars_and_noise(spark):
+    rng = random.Random(1)
+    chain = [(i, i + 1) for i in range(1000, 1200)]
+    shuffled = list(range(5000, 5150))
+    rng.shuffle(shuffled)
+    path = list(zip(shuffled[:-1], shuffled[1:], strict=True))
+    star = [(7, i) for i in range(2000, 2300)]
+    noise = [(rng.randrange(100, 400), rng.randrange(100, 400)) for _ in range(150)]
+    edges = chain + path + star + noise + star[:5] + [(3, 3)]
+    got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == brute([e for e in edges if e[0] != e[1]])
+
+
+def test_no_edges(spark):
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_texts_of_brings_every_wanted_row(spark, odd_docs):
+    docs = odd_docs.select(F.col("doc_id").alias("id"), "text")
+    ids = spark.createDataFrame([(2,), (3,), (100,), (77777,)], "id long")
+    got = texts_of(docs, ids).join(ids, "id", "left_semi").collect()
+    want = docs.where(F.col("id").isin(2, 3, 100)).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+def test_small_batches_are_put_back(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    try:
+        with small_batches(spark):
+            assert spark.conf.get(key) == "1000"
+            raise KeyError
+    except KeyError:
+        pass
+    assert spark.conf.get(key) == old

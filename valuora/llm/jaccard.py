@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .shared import components, cut_lineage, texts_of
+from .shared import components, cut_lineage, small_batches, texts_of
 
 GROUPS = 256         # coordinates of a point in a tree
 SPREAD = 8           # shingles per coordinate, at most, of a long document's own point
@@ -268,6 +268,11 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not 0 < percent <= 100:
         raise ValueError("percent must be in 1..100")
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    with small_batches(docs.sparkSession):
+        return _classes(text, percent, width)
+
+
+def _classes(text: DataFrame, percent: int, width: int) -> DataFrame:
     made = cut_lineage(text.mapInArrow(
         _sets(width), "id long, n long, f1 long, f2 long, point binary, grp int"), "sets")
     sets = made.where(F.col("grp").isNull())

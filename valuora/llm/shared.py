@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -11,13 +13,28 @@ from valuora.session import cut_lineage
 
 from . import textops as T
 
-__all__ = ["components", "cut_lineage", "table", "texts_of"]
+__all__ = ["components", "cut_lineage", "examples", "small_batches", "table", "texts_of"]
+
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@contextmanager
+def small_batches(spark):
+    """Smaller Arrow batches for what is written inside: less buffer memory beside the heap."""
+    old = {k: spark.conf.get(k) for k in BATCH}
+    for k, v in BATCH.items():
+        spark.conf.set(k, str(v))
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)``: rows ``(id, component)``.
 

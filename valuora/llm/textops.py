@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 # bytes handled at once by the hashing passes; bounds their scratch arrays
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -152,7 +152,7 @@ def sums(values: np.ndarray, heads: np.ndarray) -> np.ndarray:
     return total[heads[1:]] - total[heads[:-1]]
 
 
-def slices(batch: pa.RecordBatch, col: str, limit: int = 4 << 20, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, col: str, limit: int = 1 << 20, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
     """A batch cut so that the texts of a piece hold about ``limit`` bytes at most (one text at least)."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(col)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
