@@ -8,12 +8,6 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_no_cartesian_products(spark):
-    for name, fn in queries().items():
-        p = plan(fn(spark, SF))
-        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
-
-
 def written(spark, monkeypatch, name):
     """Plans of a query: of every table it writes on the way, and its own."""
     import valuora.session as S
