@@ -40,31 +40,34 @@ STEPS, SHRINK = 300, 1e-3
 
 
 def ngrams(col):
-    """For each order: (hashed n-gram at every position, its text)."""
+    """For each order n: (n, hashed n-gram at every position, offsets of the texts)."""
     cp, offsets = T.codepoints(col)
     low = np.where((cp >= 65) & (cp <= 90), cp + 32, cp).astype(T.U64)
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    end = np.repeat(offsets[1:], np.diff(offsets))
-    roll = low.copy()
+    roll = low
     for n in range(2, max(ORDERS) + 1):
         if len(roll) < 2:
             return
-        roll = roll[:-1] * T.U64(0x100000001B3) + low[n - 1:]
+        roll = roll[:-1] * T.U64(0x100000001B3)
+        roll += low[n - 1:]
         if n in ORDERS:
-            at = np.flatnonzero(np.arange(len(roll)) + n <= end[:len(roll)])
-            h = (roll[at] ^ T.U64(n)) * T.U64(0x9E3779B97F4A7C15)
-            yield (h >> T.U64(64 - BITS)).astype(np.int64), text[at]
+            h = roll ^ T.U64(n)
+            h *= T.U64(0x9E3779B97F4A7C15)
+            h >>= T.U64(64 - BITS)
+            yield n, h.view(np.int64), offsets
 
 
 def _distinct(col, slot: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, n-gram) pairs; with ``slot`` only kept n-grams, as their slots."""
+    """Distinct (text, n-gram) pairs, sorted; with ``slot`` only kept n-grams, as their slots."""
     keys = []
-    for gram, text in ngrams(col):
-        if slot is not None:
-            on = np.flatnonzero(slot[gram] >= 0)
-            gram, text = slot[gram[on]], text[on]
-        keys.append(np.unique(text << BITS | gram))
-    key = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
+    kept = None if slot is None else slot >= 0
+    for n, gram, offsets in ngrams(col):
+        at = np.arange(len(gram)) if kept is None else np.flatnonzero(kept[gram])
+        text = np.searchsorted(offsets, at, "right") - 1
+        whole = at + n <= offsets[text + 1]  # n-grams across two texts are none
+        gram, text = gram[at[whole]], text[whole]
+        keys.append(text << BITS | (gram if slot is None else slot[gram]))
+    key = np.sort(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
+    key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
     return key >> BITS, key & ((1 << BITS) - 1)
 
 
