@@ -249,8 +249,8 @@ def _indexes(benchmark: DataFrame, id_col: str, text_col: str, errors: float):
     pieces = max(1, -(-2 * total // INDEX_BYTES))
     items = items.withColumn("piece", F.pmod(F.xxhash64("id", "text"), F.lit(pieces)))
     for p in range(pieces):
-        rows = items.where(F.col("piece") == p).select("id", "text").orderBy("id", "text").toPandas()
-        index = Index([(None if i != i or i is None else int(i), t) for i, t in zip(rows["id"], rows["text"], strict=True)], errors)
+        rows = items.where(F.col("piece") == p).select("id", "text").orderBy("id", "text").collect()  # INDEX_BYTES, about
+        index = Index([(r["id"], r["text"]) for r in rows], errors)
         if index.ids or index.short:
             yield index
 
