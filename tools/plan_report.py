@@ -38,7 +38,7 @@ def summarise(spark, df, title: str) -> None:
     print(f"### {title}\n")
     found = [(label, len(re.findall(pat, tree))) for label, pat in COUNT]
     print("- " + ", ".join(f"{label} {n}" for label, n in found if n))
-    seen: dict[tuple, int] = {}
+    seen: dict[tuple, None] = {}
     for block in details.split("\n\n"):
         block = block.strip()
         if "Scan parquet" not in block.split("\n")[0]:
@@ -48,9 +48,9 @@ def summarise(spark, df, title: str) -> None:
         schema = re.search(r"ReadSchema: (\S+)", block)
         table = re.sub(r"-[0-9a-f]{32}$", "", loc.group(1).rstrip("/").split("/")[-1]) if loc else "?"
         key = (table, pushed and pushed.group(1), schema and schema.group(1))
-        seen[key] = seen.get(key, 0) + 1
-    for (table, pushed, schema), n in seen.items():
-        print(f"- scan `{table}`{f' x{n}' if n > 1 else ''}: read {schema}; pushed [{pushed or ''}]")
+        seen[key] = None
+    for table, pushed, schema in seen:
+        print(f"- scan `{table}`: read {schema}; pushed [{pushed or ''}]")
     print()
 
 
