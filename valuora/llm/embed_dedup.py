@@ -83,24 +83,31 @@ def _project(mean, axes, eps: float):
     return run
 
 
-def _interval(mean, axes):
-    """One row per interval piece: its vectors, their box on the axes and first cells."""
-    dim, k = axes.shape
-
-    def run(batches):
-        for whole in batches:
-            for at in range(0, whole.num_rows, INTERVAL):
-                b = whole.slice(at, INTERVAL)
-                x = _matrix(b.column("v"), dim)
-                y = (_unit(x) - mean) @ axes
-                c = b.column("c0").to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_pydict({
-                    "ids": [b.column("cid").to_numpy(zero_copy_only=False).astype(np.int64).tobytes()],
-                    "ms": [b.column("m").to_numpy(zero_copy_only=False).astype(np.int64).tobytes()],
-                    "vs": [x.astype(np.float32).tobytes() if (x.astype(np.float32) == x).all() else x.tobytes()],
-                    "n": pa.array([len(x)], pa.int64()),
-                    "low": [y.min(axis=0).tolist()], "high": [y.max(axis=0).tolist()],
-                    "first": pa.array([int(c.min())], pa.int32()), "last": pa.array([int(c.max())], pa.int32())})
+INTERVAL_ROW = ("ids binary, ms binary, vs binary, n long, low array<double>, high array<double>, "
+                "first int, last int")
+
+
+def _intervals(mean, axes, cells: list[str]):
+    """Rows of intervals of one stretch of the order: vectors, their box on the axes, first cells."""
+    dim = axes.shape[0]
+
+    def run(key, stretch):
+        stretch = stretch.sort_by([(c, "ascending") for c in [*cells, "cid"]])
+        out = {n: [] for n in ("ids", "ms", "vs", "n", "low", "high", "first", "last")}
+        for at in range(0, stretch.num_rows, INTERVAL):
+            b = stretch.slice(at, INTERVAL).combine_chunks()
+            x = _matrix(b.column("v").combine_chunks(), dim)
+            y = (_unit(x) - mean) @ axes
+            c = b.column("c0").to_numpy()
+            out["ids"].append(b.column("cid").to_numpy().astype(np.int64).tobytes())
+            out["ms"].append(b.column("m").to_numpy().astype(np.int64).tobytes())
+            out["vs"].append(x.astype(np.float32).tobytes() if (x.astype(np.float32) == x).all() else x.tobytes())
+            out["n"].append(len(x))
+            out["low"].append(y.min(axis=0).tolist())
+            out["high"].append(y.max(axis=0).tolist())
+            out["first"].append(int(c.min()))
+            out["last"].append(int(c.max()))
+        return pa.table({**out, "first": pa.array(out["first"], pa.int32()), "last": pa.array(out["last"], pa.int32())})
     return run
 
 
@@ -211,11 +218,15 @@ def link(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
     cells = [f"c{i}" for i in range(axes.shape[1])]
     placed = classes.select("cid", "m", "v").mapInArrow(
         _project(mean, axes, eps), "cid long, m long, v array<double>, " + ", ".join(f"{c} int" for c in cells))
+    # the sorted sequence as ranges, and neighbouring ranges as stretches of about INTERVAL vectors,
+    # however many ranges Spark makes
     n = max(1, -(-classes.count() // INTERVAL))
+    ranges = cut_lineage(placed.repartitionByRange(n, *cells, "cid").withColumn("part", F.spark_partition_id()), "ranges")
+    made = ranges.agg(F.max("part")).first()[0] + 1
+    stretch = F.floor(F.col("part") * F.lit(min(n, made)) / F.lit(made)).cast("long")
     intervals = cut_lineage(
-        placed.repartitionByRange(n, *cells, "cid").sortWithinPartitions(*cells, "cid").mapInArrow(
-            _interval(mean, axes), "ids binary, ms binary, vs binary, n long, low array<double>, high array<double>, "
-                                   "first int, last int").withColumn("at", F.monotonically_increasing_id()), "intervals")
+        ranges.groupBy(stretch.alias("stretch")).applyInArrow(_intervals(mean, axes, cells), INTERVAL_ROW)
+        .withColumn("at", F.monotonically_increasing_id()), "intervals")
 
     box = intervals.select("at", "low", "high", "first", "last")
     # an interval holds cells first..last of the leading axis; it meets those that hold one of them or of their next
