@@ -97,22 +97,24 @@ def _edges(read: DataFrame) -> DataFrame:
 
 
 def bootstrap(edges: DataFrame) -> DataFrame:
-    """Confident ``(pattern, instance)`` pairs of instances that are no seeds."""
-    # only patterns that a seed induced can score
-    sown = edges.where("seed").groupBy("pattern").agg(F.countDistinct("instance").alias("seeds")).where(F.col("seeds") >= SUPPORT)
-    graph = cut_lineage(edges.join(sown.select("pattern"), "pattern")
-                        .withColumn("score", F.col("seed").cast("double")), "graph")
+    """Confident ``(pattern, instance)`` pairs of instances that are no seeds; ``edges`` are distinct."""
+    edges = cut_lineage(edges, "edges")
+    seeds = edges.where("seed").select("instance", F.lit(True).alias("known")).distinct()
+    # a pattern of fewer instances scores 0 in every round, and so changes no instance
+    able = edges.groupBy("pattern").count().where(F.col("count") >= SUPPORT).select("pattern")
+    is_seed = F.coalesce("known", F.lit(False))
+    graph = cut_lineage(edges.join(able, "pattern").join(seeds, "instance", "left").select(
+        "pattern", "instance", is_seed.alias("is_seed"), is_seed.cast("double").alias("score")), "graph")
     state = graph
     for _ in range(ROUNDS):
         patterns = state.groupBy("pattern").agg(
             F.when(F.sum((F.col("score") >= 0.5).cast("long")) >= SUPPORT, F.avg("score")).otherwise(F.lit(0.0)).alias("trust"))
         tied = graph.drop("score").join(patterns, "pattern")
         instances = tied.groupBy("instance").agg(
-            F.max("seed").alias("is_seed"),
             (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-12)))))).alias("found"))
         state = cut_lineage(tied.join(instances, "instance").select(
-            "pattern", "instance", "seed", "trust",
-            F.when(F.col("is_seed"), F.lit(1.0)).otherwise(F.col("found")).alias("score"), "is_seed"), "graph")
+            "pattern", "instance", "is_seed", "trust",
+            F.when(F.col("is_seed"), F.lit(1.0)).otherwise(F.col("found")).alias("score")), "graph")
     return state.where(~F.col("is_seed") & (F.col("score") >= CONFIDENT) & (F.col("trust") >= CONFIDENT)).select(
         "pattern", "instance")
 
