@@ -1,7 +1,10 @@
 """Bootstrapped contexts of the personal-data scan against the rule as its docstring states it."""
 import random
+import re
 
-from valuora.llm import pii
+from pyspark.sql import functions as F
+
+from valuora.llm import pii, spans
 
 
 def stated_bootstrap(edges):
@@ -54,3 +57,34 @@ def test_sparse_graph_matches_the_stated_rule(spark):
     want = stated_bootstrap(rows)
     assert any(not p.endswith("p0") for p, _ in want)
     assert bootstrapped(spark, rows) == want
+
+
+def words_before(text, start):
+    """The two words before a position, plain quotes and brackets after them aside."""
+    m = re.search(r"(?<!\S)(\S+\s+\S+)[\s\"'(]*\Z", text[:start], re.ASCII)
+    return re.sub(r"\s+", " ", m[1].lower()) if m else ""
+
+
+def test_words_before_come_from_the_whole_text(spark):
+    """The context of a match holds earlier matches too, and words of any length."""
+    rng = random.Random(12)
+    parts = ["exp", "12/27", "cvv", "123", "ssn", "(", '"', "'x", "a1(", "b\"", "w" * 90, "9" * 100, "1a" * 30, "é2", "\n", "to:"]
+    texts = ["exp 12/27 cvv 123 ssn 123-45-6789", "w" * 200 + " b \" ( 7", "x " + "y" * 300 + " 7 8", "1 2 3"]
+    texts += ["".join(rng.choice(parts) + rng.choice([" ", " ", "  ", "\n"]) for _ in range(rng.randrange(25))) for _ in range(150)]
+    texts += [t.replace("cvv", "c@d.ef").replace("ssn", "c@d.ef,g@h.ij") for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").select(
+        "doc_id", *[spans.matches(F.col("text"), p, context=True).alias(n) for n, p in (("word", pii.WORD), ("email", pii.EMAIL))])
+    found = [(r.doc_id, x) for r in df.collect() for x in (*r.word, *r.email)]
+    assert len(found) > 1000
+    for i, x in found:
+        assert x.v == texts[i][x.s:x.e]
+        assert x.ctx == words_before(texts[i], x.s), (texts[i], x)
+
+
+def test_neighbouring_identifiers_are_found(spark):
+    """Ids in a record right after another word with a digit, behind words that introduce seeds."""
+    rows = [(i, f"exp 12/27 cvv reach me u{i}@mail.example") for i in range(40)]
+    rows += [(100, "exp 12/27 reach me id-77x"), (101, "no 5 reach me ID-77X reach me id-78x")]
+    got = {r.doc_id: [rows[-2:][r.doc_id - 100][1][x.s:x.e] for x in r.spans] for r in pii.find(
+        spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id >= 100").collect()}
+    assert got == {100: ["id-77x"], 101: ["ID-77X", "id-78x"]}
