@@ -13,7 +13,8 @@ p-values. How much a test sees depends on length, so the candidates of the
 whole corpus are judged per length band: the Benjamini-Hochberg step-up at
 ``ALPHA`` decides which candidates are dismissed as structured, so that among
 the dismissed the expected share of random strings is ``ALPHA`` at most. The
-others are reported as ``random``, unless they overlap a rule's match.
+others are reported as ``random``. A run that a rule's match cuts gives each of
+its remaining pieces of 20 or more key characters as a candidate.
 
 The p-values meet as counts per band and hundredth of a decade, a table of
 bounded size.
@@ -35,6 +36,7 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]{16,}"    # of AKIA[A-Z0-9]+ those of 20 characters or more
 HEX = r"[0-9a-f]{24,}"           # of [0-9a-f]+ those of 24 characters or more
 RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
+SHORTEST = 20                    # of a run's characters without "="
 ALPHA = 0.05
 BANDS = (20, 32, 48, 96)         # shortest lengths of the bands
 BINS = 3000                      # hundredths of a decade of p
@@ -131,12 +133,28 @@ def thresholds(pieces: DataFrame) -> dict[int, int]:
     return {r["band"]: r["bin"] for r in first.collect()}  # one row a band
 
 
+def _pieces(run: Column) -> Column:
+    """What the rules' spans leave of a run: its pieces of ``SHORTEST`` or more key characters, as runs."""
+    inside = F.filter("base", lambda b: (b["s"] < run["e"]) & (run["s"] < b["e"]))  # sorted by start
+
+    def left(s: Column, e: Column) -> Column:
+        v = F.substr(run["v"], s - run["s"] + 1, F.greatest(e - s, F.lit(0)))
+        piece = F.struct(s.alias("s"), e.alias("e"), v.alias("v"), run["ctx"].alias("ctx")).cast(S.SPAN)
+        return F.when(F.length(F.rtrim(v, F.lit("="))) >= SHORTEST, F.array(piece)).otherwise(S.none())
+
+    def cut(acc: Column, b: Column) -> Column:
+        return F.struct(F.greatest(acc["at"], b["e"]).alias("at"), F.concat(acc["out"], left(acc["at"], b["s"])).alias("out"))
+
+    start = F.struct(run["s"].alias("at"), S.none().alias("out"))
+    return F.when(F.size(inside) == 0, F.array(run)).otherwise(F.aggregate(
+        inside, start, cut, lambda acc: F.concat(acc["out"], left(acc["at"], run["e"]))))
+
+
 def _scanned(docs: DataFrame, text_col: str, keep: list[Column]) -> DataFrame:
-    """``keep`` plus the rules' spans and the tested candidates that overlap none of them."""
+    """``keep`` plus the rules' spans and the tested candidates between them."""
     text = _text(text_col)
     out = docs.select(*keep, base_spans(text).alias("base"), S.matches(text, RUN).alias("runs"))
-    out = out.withColumn("runs", F.filter("runs", lambda x: ~F.exists(
-        F.col("base"), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))))
+    out = out.withColumn("runs", F.flatten(F.transform("runs", _pieces)))
     out = out.withColumn("cands", F.expr(tested("runs"))).drop("runs")
     return out.withColumn("cands", F.transform("cands", lambda x: F.struct(
         x["s"].alias("s"), x["e"].alias("e"), _band(x["e"] - x["s"]).alias("band"), _bin(x["p"]).alias("bin"))))
