@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, embed_dedup, jaccard, packing, pii, quality, secret_scan, toxicity, url_filter
+from . import (chat, decontam, embed_dedup, filter_audit, jaccard, packing, pii, quality, secret_scan, stable_search,
+               toxicity, url_filter, whitening)
 from . import spans as S
 from .shared import table
 
@@ -169,6 +170,53 @@ FROM documents d LEFT JOIN n USING (doc_id)
 """
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The embeddings on their eight leading components, at unit variance."""
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"), components=8)
+    return out.select(F.col("id").alias("vec_id"), "component", "n", F.col("deviation").cast("long").alias("deviation"),
+                      "whitened", "explained", "identity_error")
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 embeddings of largest inner product for every twentieth one."""
+    return stable_search.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes in each part, in every order."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+        coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS copy FROM t),
+told AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, CASE WHEN len(words) < 50 THEN 1 ELSE 0 END
+        + CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END
+        + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END
+        + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN copy THEN 16 ELSE 0 END AS mask,
+        coalesce(good, false) AS good, coalesce(toxic, false) AS toxic FROM w LEFT JOIN told USING (doc_id)),
+m AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY 1, 2),
+l(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+      FROM l a, l b, l c, l d, l e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+s AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+      FROM o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (SELECT part, filter_order, step, bit,
+        coalesce(sum(n) FILTER ((mask & (before | bit)) = 0), 0) AS kept,
+        coalesce(sum(n) FILTER ((mask & bit) <> 0 AND (mask & before) = 0), 0) AS removed,
+        coalesce(sum(n) FILTER ((mask & bit) <> 0 AND (mask & before) <> 0), 0) AS redundant,
+        coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+        coalesce(sum(good) FILTER ((mask & bit) <> 0 AND (mask & before) = 0), 0) AS good_lost,
+        coalesce(sum(toxic) FILTER ((mask & bit) <> 0 AND (mask & before) = 0), 0) AS toxic_lost
+      FROM m, s GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM r
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -181,6 +229,9 @@ def queries() -> dict[str, Query]:
         "op8_secret_scan": op8_secret_scan,
         "op9_pii": op9_pii,
         "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+        "op11_embedding_whitening": op11_embedding_whitening,
+        "op12_nearest_neighbours": op12_nearest_neighbours,
+        "op13_filter_audit": op13_filter_audit,
     }
 
 
@@ -189,4 +240,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_url_filter": OP1_SQL,
         "op7_embedding_near_dedup": OP7_SQL,
         "op10_ngram_jaccard_join": OP10_SQL,
+        "op13_filter_audit": OP13_SQL,
     }
