@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 from valuora.operators.multimarket import kept_markets, price_flags
 from valuora.plans.model import TestdataModel
 from valuora.plans.oracle import PERIOD
-from valuora.plans.jobs import run_and_store, single_market
+from valuora.plans.jobs import single_market
+from valuora.plans.stored import run_and_store
 
 
 def test_price_flags_missing_operands_are_false(spark):

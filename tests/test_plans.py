@@ -17,7 +17,7 @@ def written(spark, monkeypatch, name):
         df.write.format("noop").mode("overwrite").save()
         plans.append(df._jdf.queryExecution().executedPlan().toString())
         return cut(df, label)
-    for module in ("valuora.plans.jobs", "valuora.operators.screen", "valuora.operators.prices",
+    for module in ("valuora.plans.jobs", "valuora.operators.screen", "valuora.plans.model",
                    "valuora.operators.multimarket", "valuora.operators.profile"):
         monkeypatch.setattr(f"{module}.cut_lineage", spy)
     df = queries()[name](spark, SF)

@@ -139,3 +139,31 @@ def test_profile_of_text_and_empty_columns(spark):
     assert (out["t"].top_text, out["t"].top_freq, out["t"].n_distinct, out["t"].min_text) == ("b", 2, 2, "a")
     assert (out["u"].n_missing, out["u"].n_distinct, out["u"].top_text) == (3, 0, None)
     assert (out["n"].n_zeros, out["n"].n_missing, out["n"].p50, out["n"].top_value) == (1, 1, 0.5, 0.0)
+
+
+def test_schema_drift_shows_every_status(spark):
+    from valuora.operators.quality import schema_drift
+    dictionary = spark.createDataFrame(
+        [("t", "a", "object"), ("t", "b", "int64"), ("t", "gone", "float64"), ("t", "split", " name"), ("other", "x", "object"),
+         ("t", "a", "object"), ("t", "d", "datetime64[ns]"), ("t", "e", "double")], "table string, column string, dtype string")
+    table = spark.createDataFrame([("x", 1.5, None, None, 2.0), ("y", None, None, 3, 1.0)],
+                                  "a string, b double, d date, more int, e double")
+    got = {(r.column, r.status): (r.declared, r.stored, r.n_filled) for r in schema_drift(dictionary, {"t": table}).collect()}
+    assert got == {("a", "ok"): ("object", "string", 2), ("b", "changed_type"): ("int64", "double", 1),
+                   ("gone", "missing"): ("float64", None, None), ("split, name", "malformed"): (None, None, None),
+                   ("d", "ok"): ("datetime64[ns]", "date", 0), ("more", "extra"): (None, "int", 1),
+                   ("e", "ok"): ("double", "double", 2)}
+
+
+def test_few_values_is_exact_around_the_limit(spark):
+    """Nine values are few, ten are not, whatever the type and beside nulls; a large column is not counted out."""
+    from valuora.operators.filters import FEW, choose_kind, few_values
+    rows = [(i % 9, str(i % 10), i, None if i % 2 else "x", i % 11) for i in range(2000)]
+    df = spark.createDataFrame(rows, "nine int, ten string, all int, one string, eleven int")
+    assert few_values(df, df.columns) == {"nine": True, "ten": False, "all": False, "one": True, "eleven": False}
+    assert FEW == 10 and choose_kind(df, "ten") == "text" and choose_kind(df, "nine") == "categorical"
+    assert few_values(df.limit(0), ["nine"]) == {"nine": True} and few_values(df, []) == {}
+    for n in range(1, 10):  # the sketch's estimate of up to nine values never passes for ten or more
+        for seed in range(5):
+            some = spark.range(n).selectExpr(f"xxhash64(id, {seed}) AS v")
+            assert few_values(some, ["v"]) == {"v": True}

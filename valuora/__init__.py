@@ -18,7 +18,8 @@ _EXPORTS = {
     "TestdataModel": "valuora.plans.model",
     "FileModel": "valuora.plans.model",
     "single_market": "valuora.plans.jobs",
-    "run_and_store": "valuora.plans.jobs",
+    "run_and_store": "valuora.plans.stored",
+    "apply_day": "valuora.plans.stored",
     "daily_refresh": "valuora.plans.jobs",
     "multi_market": "valuora.operators.multimarket",
     "screener": "valuora.operators.screen",

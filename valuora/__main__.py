@@ -59,7 +59,7 @@ def main(argv=None) -> None:
     spark = get_spark(args.master, extra=extra)
 
     if args.command == "process":
-        from valuora.plans.jobs import run_and_store
+        from valuora.plans.stored import run_and_store
         paths = run_and_store(_model(spark, args), args.out, (args.start, args.end),
                               args.fp, args.rr, agg_func=args.agg, market=args.market)
         if args.csv:

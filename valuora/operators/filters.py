@@ -4,7 +4,7 @@ A spec is (column, kind, arg): ``categorical`` keeps listed values,
 ``numeric`` and ``date`` keep an inclusive range, ``text`` keeps rows whose
 value contains a regular expression match. NULLs never pass. ``choose_kind``
 reproduces the automatic choice (fewer than 10 distinct values ->
-categorical, then numeric, date, text) with one small aggregation.
+categorical, then numeric, date, text) without a distinct count of a large column.
 """
 
 from __future__ import annotations
@@ -23,10 +23,32 @@ def coerce_datetimes(df: DataFrame, cols: list[str]) -> DataFrame:
                        if c in cols else F.col(c) for c in df.columns])
 
 
-def choose_kind(df: DataFrame, column: str) -> str:
+FEW = 10   # a column with fewer distinct values is filtered by its values
+
+
+def few_values(df: DataFrame, columns: list[str]) -> dict[str, bool]:
+    """Whether each column has fewer than ``FEW`` distinct values, nulls aside.
+
+    One aggregate sketches all columns, with a state of fixed size for each. Nine
+    values fill nine registers of a sketch at most, for which its estimate (linear
+    counting) is under ten, so a larger one decides. Columns left, whose values
+    fill a handful of registers, are counted exactly in one aggregate of small sets.
+    """
+    if not columns:
+        return {}
+    col = lambda c: F.col(f"`{c}`")
+    rough = df.agg(*[F.approx_count_distinct(col(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    open_ = [c for i, c in enumerate(columns) if rough[f"n{i}"] <= FEW]
+    if not open_:
+        return dict.fromkeys(columns, False)
+    exact = df.agg(*[F.size(F.collect_set(col(c))).alias(f"n{i}") for i, c in enumerate(open_)]).first()
+    found = {c: exact[f"n{i}"] < FEW for i, c in enumerate(open_)}
+    return {c: found.get(c, False) for c in columns}
+
+
+def choose_kind(df: DataFrame, column: str, few: bool | None = None) -> str:
     dtype = dict(df.dtypes)[column]
-    n = df.agg(F.count_distinct(column).alias("n")).first()["n"]
-    if n < 10:
+    if few_values(df, [column])[column] if few is None else few:
         return "categorical"
     if dtype in NUMERIC or dtype.startswith("decimal"):
         return "numeric"
@@ -63,4 +85,5 @@ def apply_filters(df: DataFrame, specs) -> DataFrame:
 
 def auto_filters(df: DataFrame, args: dict) -> DataFrame:
     """Filter each column of ``args`` (column -> argument) by the kind ``choose_kind`` picks for it."""
-    return apply_filters(df, [(c, choose_kind(df, c), arg) for c, arg in args.items()])
+    few = few_values(df, list(args))
+    return apply_filters(df, [(c, choose_kind(df, c, few[c]), arg) for c, arg in args.items()])

@@ -21,9 +21,10 @@ from valuora.functions.num import false_if_null, ieee_div, round2
 from valuora.operators import fundamentals as FU
 from valuora.operators import growth as G
 from valuora.operators import prices as P
+from valuora.operators import states as ST
 from valuora.operators import valuation as V
 from valuora.operators.quality import one_row_per_key
-from valuora.session import cut_lineage
+from valuora.session import cut_lineage, together
 
 DEFAULT_EXCLUDED = ("it", "ca")
 OUT_OF_BOUNDS_PCT = 3500
@@ -89,24 +90,42 @@ def multi_market_inputs(model, excluded=DEFAULT_EXCLUDED,
                         materialize: bool = True) -> dict[str, DataFrame]:
     """Statements of the kept markets' priced tickers, and what the later steps read.
 
-    Prices are never narrowed row by row: whatever uses them reduces them to a
-    row per ticker (and year) first and drops the other tickers then.
+    Prices are never narrowed row by row: one read reduces them to a state per
+    ticker and year, and the other tickers are dropped then. The growth table reads
+    them a second time, for the rows on the latest dates.
     """
     cut = cut_lineage if materialize else (lambda df, name: df)
     markets = kept_markets(model.markets, excluded)
-    tm = cut(model.ticker_market, "ticker_market")
-    fund = FU.combine_statements(*[tag_market(s, tm, markets) for s in
-                                   (model.income, model.cashflow, model.balance)])
-    fund = cut(fund, "mm_fundamental")
-    tickers = fund.select("ticker").distinct()
-    dates = cut(FU.restrict(P.latest_dates(model.price), tickers), "mm_dates")
-    fund = FU.restrict(fund, dates.select("ticker"))
-    companies = one_row_per_key(companies_with_industry(
+
+    def merged() -> DataFrame:
+        if hasattr(model, "prepare"):
+            model.prepare()
+        tm = cut(model.ticker_market, "ticker_market")
+        return cut(FU.combine_statements(*[tag_market(s, tm, markets) for s in
+                                           (model.income, model.cashflow, model.balance)]), "mm_fundamental")
+
+    steps = merged, lambda: cut(ST.price_states(model.price), "mm_states")
+    fund, states = together(*steps) if materialize else [s() for s in steps]
+    states = FU.restrict(states, fund.select("ticker").distinct())
+    fund = FU.restrict(fund, states.select("ticker").distinct())
+    return {"markets": markets, "fundamental_raw": fund, "price": model.price,
+            "companies": kept_companies(model, excluded), "states": states}
+
+
+def kept_companies(model, excluded=DEFAULT_EXCLUDED) -> DataFrame:
+    """Companies of the kept markets with their industry, one row per ticker."""
+    markets = kept_markets(model.markets, excluded)
+    return one_row_per_key(companies_with_industry(
         model.companies.join(markets.select(F.col("market_id").alias("market")), "market",
                              "left_semi"),
         model.industries), ["ticker"], "companies")
-    return {"markets": markets, "fundamental_raw": fund, "price": model.price, "companies": companies,
-            "dates": dates}
+
+
+def flagged(rates: DataFrame, price: DataFrame, states: DataFrame, companies: DataFrame, fp: int, exp_rr: float) -> DataFrame:
+    """The growth table with valuation, lowest latest price, flags and company data."""
+    g = V.sticker_price(rates, fp, exp_rr)
+    latest = P.lowest_latest_price(price, ST.dates_of(states))
+    return price_flags(g, latest).join(companies, "ticker", "left")
 
 
 class MultiMarketResult:
@@ -123,7 +142,7 @@ class MultiMarketResult:
 
     @cached_property
     def annual_price(self) -> DataFrame:
-        return FU.restrict(P.annual_price(self.price, how="min"), self._inp["dates"].select("ticker"))
+        return ST.annual_of(self._inp["states"], how="min")
 
     @cached_property
     def fundamental(self) -> DataFrame:
@@ -139,9 +158,7 @@ class MultiMarketResult:
 
     @cached_property
     def growth(self) -> DataFrame:
-        g = V.sticker_price(self.growth_rates, self._fp, self._exp_rr)
-        latest = P.lowest_latest_price(self.price, self._inp["dates"])
-        return price_flags(g, latest).join(self.companies, "ticker", "left")
+        return flagged(self.growth_rates, self.price, self._inp["states"], self.companies, self._fp, self._exp_rr)
 
 
 def multi_market(model, excluded=DEFAULT_EXCLUDED, fp: int = V.DEFAULT_FP,

@@ -7,8 +7,6 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from valuora.session import cut_lineage
-
 
 def period_filter(df: DataFrame, start_year: int | None, end_year: int | None,
                   year_col: str = "fiscal_year") -> DataFrame:
@@ -93,11 +91,12 @@ def at_dates(price: DataFrame, dates: DataFrame) -> DataFrame:
 def latest_price(price: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """Low price on each ticker's latest date; several rows on that date are all kept.
 
-    Without ``dates`` the per-ticker dates are aggregated and written once
-    (``cut_lineage``), so the join back is planned from their measured size.
+    Without ``dates`` prices are read once: each task keeps its own latest rows of
+    a ticker (``latest_rows``). With them, those dates' rows are picked by a join.
     """
     if dates is None:
-        dates = cut_lineage(latest_dates(price), "latest_dates")
+        return latest_rows(price.select("ticker", "date", "low")).select(
+            "ticker", F.col("date").alias("last_date"), F.col("low").alias("last_low_price"))
     return at_dates(price, dates)
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from valuora.session import cut_lineage
+from valuora.session import cut_lineage, together
 
 
 def value_counts(long: DataFrame, key: str = "column_name", value: str = "value") -> DataFrame:
@@ -124,7 +124,7 @@ def text_columns(df: DataFrame) -> list[str]:
     return [n for n, t in df.dtypes if t in ("string", "date", "timestamp", "timestamp_ntz", "boolean")]
 
 
-def column_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def column_profile(df: DataFrame, cols: list[str] | None = None, stored: bool = False) -> DataFrame:
     """One row per column, numeric and other.
 
     Numeric columns: n, missing, missing %, distinct, zeros, min, max, mean,
@@ -133,18 +133,17 @@ def column_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     and most frequent value as text (``*_text``). The moments are one wide
     aggregate over the source; everything else comes from one written
     (column, value, count) aggregate, so the source is never blown up to a row
-    per cell on disk.
+    per cell on disk. Several aggregates read the source, so a computed one is
+    written first; ``stored`` says that ``df`` reads a written table already.
     """
     wanted = cols or df.columns
     num = [c for c in numeric_columns(df) if c in wanted]
     txt = [c for c in text_columns(df) if c in wanted]
-    parts = []
-    if num:
-        parts.append(_numeric_profile(df, num))
-    if txt:
-        parts.append(_text_profile(df, txt))
-    if not parts:
+    if not num and not txt:
         raise ValueError("no column to profile")
+    if not stored:
+        df = cut_lineage(df.select(*[F.col(f"`{c}`") for c in [*num, *txt]]), "profiled")
+    parts = together(*[lambda f=f, c=c: f(df, c) for f, c in ((_numeric_profile, num), (_text_profile, txt)) if c])
     out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
     for c, t in [(c, "double") for c in _NUMERIC] + [(c, "string") for c in _TEXT]:
         if c not in out.columns:

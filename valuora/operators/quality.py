@@ -114,6 +114,43 @@ def dictionary_check(dictionary: DataFrame, schemas: dict[str, list[str]] | None
     return out
 
 
+# type names of a dictionary file, and the types of written tables that they stand for
+DICTIONARY_TYPES = {
+    "object": ("string", "array<string>"), "string": ("string",), "int64": ("bigint", "int"), "float64": ("double",),
+    "datetime64[ns]": ("date", "timestamp"), "date": ("date",), "bool": ("boolean",)}
+
+
+def schema_drift(dictionary: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """A declared dictionary against stored tables, both ways.
+
+    (table, column, declared, stored, status, n_filled), a row for every column
+    that one side knows. ``missing``: declared, but not stored; ``extra``: stored,
+    but not declared; ``changed_type``: stored under a type that the declared one
+    does not stand for; ``malformed``: the entry has no type name (its column
+    name held a separator; the name is put together again); ``ok`` otherwise.
+    ``n_filled`` counts the rows that fill a stored column: one aggregate over
+    each table. Only the given tables are compared; repeated entries count once.
+    """
+    spark = dictionary.sparkSession
+    entries = (dictionary_check(dictionary).where(F.col("table").isin(list(tables)))
+               .select("table", "column", F.col("dtype").alias("declared"), F.col("status").alias("entry")).distinct())
+    filled = None
+    for name, df in tables.items():
+        part = (df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]).unpivot([], df.columns, "column", "n_filled")
+                .withColumn("table", F.lit(name)))
+        filled = part if filled is None else filled.unionByName(part)
+    types = [(name, f.name, f.dataType.simpleString()) for name, df in tables.items() for f in df.schema.fields]
+    stored = spark.createDataFrame(types, "table string, column string, stored string").join(filled, ["table", "column"])
+    fits = F.lit(False)
+    for declared, kinds in DICTIONARY_TYPES.items():
+        fits = fits | ((F.col("declared") == declared) & F.col("stored").isin(list(kinds)))
+    fits = fits | (F.col("declared") == F.col("stored"))
+    status = (F.when(F.col("entry") == "malformed", "malformed").when(F.col("stored").isNull(), "missing")
+              .when(F.col("entry").isNull(), "extra").when(fits, "ok").otherwise("changed_type"))
+    return (entries.join(stored, ["table", "column"], "full")
+            .select("table", "column", "declared", "stored", status.alias("status"), "n_filled"))
+
+
 def data_dictionary(tables: dict[str, DataFrame]) -> DataFrame:
     """(table, column, dtype) of each result table, from the schemas (no data read).
 

@@ -12,53 +12,82 @@ from valuora.operators import fundamentals as FU
 from valuora.operators import growth as G
 from valuora.operators import prices as P
 from valuora.operators import screen as S
+from valuora.operators import states as ST
 from valuora.operators import valuation as V
-from valuora.session import cut_lineage
+from valuora.schemas import STATEMENT_KEYS
+from valuora.session import cut_lineage, together
+
+
+def statement_keys(model, name: str) -> DataFrame:
+    """The key columns of a statement, without its sums where the model can tell them apart."""
+    return (model.statement_keys(name) if hasattr(model, "statement_keys")
+            else getattr(model, name).select(*STATEMENT_KEYS))
 
 
 class SingleMarketResult:
     """The result tables of one single-market run, each built on first access.
 
-    Only the fundamentals are written up front. Prices are read where a table
-    needs them and reduced to a row per ticker (and year) before they meet any
-    other table: the annual prices, the latest dates and the join back for the
-    screener are the only three scans.
+    Prices are read twice: once for the states (a row per ticker and year that
+    gives annual prices, latest dates and figures), and once for the rows on the
+    latest dates that the screener lists. ``annual_price`` alone is one read of
+    December rows and of the statements' keys.
     """
 
-    def __init__(self, model, company: DataFrame, fund_kpi: DataFrame, period, fp: int,
-                 exp_rr: float, agg_func: str, materialize: bool):
-        self._model, self._company, self._fund_kpi = model, company, fund_kpi
+    def __init__(self, model, company: DataFrame, period, fp: int, exp_rr: float, agg_func: str, materialize: bool):
+        self._model, self._company = model, company
         self._period, self._fp, self._exp_rr, self._agg = period, fp, exp_rr, agg_func
+        self._cut = cut_lineage if materialize else (lambda df, name: df)
         self._materialize = materialize
 
     @cached_property
-    def _tickers(self) -> DataFrame:
-        return self._fund_kpi.select("ticker").distinct()
+    def _inputs(self) -> tuple[DataFrame, DataFrame]:
+        """(KPI fundamentals, price states): what a run makes of statements and prices, written once, side by side."""
+        kpi = lambda: self._cut(kpi_fundamentals(self._model, self._period, self._company), "fundamental")
+        states = lambda: self._cut(ST.price_states(self._model.price), "price_states")
+        return tuple(together(kpi, states) if self._materialize else (kpi(), states()))
+
+    @property
+    def fund_kpi(self) -> DataFrame:
+        """KPI fundamentals before the narrowing to priced tickers."""
+        return self._inputs[0]
+
+    @property
+    def states(self) -> DataFrame:
+        """Price states of all tickers."""
+        return self._inputs[1]
+
+    @cached_property
+    def tickers(self) -> DataFrame:
+        """Tickers with fundamentals. As long as those are not written, from the statements' keys alone."""
+        if "_inputs" in self.__dict__:
+            return self.fund_kpi.select("ticker").distinct()
+        keys = [P.period_filter(statement_keys(self._model, n), *self._period) for n in ("income", "cashflow", "balance")]
+        both = keys[0].join(keys[1], STATEMENT_KEYS, "left_semi").join(keys[2], STATEMENT_KEYS, "left_semi")
+        return FU.restrict(both.select("ticker").distinct(), self._company.select("ticker"))
 
     @cached_property
     def price(self) -> DataFrame:
         """All price rows of the tickers with fundamentals."""
-        return FU.restrict(self._model.price, self._tickers)
+        return FU.restrict(self._model.price, self.tickers)
 
     @cached_property
     def dates(self) -> DataFrame:
-        """(ticker, last_date) of the priced tickers with fundamentals, written once."""
-        dates = FU.restrict(P.latest_dates(self._model.price), self._tickers)
-        return cut_lineage(dates, "latest_dates") if self._materialize else dates
+        """(ticker, last_date) of the priced tickers with fundamentals."""
+        return FU.restrict(ST.dates_of(self.states), self.tickers)
 
     @cached_property
     def annual_price(self) -> DataFrame:
-        annual = P.annual_price(self._model.price, self._period[0], self._period[1], how="mean")
-        return FU.restrict(annual, self._tickers)
+        if "_inputs" in self.__dict__:
+            return FU.restrict(ST.annual_of(self.states, *self._period), self.tickers)
+        return FU.restrict(P.annual_price(self._model.price, *self._period, how="mean"), self.tickers)
 
     @cached_property
     def fundamental(self) -> DataFrame:
-        fund = FU.restrict(self._fund_kpi, self.dates.select("ticker"))
-        return FU.add_annual_pe(fund, self.annual_price)
+        return priced_fundamentals(self.fund_kpi, self.states, self._period)
 
     @cached_property
     def growth(self) -> DataFrame:
-        return V.sticker_price(G.growth_rates(self.fundamental, self._agg), self._fp, self._exp_rr)
+        return valued_growth(self.fundamental, self._agg, self._fp, self._exp_rr)
 
     @cached_property
     def screener(self) -> DataFrame:
@@ -75,23 +104,44 @@ class SingleMarketResult:
         return self._company
 
 
-def fundamentals_for(model, period: tuple[int | None, int | None],
-                     symbols: DataFrame | None = None,
-                     market: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(company_info, KPI fundamentals) of the single-market run, before price narrowing.
+def priced_fundamentals(fund_kpi: DataFrame, states: DataFrame, period) -> DataFrame:
+    """KPI fundamentals of the priced tickers with the annual price and P/E."""
+    fund = FU.restrict(fund_kpi, states.select("ticker").distinct())
+    return FU.add_annual_pe(fund, ST.annual_of(states, *period))
 
-    The company-symbol narrowing is one semi join on the merged statements
-    (the inner joins already keep only tickers present in all three).
-    ``market`` runs the pipeline for one market's tickers only.
-    """
+
+def valued_growth(fundamental: DataFrame, agg_func: str, fp: int, exp_rr: float) -> DataFrame:
+    return V.sticker_price(G.growth_rates(fundamental, agg_func), fp, exp_rr)
+
+
+def companies_for(model, symbols: DataFrame | None = None, market: str | None = None) -> DataFrame:
+    """Company information of the wanted symbols, of one market if given."""
     company = C.company_info_for(model.company_info, symbols)
     if market is not None:
         in_market = model.ticker_market.where(F.col("market") == market).select("ticker")
         company = C.company_info_for(company, in_market)
+    return company
+
+
+def kpi_fundamentals(model, period: tuple[int | None, int | None], company: DataFrame) -> DataFrame:
+    """Merged statements of the period with their KPIs.
+
+    The company-symbol narrowing is one semi join on the merged statements
+    (the inner joins already keep only tickers present in all three).
+    """
+    if hasattr(model, "prepare"):
+        model.prepare()
     fund = FU.combine_statements(model.income, model.cashflow, model.balance)
     fund = P.period_filter(fund, period[0], period[1])
-    fund = FU.restrict(fund, company.select("ticker"))
-    return company, FU.add_kpis(fund)
+    return FU.add_kpis(FU.restrict(fund, company.select("ticker")))
+
+
+def fundamentals_for(model, period: tuple[int | None, int | None],
+                     symbols: DataFrame | None = None,
+                     market: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(company_info, KPI fundamentals) of the single-market run, before price narrowing."""
+    company = companies_for(model, symbols, market)
+    return company, kpi_fundamentals(model, period, company)
 
 
 def single_market(model, period: tuple[int | None, int | None], fp: int = V.DEFAULT_FP,
@@ -101,17 +151,14 @@ def single_market(model, period: tuple[int | None, int | None], fp: int = V.DEFA
     """The processing pipeline of one market.
 
     Symbol narrowing is a chain of semi joins instead of driver-side lists:
-    company tickers -> statements -> latest dates and annual prices of those
-    tickers -> fundamentals of priced tickers. Nothing is collected. With
+    company tickers -> statements -> price states of those tickers ->
+    fundamentals of priced tickers. Nothing is collected. With
     ``materialize=True`` (default) the small tables that several steps read
-    (fundamentals, latest dates, valued tickers) are written once when they are
+    (fundamentals, price states, valued tickers) are written once when they are
     first needed; ``materialize=False`` builds the same plan without running
     anything.
     """
-    company, fund = fundamentals_for(model, period, symbols, market)
-    if materialize:
-        fund = cut_lineage(fund, "fundamental")
-    return SingleMarketResult(model, company, fund, period, fp, exp_rr, agg_func, materialize)
+    return SingleMarketResult(model, companies_for(model, symbols, market), period, fp, exp_rr, agg_func, materialize)
 
 
 def daily_refresh(price_batch: DataFrame, growth: DataFrame) -> DataFrame:
@@ -130,30 +177,3 @@ def staging_symbols(model) -> DataFrame:
     company = C.company_info_for(model.company_info, universe)
     stmt = FU.common_tickers(model.income, model.cashflow, model.balance)
     return company.select("ticker").join(stmt, "ticker", "left_semi").distinct()
-
-
-def run_and_store(model, out_dir: str, period: tuple[int | None, int | None],
-                  fp: int = V.DEFAULT_FP, exp_rr: float = V.DEFAULT_EXP_RR,
-                  symbols: DataFrame | None = None, agg_func: str = "mean",
-                  compression: str = "gzip", market: str | None = None) -> dict[str, str]:
-    """The processing job with its four result tables written to ``out_dir``.
-
-    Each result is written and read back before the next step uses it, so the
-    written table (on the shared file system) cuts the lineage: losing an
-    executor later re-runs only the current step, never the whole chain.
-    Returns the table paths.
-    """
-    from valuora import sinks
-
-    spark = model.spark
-    r = single_market(model, period, fp, exp_rr, symbols, agg_func, market)
-    paths = {n: f"{out_dir.rstrip('/')}/{n}" for n in
-             ("company_info", "fundamental", "growth", "screener")}
-    sinks.write_table(r.company_info, paths["company_info"], compression)
-    sinks.write_table(r.fundamental, paths["fundamental"], compression)
-    fund = spark.read.parquet(paths["fundamental"])
-    growth = V.sticker_price(G.growth_rates(fund, agg_func), fp, exp_rr)
-    sinks.write_table(growth, paths["growth"], compression)
-    growth = spark.read.parquet(paths["growth"])
-    sinks.write_table(r.screener_of(growth), paths["screener"], compression)
-    return paths

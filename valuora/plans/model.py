@@ -2,34 +2,35 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valuora.operators.company import peer_string_agg
-from valuora.session import _tables_folder, cut_lineage
+from valuora.schemas import STATEMENT_KEYS
+from valuora.session import KEPT, _tables_folder, cut_lineage, together
 from valuora.sources import adapters as A
 
 
-# (application, statement, identity of the tables it comes from) -> the written statement
-_KEPT: dict[tuple, DataFrame] = {}
-
-
 def identity(spark: SparkSession, path: str) -> tuple:
-    """Size and time of a table's file, or a digest of those of all files of a folder.
+    """What a table's files look like from outside: changed files change it, no row is read.
 
-    Asked of the file system the path names, so a table that changes between
-    two queries is seen wherever it lies.
+    The file system the path names is asked, so a table that changes between two
+    queries is seen wherever it lies. For a folder these are name, size and time
+    of its entries -- files, or the folders of partitions, whose time changes
+    with the files in them -- and the size and number of all files below.
     """
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    st = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(p)
+    fs = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    st = fs.getFileStatus(p)
     if not st.isDirectory():
         return path, st.getLen(), st.getModificationTime()
-    m = F.col("_metadata")
-    files = spark.read.parquet(path).select(
-        F.xxhash64(m["file_path"], m["file_size"], m["file_modification_time"]).alias("h")).distinct()
-    return (path, *files.agg(F.count("h"), F.bit_xor("h"), F.sum(F.col("h") % 1_000_003)).first())
+    entries = sorted((e.getPath().getName(), e.getLen(), e.getModificationTime()) for e in fs.listStatus(p))
+    total = fs.getContentSummary(p)
+    digest = hashlib.sha256(repr(entries).encode()).hexdigest()
+    return path, total.getLength(), total.getFileCount(), digest
 
 
 class TestdataModel:
@@ -43,36 +44,59 @@ class TestdataModel:
     """
 
     __test__ = False  # not a pytest test class despite the name
+    TABLES = ("customer", "events", "lineitem", "nation", "orders", "region")
+    STATEMENTS = {"income": ("orders",), "cashflow": ("orders", "lineitem"), "balance": ("orders",)}
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, until: str | None = None):
+        """``until``: leave out prices from this date on (the history that days are later added to)."""
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.until = until
 
     def table(self, name: str) -> DataFrame:
         return A.table(self.spark, self.sf_dir, name)
 
-    def _statement(self, name: str, build, *tables: str) -> DataFrame:
-        made_of = tuple(identity(self.spark, f"{self.sf_dir}/{t}.parquet") for t in tables)
-        key = (_tables_folder(self.spark), id(self.spark), name, made_of)
-        if key not in _KEPT:
-            _KEPT[key] = cut_lineage(build(self.spark, self.sf_dir), name)
-        return _KEPT[key]
+    def identity(self, *tables: str) -> tuple:
+        """Identity of the files that a run reads."""
+        files = tuple(identity(self.spark, f"{self.sf_dir}/{t}.parquet") for t in tables or self.TABLES)
+        return files if tables or self.until is None else (*files, self.until)
+
+    def _kept(self, name: str) -> tuple:
+        return _tables_folder(self.spark), id(self.spark), name, self.identity(*self.STATEMENTS[name])
+
+    def _statement(self, name: str) -> DataFrame:
+        key = self._kept(name)
+        if key not in KEPT:
+            KEPT[key] = cut_lineage(getattr(A, name)(self.spark, self.sf_dir), name)
+        return KEPT[key]
+
+    def prepare(self) -> None:
+        """Write the statements that are not written yet, side by side."""
+        missing = [n for n in self.STATEMENTS if self._kept(n) not in KEPT]
+        together(*[lambda n=n: self._statement(n) for n in missing])
+
+    def statement_keys(self, name: str) -> DataFrame:
+        """Key columns of a statement: of the written one, else by a plan that sums no money."""
+        found = KEPT.get(self._kept(name))
+        found = getattr(A, name)(self.spark, self.sf_dir) if found is None else found
+        return found.select(*STATEMENT_KEYS)
 
     @cached_property
     def price(self) -> DataFrame:
-        return A.price(self.spark, self.sf_dir)
+        price = A.price(self.spark, self.sf_dir)
+        return price if self.until is None else price.where(F.col("date") < F.lit(self.until).cast("date"))
 
     @cached_property
     def income(self) -> DataFrame:
-        return self._statement("income", A.income, "orders")
+        return self._statement("income")
 
     @cached_property
     def cashflow(self) -> DataFrame:
-        return self._statement("cashflow", A.cashflow, "orders", "lineitem")
+        return self._statement("cashflow")
 
     @cached_property
     def balance(self) -> DataFrame:
-        return self._statement("balance", A.balance, "orders")
+        return self._statement("balance")
 
     @cached_property
     def company_info(self) -> DataFrame:
@@ -167,6 +191,13 @@ class FileModel:
             out.append(col.alias(col_name))
         return df.select(*out)
 
+    def identity(self) -> tuple:
+        """Identity of the files that a run reads."""
+        return tuple((n, identity(self.spark, s["path"])) for n, s in sorted(self.sources.items()))
+
+    def statement_keys(self, name: str) -> DataFrame:
+        return getattr(self, name).select(*STATEMENT_KEYS)
+
     def _has(self, name: str) -> bool:
         return name in self.sources
 

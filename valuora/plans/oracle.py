@@ -382,6 +382,37 @@ SELECT CAST(ts AS DATE) AS date, CAST(user_id AS VARCHAR) AS ticker, value * 100
 FROM (SELECT user_id, ts, value, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, value DESC) AS rn
       FROM events) e WHERE rn = 1"""
 
+# ---------------------------------------------------------------- a run over the prices and the day's drop
+
+CTES["d_price"] = """
+SELECT date, ticker, low FROM price UNION ALL SELECT date, ticker, low FROM daily_drop"""
+CTES["d_price_used"] = """
+SELECT * FROM d_price WHERE ticker IN (SELECT ticker FROM fundamental_kpi)"""
+CTES["d_annual_mean"] = f"""
+SELECT CAST(year(date) AS INTEGER) AS year, ticker, avg(low) AS mean_low_price
+FROM d_price_used
+WHERE month(date) = 12 AND year(date) BETWEEN {PERIOD[0]} AND {PERIOD[1]}
+GROUP BY year(date), ticker"""
+CTES["d_fundamental"] = """
+SELECT f.*, a.mean_low_price, a.mean_low_price / nullif(f.eps, 0) AS pe
+FROM (SELECT * FROM fundamental_kpi WHERE ticker IN (SELECT ticker FROM d_price_used)) f
+LEFT JOIN d_annual_mean a ON f.ticker = a.ticker AND f.fiscal_year = a.year"""
+CTES["d_growth_rows"] = _growth_rows_sql("d_fundamental")
+CTES["d_growth_summary"] = _summary_sql("d_growth_rows", "avg")
+CTES["d_growth_mean"] = "SELECT * FROM d_growth_summary WHERE yrs_in_5yr = 5"
+CTES["d_growth"] = _sticker_sql("d_growth_mean")
+CTES["d_screener"] = _screener_sql("d_price_used", "d_growth")
+
+CTES["event_prices"] = """
+SELECT CAST(user_id AS VARCHAR) AS ticker, CAST(ts AS DATE) AS date, min(value) * 1000 AS low
+FROM events GROUP BY 1, 2"""
+CTES["event_valued"] = """
+SELECT e.ticker, e.date, e.low, g.price_future, g.sticker_price, g.mos,
+       rank() OVER (PARTITION BY e.ticker ORDER BY e.date DESC) AS rk
+FROM event_prices e JOIN (SELECT * FROM growth WHERE mos IS NOT NULL) g ON e.ticker = g.ticker"""
+CTES["raised_price"] = """
+SELECT ticker, date, low + CASE WHEN ends_with(ticker, '7') THEN 1 ELSE 0 END AS low FROM price"""
+
 CTES["extremes"] = """
 SELECT * FROM screener WHERE mos / nullif(last_low_price, 0) > 10"""
 

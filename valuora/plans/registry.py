@@ -28,6 +28,7 @@ from valuora.operators import quality as Q
 from valuora.operators import screen as S
 from valuora.plans import oracle as O
 from valuora.plans import jobs as PL
+from valuora.plans import stored as SR
 from valuora.plans.model import TestdataModel
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +70,28 @@ def _scratch(spark, name: str) -> str:
     return f"{_tables_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def stored_run(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the stored single-market run on these tables.
+
+    The first query of an application that asks runs the processing job; for later
+    ones the run's manifest says that its tables are finished and of the same files.
+    """
+    import hashlib
+    from valuora.session import _tables_folder
+    base = f"{_tables_folder(spark)}/runs/{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
+    SR.run_and_store(model(spark, sf_dir), f"{base}/single", O.PERIOD)
+    return f"{base}/single"
+
+
+def stored_multi(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the stored multi-market run on these tables, made as ``stored_run`` makes its own."""
+    import hashlib
+    from valuora.session import _tables_folder
+    base = f"{_tables_folder(spark)}/runs/{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
+    SR.store_multi(model(spark, sf_dir), f"{base}/multi", O.EXCLUDED_MARKETS)
+    return f"{base}/multi"
+
+
 def run_single(spark: SparkSession, sf_dir: str, agg_func: str = "mean") -> PL.SingleMarketResult:
     return PL.single_market(model(spark, sf_dir), O.PERIOD, agg_func=agg_func)
 
@@ -528,10 +551,8 @@ UNION ALL SELECT 'fundamental', count(DISTINCT ticker) FROM fundamental
 UNION ALL SELECT 'growth', count(DISTINCT ticker) FROM growth
 UNION ALL SELECT 'screener', count(DISTINCT ticker) FROM screener""")
 def q_dq_symbol_counts(spark, sf):
-    r = run_single(spark, sf)
-    return Q.symbol_counts({"price": r.price, "company_info": r.company_info,
-                            "fundamental": r.fundamental, "growth": r.growth,
-                            "screener": r.screener})
+    """Distinct tickers of the stored tables and of the prices behind them: figures of the stored run."""
+    return SR.figures(spark, stored_run(spark, sf), ("price", *SR.RESULTS)).select("table_name", "n_symbols")
 
 
 @query("dq_symbol_coverage", """
@@ -553,8 +574,9 @@ SELECT 'price' AS table_name, min(date) AS min_date, max(date) AS max_date,
 UNION ALL
 SELECT 'fundamental', NULL, NULL, min(fiscal_year), max(fiscal_year) FROM fundamental""")
 def q_dq_freshness(spark, sf):
-    r = run_single(spark, sf)
-    return Q.freshness(r.price, r.fundamental)
+    """How fresh the stored run is: date range of its prices, fiscal years of its fundamentals."""
+    return SR.figures(spark, stored_run(spark, sf), ("price", "fundamental")).select(
+        "table_name", "min_date", "max_date", "min_fiscal_year", "max_fiscal_year")
 
 
 # ---------------------------------------------------------------- profiling
@@ -781,11 +803,10 @@ UNION ALL SELECT 'after_annual_pe', count(*), count(DISTINCT ticker) FROM mm_fun
 UNION ALL SELECT 'after_growth_rates', count(*), count(DISTINCT ticker) FROM mm_growth_mean
 UNION ALL SELECT 'after_latest_price', count(*), count(DISTINCT ticker) FROM mm_growth""")
 def q_dq_stage_shapes(spark, sf):
-    res = run_multi(spark, sf)
-    return Q.stage_shapes({"fundamental_merged": res.fundamental_raw,
-                           "after_annual_pe": res.fundamental,
-                           "after_growth_rates": res.growth_rates,
-                           "after_latest_price": res.growth})
+    """Rows and tickers after each step of the stored multi-market run, from the figures of their writing."""
+    out = stored_multi(spark, sf)
+    steps = ("fundamental_merged", "after_annual_pe", "after_growth_rates", "after_latest_price")
+    return SR.figures(spark, out, steps).select(F.col("table_name").alias("stage"), "n_rows", F.col("n_symbols").alias("n_tickers"))
 
 
 # ---------------------------------------------------------------- daily refresh
@@ -797,8 +818,71 @@ FROM (SELECT d.ticker, d.date, d.low, g.price_future, g.sticker_price, g.mos,
       FROM daily_drop d JOIN (SELECT * FROM growth WHERE mos IS NOT NULL) g ON d.ticker = g.ticker) x
 WHERE rk = 1 AND low <= mos""")
 def q_daily_refresh(spark, sf):
-    r = run_single(spark, sf)
-    return PL.daily_refresh(model(spark, sf).daily_drop, r.growth)
+    """Today's prices against the stored valuation: neither statements nor earlier prices are read."""
+    growth = spark.read.parquet(f"{stored_run(spark, sf)}/growth")
+    return PL.daily_refresh(model(spark, sf).daily_drop, growth)
+
+
+HISTORY_END = "2000-11-01"   # a stored run knows the prices before; the rest comes in batches
+DAY_BATCHES = 3
+
+
+@query("daily_maintenance", """
+SELECT 'fundamental' AS table_name, ticker, fiscal_year, NULL::DATE AS last_date,
+       {mean} AS value, {pe} AS ratio FROM d_fundamental
+UNION ALL
+SELECT 'growth', ticker, NULL, NULL, mos, {gr} FROM d_growth
+UNION ALL
+SELECT 'screener', ticker, NULL, last_date, last_low_price, mos FROM d_screener""".format(
+    mean=O.r6("mean_low_price"), pe=O.r6("pe"), gr="pe_5yr"))
+def q_daily_maintenance(spark, sf):
+    """A run over the earlier prices takes in the later ones and the day's drop, in batches whose
+    rows are mixed over days and one of which comes twice: its fundamentals, growth and screener
+    equal a run over all prices."""
+    base = _scratch(spark, "maintained")
+    m = model(spark, sf)
+    SR.run_and_store(TestdataModel(spark, sf, until=HISTORY_END), base, O.PERIOD)
+    late = m.price.where(F.col("date") >= F.lit(HISTORY_END).cast("date")).unionByName(m.daily_drop)
+    part = F.pmod(F.xxhash64("ticker", "date"), F.lit(DAY_BATCHES))
+    for k in (2, 0, 2, 1):
+        SR.apply_day(spark, base, late.where(part == k), f"batch-{k}")
+    t = {n: spark.read.parquet(p) for n, p in SR.current(spark, base).items()}
+    none = F.lit(None)
+    parts = [r6(t["fundamental"], "mean_low_price", "pe").select(
+                 F.lit("fundamental").alias("table_name"), "ticker", "fiscal_year", none.cast("date").alias("last_date"),
+                 F.col("mean_low_price").alias("value"), F.col("pe").alias("ratio")),
+             t["growth"].select(F.lit("growth").alias("table_name"), "ticker", none.cast("int").alias("fiscal_year"),
+                                none.cast("date").alias("last_date"), F.col("mos").alias("value"), F.col("pe_5yr").alias("ratio")),
+             t["screener"].select(F.lit("screener").alias("table_name"), "ticker", none.cast("int").alias("fiscal_year"),
+                                  "last_date", F.col("last_low_price").alias("value"), F.col("mos").alias("ratio"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("stream_refresh", """
+SELECT 'latest' AS table_name, ticker, date AS last_date, low AS last_low_price, NULL::DOUBLE AS mos
+FROM event_valued WHERE rk = 1
+UNION ALL
+SELECT 'screener', ticker, date, low, mos FROM event_valued
+WHERE rk = 1 AND low <= mos AND price_future IS NOT NULL AND sticker_price IS NOT NULL""")
+def q_stream_refresh(spark, sf):
+    """The events' daily prices as a stream of deliveries, one of them late and one repeated: its tables
+    equal a batch over all of them."""
+    from valuora.schemas import PRICE_RENAMES, RAW_PRICE
+    from valuora.sources import adapters as A
+    from valuora.streaming.refresh import read_version, start_refresh_stream
+    growth = spark.read.parquet(f"{stored_run(spark, sf)}/growth")
+    out = _scratch(spark, "stream")
+    rows = A.event_prices(spark, sf).select(*[F.col(PRICE_RENAMES[c]).alias(c) for c in RAW_PRICE.fieldNames()])
+    even, late = F.pmod(F.xxhash64("Ticker"), F.lit(2)) == 0, F.dayofmonth("Date") <= 15
+    for part in (even & ~late, ~even & ~late, late, even & ~late):
+        rows.where(part).write.mode("append").parquet(f"{out}/drop")
+        start_refresh_stream(spark, f"{out}/drop", growth, f"{out}/latest", f"{out}/screener", f"{out}/checkpoint",
+                             fmt="parquet").awaitTermination()
+    latest = read_version(spark, f"{out}/latest").select(
+        F.lit("latest").alias("table_name"), "ticker", F.col("date").alias("last_date"), F.col("low").alias("last_low_price"),
+        F.lit(None).cast("double").alias("mos"))
+    screen = read_version(spark, f"{out}/screener").select(F.lit("screener").alias("table_name"), *latest.columns[1:])
+    return latest.unionByName(screen)
 
 
 # ---------------------------------------------------------------- stored results
@@ -812,9 +896,7 @@ UNION ALL BY NAME SELECT 'screener' AS table_name, s.* FROM screener s""")
 def q_result_readback(spark, sf):
     """The processing job writes its four result tables; all of them are read back."""
     from valuora.sources.files import read_result_tables
-    out = _scratch(spark, "results")
-    PL.run_and_store(model(spark, sf), out, O.PERIOD)
-    t = read_result_tables(spark, out)
+    t = read_result_tables(spark, stored_run(spark, sf))
     tables = {"company_info": t["company_info"].drop("peer_list"),
               "fundamental": r6(t["fundamental"], "mean_low_price", "pe"),
               "growth": sig12(t["growth"], "eps_future"), "screener": t["screener"]}
@@ -860,26 +942,71 @@ def q_price_files(spark, sf):
     return spark.read.option("header", True).schema(PRICE).csv(out).select(*PRICE.fieldNames())
 
 
-DICTIONARY_SQL = " UNION ALL ".join(
-    f"""SELECT '{t}' AS "table", u.column_name AS "column", 'ok' AS status, u.n_filled
-FROM (SELECT {', '.join(f'count({c}) AS {c}' for c in cols)} FROM {t}) x
-UNPIVOT INCLUDE NULLS (n_filled FOR column_name IN ({', '.join(cols)})) u"""
-    for t, cols in (("screener", ["ticker", "last_date", "last_low_price", "price_future", "sticker_price", "mos"]),
-                    ("company_info", ["ticker", "company_name", "industry", "sector", "market", "market_cap"])))
+# what the run stores, by table: (columns, type as stored)
+STORED_TYPES = {
+    "company_info": [("ticker company_name industry sector market peer_string", "string"), ("market_cap", "double"),
+                     ("peer_list", "array<string>")],
+    "fundamental": [("ticker currency fiscal_period_is fiscal_period_cf fiscal_period", "string"), ("simfin_id", "bigint"),
+                    ("fiscal_year", "int"), ("report_date_is report_date_cf report_date", "date"),
+                    ("shares_basic_is revenue net_income shares_basic_cf net_cash_ops net_cash_inv dividends_paid "
+                     "shares_basic total_equity total_liab_equity dividends_paid_clean roic eps bvps fcf mean_low_price pe",
+                     "double")],
+    "growth": [("ticker", "string"), ("yrs_in_5yr yrs_in_10yr", "bigint"),
+               (" ".join(c for c in GROWTH_NUMERIC if not c.startswith("yrs_in")), "double")],
+    "screener": [("ticker", "string"), ("last_date", "date"), ("last_low_price price_future sticker_price mos", "double")]}
+
+
+def _drift_sql() -> str:
+    from valuora.plans.dictionary import ENTRIES
+    stored = [(t, c, kind) for t, groups in STORED_TYPES.items() for cols, kind in groups for c in cols.split()]
+    source = {t: t for t in STORED_TYPES} | {"company_info": """(SELECT c.*, p.peer_string, string_split(p.peer_string, ',')
+        AS peer_list FROM company_info c LEFT JOIN peers p ON c.ticker = p.ticker)"""}
+    filled = " UNION ALL ".join(
+        f"SELECT '{t}' AS t, '{c}' AS c, '{kind}' AS stored, (SELECT count({c}) FROM {source[t]} x) AS n_filled"
+        for t, c, kind in stored)
+    entries = ", ".join(f"('{t}', '{c}', '{d}')" for t, c, d, _ in ENTRIES)
+    return f"""
+SELECT coalesce(d.t, s.t) AS "table", coalesce(d.c, s.c) AS "column", d.declared, s.stored, s.n_filled,
+       CASE WHEN d.bad THEN 'malformed' WHEN s.c IS NULL THEN 'missing' WHEN d.c IS NULL THEN 'extra'
+            WHEN (d.declared = 'object' AND s.stored IN ('string', 'array<string>'))
+              OR (d.declared = 'int64' AND s.stored IN ('bigint', 'int')) OR (d.declared = 'float64' AND s.stored = 'double')
+              OR (d.declared = 'datetime64[ns]' AND s.stored = 'date') THEN 'ok' ELSE 'changed_type' END AS status
+FROM (SELECT t, CASE WHEN bad THEN c || ',' || declared ELSE c END AS c, CASE WHEN NOT bad THEN declared END AS declared, bad
+      FROM (SELECT *, declared NOT IN ('object', 'int64', 'float64', 'datetime64[ns]') AS bad
+            FROM (VALUES {entries}) e(t, c, declared)) e2) d
+FULL JOIN ({filled}) s ON d.t = s.t AND d.c = s.c"""
+
+
+@query("data_dictionary_check", _drift_sql())
+def q_data_dictionary_check(spark, sf):
+    """The declared dictionary, read from its file, against the four stored tables, read back; both ways."""
+    from valuora.plans.dictionary import stored_dictionary
+    from valuora.sources.files import read_result_tables
+    tables = read_result_tables(spark, stored_run(spark, sf))
+    return Q.schema_drift(stored_dictionary(spark, _scratch(spark, "dictionary")), tables)
 
 
-@query("data_dictionary_check", DICTIONARY_SQL)
-def q_data_dictionary_check(spark, sf):
-    """The data dictionary of two result tables checked against them, with how many rows fill each column."""
-    r = run_single(spark, sf)
-    tables = {"screener": r.screener, "company_info": model(spark, sf).company_info}
-    checked = Q.dictionary_check(Q.data_dictionary(tables), {t: df.columns for t, df in tables.items()})
-    filled = None
-    for t, df in tables.items():
-        part = df.agg(*[F.count(c).alias(c) for c in df.columns]).unpivot([], df.columns, "column", "n_filled")
-        part = part.withColumn("table", F.lit(t))
-        filled = part if filled is None else filled.unionByName(part)
-    return checked.join(filled, ["table", "column"]).select("table", "column", "status", "n_filled")
+@query("price_ingest_manifest", """
+SELECT ticker, 'loaded' AS status, count(*) AS n_rows, min(date) AS first_date, max(date) AS last_date,
+       ends_with(ticker, '7') AS replaced, min(low) AS lowest FROM raised_price GROUP BY ticker
+UNION ALL
+SELECT 'S' || CAST(s_suppkey AS VARCHAR), CASE WHEN s_acctbal < 0 THEN 'unreadable' ELSE 'empty' END, 0, NULL, NULL, false, NULL
+FROM supplier""")
+def q_price_ingest_manifest(spark, sf):
+    """A delivery of per-symbol files, some empty or unreadable, ingested by manifest; then a second one in
+    which the files of some symbols have changed, and only those are read and replaced."""
+    from valuora.sources import adapters as A
+    from valuora.sources import ingest as I
+    out = _scratch(spark, "delivery")
+    A.vendor_files(spark, sf, f"{out}/vendor")
+    I.ingest(spark, f"{out}/vendor", f"{out}/price", I.FOLDER, buckets=8)
+    A.vendor_files(spark, sf, f"{out}/vendor", raised="7")
+    manifest = I.ingest(spark, f"{out}/vendor", f"{out}/price", I.FOLDER, buckets=8)
+    symbols = manifest.groupBy("ticker").agg(
+        F.max("status").alias("status"), F.sum("n_rows").alias("n_rows"), F.min("first_date").alias("first_date"),
+        F.max("last_date").alias("last_date"), F.max("replaced").alias("replaced"))
+    lows = I.read_ingested(spark, f"{out}/price").groupBy("ticker").agg(F.min("low").alias("lowest"))
+    return symbols.join(lows, "ticker", "left")
 
 
 SNAPSHOT_DATES = ("2023-03-10", "2023-03-11")

@@ -132,12 +132,35 @@ def cut_lineage(df, name: str = "table"):
     return spark.read.parquet(path)
 
 
+def together(*builds):
+    """Results of functions that each run Spark jobs of their own, run side by side.
+
+    Tables that do not depend on each other are written at the same time, so one
+    that is held up by a few long tasks leaves no cores idle.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    if len(builds) < 2:
+        return [b() for b in builds]
+    with ThreadPoolExecutor(len(builds)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(b)) for b in builds]]
+
+
 def remove_folder(spark: SparkSession, path: str) -> bool:
     """Delete a folder on whatever file system its path names."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
+# (application's folder, ...) -> a written table that later plans of the application use again
+KEPT: dict[tuple, object] = {}
+
+
 def drop_tables(spark: SparkSession) -> None:
-    """Remove every table this application wrote through ``cut_lineage``."""
-    remove_folder(spark, _tables_folder(spark))
+    """Remove every table this application wrote through ``cut_lineage``, and forget those it kept."""
+    folder = _tables_folder(spark)
+    remove_folder(spark, folder)
+    for key in [k for k in KEPT if k[0] == folder]:
+        del KEPT[key]

@@ -195,3 +195,34 @@ def daily_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
         _ticker("user_id").alias("ticker"),
         low.alias("open"), low.alias("high"), low.alias("low"), low.alias("close"),
         low.alias("adj_close"), F.lit(None).cast("double").alias("volume"))
+
+
+def event_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price rows of the events: the lowest value of a user and day."""
+    ev = table(spark, sf_dir, "events")
+    day = ev.groupBy("user_id", F.col("ts").cast("date").alias("date")).agg((F.min("value") * 1000).alias("low"))
+    low = F.col("low")
+    return day.select("date", _ticker("user_id").alias("ticker"), low.alias("open"), low.alias("high"), "low",
+                      low.alias("close"), low.alias("adj_close"), F.lit(None).cast("double").alias("volume"))
+
+
+def vendor_files(spark: SparkSession, sf_dir: str, folder: str, raised: str | None = None) -> None:
+    """A delivery of vendor files, a folder per symbol: prices of every ticker; for suppliers, who have no
+    prices, a file of the header only, or of an error message if their balance is negative. ``raised``: rewrite
+    only tickers that end in this, at prices of one more.
+    """
+    px = price(spark, sf_dir)
+    names = {"date": "Date", "open": "Open", "high": "High", "low": "Low", "close": "Close", "adj_close": "Adj Close",
+             "volume": "Volume"}
+    more = F.lit(0 if raised is None else 1)
+    cols = [(F.col(c) + more if c not in ("date", "volume") else F.col(c)).alias(n) for c, n in names.items()]
+    if raised is not None:
+        px = px.where(F.col("ticker").endswith(raised))
+    (px.select(*cols, F.col("ticker").alias("symbol")).repartitionByRange("symbol", "Date")
+       .write.mode("overwrite").option("partitionOverwriteMode", "static" if raised is None else "dynamic")
+       .option("header", True).partitionBy("symbol").csv(folder))
+    if raised is None:
+        broken = F.col("s_acctbal") < 0
+        text = F.when(broken, F.lit("Too many requests\nplease, try again later")).otherwise(F.lit(",".join(names.values())))
+        (table(spark, sf_dir, "supplier").select(text.alias("value"), F.concat(F.lit("S"), _ticker("s_suppkey")).alias("symbol"))
+            .write.mode("append").partitionBy("symbol").text(folder))
