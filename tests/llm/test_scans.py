@@ -155,3 +155,15 @@ def test_graph_scores_match_brute_force(spark):
     rows = [(p, i, s) for (p, i), s in edges.items()]
     got = {tuple(r) for r in pii.bootstrap(spark.createDataFrame(rows, "pattern string, instance string, seed boolean")).collect()}
     assert got == brute_bootstrap(rows) and got
+
+
+def test_very_long_runs(spark):
+    """Runs of a million characters in which a pattern could start anywhere take time that grows with their length."""
+    import time
+    n = 1_000_000
+    runs = ["1" * n, "+" + "1" * n, "." * n, "=" * n, "+1" + "-" * n]
+    docs = spark.createDataFrame(list(enumerate([f"see {r} 10.0.0.7" for r in runs])), "doc_id long, text string").repartition(3)
+    began = time.time()
+    ips = {r.doc_id: [x for x in r.base if x.kind == "ip"] for r in pii.find(docs).select("doc_id", "base").collect()}
+    assert time.time() - began < 60
+    assert all(ips[i][-1].s == len(f"see {r} ") and ips[i][-1].e == len(f"see {r} 10.0.0.7") for i, r in enumerate(runs))

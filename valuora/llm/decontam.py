@@ -12,11 +12,16 @@ Texts are compared with A-Z and the capitals U+00C0 to U+00DE lower-cased and
 whitespace runs as one blank;
 q-grams and edits count UTF-8 bytes of that form. ``k`` is ``errors`` of the
 item's length, less for items so short that the lemma's count would fall under
-one. Items shorter than ``q`` must occur exactly.
+one. Items shorter than ``q`` must occur exactly. An item longer than ``WINDOW``
+is looked for by windows of that length, half of which overlap, each with a
+budget of its own: a document that quotes a part of it is found, and one that
+holds all of it within the budget holds some window within its own. Windows that
+meet in a text are one occurrence, whose ``edits`` are the most of one window.
 
-The items' q-gram index goes to every task. It is built from pieces of at most
-``INDEX_BYTES`` of item text, whatever the benchmark's size: a larger benchmark
-takes one pass over the documents per piece.
+The items' q-gram index goes to every task. It is built from pieces of about
+``INDEX_BYTES`` of item text (one item at least): a larger benchmark takes one
+pass over the documents per piece, and what is found, or left, is written after
+every ``GROUP`` of them, so that neither a plan nor the driver holds more.
 
 Defined results: null or empty documents and items match nothing; an id that is
 null or repeated is carried as it is, each row by itself; empty tables give
@@ -31,10 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
+from .shared import cut_lineage
 
 Q = 8                    # bytes of a q-gram; one 64-bit word
 ERRORS = 0.1             # edits allowed per byte of an item
+WINDOW = 512             # bytes of an item, beyond which its windows are looked for
+CELLS = 1 << 21          # cells of a row that alignments share
 INDEX_BYTES = 4 << 20    # item text in one index
+GROUP = 4                # indexes that one plan holds
 MATCHES = "doc_id long, item_id long, start long, end long, edits long"
 
 
@@ -66,13 +75,21 @@ def qgrams(norm: np.ndarray) -> np.ndarray:
     return out
 
 
+def windows(norm: np.ndarray) -> list[np.ndarray]:
+    """An item, or the overlapping windows of a long one; the last one ends with it."""
+    if len(norm) <= WINDOW:
+        return [norm]
+    heads = [*range(0, len(norm) - WINDOW, WINDOW // 2), len(norm) - WINDOW]
+    return [norm[a:a + WINDOW] for a in heads]
+
+
 class Index:
     """Postings of the items' q-grams, behind a small table of their hashes."""
 
     def __init__(self, items: list[tuple[int | None, str]], errors: float):
         self.ids, self.texts, self.budget, self.need = [], [], [], []
         grams, item, pos = [], [], []
-        self.short = []
+        self.short, self.long = [], set()
         for item_id, text in items:
             data, offsets = T.text_bytes(pa.array([text], pa.string()))
             norm = normal(data, offsets)[0]
@@ -84,15 +101,19 @@ class Index:
             if m < Q:
                 self.short.append((item_id, norm.tobytes()))
                 continue
-            k = min(int(errors * m), (m - Q) // Q)
-            g = qgrams(norm)[:m - Q + 1]
-            grams.append(g)
-            item.append(np.full(len(g), len(self.ids)))
-            pos.append(np.arange(len(g)))
-            self.ids.append(item_id)
-            self.texts.append(norm)
-            self.budget.append(k)
-            self.need.append(m - Q + 1 - Q * k)
+            if m > WINDOW:
+                self.long.add(item_id)
+            for norm in windows(norm):
+                m = len(norm)
+                k = min(int(errors * m), (m - Q) // Q)
+                g = qgrams(norm)[:m - Q + 1]
+                grams.append(g)
+                item.append(np.full(len(g), len(self.ids)))
+                pos.append(np.arange(len(g)))
+                self.ids.append(item_id)
+                self.texts.append(norm)
+                self.budget.append(k)
+                self.need.append(m - Q + 1 - Q * k)
         self.budget, self.need = np.array(self.budget, np.int64), np.array(self.need, np.int64)
         cat = lambda x, t: np.concatenate(x).astype(t) if x else np.zeros(0, t)
         grams, item, pos = cat(grams, np.uint64), cat(item, np.int64), cat(pos, np.int64)
@@ -165,17 +186,40 @@ class Index:
         return np.stack([rows[head, 0], rows[head, 1], rows[head, 2] * step, (rows[last, 2] + 2) * step - 1], axis=1)
 
     def matches(self, norm: np.ndarray, offsets: np.ndarray):
-        """Rows (text, item id, start, end, edits) in positions of the normal form."""
+        """Rows (text, item id, start, end, edits) in positions of the normal form; a long item's windows joined."""
+        open_: dict[tuple, list] = {}
+        for row in sorted(self.found(norm, offsets), key=lambda r: (r[0], r[2])):
+            if row[1] not in self.long:
+                yield row
+                continue
+            d, item_id, start, end, edits = row
+            last = open_.get((d, item_id))
+            if last is not None and start <= last[3]:
+                last[3], last[4] = max(last[3], end), max(last[4], edits)
+            else:
+                if last is not None:
+                    yield tuple(last)
+                open_[d, item_id] = list(row)
+        yield from map(tuple, open_.values())
+
+    def found(self, norm: np.ndarray, offsets: np.ndarray):
+        """Rows of items and of windows."""
+        open_: dict[int, list] = {}  # by item length: regions to align
         for d, i, low, high in self.regions(norm, offsets).tolist():
             item, k = self.texts[i], int(self.budget[i])
-            a = max(0, low - k) + offsets[d]
+            skip = max(0, low - k)
+            a = skip + offsets[d]
             b = min(offsets[d + 1], offsets[d] + high + len(item) + k)
             part = norm[a:b]
             exact = part.tobytes().find(item.tobytes())
             if exact >= 0:
                 yield d, self.ids[i], a + exact, a + exact + len(item), 0
-            elif (found := align(item, part, k)) is not None:
-                yield d, self.ids[i], a + found[0], a + found[1], found[2]
+            elif k:
+                open_.setdefault(len(item), []).append((d, self.ids[i], a, (item, part, k, low - k - skip, high + k - skip)))
+        for regions in open_.values():
+            for (d, item_id, a, _), hit in zip(regions, align([r[3] for r in regions]), strict=True):
+                if hit is not None:
+                    yield d, item_id, a + hit[0], a + hit[1], hit[2]
         for item_id, word in self.short:
             for d in range(len(offsets) - 1):
                 at = norm[offsets[d]:offsets[d + 1]].tobytes().find(word)
@@ -183,27 +227,64 @@ class Index:
                     yield d, item_id, offsets[d] + at, offsets[d] + at + len(word), 0
 
 
-def _best_end(item: np.ndarray, part: np.ndarray, free_start: bool) -> tuple[int, int]:
-    """(least edits, end in ``part``) of ``item`` in ``part``; it starts anywhere or at 0."""
-    at = np.arange(len(part) + 1)
-    row = np.zeros(len(part) + 1, np.int64) if free_start else at.copy()
-    for i, ch in enumerate(item):
-        new = np.empty_like(row)
-        new[0] = i + 1
-        np.minimum(row[:-1] + (part != ch), row[1:] + 1, out=new[1:])
-        row = np.minimum.accumulate(new - at) + at  # steps along the text
-    end = int(np.argmin(row))
-    return int(row[end]), end
-
+def _best_ends(items: list[np.ndarray], parts: list[np.ndarray], first: np.ndarray, width: int,
+               free_start: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(least edits, end in its part) of each item along ``width`` diagonals of its part from ``first`` on.
 
-def align(item: np.ndarray, part: np.ndarray, k: int) -> tuple[int, int, int] | None:
-    """(start, end, edits) of the best occurrence with at most ``k`` edits in a band's text."""
-    edits, end = _best_end(item, part, True)
-    if edits > k:
-        return None
-    back = part[max(0, end - len(item) - k):end][::-1]  # the band before the end
-    start = end - _best_end(item[::-1], back, False)[1]
-    return start, end, edits
+    A diagonal is a position in the part less one in the item. Only the band's
+    cells are filled, a row for each byte, those of all items (of one length) at
+    once. An item starts on any of the diagonals, or (not ``free_start``) at 0.
+    """
+    m = len(items[0])
+    item, n = np.stack(items), np.array([len(p) for p in parts])[:, None]
+    text = np.full((len(parts), m + width), -1, np.int16)  # column c: the byte at first + c
+    for r, (part, f) in enumerate(zip(parts, first.tolist(), strict=True)):
+        a, b = max(0, f), min(len(part), f + m + width)
+        if a < b:
+            text[r, a - f:b - f] = part[a:b]
+    far, band, first = 2 * (m + width) + 1, np.arange(width, dtype=np.int32), first[:, None]
+    at = first + band  # positions in the part
+    row = np.where((at >= 0) & (at <= n), 0 if free_start else np.abs(at), far).astype(np.int32)
+    for i in range(m):
+        at += 1
+        new = row + (text[:, i:i + width] != item[:, i:i + 1])        # same diagonal
+        np.minimum(new[:, :-1], row[:, 1:] + 1, out=new[:, :-1])      # a byte of the item left out
+        new[at == 0] = i + 1                                          # nothing of the part used
+        outside = (at < 0) | (at > n)
+        new[outside] = far
+        row = np.minimum.accumulate(new - band, axis=1) + band        # bytes of the part left out
+        row[outside] = far
+    best = row.argmin(axis=1)
+    return row[np.arange(len(row)), best], m + first[:, 0] + best
+
+
+def align(regions: list[tuple]) -> list[tuple[int, int, int] | None]:
+    """(start, end, edits) of the best occurrence in each region ``(item, part, k, first, last)``, or None.
+
+    Items are of one length. An occurrence takes ``k`` edits at most on the
+    region's diagonals ``first`` to ``last``. Regions share rows of ``CELLS`` cells.
+    """
+    out: list = [None] * len(regions)
+    size = [r[4] - r[3] + 1 for r in regions]
+    todo = sorted(range(len(regions)), key=size.__getitem__)
+    while todo:
+        n = 1
+        while n < len(todo) and (n + 1) * (len(regions[0][0]) + size[todo[n]]) <= CELLS:
+            n += 1
+        some, todo = todo[:n], todo[n:]
+        first = np.array([regions[r][3] for r in some])
+        edits, end = _best_ends([regions[r][0] for r in some], [regions[r][1] for r in some], first, max(size[r] for r in some), True)
+        hit = [x for x in range(n) if edits[x] <= regions[some[x]][2]]
+        if not hit:
+            continue
+        # backwards from the end: the start lies within k of where it would without edits
+        k = max(regions[some[x]][2] for x in hit)
+        items = [regions[some[x]][0][::-1] for x in hit]
+        backs = [regions[some[x]][1][max(0, end[x] - len(items[0]) - k):end[x]][::-1] for x in hit]
+        _, length = _best_ends(items, backs, np.full(len(hit), -k), 2 * k + 1, False)
+        for x, used in zip(hit, length.tolist(), strict=True):
+            out[some[x]] = int(end[x]) - used, int(end[x]), int(edits[x])
+    return out
 
 
 def _find(index: Index):
@@ -245,7 +326,8 @@ def _indexes(benchmark: DataFrame, id_col: str, text_col: str, errors: float):
     """
     items = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     items = items.where("length(text) > 0").distinct()
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    size = F.octet_length("text") * F.when(F.octet_length("text") > WINDOW, 2).otherwise(1)  # windows overlap
+    total = items.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     pieces = max(1, -(-2 * total // INDEX_BYTES))
     items = items.withColumn("piece", F.pmod(F.xxhash64("id", "text"), F.lit(pieces)))
     for p in range(pieces):
@@ -259,16 +341,24 @@ def find(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", doc_text
          item_id: str = "item_id", item_text: str = "text", errors: float = ERRORS) -> DataFrame:
     """Occurrences ``(doc_id, item_id, start, end, edits)``; code points, end exclusive."""
     text = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(doc_text).cast("string").alias("text"))
-    out = None
-    for index in _indexes(benchmark, item_id, item_text, errors):
+    out, done = None, None
+    for n, index in enumerate(_indexes(benchmark, item_id, item_text, errors), 1):
         part = text.mapInArrow(_find(index), MATCHES)
         out = part if out is None else out.unionByName(part)
-    return docs.sparkSession.createDataFrame([], MATCHES) if out is None else out
+        if n % GROUP == 0:
+            out = cut_lineage(out, "occurrences")
+            done, out = (out if done is None else done.unionByName(out)), None
+    parts = [p for p in (done, out) if p is not None]
+    if not parts:
+        return docs.sparkSession.createDataFrame([], MATCHES)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, doc_text: str = "text", item_id: str = "item_id",
           item_text: str = "text", errors: float = ERRORS) -> DataFrame:
     """The rows of ``docs`` in which no item occurs, all columns kept."""
-    for index in _indexes(benchmark, item_id, item_text, errors):
+    for n, index in enumerate(_indexes(benchmark, item_id, item_text, errors), 1):
         docs = docs.mapInArrow(_without(index, doc_text), docs.schema)
+        if n % GROUP == 0:
+            docs = cut_lineage(docs, "uncontaminated")
     return docs
