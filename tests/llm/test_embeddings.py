@@ -9,22 +9,21 @@ from valuora.llm import embed_dedup as E
 def brute(rows, threshold):
     """(id, links, component) of all rows by comparing all pairs; rows are nodes, ids name them."""
     fine = [v is not None and len(v) > 0 and all(x is not None and math.isfinite(x) for x in v) and any(v) for _, v in rows]
-    lens = [len(v) for (_, v), ok in zip(rows, fine, strict=True) if ok]
-    dim = max(sorted(set(lens)), key=lens.count) if lens else 0
-    on = [k for k, ok in enumerate(fine) if ok and len(rows[k][1]) == dim]
     links, parent = {k: 0 for k in range(len(rows))}, {k: k for k in range(len(rows))}
 
     def find(x):
         while parent[x] != x:
             x = parent[x]
         return x
-    x = np.array([rows[k][1] for k in on], np.float64).reshape(len(on), -1)
-    x = x / np.sqrt((x * x).sum(axis=1, keepdims=True)) if len(on) else x
-    for a, b in zip(*np.nonzero(x @ x.T >= threshold), strict=True) if len(on) else ():
-        if a < b or (a != b and False):
-            links[on[a]] += 1
-            links[on[b]] += 1
-            parent[find(on[b])] = find(on[a])
+    for dim in {len(v) for (_, v), ok in zip(rows, fine, strict=True) if ok}:
+        on = [k for k, ok in enumerate(fine) if ok and len(rows[k][1]) == dim]
+        x = np.array([rows[k][1] for k in on], np.float64)
+        x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+        for a, b in zip(*np.nonzero(x @ x.T >= threshold), strict=True):
+            if a < b:
+                links[on[a]] += 1
+                links[on[b]] += 1
+                parent[find(on[b])] = find(on[a])
     least = {}
     for k, (i, _) in enumerate(rows):
         if i is not None:
@@ -91,3 +90,14 @@ def test_far_parts_are_skipped(monkeypatch):
     np.fill_diagonal(hit, False)
     assert links.tolist() == hit.sum(axis=1)[ids].tolist() and len(set(root.tolist())) == 3
     assert any(asked)
+
+
+def test_vectors_of_every_length_link(spark, monkeypatch):
+    """Tables that mix lengths: each length is joined whole, the rarer ones too; columns may be named as the operator's."""
+    monkeypatch.setattr(E, "INTERVAL", 20)
+    monkeypatch.setattr(E, "SIDE", 2)
+    rng = np.random.default_rng(3)
+    rows = [(3, [1.0, 0.0, 0.0]), (4, [1.0, 0.0, 0.0]), (5, [2.0, 0.1, 0.0]), (6, [0.5]), (7, [2.0]), (8, [-1.0])]
+    rows += list(zip(range(100, 250), cloud(rng, 150, 2, 0.4), strict=True)) + list(zip(range(300, 340), cloud(rng, 40, 5, 0.2), strict=True))
+    check(spark, rows, kind="double")
+    check(spark, rows, threshold=0.99)

@@ -8,15 +8,17 @@ there (the epsilon grid order). The sorted sequence is cut into intervals; two
 intervals meet only if their first cells are neighbours and their boxes on the
 leading axes are no further apart than ``eps``. A meeting splits the longer
 part in halves and drops halves whose boxes are too far apart, until small
-blocks are left; these are decided by exact products.
+blocks are left; these are decided by exact products. Meetings are dealt to tiles
+of neighbouring intervals, so an interval travels once to each tile in which it
+meets another, not once for each meeting.
 
 Equal vectors are one class with a count before the join. A task returns, per
 vector, how many vectors it links to and one link that joins it to its local
 component, never the pairs; counts add up over tasks.
 
-Defined results: vectors that are null, empty, zero, of another length than
-most or with null or non-finite components link with nothing and are their own
-component; a row with a null id gives a row whose component is the smallest id
+Defined results: vectors that are null, empty, zero or with null or non-finite
+components link with nothing and are their own component; vectors of different
+lengths are joined apart, each length by itself; a row with a null id gives a row whose component is the smallest id
 it links to, or null; rows that repeat an id count as vectors of their own; an
 empty table gives an empty result; extra columns are ignored.
 """
@@ -28,10 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, cut_lineage
+from .shared import components, cut_lineage, small_batches
 
 AXES = 6         # leading principal axes of the grid
 INTERVAL = 4096  # vectors of an interval, about
+SIDE = 4         # intervals of a tile's side, about
 BLOCK = 512      # vectors of a block that is decided by products
 SLACK = 1e-9     # what rounding may add to a projected distance
 
@@ -53,17 +56,26 @@ def _moments(dim: int):
             x = _unit(_matrix(b.column(0), dim))
             x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
             total += x.T @ x
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["at", "s"])
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["s"])
     return run
 
 
+def _add(batches):
+    total = 0
+    for b in batches:
+        for s in b.column(0):
+            total = total + np.frombuffer(s.as_buffer(), np.float64)
+    if not isinstance(total, int):
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["s"])
+
+
 def principal_axes(vectors: DataFrame, dim: int, axes: int) -> tuple[np.ndarray, np.ndarray]:
-    """(mean, leading axes as columns); (dim + 1)^2 sums reach the driver."""
-    rows = vectors.select("v").mapInArrow(_moments(dim), "at long, s double").groupBy("at").agg(F.sum("s").alias("s")).collect()
-    m = np.zeros((dim + 1) ** 2)
-    for r in rows:
-        m[r["at"]] = r["s"]
-    m = m.reshape(dim + 1, dim + 1)
+    """(mean, leading axes as columns). A task sends on one matrix; they are added in two rounds, one reaches the driver."""
+    with small_batches(vectors.sparkSession):
+        sums = vectors.select("v").mapInArrow(_moments(dim), "s binary")
+        for tasks in (16, 1):
+            sums = sums.repartition(tasks).mapInArrow(_add, "s binary")
+        m = np.frombuffer(sums.first()["s"]).reshape(dim + 1, dim + 1)
     n = max(1.0, m[-1, -1])
     mean = m[-1, :-1] / n
     _, vec = np.linalg.eigh(m[:-1, :-1] / n - np.outer(mean, mean))
@@ -84,7 +96,7 @@ def _project(mean, axes, eps: float):
 
 
 INTERVAL_ROW = ("ids binary, ms binary, vs binary, n long, low array<double>, high array<double>, "
-                "first int, last int")
+                "first int, last int, stretch long")
 
 
 def _intervals(mean, axes, cells: list[str]):
@@ -107,7 +119,8 @@ def _intervals(mean, axes, cells: list[str]):
             out["high"].append(y.max(axis=0).tolist())
             out["first"].append(int(c.min()))
             out["last"].append(int(c.max()))
-        return pa.table({**out, "first": pa.array(out["first"], pa.int32()), "last": pa.array(out["last"], pa.int32())})
+        return pa.table({**out, "first": pa.array(out["first"], pa.int32()), "last": pa.array(out["last"], pa.int32()),
+                         "stretch": pa.array([key[0].as_py()] * len(out["n"]), pa.int64())})
     return run
 
 
@@ -181,16 +194,16 @@ class Joiner:
                 label[:] = up
 
 
-def _meet(joiner: Joiner):
-    def run(batches):
-        for b in batches:
-            for r in b.to_pylist():
-                one = joiner.load(r["ids_a"], r["ms_a"], r["vs_a"])
-                same = r["a"] == r["b"]
-                two = one if same else joiner.load(r["ids_b"], r["ms_b"], r["vs_b"])
-                ids, links, root = joiner.join(one, two, same)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links), pa.array(root)],
-                                                 names=["cid", "links", "root"])
+def _tile(joiner: Joiner):
+    """The meetings of one tile: its intervals come once, whatever number of meetings they have there."""
+    def run(key, meetings, sides):
+        at, column = {}, {c: sides.column(c).combine_chunks() for c in ("at", "ids", "ms", "vs")}
+        for k, a in enumerate(column["at"].to_pylist()):
+            at[a] = joiner.load(*(column[c][k].as_buffer() for c in ("ids", "ms", "vs")))
+        out = [joiner.join(at[a], at[b], a == b) for a, b in
+               sorted(zip(meetings.column("a").to_pylist(), meetings.column("b").to_pylist(), strict=True))]
+        cat = lambda k: np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64)
+        return pa.table({"cid": cat(0), "links": cat(1), "root": cat(2)})
     return run
 
 
@@ -203,14 +216,14 @@ def link(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                       & F.exists("v", lambda x: x != 0), F.lit(False))
     # -0.0 and 0.0 are one value
     good = rows.where(fine).withColumn("v", F.transform("v", lambda x: x + F.lit(0.0))).withColumn("d", F.size("v"))
-    dims = good.groupBy("d").count().orderBy(F.desc("count"), "d").first()
-    lone = rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    if dims is None:
-        return lone
-    dim = dims["d"]
-    good = good.where(F.col("d") == dim).drop("d")
-    bad = rows.where(~fine | (F.size("v") != dim))
+    out = rows.where(~fine).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    for r in good.select("d").distinct().orderBy("d").collect():  # vector lengths, few
+        out = out.unionByName(_linked(good.where(F.col("d") == r["d"]).drop("d"), r["d"], threshold))
+    return out
+
 
+def _linked(good: DataFrame, dim: int, threshold: float) -> DataFrame:
+    """Links and components of ``good(id, v)``, vectors of one length."""
     classes = cut_lineage(good.groupBy("v").agg(F.min("id").alias("rid"), F.count("*").alias("m"))
                           .withColumn("cid", F.monotonically_increasing_id()), "vectors")
     mean, axes = principal_axes(classes, dim, min(AXES, dim))
@@ -228,21 +241,25 @@ def link(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
         ranges.groupBy(stretch.alias("stretch")).applyInArrow(_intervals(mean, axes, cells), INTERVAL_ROW)
         .withColumn("at", F.monotonically_increasing_id()), "intervals")
 
-    box = intervals.select("at", "low", "high", "first", "last")
+    box = intervals.select("at", "low", "high", "first", "last", F.floor(F.col("stretch") / SIDE).cast("long").alias("g"))
     # an interval holds cells first..last of the leading axis; it meets those that hold one of them or of their next
-    a = box.select(F.col("at").alias("a"), F.col("low").alias("low_a"), F.col("high").alias("high_a"),
+    a = box.select(F.col("at").alias("a"), F.col("low").alias("low_a"), F.col("high").alias("high_a"), F.col("g").alias("ga"),
                    F.explode(F.sequence(F.col("first") - 1, F.col("last") + 1)).alias("cell"))
-    b = box.select(F.col("at").alias("b"), F.col("low").alias("low_b"), F.col("high").alias("high_b"),
+    b = box.select(F.col("at").alias("b"), F.col("low").alias("low_b"), F.col("high").alias("high_b"), F.col("g").alias("gb"),
                    F.explode(F.sequence("first", "last")).alias("cell"))
     gaps = F.transform(F.arrays_zip("low_a", "high_a", "low_b", "high_b"), lambda x: F.greatest(
         F.lit(0.0), x["low_a"] - x["high_b"], x["low_b"] - x["high_a"]))
     meetings = (a.join(b, "cell").where("a <= b")
                 .where(F.aggregate(gaps, F.lit(0.0), lambda t, g: t + g * g) <= (eps + SLACK) ** 2)
-                .select("a", "b").distinct())
-    side = lambda s: intervals.select(F.col("at").alias(s), F.col("ids").alias(f"ids_{s}"), F.col("ms").alias(f"ms_{s}"),
-                                      F.col("vs").alias(f"vs_{s}"))
-    met = cut_lineage(meetings.join(side("a"), "a").join(side("b"), "b").mapInArrow(
-        _meet(Joiner(threshold, eps, mean, axes)), "cid long, links long, root long"), "met")
+                .select("a", "b", F.least("ga", "gb").alias("p"), F.greatest("ga", "gb").alias("q")).distinct())
+    # meetings by tiles of SIDE x SIDE intervals: an interval is shipped once for each tile of its row and column
+    # that has a meeting, and a task holds 2 SIDE intervals at most
+    meetings = cut_lineage(meetings, "meetings")
+    wanted = meetings.select(F.col("p").alias("tp"), F.col("q").alias("tq"), F.explode(F.array("a", "b")).alias("at")).distinct()
+    with small_batches(good.sparkSession):
+        met = cut_lineage(meetings.groupBy("p", "q").cogroup(
+            wanted.join(intervals.select("at", "ids", "ms", "vs"), "at").groupBy("tp", "tq")).applyInArrow(
+                _tile(Joiner(threshold, eps, mean, axes)), "cid long, links long, root long"), "met")
 
     counts = met.groupBy("cid").agg(F.sum("links").alias("links"))
     comp = components(met.select(F.col("cid").alias("a"), F.col("root").alias("b")))
@@ -252,5 +269,4 @@ def link(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
         "cid", "component_id")
     told = (classes.select("cid", "v", "m").join(counts, "cid", "left").join(least, "cid")
             .select("v", (F.col("m") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"))
-    return (good.join(told, "v").select("id", "n_links", "component_id")
-            .unionByName(bad.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))))
+    return good.join(told, "v").select("id", "n_links", "component_id")
