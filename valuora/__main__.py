@@ -1,10 +1,11 @@
-"""Command line: ``python -m valuora <process|multi|daily|ingest> ...`` (also via spark-submit).
+"""Command line: ``python -m valuora <process|multi|daily|apply|ingest> ...`` (also via spark-submit).
 
 Inputs are either the driver's test tables (``--sf DIR``, through the adapters)
 or files in the reference's layout (``--files paths.json`` mapping table names
 to paths or ``{"path", "format"}``). Outputs go to ``--out`` (a shared folder on
 a cluster). ``ingest`` writes the prices once as the date-partitioned table that
-a later ``--files`` run reads with the format ``price_table``.
+a later ``--files`` run reads with the format ``price_table``. ``apply`` takes a drop of
+price files into the run that ``process`` stored at ``--out``, once for each ``--id``.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ def _model(spark, args):
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="valuora")
-    ap.add_argument("command", choices=["process", "multi", "daily", "ingest"])
+    ap.add_argument("command", choices=["process", "multi", "daily", "apply", "ingest"])
     ap.add_argument("--sf", help="folder of the driver's test tables")
     ap.add_argument("--files", help="JSON file: table name -> path")
     ap.add_argument("--out", required=True)
@@ -40,7 +41,8 @@ def main(argv=None) -> None:
     ap.add_argument("--csv", action="store_true", help="also export the tables as CSV (process: with company data)")
     ap.add_argument("--date", default=None, help="snapshot date (multi), default today")
     ap.add_argument("--growth", help="stored growth table (daily)")
-    ap.add_argument("--drop", help="folder of today's price files (daily)")
+    ap.add_argument("--drop", help="folder of today's price files (daily, apply)")
+    ap.add_argument("--id", help="name of the delivery (apply): one that was applied before changes nothing")
     ap.add_argument("--master", default=None)
     ap.add_argument("--input-bytes", type=float, default=None,
                     help="size of the price input; with --executors/--cores/--memory-gb sizes the job")
@@ -88,6 +90,12 @@ def main(argv=None) -> None:
             if args.csv:   # the spreadsheet export, as CSV with a header
                 sinks.export_csv(res[name], f"{args.out.rstrip('/')}/{day}_{name}_csv")
         print(json.dumps({"snapshot_date": day, "out": args.out}))
+    elif args.command == "apply":
+        from valuora.plans.stored import apply_day
+        from valuora.sources.files import read_prices_csv
+        if not args.id:
+            ap.error("apply needs --id")
+        print(json.dumps(apply_day(spark, args.out, read_prices_csv(spark, args.drop), args.id)))
     else:
         from valuora.sources.files import read_prices_csv
         from valuora.plans.jobs import daily_refresh

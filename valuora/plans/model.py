@@ -1,4 +1,4 @@
-"""The model tables a pipeline runs on, built lazily from the test tables or files."""
+"""The model tables a pipeline runs on, from the test tables or files; only the statements are written when first asked for."""
 
 from __future__ import annotations
 

@@ -267,21 +267,45 @@ UNION ALL BY NAME SELECT 'balance' AS statement, x.* FROM mm_balance x WHERE mar
 def q_statement_scan(spark, sf):
     """The three statements of all markets stored by statement, variant and market; two markets are read back."""
     from valuora.sources.files import read_statement
+    out, columns = _stored_statements(spark, sf)
+    return _statements(lambda n: read_statement(spark, out, n, "AMERICA").unionByName(read_statement(spark, out, n, "ASIA")), columns)
+
+
+def _stored_statements(spark, sf) -> tuple[str, dict[str, list[str]]]:
+    """The three statements of all markets, annual ones beside others, written by statement, variant and market."""
     m = model(spark, sf)
     out = _scratch(spark, "statements")
-    parts = [s.withColumn("statement", F.lit(n)).withColumn("variant", F.lit("annual"))
-             for n, s in (("income", m.income), ("cashflow", m.cashflow), ("balance", m.balance))]
-    stored = parts[0].unionByName(parts[1], True).unionByName(parts[2], True).join(m.ticker_market, "ticker")
-    stored.write.partitionBy("statement", "variant", "market").parquet(out)
+    tables = {"income": m.income, "cashflow": m.cashflow, "balance": m.balance}
+    stored = None
+    for n, s in tables.items():
+        s = s.withColumn("statement", F.lit(n))
+        both = s.withColumn("variant", F.lit("annual")).unionByName(
+            s.withColumns({"variant": F.lit("restated"), "fiscal_year": F.col("fiscal_year") + 1000}))
+        stored = both if stored is None else stored.unionByName(both, allowMissingColumns=True)
+    stored.join(m.ticker_market, "ticker").write.partitionBy("statement", "variant", "market").parquet(out)
+    return out, {n: s.columns for n, s in tables.items()}
+
+
+def _statements(read, columns: dict[str, list[str]]) -> DataFrame:
     found = None
-    for n, p in zip(("income", "cashflow", "balance"), parts, strict=True):
-        for mk in ("AMERICA", "ASIA"):
-            part = read_statement(spark, out, n, mk).select(
-                F.lit(n).alias("statement"), "market", *[c for c in p.columns if c not in ("statement", "variant")])
-            found = part if found is None else found.unionByName(part, allowMissingColumns=True)
+    for n, cols in columns.items():
+        part = read(n).select(F.lit(n).alias("statement"), "market", *cols)
+        found = part if found is None else found.unionByName(part, allowMissingColumns=True)
     return found
 
 
+@query("multi_market_statements", """
+SELECT * FROM (SELECT 'income' AS statement, x.* FROM mm_income x
+UNION ALL BY NAME SELECT 'cashflow' AS statement, x.* FROM mm_cashflow x
+UNION ALL BY NAME SELECT 'balance' AS statement, x.* FROM mm_balance x) s""")
+def q_multi_market_statements(spark, sf):
+    """The stored statements of the kept markets: folders of other variants and of excluded markets are not read."""
+    from valuora.sources.files import read_statement
+    out, columns = _stored_statements(spark, sf)
+    kept = MM.kept_markets(model(spark, sf).markets, O.EXCLUDED_MARKETS)
+    return _statements(lambda n: read_statement(spark, out, n, markets=kept), columns)
+
+
 @query("peer_string_agg", "SELECT ticker, peer_string FROM peers")
 def q_peer_string_agg(spark, sf):
     return model(spark, sf).peers

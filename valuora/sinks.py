@@ -1,6 +1,6 @@
 """Sinks: result tables, dated snapshots, CSV exports, per-symbol files, profiles.
 
-Writes are the only actions in the library. Result tables are written as
+Result tables are written as
 Parquet folders (gzip when asked, like the reference's ``.parquet.gzip``);
 dated snapshots use a ``snapshot_date`` partition with dynamic overwrite, so
 re-running a day replaces only that day.

@@ -80,16 +80,20 @@ def read_peers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_statement(spark: SparkSession, base: str, statement: str, market: str | None = None,
-                   variant: str = "annual", fmt: str = "parquet") -> DataFrame:
+                   variant: str = "annual", fmt: str = "parquet", markets: DataFrame | None = None) -> DataFrame:
     """One statement from ``base/statement=<s>/variant=<v>/market=<m>/``.
 
     ``market`` and ``variant`` are partition columns, so the filters prune
-    folders instead of reading them.
+    folders instead of reading them. ``markets(market_id)`` chooses markets by a
+    table: a semi join on the partition column, which Spark turns into dynamic
+    partition pruning, so files of other markets are never opened.
     """
     df = spark.read.format(fmt).option("header", True).load(base)
     df = df.where((F.col("statement") == statement) & (F.col("variant") == variant))
     if market is not None:
         df = df.where(F.col("market") == market)
+    if markets is not None:
+        df = df.join(markets.select(F.col("market_id").alias("market")), "market", "left_semi")
     return _normalise(df.drop("statement", "variant"))
 
 
