@@ -41,7 +41,7 @@ from .shared import cut_lineage
 Q = 8                    # bytes of a q-gram; one 64-bit word
 ERRORS = 0.1             # edits allowed per byte of an item
 WINDOW = 512             # bytes of an item, beyond which its windows are looked for
-CELLS = 1 << 21          # cells of a row that alignments share
+CELLS = 1 << 18          # cells of a row that alignments share
 INDEX_BYTES = 4 << 20    # item text in one index
 GROUP = 4                # indexes that one plan holds
 MATCHES = "doc_id long, item_id long, start long, end long, edits long"
