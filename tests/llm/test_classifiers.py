@@ -114,3 +114,29 @@ def test_sample_is_bounded_and_fixed(spark):
     again = examples(docs.repartition(7), labels.repartition(3), "toxic", F.col("doc_id") % 5 != 0, 10).collect()
     assert sorted((r.doc_id, r.y) for r in rows) == sorted((r.doc_id, r.y) for r in again)
     assert [sum(r.y == y for r in rows) for y in (0, 1)] == [10, 10] and all(r.doc_id % 5 for r in rows)
+
+
+def test_every_telling_ngram_is_kept_with_its_ratio(spark):
+    """Counts, gain and ratio of all n-grams against plain sets; no cap on their number."""
+    import math
+    rng = random.Random(6)
+    texts = [(prose(rng, 25) + (" vile scum rotten filth" if i % 4 == 0 else " kind words to all"), int(i % 4 == 0)) for i in range(160)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(texts)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    sets = [set(toxicity._distinct(pa.array([t]))[1].tolist()) for t, _ in texts]
+    t1 = sum(y for _, y in texts)
+    t0 = len(texts) - t1
+
+    def fit(n, t):
+        return sum(c * math.log(c / t) for c in (n, t - n) if c)
+    kept = 0
+    for gram in set().union(*sets):
+        n0, n1 = (sum(gram in s for s, (_, y) in zip(sets, texts, strict=True) if y == c) for c in (0, 1))
+        gain = fit(n0, t0) + fit(n1, t1) - fit(n0 + n1, t0 + t1)
+        if abs(gain - toxicity.GAIN) > 1e-3:
+            assert (model.slot[gram] >= 0) == (gain > toxicity.GAIN)
+        if model.slot[gram] >= 0:
+            kept += 1
+            assert abs(model.ratio[model.slot[gram]] - math.log((n1 + 1) / (t1 + 2) / ((n0 + 1) / (t0 + 2)))) < 1e-12
+    assert kept == (model.slot >= 0).sum() == len(model.ratio) > 20

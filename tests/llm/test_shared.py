@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from valuora.llm.shared import components, small_batches, texts_of
+from valuora.llm.shared import components, small_batches, spread_join, texts_of
 
 
 def brute(edges):
@@ -31,6 +31,24 @@ def test_components_of_chains_stars_and_noise(spark):
     assert got == brute([e for e in edges if e[0] != e[1]])
 
 
+def test_a_hub_is_spread_over_the_tasks(spark):
+    """One key with most of the rows: without AQE every task gets a like share of them."""
+    n = 100_000
+    rows = spark.range(n).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(-1).alias("to"))
+    values = spark.range(-1, n).select(F.col("id").alias("to"), (F.col("id") + 5).alias("v"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = spread_join(rows, values, ["to"], "id")
+        assert out.columns == ["to", "id", "v"] and out.where("v <> to + 5").isEmpty() and out.count() == n
+        tasks = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        assert tasks[-1] <= 3 * tasks[len(tasks) // 2]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_no_edges(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 

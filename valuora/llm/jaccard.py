@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .shared import components, cut_lineage, small_batches, texts_of
+from .shared import components, cut_lineage, small_batches, spread_join, texts_of
 
 GROUPS = 256         # coordinates of a point in a tree
 SPREAD = 8           # shingles per coordinate, at most, of a long document's own point
@@ -278,7 +278,7 @@ def _classes(text: DataFrame, percent: int, width: int) -> DataFrame:
     sets = made.where(F.col("grp").isNull())
 
     # the order of the shingles: groups by their count over all documents
-    got = made.where(F.col("grp").isNotNull()).groupBy("grp").agg(F.sum("n").alias("n")).toPandas()  # 2^14 rows at most
+    got = made.where(F.col("grp").isNotNull()).groupBy("grp").agg(F.sum("n").alias("n")).toPandas()  # 2^18 rows at most
     counts = np.zeros(1 << ORDER_BITS, np.int64)
     counts[got["grp"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
     rank = np.empty(len(counts), T.U64)
@@ -288,7 +288,7 @@ def _classes(text: DataFrame, percent: int, width: int) -> DataFrame:
     known = sets.where((F.col("n") > 0) & F.col("id").isNotNull())
     classes = cut_lineage(known.groupBy("n", "f1", "f2").agg(F.min("id").alias("rid"), F.first("point").alias("point")),
                           "classes")
-    names = known.select("id", "n", "f1", "f2").join(classes.select("n", "f1", "f2", "rid"), ["n", "f1", "f2"])
+    names = spread_join(known.select("id", "n", "f1", "f2"), classes.select("n", "f1", "f2", "rid"), ["n", "f1", "f2"], "id")
     to_rid = cut_lineage(names.select("id", "rid").distinct(), "names")
 
     # cells: the documents that share a first shingle meet at the smallest of them

@@ -8,8 +8,13 @@ non-overlapping per kind; matches that fail a kind's length rule are dropped.
 and digits (or cases) is a candidate. Its encoding is inferred (hex, base 32,
 36, 62 or 64) and three tests ask whether it could be random over that
 alphabet: chi-squared uniformity of the characters, runs about the alphabet's
-middle, and lag-one serial correlation. Fisher's method combines their
-p-values. How much a test sees depends on length, so the candidates of the
+middle, and lag-one serial correlation. Under the uniform null all moments used
+are exact: chi-squared's mean, variance and skewness (its tail is a gamma's, by
+the cube-root rule), the variances of the runs and of the serial sum, and their
+correlation, which is taken out of the serial test. Fisher's method combines
+the p-values, and ``LIFT`` makes up for what the three tails still share in
+short strings: over each alphabet the share of random strings at or below p is p
+at 0.05, 0.01 and 0.001 (``tests/llm/test_battery.py``). How much a test sees depends on length, so the candidates of the
 whole corpus are judged per length band: the Benjamini-Hochberg step-up at
 ``ALPHA`` decides which candidates are dismissed as structured, so that among
 the dismissed the expected share of random strings is ``ALPHA`` at most. The
@@ -38,6 +43,7 @@ HEX = r"[0-9a-f]{24,}"           # of [0-9a-f]+ those of 24 characters or more
 RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
 SHORTEST = 20                    # of a run's characters without "="
 ALPHA = 0.05
+LIFT = 0.0186                    # of the log of p, at 20 characters; less by length ^ 0.75
 BANDS = (20, 32, 48, 96)         # shortest lengths of the bands
 BINS = 3000                      # hundredths of a decade of p
 
@@ -89,26 +95,27 @@ def tested(runs: str) -> str:
                 f"'abc', {letters.replace('CASE enc', 'CASE x.enc')})")
     a = over(a, "named_struct('s', x.s, 'e', x.e, 'k', x.k, 'n', CAST(length(x.w) AS DOUBLE), "
                 "'v', transform(sequence(1, length(x.w)), i -> CAST(locate(substring(x.w, i, 1), x.abc) - 1 AS DOUBLE)))")
-    a = over(a, "named_struct('s', x.s, 'e', x.e, 'k', x.k, 'n', x.n, 'v', x.v, "
+    a = over(a, "named_struct('s', x.s, 'e', x.e, 'k', CAST(x.k AS DOUBLE), 'n', x.n, "
                 "'sq', aggregate(sequence(0, x.k - 1), 0D, (t, c) -> t + pow(size(filter(x.v, u -> u = c)), 2)), "
-                "'mean', aggregate(x.v, 0D, (t, u) -> t + u) / x.n, "
-                "'up', CAST(size(filter(x.v, u -> 2 * u >= x.k)) AS DOUBLE), "
-                "'next', slice(x.v, 2, greatest(size(x.v) - 1, 0)))")
+                "'pairs', zip_with(slice(x.v, 1, size(x.v) - 1), slice(x.v, 2, size(x.v) - 1), "
+                "(u, w) -> named_struct('u', 2 * u - x.k + 1, 'w', 2 * w - x.k + 1)))")
     a = over(a, "named_struct('s', x.s, 'e', x.e, 'k', x.k, 'n', x.n, 'sq', x.sq, "
-                "'runs', 1D + aggregate(zip_with(slice(x.v, 1, size(x.v) - 1), x.next, "
-                "(u, w) -> IF((2 * u >= x.k) <> (2 * w >= x.k), 1D, 0D)), 0D, (t, u) -> t + u), "
-                "'want', 2 * x.up * (x.n - x.up) / x.n + 1, "
-                "'cov', aggregate(zip_with(slice(x.v, 1, size(x.v) - 1), x.next, "
-                "(u, w) -> (u - x.mean) * (w - x.mean)), 0D, (t, u) -> t + u), "
-                "'dev', aggregate(x.v, 0D, (t, u) -> t + pow(u - x.mean, 2)))")
-    # standard scores; a test that has nothing to vary over is failed
-    a = over(a, "named_struct('s', x.s, 'e', x.e, "
-                "'chi', greatest((x.k / x.n * x.sq - x.n - (x.k - 1)) / sqrt(2 * (x.k - 1) * (1 - 1 / x.n)), 0D), "
-                "'run', IF(x.want > 2, abs(x.runs - x.want) / sqrt((x.want - 1) * (x.want - 2) / (x.n - 1)), 40D), "
-                "'ser', IF(x.dev > 0, abs(try_divide(x.cov, x.dev) + 1 / (x.n - 1)) * sqrt(x.n), 40D))")
+                "'sd', sqrt(2 * (x.k - 1) * (1 - 1 / x.n)), "
+                "'third', 4 * (x.n - 1) * (x.k - 1) * (x.k + 2 * x.n - 6) / (x.n * x.n), "
+                "'rho', 0.75D * x.k * x.k / (x.k * x.k - 1), "
+                "'run', aggregate(x.pairs, 0D, (t, y) -> t + sign(y.u) * sign(y.w)) / sqrt(x.n - 1), "
+                "'ser', aggregate(x.pairs, 0D, (t, y) -> t + y.u * y.w) * 3 / (x.k * x.k - 1) / sqrt(x.n - 1))")
+    # standard scores: chi-squared as a gamma variable of shape root^2, what the runs do not tell of the serial sum
+    a = over(a, "named_struct('s', x.s, 'e', x.e, 'n', x.n, 'run', abs(x.run), "
+                "'ser', abs(x.ser - x.rho * x.run) / sqrt(1 - x.rho * x.rho), 'root', 2 * pow(x.sd, 3) / x.third, "
+                "'chi', (x.k / x.n * x.sq - x.n - (x.k - 1)) / x.sd)")
+    a = over(a, "named_struct('s', x.s, 'e', x.e, 'n', x.n, 'run', x.run, 'ser', x.ser, "
+                "'chi', 3 * x.root * (cbrt(greatest(1 + x.chi / x.root, 0D)) - 1 + 1 / (9 * x.root * x.root)))")
     p = lambda z, side: f"greatest({side} * {_erfc(f'({z} / sqrt(2D))')}, 1e-290D)"
-    a = over(a, f"named_struct('s', x.s, 'e', x.e, 'h', -(ln({p('x.chi', '1D')}) + ln({p('x.run', '1D')}) + ln({p('x.ser', '1D')})))")
-    return over(a, "named_struct('s', x.s, 'e', x.e, 'p', exp(-least(x.h, 690D)) * (1 + x.h + x.h * x.h / 2))")
+    upper = f"IF(x.chi >= 0, {p('x.chi', '0.5D')}, 1 - {p('-x.chi', '0.5D')})"
+    a = over(a, f"named_struct('s', x.s, 'e', x.e, 'n', x.n, 'h', -(ln({upper}) + ln({p('x.run', '1D')}) + ln({p('x.ser', '1D')})))")
+    a = over(a, "named_struct('s', x.s, 'e', x.e, 'n', x.n, 'l', x.h - ln(1 + x.h + x.h * x.h / 2))")
+    return over(a, f"named_struct('s', x.s, 'e', x.e, 'p', exp(-x.l * pow(1 + {LIFT}D * pow(20 / x.n, 0.75D) * x.l * x.l, -1 / 6D)))")
 
 
 def _band(length: Column) -> Column:

@@ -13,7 +13,7 @@ from valuora.session import cut_lineage
 
 from . import textops as T
 
-__all__ = ["components", "cut_lineage", "examples", "small_batches", "table", "texts_of"]
+__all__ = ["components", "cut_lineage", "examples", "small_batches", "spread_join", "table", "texts_of"]
 
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
 
@@ -35,14 +35,30 @@ def small_batches(spark):
             spark.conf.set(k, v)
 
 
+def spread_join(rows: DataFrame, values: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """``rows`` joined to ``values``, which holds a row per key; no key is a hot one.
+
+    The rows of a key are dealt over as many parts as the session has shuffle
+    partitions, by the hash of column ``by``. First the distinct (key, part)
+    pairs, at most a row per key and part, meet the key's value; then the rows
+    meet the pairs on key and part, so a key that holds a third of all rows is
+    spread over all tasks. ``rows`` is read twice.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64(by), F.lit(parts)))
+    told = rows.select(*keys, "part").distinct().join(values, keys)
+    return rows.join(told, [*keys, "part"]).drop("part")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)``: rows ``(id, component)``.
 
     ``component`` is the smallest id reachable. Every round takes the smallest
-    label among a node's neighbours (a partial aggregate before the shuffle,
-    so a node with very many edges is no hot key) and then follows the label's
-    own label, which halves path lengths. Each round's labels are a table in
-    the shared folder, so a lost executor replays one round only.
+    label among a node's neighbours and then follows the label's own label,
+    which halves path lengths. A node with very many edges, and a label that
+    very many nodes carry, are spread over all tasks (:func:`spread_join`); the
+    minimum is a partial aggregate before its shuffle. Each round's labels are
+    a table in the shared folder, so a lost executor replays one round only.
     """
     a, b = F.col("a"), F.col("b")
     both = cut_lineage(edges.select("a", "b").where(a != b)
@@ -52,17 +68,16 @@ def components(edges: DataFrame) -> DataFrame:
     labels = cut_lineage(both.groupBy("id").agg(F.min("to").alias("m"))
                          .select("id", F.least("id", "m").alias("component")), "labels")
     while True:
-        near = (both.join(labels.select(F.col("id").alias("to"), "component"), "to")
+        near = (spread_join(both, labels.select(F.col("id").alias("to"), "component"), ["to"], "id")
                 .groupBy("id").agg(F.min("component").alias("near")))
-        step = (labels.join(near, "id")
-                .select("id", "component", F.least("component", "near").alias("new")))
-        jump = labels.select(F.col("id").alias("new"), F.col("component").alias("far"))
-        step = cut_lineage(step.join(jump, "new", "left")
-                           .select("id", F.col("component").alias("old"),
-                                   F.least("new", F.coalesce("far", "new")).alias("component")), "labels")
-        labels = step.select("id", "component")
-        if step.where("old <> component").isEmpty():
+        step = cut_lineage(labels.join(near, "id").select("id", F.col("component").alias("old"),
+                                                          F.least("component", "near").alias("new")), "steps")
+        if step.where("old <> new").isEmpty():
             return labels
+        # every label is a node, so it has a label of its own
+        labels = cut_lineage(spread_join(step, labels.select(F.col("id").alias("new"), F.col("component").alias("far")),
+                                         ["new"], "id")
+                             .select("id", F.least("new", "far").alias("component")), "labels")
 
 
 def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:

@@ -4,9 +4,8 @@ A text's features are its distinct character n-grams of 3 to 5 code points
 (A-Z lower-cased), hashed. From the labelled texts of the fit come, per hashed
 n-gram, the log ratio of its smoothed document shares in toxic and other texts;
 these ratios scale the features, and a logistic regression learns one weight
-per scaled feature. The model keeps the n-grams whose counts differ between the
-classes by a likelihood ratio of ``GAIN`` or more, at most the ``FEATURES`` with
-the largest; the others weigh nothing.
+per scaled feature. The model keeps every n-gram whose counts differ between the
+classes by a log likelihood ratio of ``GAIN`` or more; the others weigh nothing.
 
 The fit uses at most ``PER_CLASS`` labelled documents of each class (a bounded
 sample, see ``shared.examples``): Spark counts their n-grams, then returns each
@@ -33,8 +32,7 @@ from .shared import cut_lineage, examples
 
 ORDERS = (3, 4, 5)
 BITS = 18            # hashed n-grams: 2^18
-FEATURES = 8192      # n-grams that the model keeps at most
-GAIN = 11.0          # least likelihood ratio of a kept n-gram
+GAIN = 11.0          # least log likelihood ratio of a kept n-gram
 PER_CLASS = 4000     # labelled documents of each class the fit may use
 STEPS, SHRINK = 300, 1e-3
 
@@ -106,13 +104,13 @@ def _kept(slot: np.ndarray):
                 text, f = _distinct(b.column("text"), slot)
                 heads = np.searchsorted(text, np.arange(b.num_rows + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("y"), pa.array([f[i:j].astype(np.uint16).tobytes() for i, j in zip(heads[:-1], heads[1:], strict=True)],
+                    [b.column("y"), pa.array([f[i:j].astype(np.int32).tobytes() for i, j in zip(heads[:-1], heads[1:], strict=True)],
                                              pa.binary())], names=["y", "f"])
     return run
 
 
 def _gain(n0, n1, t0, t1):
-    """Likelihood ratio of an n-gram's document counts in the two classes."""
+    """Log likelihood ratio of an n-gram's document counts in the two classes."""
     def part(n, t):
         p = np.clip(n / max(1, t), 1e-9, 1 - 1e-9)
         return n * np.log(p), (t - n) * np.log(1 - p)
@@ -121,6 +119,11 @@ def _gain(n0, n1, t0, t1):
     return a + b + c + d - e - f
 
 
+def log_ratio(n0, n1, t0, t1):
+    """Log ratio of an n-gram's smoothed document shares in toxic and other texts."""
+    return np.log((n1 + 1) / (t1 + 2)) - np.log((n0 + 1) / (t0 + 2))
+
+
 def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", train_on: Column | None = None,
           text_col: str = "text", per_class: int = PER_CLASS) -> Model:
     """Fits the model on labelled documents for which ``train_on`` (of ``doc_id``) holds."""
@@ -135,22 +138,22 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", train_on: C
     empty = Model(np.full(1 << BITS, -1), np.zeros(1), np.zeros(1), float(np.log(prior / (1 - prior))))
     if not t0 or not t1:
         return empty
-    gain = _gain(table[:, 1], table[:, 2], t0, t1)
-    best = table[np.lexsort((table[:, 0], -gain))[:FEATURES]][:int((gain >= GAIN).sum())]
+    best = table[_gain(table[:, 1], table[:, 2], t0, t1) >= GAIN]
+    best = best[np.argsort(best[:, 0])]
     if not len(best):
         return empty
     slot = np.full(1 << BITS, -1)
     slot[best[:, 0]] = np.arange(len(best))
-    ratio = np.log((best[:, 2] + 1) / (t1 + 2)) - np.log((best[:, 1] + 1) / (t0 + 2))
+    ratio = log_ratio(best[:, 1], best[:, 2], t0, t1)
     data = sorted((r["y"], bytes(r["f"])) for r in rows.mapInArrow(_kept(slot), "y int, f binary").collect())
-    return fit(slot, ratio, [np.frombuffer(f, np.uint16).astype(np.int64) for _, f in data],
+    return fit(slot, ratio, [np.frombuffer(f, np.int32) for _, f in data],
                np.array([y for y, _ in data], np.float64))
 
 
 def fit(slot: np.ndarray, ratio: np.ndarray, features: list[np.ndarray], y: np.ndarray) -> Model:
     """Logistic regression on the scaled features, by full-batch steps of adaptive size."""
     f = np.concatenate(features)
-    row = np.repeat(np.arange(len(y)), [len(x) for x in features])
+    row = np.repeat(np.arange(len(y), dtype=np.int32), [len(x) for x in features])
     x = ratio[f]
     share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))  # classes weigh alike
     w, bias = np.zeros(len(ratio)), 0.0
