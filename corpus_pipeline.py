@@ -23,13 +23,22 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each near-duplicate group.
+    """Keeps exactly one row of each near-duplicate group: the one with the smallest id, null ids last.
 
-    Rows without an id stay; of rows that repeat an id, all stay or go.
+    Rows are written with a number of their own and compared by it, so rows that
+    repeat an id, or have none, are documents like others.
     """
-    classes = jaccard.jaccard_classes(docs)
-    gone = classes.where("id <> component_id").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = cut_lineage(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row")),
+                       "rows")
+    classes = jaccard.jaccard_classes(rows.select("row", F.col("doc.text").alias("text")), id_col="row")
+    groups = cut_lineage(
+        classes.select(F.col("id").alias("row"), F.col("component_id").alias("group"))
+        .join(rows.select("row", F.col("doc.doc_id").alias("doc_id")), "row"), "groups")
+    first = (groups.groupBy("group")
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+             .select("first.row"))
+    gone = groups.join(first, "row", "left_anti").select("row")
+    return rows.join(gone, "row", "left_anti").select("doc.*")
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
