@@ -1,5 +1,8 @@
+import numpy as np
+
 import corpus_pipeline as P
 from __spark_entry__ import oracle_sql, queries
+from tests.llm.test_decontam import least_edits
 from tests.llm.test_jaccard import brute as components
 from tests.llm.test_packing import check as check_packing
 from valuora.llm import decontam, packing, secret_scan
@@ -39,6 +42,8 @@ def test_every_stage_against_brute_force(spark):
     columns = docs.columns
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     items = [normal(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    whole = [np.frombuffer(t.encode(), np.uint8) for t in items]
+    parts = whole + [w for t in whole if len(t) > decontam.WINDOW for w in decontam.windows(t)]
     for k, (name, stage) in enumerate(P.STAGES):
         before = {r.doc_id: r for r in docs.collect()}
         found = {r.doc_id: [(x.s, x.e) for x in r.spans] for r in secret_scan.scan(docs).collect()} if name == "secret_scan" else {}
@@ -60,9 +65,8 @@ def test_every_stage_against_brute_force(spark):
             gone = {i for i in before if i not in after}
             assert gone >= {i for i, r in before.items() if any(t in normal(r.text) for t in items)}
             for i in gone:
-                text = decontam.np.frombuffer(normal(before[i].text).encode(), decontam.np.uint8)
-                assert any(decontam._best_end(decontam.np.frombuffer(t.encode(), decontam.np.uint8), text, True)[0]
-                           <= decontam.ERRORS * len(t.encode()) for t in items)
+                text = np.frombuffer(normal(before[i].text).encode(), np.uint8)
+                assert any(least_edits(part, text) <= decontam.ERRORS * len(part) for part in parts)
         elif name == "secret_scan":
             assert set(after) == set(before)
             for i, r in after.items():
