@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 # Display names of the reference tables, applied only at the sink.
@@ -83,14 +83,26 @@ def write_price_table(price: DataFrame, path: str) -> None:
        .partitionBy("date").parquet(path))
 
 
+def by_symbol(df: DataFrame, *keys: str) -> DataFrameWriter:
+    """A writer of one folder per value of the first key, rows ranged by all of them.
+
+    What a file costs is opening it, not its bytes: the number of ranges is given,
+    as Spark would otherwise join ranges of few bytes until one task opens every
+    file. Each task moves its own files into place when it is done, instead of the
+    driver moving all of them one after the other at the end.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (df.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
+            .write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(keys[0]))
+
+
 def write_per_symbol_csv(price: DataFrame, path: str) -> None:
     """One folder of CSV files per symbol (``Ticker=<sym>/``), the staged-file layout.
 
     Rows are ranged by (ticker, date): most symbols end up in one file, and one
     that holds a third of the rows is spread over several tasks.
     """
-    (price.repartitionByRange("ticker", "date").sortWithinPartitions("ticker", "date")
-          .write.mode("overwrite").option("header", True).partitionBy("ticker").csv(path))
+    by_symbol(price, "ticker", "date").mode("overwrite").option("header", True).csv(path)
 
 
 def write_profile(profile: DataFrame, path: str) -> None:
