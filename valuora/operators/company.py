@@ -41,11 +41,10 @@ def company_info_for(company: DataFrame, symbols: DataFrame | None = None) -> Da
 def peer_string_agg(pairs: DataFrame) -> DataFrame:
     """(ticker_key, peer_key) pairs -> (ticker, peer_string) ordered by peer key.
 
-    Repeated pairs are removed before the lists are built (a partial aggregate
-    before the shuffle), so a list holds each peer once: it is as long as the
-    string it becomes.
+    Lists are built as sets, in part before the only shuffle, so a list holds each
+    peer once however often a pair comes: it is as long as the string it becomes.
     """
-    g = pairs.distinct().groupBy("ticker_key").agg(F.array_sort(F.collect_list("peer_key")).alias("p"))
+    g = pairs.groupBy("ticker_key").agg(F.array_sort(F.collect_set("peer_key")).alias("p"))
     return g.select(F.col("ticker_key").cast("string").alias("ticker"),
                     F.array_join(F.transform("p", lambda x: x.cast("string")), ",")
                     .alias("peer_string"))

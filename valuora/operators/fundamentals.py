@@ -75,7 +75,15 @@ def add_kpis(df: DataFrame) -> DataFrame:
 
 
 def add_annual_pe(fundamental: DataFrame, annual: DataFrame) -> DataFrame:
-    """Left join the annual price on (ticker, fiscal year); pe = price / eps (eps 0 -> NULL)."""
-    ap = annual.select("ticker", F.col("year").alias("fiscal_year"), "mean_low_price")
-    out = fundamental.join(ap, ["ticker", "fiscal_year"], "left")
+    """Left join the annual price on (ticker, fiscal year); pe = price / eps (eps 0 -> NULL).
+
+    The annual prices of a ticker, one a year, come as one list, from which each
+    year takes its own: the join is on the ticker alone, by which narrowed
+    fundamentals are dealt out already, so these are not shuffled once more.
+    """
+    lists = annual.groupBy("ticker").agg(F.collect_list(F.struct("year", "mean_low_price")).alias("_annual"))
+    rest = [c for c in fundamental.columns if c not in ("ticker", "fiscal_year")]
+    of_year = F.filter("_annual", lambda a: a["year"] == F.col("fiscal_year"))
+    out = (fundamental.join(lists, "ticker", "left").withColumn("_a", F.explode_outer(of_year))
+           .select("ticker", "fiscal_year", *[F.col(f"`{c}`") for c in rest], F.col("_a.mean_low_price").alias("mean_low_price")))
     return out.withColumn("pe", F.col("mean_low_price") / null_if_zero(F.col("eps")))

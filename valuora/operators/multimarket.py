@@ -104,11 +104,14 @@ def multi_market_inputs(model, excluded=DEFAULT_EXCLUDED,
         return cut(FU.combine_statements(*[tag_market(s, tm, markets) for s in
                                            (model.income, model.cashflow, model.balance)]), "mm_fundamental")
 
-    steps = merged, lambda: cut(ST.price_states(model.price), "mm_states")
+    if materialize and hasattr(model, "lows"):
+        model.prepare(prices=True)
+    lows = model.lows() if hasattr(model, "lows") else model.price
+    steps = merged, lambda: cut(ST.price_states(lows), "mm_states")
     fund, states = together(*steps) if materialize else [s() for s in steps]
     states = FU.restrict(states, fund.select("ticker").distinct())
     fund = FU.restrict(fund, states.select("ticker").distinct())
-    return {"markets": markets, "fundamental_raw": fund, "price": model.price,
+    return {"markets": markets, "fundamental_raw": fund, "price": model.price, "lows": lows,
             "companies": kept_companies(model, excluded), "states": states}
 
 
@@ -158,7 +161,7 @@ class MultiMarketResult:
 
     @cached_property
     def growth(self) -> DataFrame:
-        return flagged(self.growth_rates, self.price, self._inp["states"], self.companies, self._fp, self._exp_rr)
+        return flagged(self.growth_rates, self._inp["lows"], self._inp["states"], self.companies, self._fp, self._exp_rr)
 
 
 def multi_market(model, excluded=DEFAULT_EXCLUDED, fp: int = V.DEFAULT_FP,

@@ -24,6 +24,17 @@ def statement_keys(model, name: str) -> DataFrame:
             else getattr(model, name).select(*STATEMENT_KEYS))
 
 
+def lows(model) -> DataFrame:
+    """Ticker, date and low of the price rows, from what the model has written where it has."""
+    return model.lows() if hasattr(model, "lows") else model.price.select("ticker", "date", "low")
+
+
+def prepare_all(model) -> None:
+    """What a run reads of statements and prices, written by models that derive both from the same tables."""
+    if hasattr(model, "lows"):
+        model.prepare(prices=True)
+
+
 class SingleMarketResult:
     """The result tables of one single-market run, each built on first access.
 
@@ -42,8 +53,10 @@ class SingleMarketResult:
     @cached_property
     def _inputs(self) -> tuple[DataFrame, DataFrame]:
         """(KPI fundamentals, price states): what a run makes of statements and prices, written once, side by side."""
+        if self._materialize:
+            prepare_all(self._model)
         kpi = lambda: self._cut(kpi_fundamentals(self._model, self._period, self._company), "fundamental")
-        states = lambda: self._cut(ST.price_states(self._model.price), "price_states")
+        states = lambda: self._cut(ST.price_states(lows(self._model)), "price_states")
         return tuple(together(kpi, states) if self._materialize else (kpi(), states()))
 
     @property
@@ -95,7 +108,7 @@ class SingleMarketResult:
 
     def screener_of(self, growth: DataFrame) -> DataFrame:
         """The screener from a growth table, such as the stored one."""
-        return S.screener(self._model.price, growth, self.dates, self._materialize)
+        return S.screener(lows(self._model), growth, self.dates, self._materialize)
 
     @cached_property
     def company_info(self) -> DataFrame:

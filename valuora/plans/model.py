@@ -38,8 +38,9 @@ class TestdataModel:
 
     Prices and all other tables are lazy plans over the given tables. Only the
     three annual statements (a row per ticker and year), which nearly every
-    query derives, are written once per application and used again as long as
-    the files they come from are the same. A durable copy of the prices is the
+    query derives, and for runs that read them several times the joined lines
+    behind prices and cash flow are written once per application and used again
+    as long as the files they come from are the same. A durable copy of the prices is the
     business of the ``ingest`` command, whose output a ``FileModel`` reads.
     """
 
@@ -62,19 +63,40 @@ class TestdataModel:
         return files if tables or self.until is None else (*files, self.until)
 
     def _kept(self, name: str) -> tuple:
-        return _tables_folder(self.spark), id(self.spark), name, self.identity(*self.STATEMENTS[name])
+        return _tables_folder(self.spark), id(self.spark), name, self.identity(*self.STATEMENTS.get(name, ("orders", "lineitem")))
 
-    def _statement(self, name: str) -> DataFrame:
+    def _keep(self, name: str, build) -> DataFrame:
         key = self._kept(name)
         if key not in KEPT:
-            KEPT[key] = cut_lineage(getattr(A, name)(self.spark, self.sf_dir), name)
+            KEPT[key] = cut_lineage(build(), name)
         return KEPT[key]
 
-    def prepare(self) -> None:
-        """Write the statements that are not written yet, side by side."""
+    def _statement(self, name: str) -> DataFrame:
+        more = {"written": KEPT.get(self._kept("lines"))} if name == "cashflow" else {}
+        return self._keep(name, lambda: getattr(A, name)(self.spark, self.sf_dir, **more))
+
+    def prepare(self, prices: bool = False) -> None:
+        """Write the statements that are not written yet, side by side.
+
+        ``prices``: the caller reads prices too, so line items are joined to their
+        orders once, for cash flow and prices (``lows``).
+        """
+        if prices:
+            first = [lambda n=n: self._statement(n) for n in ("income", "balance") if self._kept(n) not in KEPT]
+            together(lambda: self._keep("lines", lambda: A.lines(self.spark, self.sf_dir)), *first)
         missing = [n for n in self.STATEMENTS if self._kept(n) not in KEPT]
         together(*[lambda n=n: self._statement(n) for n in missing])
 
+    def lows(self) -> DataFrame:
+        """Ticker, date and low of all price rows: of the written lines, unless prices were given or planned already."""
+        if "price" in self.__dict__:
+            return self.price.select("ticker", "date", "low")
+        written = KEPT.get(self._kept("lines"))
+        return self._until(A.lows(A.lines(self.spark, self.sf_dir) if written is None else written))
+
+    def _until(self, price: DataFrame) -> DataFrame:
+        return price if self.until is None else price.where(F.col("date") < F.lit(self.until).cast("date"))
+
     def statement_keys(self, name: str) -> DataFrame:
         """Key columns of a statement: of the written one, else by a plan that sums no money."""
         found = KEPT.get(self._kept(name))
@@ -83,8 +105,7 @@ class TestdataModel:
 
     @cached_property
     def price(self) -> DataFrame:
-        price = A.price(self.spark, self.sf_dir)
-        return price if self.until is None else price.where(F.col("date") < F.lit(self.until).cast("date"))
+        return self._until(A.price(self.spark, self.sf_dir))
 
     @cached_property
     def income(self) -> DataFrame:

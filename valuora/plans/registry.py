@@ -866,7 +866,8 @@ def q_daily_maintenance(spark, sf):
     base = _scratch(spark, "maintained")
     m = model(spark, sf)
     SR.run_and_store(TestdataModel(spark, sf, until=HISTORY_END), base, O.PERIOD)
-    late = m.price.where(F.col("date") >= F.lit(HISTORY_END).cast("date")).unionByName(m.daily_drop)
+    prices = m.lows()
+    late = prices.where(F.col("date") >= F.lit(HISTORY_END).cast("date")).unionByName(m.daily_drop.select(*prices.columns))
     part = F.pmod(F.xxhash64("ticker", "date"), F.lit(DAY_BATCHES))
     for k in (2, 0, 2, 1):
         SR.apply_day(spark, base, late.where(part == k), f"batch-{k}")

@@ -155,7 +155,8 @@ def run_and_store(model, out_dir: str, period: tuple[int | None, int | None],
     executor later re-runs only the current step, and losing the driver only
     the current table. Beside the four results stand the KPI fundamentals, the
     price states and the latest price rows, from which ``apply_day`` goes on.
-    Prices are read twice: for the states and for the latest rows.
+    Line items are joined to their orders once; of what that wrote, prices are
+    read twice: for the states and for the latest rows.
     """
     spark = model.spark
     parameters = {"job": "single", "inputs": model.identity() if hasattr(model, "identity") else None, "period": period,
@@ -167,23 +168,30 @@ def run_and_store(model, out_dir: str, period: tuple[int | None, int | None],
         return st.table("fundamental_kpi", lambda: J.kpi_fundamentals(model, period, J.companies_for(model, symbols, market)))
 
     def states_table() -> DataFrame:
-        return st.table("price_states", lambda: ST.price_states(model.price))
+        return st.table("price_states", lambda: ST.price_states(J.lows(model)))
 
+    if not all(st.manifest.read(n) for n in ("fundamental_kpi", "price_states", "price_latest")):
+        J.prepare_all(model)
     # what does not depend on each other is written side by side
     _, kpi, states = together(lambda: st.table("company_info", lambda: r.company_info), kpi_table, states_table)
     wanted = kpi.select("ticker").distinct()
     fundamental = st.table("fundamental", lambda: J.priced_fundamentals(kpi, states, period))
     growth, latest, _ = together(
         lambda: st.table("growth", lambda: J.valued_growth(fundamental, agg_func, fp, exp_rr)),
-        lambda: st.table("price_latest", lambda: latest_of(model.price, J.FU.restrict(states, wanted))),
+        lambda: st.table("price_latest", lambda: latest_of(J.lows(model), wanted)),
         lambda: st.entry("price", lambda: ST.price_figures(J.FU.restrict(states, wanted))))
     st.table("screener", lambda: screener_of(latest, growth))
     return {n: st.path(n) for n in RESULTS}
 
 
-def latest_of(price: DataFrame, states: DataFrame) -> DataFrame:
-    """(ticker, last_date, last_low_price): all price rows on the latest dates."""
-    return P.at_dates(price, ST.dates_of(states))
+def latest_of(price: DataFrame, tickers: DataFrame) -> DataFrame:
+    """(ticker, last_date, last_low_price): the tickers' price rows on their latest dates.
+
+    Every task keeps its own latest rows of a ticker, and only those are shuffled
+    and narrowed to the wanted tickers.
+    """
+    # an inner join, as Spark would narrow all price rows before the window by a semi join
+    return P.latest_price(price.where(F.col("date").isNotNull())).join(tickers.distinct(), "ticker")
 
 
 def screener_of(latest: DataFrame, growth: DataFrame) -> DataFrame:
@@ -212,7 +220,7 @@ def store_multi(model, out_dir: str, excluded, fp: int = V.DEFAULT_FP, exp_rr: f
     fund = st.table("after_annual_pe", lambda: J.FU.add_annual_pe(J.FU.add_kpis(merged), ST.annual_of(states, how="min")))
     rates = st.table("after_growth_rates", lambda: J.G.growth_rates(fund, agg_func))
     companies = MM.kept_companies(model, excluded)
-    st.table("after_latest_price", lambda: MM.flagged(rates, model.price, states, companies, fp, exp_rr))
+    st.table("after_latest_price", lambda: MM.flagged(rates, J.lows(model), states, companies, fp, exp_rr))
     return {n: st.path(n) for n in ("fundamental_merged", "after_annual_pe", "after_growth_rates", "after_latest_price")}
 
 

@@ -46,6 +46,21 @@ def price(spark: SparkSession, sf_dir: str) -> DataFrame:
         px.alias("adj_close"), F.col("l_quantity").alias("volume"))
 
 
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What prices and cash flow know of a line item, narrowed before the join."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.col("l_shipdate").cast("date").alias("date"), F.col("l_extendedprice").alias("low"),
+        (F.col("l_linestatus") == "O").alias("is_open"), (F.col("l_returnflag") == "R").alias("is_returned"))
+    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("fiscal_year"),
+                                                F.col("o_orderdate").cast("date").alias("order_date"))
+    return li.join(od, li.l_orderkey == od.o_orderkey).drop("l_orderkey", "o_orderkey")
+
+
+def lows(lines: DataFrame) -> DataFrame:
+    """Ticker, date and low of the price rows."""
+    return lines.select(_ticker("o_custkey").alias("ticker"), "date", "low")
+
+
 def _orders_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (table(spark, sf_dir, "orders")
             .select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
@@ -92,20 +107,17 @@ def balance(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "report_date", "shares_basic", "total_equity", "total_liab_equity")
 
 
-def cashflow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice",
-                                                  "l_linestatus", "l_returnflag")
-    od = _orders_by_year(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderdate",
-                                               "fiscal_year")
-    j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
-    amt = _money("l_extendedprice")
+def cashflow(spark: SparkSession, sf_dir: str, written: DataFrame | None = None) -> DataFrame:
+    """``written``: the lines, if they are written already."""
+    j = lines(spark, sf_dir) if written is None else written
+    amt = _money("low")
     agg = j.groupBy("o_custkey", "fiscal_year").agg(
-        F.max(F.col("o_orderdate").cast("date")).alias("report_date"),
+        F.max("order_date").alias("report_date"),
         (F.count(F.lit(1)) * 10).cast("double").alias("shares_basic"),
         _sum_money(amt).alias("net_cash_ops"),
-        (-F.sum(F.when(F.col("l_linestatus") == "O", amt))).cast("double")
+        (-F.sum(F.when(F.col("is_open"), amt))).cast("double")
         .alias("net_cash_inv"),
-        (-F.sum(F.when(F.col("l_returnflag") == "R", amt))).cast("double")
+        (-F.sum(F.when(F.col("is_returned"), amt))).cast("double")
         .alias("dividends_paid"))
     return agg.select(*_statement_keys(), F.lit("FY").alias("fiscal_period"),
                       "report_date", "shares_basic", "net_cash_ops", "net_cash_inv",
@@ -156,11 +168,11 @@ def symbol_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def peer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(ticker_key, peer_key): the suppliers that a customer has bought from, each once."""
+    """(ticker_key, peer_key): the suppliers that a customer has bought from, as often as it has."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return (li.join(od, li.l_orderkey == od.o_orderkey)
-            .select(F.col("o_custkey").alias("ticker_key"), F.col("l_suppkey").alias("peer_key")).distinct())
+            .select(F.col("o_custkey").alias("ticker_key"), F.col("l_suppkey").alias("peer_key")))
 
 
 def markets(spark: SparkSession, sf_dir: str) -> DataFrame:
