@@ -34,7 +34,7 @@ def tables(spark, at):
     lines = [(1, t(2020, 12, 5), 1.5, "O", "R"), (1, t(2020, 12, 5), 1.5, "O", "R"), (2, t(2021, 12, 9), None, "F", "N"), (3, None, 4.0, None, "R"),
              (4, t(2021, 1, 3), 2.0, "O", None), (None, t(2021, 1, 3), 2.0, "O", "N"), (5, t(2021, 1, 4), 3.0, "F", "N"), (6, t(2021, 1, 4), 3.0, "F", "N")]
     spark.createDataFrame(lines, "l_orderkey long, l_shipdate timestamp, l_extendedprice double, l_linestatus string, l_returnflag string") \
-        .withColumn("l_quantity", F.lit(1.0)).write.parquet(f"{at}/lineitem.parquet")
+        .withColumn("l_quantity", F.lit(1.0)).withColumn("l_suppkey", F.col("l_orderkey") % 3).write.parquet(f"{at}/lineitem.parquet")
 
 
 def rows(df):
@@ -45,12 +45,17 @@ def test_prices_and_cashflow_come_from_lines_joined_once(spark, tmp):
     tables(spark, tmp)
     plain, kept = TestdataModel(spark, tmp), TestdataModel(spark, tmp, until="2021-12-01")
     want = rows(plain.price.select("ticker", "date", "low"))
-    flow = rows(plain.cashflow)
+    flow, peers = rows(plain.cashflow), rows(plain.peers)
     drop_tables(spark)
     kept.prepare(prices=True)
     assert "Join" not in plan(TestdataModel(spark, tmp).lows()) and rows(TestdataModel(spark, tmp).lows()) == want
-    assert rows(kept.lows()) == [r for r in want if r[1] is not None and r[1] < dt.date(2021, 12, 1)]
+    early = [r for r in want if r[1] is not None and r[1] < dt.date(2021, 12, 1)]
+    assert rows(kept.lows()) == early
     assert rows(kept.cashflow) == flow and len(want) == 6
+    assert rows(kept.peers) == peers   # these lines hold no peers
+    drop_tables(spark)
+    kept.prepare(prices=True, peers=True)
+    assert "Join" not in plan(kept.peer_pairs) and rows(kept.peers) == peers and rows(kept.lows()) == early
     drop_tables(spark)
 
 

@@ -29,10 +29,10 @@ def lows(model) -> DataFrame:
     return model.lows() if hasattr(model, "lows") else model.price.select("ticker", "date", "low")
 
 
-def prepare_all(model) -> None:
+def prepare_all(model, peers: bool = False) -> None:
     """What a run reads of statements and prices, written by models that derive both from the same tables."""
     if hasattr(model, "lows"):
-        model.prepare(prices=True)
+        model.prepare(prices=True, peers=peers)
 
 
 class SingleMarketResult:

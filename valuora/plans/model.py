@@ -75,15 +75,15 @@ class TestdataModel:
         more = {"written": KEPT.get(self._kept("lines"))} if name == "cashflow" else {}
         return self._keep(name, lambda: getattr(A, name)(self.spark, self.sf_dir, **more))
 
-    def prepare(self, prices: bool = False) -> None:
+    def prepare(self, prices: bool = False, peers: bool = False) -> None:
         """Write the statements that are not written yet, side by side.
 
         ``prices``: the caller reads prices too, so line items are joined to their
-        orders once, for cash flow and prices (``lows``).
+        orders once, for cash flow and prices (``lows``); ``peers``: and for the peers.
         """
         if prices:
             first = [lambda n=n: self._statement(n) for n in ("income", "balance") if self._kept(n) not in KEPT]
-            together(lambda: self._keep("lines", lambda: A.lines(self.spark, self.sf_dir)), *first)
+            together(lambda: self._keep("lines", lambda: A.lines(self.spark, self.sf_dir, peers)), *first)
         missing = [n for n in self.STATEMENTS if self._kept(n) not in KEPT]
         together(*[lambda n=n: self._statement(n) for n in missing])
 
@@ -127,11 +127,14 @@ class TestdataModel:
     def symbol_directory(self) -> DataFrame:
         return A.symbol_directory(self.spark, self.sf_dir)
 
-    @cached_property
+    @property
     def peer_pairs(self) -> DataFrame:
-        return A.peer_pairs(self.spark, self.sf_dir)
+        written = KEPT.get(self._kept("lines"))
+        if written is None or "peer_key" not in written.columns:
+            return A.peer_pairs(self.spark, self.sf_dir)
+        return written.select(F.col("o_custkey").alias("ticker_key"), "peer_key")
 
-    @cached_property
+    @property
     def peers(self) -> DataFrame:
         return peer_string_agg(self.peer_pairs)
 

@@ -170,8 +170,8 @@ def run_and_store(model, out_dir: str, period: tuple[int | None, int | None],
     def states_table() -> DataFrame:
         return st.table("price_states", lambda: ST.price_states(J.lows(model)))
 
-    if not all(st.manifest.read(n) for n in ("fundamental_kpi", "price_states", "price_latest")):
-        J.prepare_all(model)
+    if not all(st.manifest.read(n) for n in ("company_info", "fundamental_kpi", "price_states", "price_latest")):
+        J.prepare_all(model, peers=True)
     # what does not depend on each other is written side by side
     _, kpi, states = together(lambda: st.table("company_info", lambda: r.company_info), kpi_table, states_table)
     wanted = kpi.select("ticker").distinct()

@@ -46,11 +46,12 @@ def price(spark: SparkSession, sf_dir: str) -> DataFrame:
         px.alias("adj_close"), F.col("l_quantity").alias("volume"))
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What prices and cash flow know of a line item, narrowed before the join."""
+def lines(spark: SparkSession, sf_dir: str, peers: bool = False) -> DataFrame:
+    """What prices and cash flow (and ``peers``) know of a line item, narrowed before the join."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", F.col("l_shipdate").cast("date").alias("date"), F.col("l_extendedprice").alias("low"),
-        (F.col("l_linestatus") == "O").alias("is_open"), (F.col("l_returnflag") == "R").alias("is_returned"))
+        (F.col("l_linestatus") == "O").alias("is_open"), (F.col("l_returnflag") == "R").alias("is_returned"),
+        *([F.col("l_suppkey").alias("peer_key")] if peers else []))
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("fiscal_year"),
                                                 F.col("o_orderdate").cast("date").alias("order_date"))
     return li.join(od, li.l_orderkey == od.o_orderkey).drop("l_orderkey", "o_orderkey")
