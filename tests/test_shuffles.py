@@ -4,12 +4,15 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+import valuora.session as S
 from valuora.operators import company as C
 from valuora.operators import fundamentals as FU
 from valuora.plans import stored as SR
 from valuora.plans.model import TestdataModel
 from valuora.session import drop_tables
 
+SF = "/root/testdata/sf0.001"
+
 
 @pytest.fixture()
 def no_broadcast(spark):
@@ -92,3 +95,28 @@ def test_peers_are_shuffled_once(spark, no_broadcast):
     out = C.peer_string_agg(pairs)
     assert plan(out).count("Exchange hashpartitioning") == 1
     assert rows(out) == rows(spark.createDataFrame([("1", "9,10"), ("2", "5"), (None, "3"), ("4", "")], "t string, p string"))
+
+
+def test_a_batch_shuffles_no_stored_table(spark, tmp, no_broadcast, monkeypatch):
+    """Stored tables are dealt out by ticker: what a batch rewrites is neither joined nor grouped through a shuffle."""
+    from valuora.plans.oracle import PERIOD
+    SR.run_and_store(TestdataModel(spark, SF, until="2000-11-01"), f"{tmp}/run", PERIOD)
+    plans, write = {}, SR.write_dealt
+
+    def spy(df, path, buckets, *a):
+        plans[path.rsplit("/", 1)[1]] = plan(df.repartition(buckets, "ticker"))
+        write(df, path, buckets, *a)
+    monkeypatch.setattr(SR, "write_dealt", spy)
+    d = dt.date(2001, 1, 2)
+    batch = spark.createDataFrame([("1", d, 2.0), ("1", d, 1.0), ("1", None, 1.0), ("none", d, 5.0), (None, d, 5.0)], "ticker string, date date, low double")
+    day = SR.apply_day(spark, f"{tmp}/run", batch, "b")
+    assert "Exchange" not in plans["fundamental"] + plans["growth"]
+    for name in ("price_states", "price_latest"):   # only the batch's rows
+        assert "Exchange" not in plans[name].split("Union")[0] and "Bucketed: true" in plans[name], plans[name]
+    # the same without buckets: another application knows only the files
+    drop = dict(S.DEALT)
+    S.DEALT.clear()
+    plain = SR.apply_day(spark, f"{tmp}/run", batch.limit(0), "c")
+    S.DEALT.update({k: v for k, v in drop.items() if k not in S.DEALT})
+    assert all(rows(spark.read.parquet(day[n])) == rows(spark.read.parquet(plain[n])) for n in SR.MAINTAINED)
+    assert rows(spark.read.parquet(day["price_latest"]).where("ticker = '1'")) == [("1", d, 1.0), ("1", d, 2.0)]

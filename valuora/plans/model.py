@@ -14,6 +14,12 @@ from valuora.session import KEPT, _tables_folder, cut_lineage, together
 from valuora.sources import adapters as A
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a table's files."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getContentSummary(p).getLength()
+
+
 def identity(spark: SparkSession, path: str) -> tuple:
     """What a table's files look like from outside: changed files change it, no row is read.
 
@@ -62,6 +68,10 @@ class TestdataModel:
         files = tuple(identity(self.spark, f"{self.sf_dir}/{t}.parquet") for t in tables or self.TABLES)
         return files if tables or self.until is None else (*files, self.until)
 
+    def input_bytes(self) -> int:
+        """Bytes of the files that a run reads."""
+        return sum(size(self.spark, f"{self.sf_dir}/{t}.parquet") for t in self.TABLES)
+
     def _kept(self, name: str) -> tuple:
         return _tables_folder(self.spark), id(self.spark), name, self.identity(*self.STATEMENTS.get(name, ("orders", "lineitem")))
 
@@ -219,6 +229,10 @@ class FileModel:
         """Identity of the files that a run reads."""
         return tuple((n, identity(self.spark, s["path"])) for n, s in sorted(self.sources.items()))
 
+    def input_bytes(self) -> int:
+        """Bytes of the files that a run reads."""
+        return sum(size(self.spark, s["path"]) for s in self.sources.values())
+
     def statement_keys(self, name: str) -> DataFrame:
         return getattr(self, name).select(*STATEMENT_KEYS)
 

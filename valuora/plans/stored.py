@@ -33,9 +33,10 @@ from valuora.operators import screen as S
 from valuora.operators import states as ST
 from valuora.operators import valuation as V
 from valuora.plans import jobs as J
-from valuora.session import together
+from valuora.session import buckets_for, dealt_buckets, read_table, together, write_dealt
 
 RESULTS = ("company_info", "fundamental", "growth", "screener")
+DEALT = ("fundamental_kpi", "price_states", "price_latest", "fundamental", "growth")  # joined and grouped by ticker
 INNER = ("fundamental_kpi", "price_states", "price_latest", "mm_states")  # tables that no check asks about
 RANGES = {"date": "date", "last_date": "date", "fiscal_year": "fiscal_year"}
 FIGURES = ("table_name string, n_rows bigint, n_symbols bigint, min_date date, max_date date, "
@@ -93,17 +94,20 @@ def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *ranges), seen
 
 
-def write_figured(df: DataFrame, path: str, compression: str = "gzip", symbols: bool = True) -> dict:
-    """Write a table and return its figures.
+def write_figured(df: DataFrame, path: str, compression: str = "gzip", symbols: bool = True, buckets: int = 0) -> dict:
+    """Write a table, dealt out by ticker into ``buckets`` if given, and return its figures.
 
     Rows and ranges are observed by the write itself; the distinct tickers, if
     asked for, are counted in the ticker column of what was just written.
     """
     df, seen = observed(df)
-    sinks.write_table(df, path, compression)
+    if buckets:
+        write_dealt(df, path, buckets, compression=compression)
+    else:
+        sinks.write_table(df, path, compression)
     figures = dict(seen.get)
     if symbols and "ticker" in df.columns:
-        figures["n_symbols"] = df.sparkSession.read.parquet(path).agg(F.count_distinct("ticker")).first()[0]
+        figures["n_symbols"] = read_table(df.sparkSession, path).agg(F.count_distinct("ticker")).first()[0]
     return figures
 
 
@@ -114,7 +118,9 @@ def _named(parameters: dict) -> str:
 class Stages:
     """The tables of a run in the order they are written."""
 
-    def __init__(self, spark: SparkSession, base: str, parameters: dict, compression: str = "gzip", fresh: bool = False):
+    def __init__(self, spark: SparkSession, base: str, parameters: dict, compression: str = "gzip", fresh: bool = False,
+                 buckets: int = 0):
+        self._buckets = buckets  # of the tables that are dealt out by ticker
         self._spark, self.base, self._compression = spark, base.rstrip("/"), compression
         self.state = state_of(base)
         self.manifest, self._key = Manifest(spark, self.state), _named(parameters)
@@ -130,10 +136,10 @@ class Stages:
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """The written table; built and written unless its entry says that this is done."""
         if self.manifest.read(name) is None:
-            figures = write_figured(build(), self.path(name), self._compression, name not in INNER)
+            figures = write_figured(build(), self.path(name), self._compression, name not in INNER, self._buckets if name in DEALT else 0)
             self.manifest.write(name, {"table_name": name, **figures})
             self.written.append(name)
-        return self._spark.read.parquet(self.path(name))
+        return read_table(self._spark, self.path(name))
 
 
     def entry(self, name: str, build: Callable[[], DataFrame]) -> None:
@@ -162,7 +168,8 @@ def run_and_store(model, out_dir: str, period: tuple[int | None, int | None],
     parameters = {"job": "single", "inputs": model.identity() if hasattr(model, "identity") else None, "period": period,
                   "fp": fp, "exp_rr": exp_rr, "agg_func": agg_func, "market": market}
     # without an identity, or with symbols from elsewhere, nothing tells whether the inputs are the same
-    st = Stages(spark, out_dir, parameters, compression, fresh=parameters["inputs"] is None or symbols is not None)
+    st = Stages(spark, out_dir, parameters, compression, fresh=parameters["inputs"] is None or symbols is not None,
+                buckets=buckets_for(spark, model.input_bytes() if hasattr(model, "input_bytes") else None))
     r = J.single_market(model, period, fp, exp_rr, symbols, agg_func, market)
     def kpi_table() -> DataFrame:
         return st.table("fundamental_kpi", lambda: J.kpi_fundamentals(model, period, J.companies_for(model, symbols, market)))
@@ -262,19 +269,25 @@ def apply_day(spark: SparkSession, base: str, batch: DataFrame, batch_id: str) -
     if batch_id in done["applied"]:
         return current(spark, base)
     p = run["parameters"]
-    stored = {n: spark.read.parquet(at) for n, at in current(spark, base).items()}
+    paths = current(spark, base)
+    stored = {n: read_table(spark, at) for n, at in paths.items()}
+    buckets = dealt_buckets(spark, paths["price_states"]) or buckets_for(spark, None)
     version = len(done["applied"])
     to = {n: f"{state_of(base)}/days/v={version}/{n}" for n in MAINTAINED}
     kpi = stored["fundamental_kpi"]
     batch = batch.select("ticker", "date", "low")
 
     def put(name: str, df: DataFrame) -> DataFrame:
-        sinks.write_table(df, to[name])
-        return spark.read.parquet(to[name])
-
-    states = put("price_states", ST.merge_states(stored["price_states"], ST.price_states(batch)))
+        if name in DEALT:
+            write_dealt(df, to[name], buckets)
+        else:
+            sinks.write_table(df, to[name])
+        return read_table(spark, to[name])
+
+    # the stored tables are dealt out by ticker: of this, only the batch's rows are shuffled
+    states = put("price_states", ST.merge_states(stored["price_states"], ST.price_states(batch).repartition(buckets, "ticker")))
     new = P.latest_rows(J.FU.restrict(batch, kpi.select("ticker").distinct())).select("ticker", F.col("date").alias("last_date"), F.col("low").alias("last_low_price"))
-    latest = put("price_latest", P.latest_rows(stored["price_latest"].unionByName(new), order="last_date"))
+    latest = put("price_latest", P.latest_rows(stored["price_latest"].unionByName(new.repartition(buckets, "ticker")), order="last_date"))
     fundamental = put("fundamental", J.priced_fundamentals(kpi, states, p["period"]))
     growth = put("growth", J.valued_growth(fundamental, p["agg_func"], p["fp"], p["exp_rr"]))
     put("screener", screener_of(latest, growth))
