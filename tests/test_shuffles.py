@@ -10,6 +10,7 @@ from valuora.operators import fundamentals as FU
 from valuora.plans import stored as SR
 from valuora.plans.model import TestdataModel
 from valuora.session import drop_tables
+from valuora.sources import adapters as A
 
 SF = "/root/testdata/sf0.001"
 
@@ -120,3 +121,17 @@ def test_a_batch_shuffles_no_stored_table(spark, tmp, no_broadcast, monkeypatch)
     S.DEALT.update({k: v for k, v in drop.items() if k not in S.DEALT})
     assert all(rows(spark.read.parquet(day[n])) == rows(spark.read.parquet(plain[n])) for n in SR.MAINTAINED)
     assert rows(spark.read.parquet(day["price_latest"]).where("ticker = '1'")) == [("1", d, 1.0), ("1", d, 2.0)]
+
+
+def test_income_and_balance_come_from_orders_grouped_once(spark, tmp, no_broadcast):
+    tables(spark, tmp)
+    m = TestdataModel(spark, tmp)
+    want = rows(A.income(spark, tmp)), rows(A.balance(spark, tmp))
+    drop_tables(spark)
+    m.prepare()
+    assert "Aggregate" not in plan(m.income) + plan(m.balance) and (rows(m.income), rows(m.balance)) == want
+    # both read one file set, whose key columns join without a second shuffle of either
+    assert m.income.inputFiles() == m.balance.inputFiles()
+    assert plan(FU.combine_statements(m.income, m.cashflow, m.balance)).count("Exchange") == 3
+    assert [r[4:] for r in want[0] if r[0] == "7"][0][2:] == (10.0, 10.0, -10.0)
+    drop_tables(spark)

@@ -42,9 +42,9 @@ def identity(spark: SparkSession, path: str) -> tuple:
 class TestdataModel:
     """Model tables derived from the driver's tables (``/root/testdata/sf*``).
 
-    Prices and all other tables are lazy plans over the given tables. Only the
-    three annual statements (a row per ticker and year), which nearly every
-    query derives, and for runs that read them several times the joined lines
+    Prices and all other tables are lazy plans over the given tables. Only what the
+    three annual statements are read from (a row per ticker and year), which nearly
+    every query derives, and for runs that read them several times the joined lines
     behind prices and cash flow are written once per application and used again
     as long as the files they come from are the same. A durable copy of the prices is the
     business of the ``ingest`` command, whose output a ``FileModel`` reads.
@@ -52,7 +52,7 @@ class TestdataModel:
 
     __test__ = False  # not a pytest test class despite the name
     TABLES = ("customer", "events", "lineitem", "nation", "orders", "region")
-    STATEMENTS = {"income": ("orders",), "cashflow": ("orders", "lineitem"), "balance": ("orders",)}
+    WRITTEN = {"annual_orders": ("orders",), "cashflow": ("orders", "lineitem")}  # what the statements are read from
 
     def __init__(self, spark: SparkSession, sf_dir: str, until: str | None = None):
         """``until``: leave out prices from this date on (the history that days are later added to)."""
@@ -73,7 +73,7 @@ class TestdataModel:
         return sum(size(self.spark, f"{self.sf_dir}/{t}.parquet") for t in self.TABLES)
 
     def _kept(self, name: str) -> tuple:
-        return _tables_folder(self.spark), id(self.spark), name, self.identity(*self.STATEMENTS.get(name, ("orders", "lineitem")))
+        return _tables_folder(self.spark), id(self.spark), name, self.identity(*self.WRITTEN.get(name, ("orders", "lineitem")))
 
     def _keep(self, name: str, build) -> DataFrame:
         key = self._kept(name)
@@ -81,21 +81,26 @@ class TestdataModel:
             KEPT[key] = cut_lineage(build(), name)
         return KEPT[key]
 
-    def _statement(self, name: str) -> DataFrame:
+    def _write(self, name: str) -> DataFrame:
         more = {"written": KEPT.get(self._kept("lines"))} if name == "cashflow" else {}
         return self._keep(name, lambda: getattr(A, name)(self.spark, self.sf_dir, **more))
 
+    def _statement(self, name: str) -> DataFrame:
+        if name == "cashflow":
+            return self._write(name)
+        return getattr(A, name)(self.spark, self.sf_dir, self._write("annual_orders"))
+
     def prepare(self, prices: bool = False, peers: bool = False) -> None:
-        """Write the statements that are not written yet, side by side.
+        """Write what the statements are read from and is not written yet, side by side.
 
         ``prices``: the caller reads prices too, so line items are joined to their
         orders once, for cash flow and prices (``lows``); ``peers``: and for the peers.
         """
         if prices:
-            first = [lambda n=n: self._statement(n) for n in ("income", "balance") if self._kept(n) not in KEPT]
+            first = [lambda: self._write("annual_orders")] if self._kept("annual_orders") not in KEPT else []
             together(lambda: self._keep("lines", lambda: A.lines(self.spark, self.sf_dir, peers)), *first)
-        missing = [n for n in self.STATEMENTS if self._kept(n) not in KEPT]
-        together(*[lambda n=n: self._statement(n) for n in missing])
+        missing = [n for n in self.WRITTEN if self._kept(n) not in KEPT]
+        together(*[lambda n=n: self._write(n) for n in missing])
 
     def lows(self) -> DataFrame:
         """Ticker, date and low of all price rows: of the written lines, unless prices were given or planned already."""
@@ -109,9 +114,9 @@ class TestdataModel:
 
     def statement_keys(self, name: str) -> DataFrame:
         """Key columns of a statement: of the written one, else by a plan that sums no money."""
-        found = KEPT.get(self._kept(name))
-        found = getattr(A, name)(self.spark, self.sf_dir) if found is None else found
-        return found.select(*STATEMENT_KEYS)
+        if self._kept("cashflow" if name == "cashflow" else "annual_orders") in KEPT:
+            return self._statement(name).select(*STATEMENT_KEYS)
+        return getattr(A, name)(self.spark, self.sf_dir).select(*STATEMENT_KEYS)
 
     @cached_property
     def price(self) -> DataFrame:

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from valuora.schemas import STATEMENT_KEYS
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -76,36 +78,42 @@ def _statement_keys() -> list[Column]:
             F.col("fiscal_year")]
 
 
-def income(spark: SparkSession, sf_dir: str) -> DataFrame:
+def annual_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What income and balance know of a customer's orders of a year."""
     od = _orders_by_year(spark, sf_dir)
     sign = (F.when(F.col("o_orderstatus") == "P", 2)
              .when(F.col("o_orderstatus") == "F", 1)
              .when(F.col("o_orderstatus") == "O", -1)
              .otherwise(0))
-    agg = od.groupBy("o_custkey", "fiscal_year").agg(
-        F.max(F.col("o_orderdate").cast("date")).alias("report_date"),
-        (F.count(F.lit(1)) * 10).cast("double").alias("shares_basic"),
-        _sum_money(_money("o_totalprice")).alias("revenue"),
-        _sum_money(_money("o_totalprice") * sign).alias("net_income"))
-    return agg.select(*_statement_keys(), F.lit("FY").alias("fiscal_period"),
-                      "report_date", "shares_basic", "revenue", "net_income")
-
-
-def balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    od = _orders_by_year(spark, sf_dir)
     pr = F.col("o_orderpriority")
     agg = od.groupBy("o_custkey", "fiscal_year").agg(
         F.max(F.col("o_orderdate").cast("date")).alias("report_date"),
+        (F.count(F.lit(1)) * 10).cast("double").alias("shares_issued"),
+        _sum_money(_money("o_totalprice")).alias("revenue"),
+        _sum_money(_money("o_totalprice") * sign).alias("net_income"),
         (F.sum(F.when(pr != "1-URGENT", 1).otherwise(0)) * 10).cast("double")
-        .alias("shares_basic"),
+        .alias("shares_held"),
         _sum_money(_money("o_totalprice")
                    * F.when(pr.isin("1-URGENT", "2-HIGH"), 2).otherwise(1))
         .alias("total_equity"),
         _sum_money(F.when(F.col("o_orderstatus") != "O", _money("o_totalprice") * 4)
                    .otherwise(F.lit(0).cast("decimal(18,2)")))
         .alias("total_liab_equity"))
-    return agg.select(*_statement_keys(), F.lit("FY").alias("fiscal_period"),
-                      "report_date", "shares_basic", "total_equity", "total_liab_equity")
+    return agg.select(*_statement_keys(), F.lit("FY").alias("fiscal_period"), *agg.columns[2:])
+
+
+def income(spark: SparkSession, sf_dir: str, written: DataFrame | None = None) -> DataFrame:
+    """``written``: the annual orders, if they are written already."""
+    agg = annual_orders(spark, sf_dir) if written is None else written
+    return agg.select(*STATEMENT_KEYS, "fiscal_period", "report_date",
+                      F.col("shares_issued").alias("shares_basic"), "revenue", "net_income")
+
+
+def balance(spark: SparkSession, sf_dir: str, written: DataFrame | None = None) -> DataFrame:
+    """``written``: the annual orders, if they are written already."""
+    agg = annual_orders(spark, sf_dir) if written is None else written
+    return agg.select(*STATEMENT_KEYS, "fiscal_period", "report_date",
+                      F.col("shares_held").alias("shares_basic"), "total_equity", "total_liab_equity")
 
 
 def cashflow(spark: SparkSession, sf_dir: str, written: DataFrame | None = None) -> DataFrame:
