@@ -71,3 +71,24 @@ def test_little_is_wasted(spark):
     rows = P.pack(docs, shard=100).collect()
     caps = {r.bin_id: r.capacity for r in rows}
     assert sum(r.length for r in rows) > 0.95 * sum(caps.values())
+
+
+def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    """A batch of texts is held several times beside the heap, so rows and bytes of one are bounded."""
+    plain = P._lengths
+
+    def bounded(batches):
+        def seen():
+            for b in batches:
+                size = b.column("text").nbytes
+                assert b.num_rows <= 1000 and size < 10 << 20, f"a batch of {b.num_rows} rows, {size} bytes"
+                yield b
+        return plain(seen())
+
+    monkeypatch.setattr(P, "_lengths", bounded)
+    short = spark.range(0, 2500, 1, 1).selectExpr("id AS doc_id", "'two words' AS text")
+    assert {r.length for r in P.pack(short).collect()} == {3}
+    long = spark.range(0, 24, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 200000) AS text")
+    rows = P.pack(long).collect()
+    assert sum(r.length for r in rows) == 24 * 200001
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .shared import cut_lineage
+from .shared import cut_lineage, small_batches
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 SHARD = 4096
@@ -117,10 +117,12 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     capacities = tuple(sorted(set(capacities)))
     if not capacities or capacities[0] < 1:
         raise ValueError("capacities must be positive")
-    lengths = cut_lineage(docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                                      F.col(text_col).cast("string").alias("text"))
-                          .mapInArrow(_lengths, "doc_id long, length long")
-                          .withColumn("row", F.monotonically_increasing_id()), "lengths")
+    # texts go to Python: Spark holds each batch more than once outside its heap
+    with small_batches(docs.sparkSession):
+        lengths = cut_lineage(docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                                          F.col(text_col).cast("string").alias("text"))
+                              .mapInArrow(_lengths, "doc_id long, length long")
+                              .withColumn("row", F.monotonically_increasing_id()), "lengths")
     shards = max(1, -(-lengths.count() // shard))
     return (lengths.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("long"))
             .groupBy("shard").applyInArrow(_pack_shard(capacities), PACKED))
