@@ -73,22 +73,16 @@ def test_little_is_wasted(spark):
     assert sum(r.length for r in rows) > 0.95 * sum(caps.values())
 
 
-def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
-    """A batch of texts is held several times beside the heap, so rows and bytes of one are bounded."""
-    plain = P._lengths
-
-    def bounded(batches):
-        def seen():
-            for b in batches:
-                size = b.column("text").nbytes
-                assert b.num_rows <= 1000 and size < 10 << 20, f"a batch of {b.num_rows} rows, {size} bytes"
-                yield b
-        return plain(seen())
-
-    monkeypatch.setattr(P, "_lengths", bounded)
-    short = spark.range(0, 2500, 1, 1).selectExpr("id AS doc_id", "'two words' AS text")
-    assert {r.length for r in P.pack(short).collect()} == {3}
-    long = spark.range(0, 24, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 200000) AS text")
-    rows = P.pack(long).collect()
-    assert sum(r.length for r in rows) == 24 * 200001
-    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
+def test_texts_are_counted_without_python(spark, monkeypatch):
+    """The pass over the texts copies none of them to Python: only ids and lengths leave it."""
+    plans = []
+    monkeypatch.setattr(P, "cut_lineage", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df)
+    spaces = [" ", "\t", "\n", "\x0b", "\x0c", "\r"]
+    texts = [None, "", " ", "w", "$1 \\ w", "\x1f\x0e\x00 \x85 \u00a0 \u2003x", "\u00e4\u20ac\U0001f600 " * 3, "".join(spaces),
+             *(f"{a}one{a}{b}two" for a in spaces for b in spaces), "x" * 100_000, "ab \n" * 30_000, " " * 200_000, "w" + "\n" * 200_000]
+    docs = list(enumerate(texts))
+    rows = P.pack(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    check(rows, docs, P.CAPACITIES)
+    told = {i: sum(r.length for r in rows if r.doc_id == i) for i, _ in docs}
+    assert told == {i: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) + 1 for i, t in docs}
+    assert len(plans) == 1 and "Arrow" not in plans[0] and "Python" not in plans[0]

@@ -27,14 +27,14 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import textops as T
-from .shared import cut_lineage, small_batches
+from .shared import cut_lineage
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 SHARD = 4096
+WORD = r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++"
 PACKED = ("doc_id long, piece long, first_word long, length long, bin_id long, bin_offset long, "
           "capacity long, bin_used long")
 
@@ -78,11 +78,9 @@ def best_fit(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES):
     return bins, offsets, np.array(capacities, np.int64)[np.searchsorted(capacities, fill)], fill
 
 
-def _lengths(batches):
-    for whole in batches:
-        for b in T.slices(whole, "text"):
-            _, _, first = T.words(*T.text_bytes(b.column("text")))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(first) + 1)], names=["doc_id", "length"])
+def tokens(text: Column) -> Column:
+    """Words of a text and its end mark, which is added as a word: each becomes one letter, with what lies before it."""
+    return F.length(F.regexp_replace(F.concat(F.coalesce(text, F.lit("")), F.lit(" .")), F.lit(WORD), F.lit("w"))).cast("long")
 
 
 def _pack_shard(capacities: tuple[int, ...]):
@@ -117,12 +115,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     capacities = tuple(sorted(set(capacities)))
     if not capacities or capacities[0] < 1:
         raise ValueError("capacities must be positive")
-    # texts go to Python: Spark holds each batch more than once outside its heap
-    with small_batches(docs.sparkSession):
-        lengths = cut_lineage(docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                                          F.col(text_col).cast("string").alias("text"))
-                              .mapInArrow(_lengths, "doc_id long, length long")
-                              .withColumn("row", F.monotonically_increasing_id()), "lengths")
+    # counted in Spark's own functions: no text is copied to Python or to buffers outside the heap
+    lengths = cut_lineage(docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                                      tokens(F.col(text_col).cast("string")).alias("length"),
+                                      F.monotonically_increasing_id().alias("row")), "lengths")
     shards = max(1, -(-lengths.count() // shard))
     return (lengths.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("long"))
             .groupBy("shard").applyInArrow(_pack_shard(capacities), PACKED))
