@@ -59,6 +59,29 @@ def test_families_near_the_threshold(spark, monkeypatch):
     check(spark, df, rows)
 
 
+def test_large_group_of_near_copies_is_not_compared_pair_by_pair(spark, monkeypatch):
+    """Copies that link with each other but not with the smallest ids: a few texts compared for each, not all pairs."""
+    monkeypatch.setattr(J, "QUERY_BLOCK", 64)
+    monkeypatch.setattr(J, "DATA_BLOCK", 128)
+    rng = random.Random(5)
+    base = prose(rng, 150).split()[:150]
+    rows = []
+    for doc in range(250):  # own words apart cost five shingles each: 126 of 166 are shared, or 121 of 171 with the first ten
+        w = list(base)
+        for at in rng.sample(range(5, 145, 5), 3 if doc < 10 else 2):
+            w[at] = f"own{doc}x{at}"
+        rows.append((doc, " ".join(w)))
+    tested, confirmed = [], J._confirmed
+
+    def counted(pairs, *rest):
+        pairs = J.cut_lineage(pairs, "counted")
+        tested.append(pairs.count())
+        return confirmed(pairs, *rest)
+    monkeypatch.setattr(J, "_confirmed", counted)
+    check(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows)
+    assert sum(tested) < 20 * len(rows), tested
+
+
 def test_empty_table_and_bad_percent(spark, no_docs):
     assert J.jaccard_classes(no_docs).collect() == []
     with pytest.raises(ValueError):

@@ -19,8 +19,13 @@ A document is the set of its distinct word shingles. Two documents link when
   the cell of the smallest id among them.
 * *Join.* Each cell's members are tested against its first document; those
   that link need no further test with each other, as they are one component
-  already. The members left over query an R-tree over the whole cell, cut into
-  blocks of bounded size; node boxes and points prune by the bound.
+  already. Members outside their cell's largest component query R-trees over
+  the cell, cut into blocks of bounded size; node boxes and points prune by the
+  bound. A query gets its best ``ASKED`` candidates, what they confirm is
+  joined, and the cells that have more to tell are asked again: a group of near
+  copies grows together after a few links a member, not one for every pair. A
+  cell of many blocks is first dealt anew into small blocks, each asked by its
+  own members only, as long as that halves the members outside.
 * *Verification.* Surviving pairs are decided on the exact shingle sets of the
   whole texts.
 
@@ -49,6 +54,8 @@ LEAF = 16            # points in an R-tree leaf
 FANOUT = 8           # children of an inner node
 QUERY_BLOCK = 256    # queries, and
 DATA_BLOCK = 1024    # members of a cell, that one task's tree joins
+ASKED = 8            # candidates of a query in a block, in a cell's first round, and
+ASKED_MORE = 16      # how many times as many in each later one
 FULL = np.iinfo(np.uint8).max
 
 
@@ -234,13 +241,18 @@ def _bound_filter(percent: int):
 
 
 def _tree_join(percent: int):
-    """One block of a cell: its queries against an R-tree over its data points."""
+    """One block of a cell: its queries against an R-tree over its data points.
+
+    A query gives its best candidates, as many as the cell's ``asked`` allows;
+    ``cut`` tells that it had more.
+    """
     def run(key, table):
         own = _read_points(table.column("point"))
         pts = np.stack([folded(p, GROUPS) for p in own])
-        ids, n, comp, asks, open_ = (table.column(c).to_numpy() for c in ("id", "n", "comp", "asks", "open"))
+        ids, n, comp, asks, open_, asked = (
+            table.column(c).to_numpy() for c in ("id", "n", "comp", "asks", "open", "asked"))
         data = np.flatnonzero(~asks)
-        a, b = [], []
+        a, b, cut = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
         if len(data) and asks.any():
             tree = RTree(pts[data], n[data])
             for q in np.flatnonzero(asks):
@@ -249,11 +261,15 @@ def _tree_join(percent: int):
                 hit = hit[(comp[hit] != comp[q]) & (~open_[hit] | (ids[hit] > ids[q]))]
                 if len(own[q]) > GROUPS and len(hit):
                     hit = hit[pairs_may_link([own[q]] * len(hit), [own[i] for i in hit], np.full(len(hit), n[q]), n[hit], percent)]
+                more = len(hit) > asked[q]
+                if more:
+                    inter = np.minimum(overlap_bound(pts[q], pts[hit]), np.minimum(n[q], n[hit]))
+                    hit = hit[np.lexsort((ids[hit], -inter / (n[q] + n[hit] - inter)))[:asked[q]]]
                 a.append(np.full(len(hit), ids[q]))
                 b.append(ids[hit])
-        a = np.concatenate(a) if a else np.zeros(0, np.int64)
-        b = np.concatenate(b) if b else np.zeros(0, np.int64)
-        return pa.table({"a": a.astype(np.int64), "b": b.astype(np.int64)})
+                cut.append(np.full(len(hit), more))
+        a, b, cut = (np.concatenate(x) for x in (a, b, cut))
+        return pa.table({"cell": np.full(len(a), key[0].as_py(), np.int64), "a": a, "b": b, "cut": cut})
     return run
 
 
@@ -305,15 +321,24 @@ def _classes(text: DataFrame, percent: int, width: int) -> DataFrame:
     spots = classes.select(F.col("rid").alias("id"), "n", "point")
     near = cells.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = cut_lineage(_confirmed(_bounded(near, spots, percent), text, percent, width), "links")
-    apart = _apart(cells.join(near, ["a", "b"], "left_anti"), components(links))
-    links = cut_lineage(links.unionByName(_confirmed(_bounded(apart, spots, percent), text, percent, width)), "links")
-    open_ = _left_over(cells, components(links), spots, percent)
-    links = links.unionByName(cut_lineage(_confirmed(open_, text, percent, width), "links"))
+    comp = components(links)
+    apart = _apart(cells.join(near, ["a", "b"], "left_anti"), comp)
+    links = cut_lineage(_confirmed(_bounded(apart, spots, percent), text, percent, width), "links")
+
+    # the members among each other, round by round, until no cell has more to tell
+    told = todo = None
+    while todo is None or not todo.isEmpty():
+        comp = _joined(comp, links)
+        pairs, todo = _left_over(cells, comp, spots, percent, todo)
+        fresh = pairs if told is None else pairs.join(told, ["a", "b"], "left_anti")
+        told = pairs if told is None else told.unionByName(pairs)
+        links = cut_lineage(_confirmed(fresh, text, percent, width), "links")
+    comp = _joined(comp, links)
 
     # an id with several texts is one node: tie its classes together
     many = to_rid.groupBy("id").count().where("count > 1").select("id")
     tied = to_rid.join(many, "id").select(F.col("id").alias("a"), F.col("rid").alias("b"))
-    comp = components(links.unionByName(tied))
+    comp = _joined(comp, cut_lineage(tied, "tied"))
     by_id = (to_rid.join(comp.withColumnRenamed("id", "rid"), "rid", "left")
              .groupBy("id").agg(F.min(F.coalesce("component", "rid")).alias("component")))
     return (sets.select("id", "n").join(by_id, "id", "left")
@@ -321,6 +346,13 @@ def _classes(text: DataFrame, percent: int, width: int) -> DataFrame:
                     F.coalesce("component", "id").alias("component_id")))
 
 
+def _joined(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """Components with more links: each node holds on to its component's smallest id."""
+    if links.isEmpty():
+        return comp
+    return components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(links))
+
+
 def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     """The pairs that are not in one component yet."""
     for side in ("a", "b"):
@@ -348,32 +380,51 @@ def _confirmed(pairs: DataFrame, text: DataFrame, percent: int, width: int) -> D
             .mapInArrow(_verify(percent, width), "a long, b long").distinct())
 
 
-def _left_over(cells: DataFrame, comp: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a cell that the tests against its first document leave open.
+def _left_over(cells: DataFrame, comp: DataFrame, points: DataFrame, percent: int,
+               todo: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """A round of pairs of a cell that are still apart, and the cells that have more to tell.
 
-    Members that are not in the first one's component query the cell's R-tree.
-    Cells are cut into blocks of queries and of data, so a task holds a bounded
-    part however large the cell.
+    Members outside their cell's largest component query its R-trees, so any two
+    of different components meet. Cells are cut into blocks of queries and of
+    data, so a task holds a bounded part however large the cell. A cell of one
+    data block is asked whole at once. A larger one is dealt anew each round into
+    blocks of its members, which query their own block only, as long as that
+    leaves half as many outside; then all its blocks meet. ``todo`` holds the
+    cells of the round: how many were outside in the last one, whether all
+    blocks have met in it, and the candidates a query gives now.
     """
     labels = comp.select("id", "component")
     state = (cells.select(F.col("a").alias("cell"), F.col("b").alias("id"))
-             .join(labels, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
-             .join(labels.select(F.col("id").alias("cell"), F.col("component").alias("head")), "cell", "left")
-             .withColumn("open", F.col("comp") != F.coalesce("head", "cell")).drop("head"))
+             .join(labels, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component"))
+    if todo is not None:
+        state = state.join(todo.select("cell"), "cell", "left_semi")
     state = cut_lineage(state, "cells")
-    sizes = (state.groupBy("cell").agg(F.sum(F.col("open").cast("long")).alias("u"), F.count("*").alias("m"))
-             .where("u > 0 and m > 1")
-             .select("cell", F.ceil(F.col("u") / QUERY_BLOCK).cast("long").alias("nq"),
-                     F.ceil(F.col("m") / DATA_BLOCK).cast("long").alias("nd")))
-    rows = state.join(sizes, "cell").join(points, "id")
-    h = F.xxhash64("id")
+    sizes = (state.groupBy("cell", "comp").agg(F.count("*").alias("most"))
+             .groupBy("cell").agg(F.sum("most").alias("m"), F.max(F.struct("most", "comp")).alias("main"))
+             .where("main.most < m")
+             .select("cell", F.col("main.comp").alias("main"), "m", (F.col("m") - F.col("main.most")).alias("u")))
+    if todo is None:
+        sizes = sizes.withColumn("whole", F.col("m") <= DATA_BLOCK).withColumn("asked", F.lit(ASKED).cast("long"))
+    else:
+        sizes = (sizes.join(todo, "cell")
+                 .withColumn("whole", F.col("whole") | (F.col("m") <= DATA_BLOCK) | (2 * F.col("u") > F.col("last"))).drop("last"))
+    sizes = cut_lineage(
+        sizes.withColumn("nq", F.ceil(F.when(F.col("whole"), F.col("u")).otherwise(F.col("m")) / QUERY_BLOCK).cast("long"))
+        .withColumn("nd", F.when(F.col("whole"), F.ceil(F.col("m") / DATA_BLOCK).cast("long")).otherwise(F.col("nq"))), "sizes")
+    rows = state.join(sizes, "cell").join(points, "id").withColumn("open", F.col("comp") != F.col("main"))
+    # the count outside falls from round to round, so it deals the small blocks anew in each
+    h = F.xxhash64("id", F.when(F.col("whole"), F.lit(0)).otherwise(F.col("u")))
+    every = lambda blocks, own: F.explode(F.when(
+        F.col("whole"), F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1)).otherwise(F.array(own)))
     asks = (rows.where("open").withColumn("qb", F.pmod(h, F.col("nq")))
-            .withColumn("db", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nd") - 1)))
-            .withColumn("asks", F.lit(True)))
+            .withColumn("db", every("nd", "qb")).withColumn("asks", F.lit(True)))
     data = (rows.withColumn("db", F.pmod(h, F.col("nd")))
-            .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nq") - 1)))
-            .withColumn("asks", F.lit(False)))
-    cols = ["cell", "qb", "db", "asks", "open", "id", "n", "comp", "point"]
-    found = (asks.select(*cols).unionByName(data.select(*cols)).groupBy("cell", "qb", "db")
-             .applyInArrow(_tree_join(percent), "a long, b long"))
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            .withColumn("qb", every("nq", "db")).withColumn("asks", F.lit(False)))
+    cols = ["cell", "qb", "db", "asks", "open", "id", "n", "comp", "point", "asked"]
+    found = cut_lineage(asks.select(*cols).unionByName(data.select(*cols)).groupBy("cell", "qb", "db")
+                        .applyInArrow(_tree_join(percent), "cell long, a long, b long, cut boolean"), "found")
+    more = found.where("cut").select("cell").distinct().withColumn("cut", F.lit(True))
+    todo = (sizes.join(more, "cell", "left").where(~F.col("whole") | F.col("cut"))
+            .select("cell", F.col("u").alias("last"), "whole",
+                    F.when(F.col("whole"), F.col("asked") * ASKED_MORE).otherwise(F.col("asked")).alias("asked")))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), cut_lineage(todo, "todo")
