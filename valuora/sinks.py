@@ -13,6 +13,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
+from valuora.sources import folders
+
 # Display names of the reference tables, applied only at the sink.
 DISPLAY_NAMES = {
     "ticker": "Ticker", "date": "Date", "open": "Open", "high": "High", "low": "Low",
@@ -96,13 +98,31 @@ def by_symbol(df: DataFrame, *keys: str) -> DataFrameWriter:
             .write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(keys[0]))
 
 
+def write_per_key(df: DataFrame, path: str, *keys: str, fmt: str = "csv", mode: str = "overwrite") -> None:
+    """One folder of files (CSV with header, or lines of text) per value of the first key, rows ranged by all keys.
+
+    ``overwrite`` replaces all that was in ``path``, ``replace`` the folders of values that
+    are written, ``append`` none. On a local file system Python tasks open the files, elsewhere
+    Spark's writer does.
+    """
+    cols = [c for c in df.columns if c != keys[0]]
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in cols])) if fmt == "csv" else F.col(cols[0])
+    if folders.write_by_key(df, path, keys[0], list(keys), line, {"csv": "csv", "text": "txt"}[fmt],
+                            ",".join(cols) if fmt == "csv" else None, mode):
+        return
+    w = by_symbol(df, *keys).mode("append" if mode == "append" else "overwrite")
+    w = w.option("partitionOverwriteMode", "static" if mode == "overwrite" else "dynamic")
+    (w.option("header", True) if fmt == "csv" else w).format(fmt).save(path)
+
+
 def write_per_symbol_csv(price: DataFrame, path: str) -> None:
     """One folder of CSV files per symbol (``Ticker=<sym>/``), the staged-file layout.
 
     Rows are ranged by (ticker, date): most symbols end up in one file, and one
     that holds a third of the rows is spread over several tasks.
     """
-    by_symbol(price, "ticker", "date").mode("overwrite").option("header", True).csv(path)
+    by_value = price.sparkSession.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic"
+    write_per_key(price, path, "ticker", "date", mode="replace" if by_value else "overwrite")
 
 
 def write_profile(profile: DataFrame, path: str) -> None:

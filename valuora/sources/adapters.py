@@ -232,19 +232,18 @@ def vendor_files(spark: SparkSession, sf_dir: str, folder: str, raised: str | No
     prices, a file of the header only, or of an error message if their balance is negative. ``raised``: rewrite
     only tickers that end in this, at prices of one more.
     """
-    from valuora.sinks import by_symbol
+    from valuora.sinks import write_per_key
     px = price(spark, sf_dir)
     names = {"date": "Date", "open": "Open", "high": "High", "low": "Low", "close": "Close", "adj_close": "Adj Close",
              "volume": "Volume"}
     more = F.lit(0 if raised is None else 1)
     cols = [(F.col(c) + more if c not in ("date", "volume") else F.col(c)).alias(n) for c, n in names.items()]
-    if raised is None:   # the few first: Spark lists what is there before it appends
+    if raised is None:
         broken = F.col("s_acctbal") < 0
         text = F.when(broken, F.lit("Too many requests\nplease, try again later")).otherwise(F.lit(",".join(names.values())))
         suppliers = table(spark, sf_dir, "supplier").select(text.alias("value"), F.concat(F.lit("S"), _ticker("s_suppkey")).alias("symbol"))
-        by_symbol(suppliers, "symbol").mode("overwrite").option("partitionOverwriteMode", "static").text(folder)
+        write_per_key(suppliers, folder, "symbol", fmt="text")   # the few first: Spark lists what is there before it appends
     else:
         px = px.where(F.col("ticker").endswith(raised))
-    (by_symbol(px.select(*cols, F.col("ticker").alias("symbol")), "symbol", "Date")
-        .mode("append" if raised is None else "overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("header", True).csv(folder))
+    write_per_key(px.select(*cols, F.col("ticker").alias("symbol")), folder, "symbol", "Date",
+                  mode="append" if raised is None else "replace")

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from valuora import schemas as SC
 from valuora.session import cut_lineage, remove_folder
+from valuora.sources import folders
 
 BUCKETS = 64  # of symbols in a table; a table of many TB takes more
 FILE_NAME = r"([^/]*?)(?:\.[^./]*)?$"    # a file is named after its symbol
@@ -42,8 +43,15 @@ def list_files(spark: SparkSession, path: str, pattern: str = FILE_NAME) -> Data
     """(file, ticker, size, modified) of all files below ``path``; no file is opened.
 
     Spark's scans pass over files without a byte; they are those of its file
-    index that the scan does not list, and stand with size 0 and no time.
+    index that the scan does not list, and stand with size 0 and no time. So do
+    those that tasks list.
     """
+    folder = folders.local(spark, path)
+    if folder is not None:
+        time = F.timestamp_millis(F.when(F.col("size") > 0, F.col("ms")).otherwise(0))
+        file = F.concat(F.lit("file:"), F.col("path"))
+        return folders.files_below(spark, folder).select(file.alias("file"), "size", time.alias("modified"),
+                                                         F.regexp_extract(file, pattern, 1).alias("ticker"))
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     listed = found.select(_plain(F.col("path")).alias("file"), F.col("length").alias("size"),
                           F.col("modificationTime").alias("modified"))
@@ -53,12 +61,28 @@ def list_files(spark: SparkSession, path: str, pattern: str = FILE_NAME) -> Data
     return listed.unionByName(none).withColumn("ticker", F.regexp_extract("file", pattern, 1))
 
 
+def _vendor_schema() -> T.StructType:
+    return T.StructType([f for f in SC.RAW_PRICE.fields if f.name != "Ticker"]).add(CORRUPT, T.StringType())
+
+
+def read_listed(files: DataFrame, pattern: str = FILE_NAME) -> DataFrame:
+    """``read_files`` of local ``files`` (file, size): only they are opened."""
+    lines = folders.read_lines(files.select(F.substring("file", len("file:") + 1, 2 ** 31 - 1).alias("path"), "size"))
+    schema = _vendor_schema()
+    row = F.from_csv("line", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields),
+                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    file = F.concat(F.lit("file:"), F.col("path"))
+    return lines.select("path", row.alias("r")).select(
+        *[F.col(f"r.`{f.name}`").alias(SC.PRICE_RENAMES.get(f.name, f.name)) for f in schema.fields],
+        file.alias("file"), F.regexp_extract(file, pattern, 1).alias("ticker"))
+
+
 def read_files(spark: SparkSession, path: str, pattern: str = FILE_NAME, since=None) -> DataFrame:
     """Rows of vendor files with their file, symbol and, if a line is no price row, that line.
 
     ``since``: leave out files that are older (they are not opened).
     """
-    schema = T.StructType([f for f in SC.RAW_PRICE.fields if f.name != "Ticker"]).add(CORRUPT, T.StringType())
+    schema = _vendor_schema()
     reader = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
               .option("recursiveFileLookup", True).schema(schema))
     if since is not None:
@@ -116,6 +140,14 @@ def _price_ddl() -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SC.PRICE.fields)
 
 
+def _read_since(spark: SparkSession, path: str, pattern: str, to_read: DataFrame) -> DataFrame:
+    """Rows of all files as new as any of ``to_read``: files older than that are not listed."""
+    since = to_read.where("size > 0").agg(F.min(F.date_format(F.to_utc_timestamp("modified", F.current_timezone()), "yyyy-MM-dd HH:mm:ss"))).first()[0]
+    if since is None:
+        return spark.createDataFrame([], f"{_price_ddl()}, {CORRUPT} string, file string")
+    return read_files(spark, path, pattern, dt.datetime.fromisoformat(since))
+
+
 def ingest(spark: SparkSession, path: str, table: str, pattern: str = FILE_NAME, buckets: int = BUCKETS) -> DataFrame:
     """Bring ``table`` up to the files below ``path``; returns the new manifest.
 
@@ -135,11 +167,10 @@ def ingest(spark: SparkSession, path: str, table: str, pattern: str = FILE_NAME,
     touched = cut_lineage(touched.distinct().withColumn("bucket", _bucket(F.col("ticker"), buckets)), "touched")
     symbols = touched.select("ticker")
     to_read = files.join(symbols, "ticker", "left_semi")
-    # files older than any that is wanted are not listed; of the others those of untouched symbols are left out
-    since = to_read.where("size > 0").agg(F.min(F.date_format(F.to_utc_timestamp("modified", F.current_timezone()), "yyyy-MM-dd HH:mm:ss"))).first()[0]
-    rows = spark.createDataFrame([], f"{_price_ddl()}, {CORRUPT} string, file string")
-    if since is not None:
-        rows = read_files(spark, path, pattern, dt.datetime.fromisoformat(since)).join(symbols, "ticker", "left_semi")
+    if folders.local(spark, path) is not None:
+        rows = read_listed(to_read, pattern)
+    else:
+        rows = _read_since(spark, path, pattern, to_read).join(symbols, "ticker", "left_semi")
     rows = cut_lineage(rows, "ingested")
     manifest = account(to_read, rows).withColumn("replaced", F.lit(True))
     if stored is not None:
