@@ -960,11 +960,11 @@ SELECT date, ticker, open, high, low, close, adj_close, volume FROM (
 def q_price_files(spark, sf):
     """Today's prices written as one folder of CSV files per symbol and read back."""
     from valuora import sinks
-    from valuora.schemas import PRICE
+    from valuora.sources.files import read_per_symbol_csv
     out = _scratch(spark, "price-files")
     drop = model(spark, sf).daily_drop
     sinks.write_per_symbol_csv(drop, out)
-    return spark.read.option("header", True).schema(PRICE).csv(out).select(*PRICE.fieldNames())
+    return read_per_symbol_csv(spark, out)
 
 
 # what the run stores, by table: (columns, type as stored)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valuora import schemas as SC
+from valuora.sources import folders
 
 
 def _normalise(df: DataFrame, renames: dict[str, str] | None = None) -> DataFrame:
@@ -24,6 +25,20 @@ def read_prices_csv(spark: SparkSession, path: str) -> DataFrame:
     return _normalise(df, SC.PRICE_RENAMES)
 
 
+def read_per_symbol_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Prices written by ``sinks.write_per_symbol_csv``: folders ``ticker=<symbol>`` of CSV files.
+
+    Tasks list and read a local folder; the driver holds none of its files.
+    """
+    folder = folders.local(spark, path)
+    if folder is None:
+        return spark.read.option("header", True).schema(SC.PRICE).csv(path).select(*SC.PRICE.fieldNames())
+    lines = folders.read_lines(folders.files_below(spark, folder))
+    row = F.from_csv("line", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in SC.PRICE.fields if f.name != "ticker"))
+    return (lines.select(folders.folder_value(F.col("path"), "ticker").alias("ticker"), row.alias("r"))
+            .select("ticker", "r.*").select(*SC.PRICE.fieldNames()))
+
+
 def read_price_table(spark: SparkSession, path: str) -> DataFrame:
     """Price table written by ``sinks.write_price_table`` (Parquet, one folder per date)."""
     return spark.read.parquet(path).select(*SC.PRICE.fieldNames())

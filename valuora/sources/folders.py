@@ -155,6 +155,13 @@ def read_lines(files: DataFrame) -> DataFrame:
     return pieces.repartition(_tasks(files.sparkSession)).mapInArrow(_read, "path string, line string")
 
 
+def folder_value(path: Column, key: str) -> Column:
+    """The value that a ``key=value`` folder on a path is named after, null if it stands for none."""
+    raw = F.regexp_extract(path, f"/{re.escape(key)}=([^/]+)/[^/]*$", 1)
+    plain = F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+    return F.when(raw != NO_VALUE, F.coalesce(plain, raw))
+
+
 # ---------------------------------------------------------------- writing
 
 def _name(value: str | None) -> str:
