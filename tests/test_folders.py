@@ -60,7 +60,7 @@ def test_symbols_are_written_and_read_as_by_spark(spark, tmp):
     sinks.write_per_symbol_csv(px, f"{tmp}/ours")
     sinks.by_symbol(px, "ticker", "date").mode("overwrite").option("header", True).csv(f"{tmp}/sparks")
     names = lambda at: {d for d in os.listdir(at) if d.startswith("ticker=")}
-    assert names(f"{tmp}/ours") == names(f"{tmp}/sparks")
+    assert names(f"{tmp}/ours") == names(f"{tmp}/sparks") and os.path.exists(f"{tmp}/ours/_SUCCESS")
     rows = lambda df: sorted(map(repr, df.collect()))
     read = spark.read.option("header", True).schema(px.schema)
     theirs = rows(read.csv(f"{tmp}/sparks").select(*px.columns))
@@ -95,6 +95,7 @@ def test_odd_files_are_read_as_by_spark(spark, tmp, monkeypatch, piece):
     put(src, "EMPTY.csv", "")
     put(src, "HEAD.csv", HEAD)
     put(src, "_hidden.csv", HEAD + row(4))
+    os.symlink(f"{tmp}/nothing", f"{src}/LINK.csv")
     put(f"{src}/sub", "a b+%41.csv", HEAD + row(5) + "\n")
     found = I.list_files(spark, src)
     assert sorted(r.ticker for r in found.collect()) == ["BAD", "BOM", "CRLF", "EMPTY", "HEAD", "LONG", "a b+%41"]

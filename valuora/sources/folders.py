@@ -75,7 +75,10 @@ def _below(path: str) -> Iterator[tuple[str, int, int]]:
                 if _seen(e.name):
                     yield from _below(e.path)
     else:
-        st = os.stat(path)
+        try:
+            st = os.stat(path)
+        except FileNotFoundError:
+            return  # gone meanwhile, or a link to nothing
         yield path, st.st_size, st.st_mtime_ns // 1_000_000
 
 
@@ -224,4 +227,6 @@ def write_by_key(df: DataFrame, folder: str, key: str, order: list[str], line: C
         local_new(spark, folder)
     ranged = df.repartitionByRange(_tasks(spark), *order).sortWithinPartitions(*order).select(key, line.alias("line"))
     ranged.mapInArrow(_write(at, key, ending, header, uuid.uuid4().hex, mode == "replace"), "n long").agg(F.sum("n")).collect()
+    done = spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
+    done.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(done, True).close()
     return True
